@@ -62,7 +62,7 @@ def hash_array(values, state=SPARK_SEED) -> np.ndarray:
         x = x * PRIME_2
         x = (x << np.uint64(31)) | (x >> np.uint64(33))
         x *= PRIME_1
-        x ^= np.asarray(state, dtype=np.uint64) + PRIME_5 + np.uint64(8)
+        x = x ^ (np.asarray(state, dtype=np.uint64) + PRIME_5 + np.uint64(8))
         x = (x << np.uint64(27)) | (x >> np.uint64(37))
         x *= PRIME_1
         x += PRIME_4

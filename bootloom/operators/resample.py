@@ -90,8 +90,9 @@ def cell_counts(spark: SparkSession, seeds: list[int], n: int, k: int) -> DataFr
     """(seed, cell, counts): how many draws of each fold fall into each cell."""
     draws = draw_numbers(spark, seeds, n).select(
         "seed", fold_of(F.col("draw"), n, k).alias("fold"),
-        F.expr(f"cast((shiftrightunsigned(xxhash64(seed, draw), 1) % {n}) div {cell_size(n)} "
-               "as int)").alias("cell"))
+        # coalesce: `%` and `div` count as nullable, and a null check would hash every draw twice
+        F.expr(f"coalesce(cast((shiftrightunsigned(xxhash64(seed, draw), 1) % {n}) "
+               f"div {cell_size(n)} as int), 0)").alias("cell"))
     counted = draws.groupBy("seed", "cell").agg(
         *[F.count_if(F.col("fold") == f).cast("int").alias(f"c{f}") for f in range(k)])
     return counted.select("seed", "cell", F.array(*[f"c{f}" for f in range(k)]).alias("counts"))
@@ -109,10 +110,11 @@ def resample(spark: SparkSession, seeds: list[int], n: int, k: int = 3) -> DataF
     draws = (cells.where("n_draws > 0")
              .select("seed", "cell", "fold",
                      F.expr("explode(sequence(first[fold], first[fold] + n_draws - 1))")
-                     .cast("long").alias("draw_in_cell")))
+                     .alias("draw_in_cell")))
     place = hashing.nonneg_hash("seed", "cell", "draw_in_cell") \
         % F.least(F.lit(size), F.lit(n) - F.col("cell").cast("long") * size)
-    return draws.select("seed", "fold", F.col("cell").cast("long").alias("cell"), "draw_in_cell",
+    return draws.select("seed", "fold", F.col("cell").cast("long").alias("cell"),
+                        F.col("draw_in_cell").cast("long").alias("draw_in_cell"),
                         (F.col("cell").cast("long") * size + place).alias("position"))
 
 

@@ -53,25 +53,37 @@ def replicates(records: DataFrame, features: list[str] | None = None,
     kept = spark.read.parquet(path)
     groups = (kept.groupBy("model", "column_names")
               .agg(F.sort_array(F.collect_list("seed")).alias("seeds")).collect())
+    size = sum(8 * len(g["seeds"]) * (len(g["column_names"]) + 1) for g in groups)
+    together = None
+    if size <= SHIPPED_BYTES:
+        together = kept.toPandas()
+        together["group"] = [(m, *names) for m, names in
+                             zip(together["model"], together["column_names"])]
     for g in sorted(groups, key=lambda g: (g["model"] or "", g["column_names"])):
         if features is not None and set(features) != set(g["column_names"]):
             raise ValueError(f"model {g['model']!r} was fitted on other features: "
                              f"{sorted(set(features) ^ set(g['column_names']))}")
-        names = sorted(g["column_names"])
-        order = np.array([g["column_names"].index(c) for c in names], dtype=int)
-        at_once = max(1, SHIPPED_BYTES // (8 * (len(names) + 1)))
-        seeds = g["seeds"]
-        if whole_models:
-            at_once = max(1, len(seeds))
-        for s in range(0, len(seeds), at_once):
-            part = seeds[s:s + at_once]
-            rows = (kept.where(F.col("model").eqNullSafe(F.lit(g["model"]))
-                               & (F.col("column_names") == F.array(*map(F.lit, g["column_names"])))
-                               & F.col("seed").between(part[0], part[-1]))
-                    .orderBy("seed").toPandas())
-            yield Replicates(g["model"], names, rows["seed"].to_numpy(np.int64),
-                             np.stack(rows["coef"].to_list()).astype(float)[:, order],
-                             rows["intercept"].to_numpy(float))
+        if together is not None:
+            same = together["group"].map((g["model"], *g["column_names"]).__eq__)
+            yield _replicates(g, together[same])
+            continue
+        at_once = max(1, SHIPPED_BYTES // (8 * (len(g["column_names"]) + 1)))
+        step = len(g["seeds"]) if whole_models else at_once
+        for s in range(0, len(g["seeds"]), step):
+            part = g["seeds"][s:s + step]
+            yield _replicates(g, kept.where(
+                F.col("model").eqNullSafe(F.lit(g["model"]))
+                & (F.col("column_names") == F.array(*map(F.lit, g["column_names"])))
+                & F.col("seed").between(part[0], part[-1])).toPandas())
+
+
+def _replicates(group, rows: pd.DataFrame) -> Replicates:
+    names = sorted(group["column_names"])
+    order = np.array([group["column_names"].index(c) for c in names], dtype=int)
+    rows = rows.sort_values("seed")
+    return Replicates(group["model"], names, rows["seed"].to_numpy(np.int64),
+                      np.stack(rows["coef"].to_list()).astype(float)[:, order],
+                      rows["intercept"].to_numpy(float))
 
 
 def _need(df: DataFrame, features: list[str]) -> None:

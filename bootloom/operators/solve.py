@@ -238,7 +238,7 @@ def solve_replicates(moments: DataFrame, columns: list[str], centres: list[float
     place = {c: i for i, c in enumerate(columns, start=1)}
     centre = dict(zip(columns, centres))
 
-    def solve(key, block: pd.DataFrame) -> pd.DataFrame:
+    def solve(key, block):
         folds = np.stack([unpack(part, q) for _, part in block.groupby("fold", sort=True)])
         out = []
         for name, (method, features, alphas) in models.items():
