@@ -25,6 +25,7 @@ FULL = ("qty", "lines", "disc")
 GRID = o.LASSO_GRID
 PART_ALPHAS = (0.05, 10.0, 20.0)
 PART_SEEDS = 20
+UNITS = {"1": 1.0, "qty": 97.3, "lines": 1.07, "disc": 0.0137, "y": 1.13e5}
 
 REDUCED = Model("lasso", ("qty",), GRID)
 LASSO = Model("lasso", FULL, GRID)
@@ -153,9 +154,10 @@ def resample_numpy(spark, d):
 
 
 def moments(spark, d, **options):
-    """Gram entries per row, in units of each column (so that all have a similar size)."""
+    """Gram entries in units of each column, so that all have a similar size. (The units are
+    odd because exact decimal ties would be rounded up or down by the last bit of a sum.)"""
     run = _prepare(spark, d, {"full": LASSO}, **options)
-    units = F.array(*[F.lit(u) for u in (1.0, 100.0, 1.0, 0.01, 1e5)])
+    units = F.array(*map(F.lit, UNITS.values()))
     entries = run.moments().select(
         "seed", "fold", "i", F.posexplode(F.array(*[f"g{b}" for b in range(5)])).alias("j", "g"))
     return entries.select("seed", "fold", "i", "j", F.round(
@@ -405,12 +407,11 @@ def oracle_sql() -> dict[str, str]:
             f"FROM ({parts.long('part', ('partkey', 'size'))}) GROUP BY ALL")
     plain = f"SELECT model, feature, p_nonzero FROM ({freq}) WHERE NOT is_intercept"
 
-    units = {"1": 1.0, "qty": 100.0, "lines": 1.0, "disc": 0.01, "y": 1e5}
-    z = list(units)
+    z = list(UNITS)
     mo = o.Sql().moments()
     gram = union(
         f"SELECT seed, fold, {i}::INTEGER AS i, {j}::INTEGER AS j, round(s_"
-        f"{'_'.join((a, b) if i <= j else (b, a))} / {o.lit(units[a] * units[b])}, 5) AS g FROM mom"
+        f"{'_'.join((a, b) if i <= j else (b, a))} / {o.lit(UNITS[a] * UNITS[b])}, 5) AS g FROM mom"
         for i, a in enumerate(z) for j, b in enumerate(z))
 
     poisson = o.Sql()

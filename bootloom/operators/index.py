@@ -48,6 +48,8 @@ def bucket_rows(df: DataFrame, stats: FrameStats, wanted: int,
             break
         splits, fullest = [], 0
         for r in full:
+            if r["n"] > r["hi"] - r["lo"] + 1:
+                raise ValueError(f"{row_id} is not unique")
             s = _shift_for(r["n"], r["lo"], r["hi"], wanted)
             splits.append((r["bucket"], r["lo"], s, next_bucket))
             next_bucket += ((r["hi"] - r["lo"]) >> s) + 1
@@ -67,8 +69,10 @@ def bucket_table(bucketed: DataFrame, row_id: str = ROW_ID) -> DataFrame:
     The running sum has no partitioning key, which is fine: the table it runs over has a
     bounded number of rows (`MAX_BUCKETS`) however large the data are.
     """
-    sizes = bucketed.groupBy("bucket").agg(F.count("*").alias("bucket_rows"),
-                                           F.min(row_id).alias("_lo"))
+    n, lo, hi = F.count("*"), F.min(row_id), F.max(row_id)
+    sizes = bucketed.groupBy("bucket").agg(
+        F.when(n <= hi - lo + 1, n).otherwise(F.raise_error(F.lit(f"{row_id} is not unique")))
+        .alias("bucket_rows"), lo.alias("_lo"))
     before = Window.orderBy("_lo").rowsBetween(Window.unboundedPreceding, -1)
     return sizes.select("bucket", "bucket_rows",
                         F.coalesce(F.sum("bucket_rows").over(before), F.lit(0)).alias("offset"))

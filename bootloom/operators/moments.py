@@ -22,7 +22,9 @@ BLOCK = 64
 # Up to this many columns the products z_i z_j are laid out once and all weights are applied
 # by one matrix product; beyond it the rows of each resample are gathered instead.
 NARROW = 16
-# Bytes of partial Gram matrices a task may hold while it streams through its rows.
+# Products laid out at once, in values.
+SLAB = 1 << 23
+# Bytes of partial Gram matrices a task may hold; wider models take their seeds in batches.
 PARTIAL_BYTES = 256 << 20
 
 
@@ -40,8 +42,7 @@ def design(batch, columns: list[str], centres: list[float]) -> np.ndarray:
     z = np.empty((batch.num_rows, len(columns) + 1))
     z[:, 0] = 1.0
     for j, (name, centre) in enumerate(zip(columns, centres), start=1):
-        z[:, j] = batch.column(name).to_numpy(zero_copy_only=False) - centre \
-            if isinstance(batch, pa.RecordBatch) else batch.column(name).to_numpy() - centre
+        z[:, j] = np.asarray(batch.column(name)) - centre
     return z
 
 
@@ -50,22 +51,32 @@ class _Grams:
 
     def __init__(self, z: np.ndarray):
         self.z, self.q = z, z.shape[1]
-        if self.q <= NARROW:
-            self.upper = np.triu_indices(self.q)
-            self.products = z[:, self.upper[0]] * z[:, self.upper[1]]
+        self.upper = np.triu_indices(self.q)
+        self.slab = max(1, SLAB // len(self.upper[0]))
+        self.all = self._products(slice(None)) if self.q <= NARROW and len(z) <= self.slab else None
+
+    def _products(self, rows: slice) -> np.ndarray:
+        z = self.z[rows]
+        return z[:, self.upper[0]] * z[:, self.upper[1]]
 
     def under(self, w: np.ndarray) -> np.ndarray:
         """(weights x rows) -> (weights x q x q)."""
-        out = np.empty((len(w), self.q, self.q))
+        out = np.zeros((len(w), self.q, self.q))
         if self.q <= NARROW:
-            flat = w.astype(np.float64) @ self.products
+            flat = np.zeros((len(w), len(self.upper[0])))
+            for lo in range(0, len(self.z), self.slab):
+                rows = slice(lo, lo + self.slab)
+                products = self._products(rows) if self.all is None else self.all
+                flat += w[:, rows].astype(np.float64) @ products
             out[:, self.upper[0], self.upper[1]] = flat
             out[:, self.upper[1], self.upper[0]] = flat
         else:
             for b, weight in enumerate(w):
                 hit = np.flatnonzero(weight)
-                part = self.z[hit]
-                out[b] = (part * weight[hit, None]).T @ part
+                for lo in range(0, len(hit), self.slab):
+                    at = hit[lo:lo + self.slab]
+                    part = self.z[at]
+                    out[b] += (part * weight[at, None]).T @ part
         return out
 
 
@@ -87,53 +98,58 @@ def _long(seeds: np.ndarray, grams: np.ndarray) -> pa.Table:
 
 def moments(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list[int], k: int,
             sampling: str, row_id: str = ROW_ID) -> DataFrame:
-    """The moment table of every (seed, fold) over `columns` (features, then target)."""
+    """The moment table of every (seed, fold) over `columns` (features, then target).
+
+    All seeds go in one pass over the data unless the Gram matrices of that many would not
+    fit in a task; very wide models go over it in several batches of seeds.
+    """
     centres = stats.centres(columns)
-    schema = _schema(len(columns))
-    if sampling == POISSON:
-        partial = _poisson_partials(df, columns, centres, seeds, k, schema, row_id)
-    else:
-        def reduce(rows: pa.Table, weights) -> pa.Table:
-            grams = _Grams(design(rows, columns, centres))
-            parts = []
-            for chunk, w in weights:
-                g = grams.under(w.reshape(-1, rows.num_rows))
-                parts.append(_long(chunk, g.reshape(len(chunk), k, grams.q, grams.q)))
-            return pa.concat_tables(parts)
-
-        partial = with_draws(df, stats, columns, seeds, k, sampling, reduce, schema, row_id)
+    at_once = max(1, PARTIAL_BYTES // (k * (len(columns) + 1) ** 2 * 8))
+    partial = None
+    for s in range(0, len(seeds), at_once):
+        batch = seeds[s:s + at_once]
+        if sampling == POISSON:
+            part = _poisson_partials(df, columns, centres, batch, k, row_id)
+        else:
+            part = _drawn_partials(df, stats, columns, centres, batch, k, sampling, row_id)
+        partial = part if partial is None else partial.unionByName(part)
     return partial.groupBy("seed", "fold", "i", "j0").agg(
         *[F.sum(f"g{b}").alias(f"g{b}") for b in range(block_width(len(columns)))])
 
 
-def _poisson_partials(df, columns, centres, seeds, k, schema, row_id) -> DataFrame:
-    """Partial Gram matrices per task, without moving a row. A task keeps one accumulator
-    per (seed, fold), so very wide models go over the data in several batches of seeds."""
+def _drawn_partials(df, stats, columns, centres, seeds, k, sampling, row_id) -> DataFrame:
+    """Partial Gram matrices per bucket of rows."""
+    def reduce(rows: pa.Table, weights) -> pa.Table:
+        grams = _Grams(design(rows, columns, centres))
+        parts = []
+        for chunk, w in weights:
+            g = grams.under(w.reshape(-1, rows.num_rows))
+            parts.append(_long(chunk, g.reshape(len(chunk), k, grams.q, grams.q)))
+        return pa.concat_tables(parts)
+
+    return with_draws(df, stats, columns, seeds, k, sampling, reduce, _schema(len(columns)), row_id)
+
+
+def _poisson_partials(df, columns, centres, seeds, k, row_id) -> DataFrame:
+    """Partial Gram matrices per task, without moving a row."""
     q = len(columns) + 1
-    at_once = max(1, PARTIAL_BYTES // (k * q * q * 8))
-    rows = df.select(row_id, *[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
 
-    def pass_over(batch_seeds: list[int]) -> DataFrame:
-        def reduce(batches):
-            total = np.zeros((len(batch_seeds), k, q, q))
-            for batch in batches:
-                if batch.num_rows == 0:
-                    continue
-                grams = _Grams(design(batch, columns, centres))
-                ids = batch.column(row_id).to_numpy()
-                done = 0
-                for chunk, w in poisson_array_weights(ids, batch_seeds, k):
-                    total[done:done + len(chunk)] += grams.under(
-                        w.reshape(-1, batch.num_rows)).reshape(len(chunk), k, q, q)
-                    done += len(chunk)
-            yield from _long(batch_seeds, total).to_batches(max_chunksize=1 << 14)
-
-        return rows.mapInArrow(reduce, schema)
-
-    out = pass_over(seeds[:at_once])
-    for s in range(at_once, len(seeds), at_once):
-        out = out.unionByName(pass_over(seeds[s:s + at_once]))
-    return out
+    def reduce(batches):
+        total = np.zeros((len(seeds), k, q, q))
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            grams = _Grams(design(batch, columns, centres))
+            ids = batch.column(row_id).to_numpy()
+            done = 0
+            for chunk, w in poisson_array_weights(ids, seeds, k):
+                total[done:done + len(chunk)] += grams.under(
+                    w.reshape(-1, batch.num_rows)).reshape(len(chunk), k, q, q)
+                done += len(chunk)
+        yield from _long(seeds, total).to_batches(max_chunksize=1 << 14)
+
+    rows = df.select(row_id, *[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
+    return rows.mapInArrow(reduce, _schema(len(columns)))
 
 
 def plain_moments(df: DataFrame, columns: list[str], centres: list[float]) -> np.ndarray:

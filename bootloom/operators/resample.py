@@ -20,7 +20,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import hashing
 from ..sources.frames import ROW_ID, FrameStats
@@ -167,26 +167,33 @@ def _position_weights(draws: pa.Table, n: int, k: int, offset: int, rows: int
 
 
 def numpy_draws(spark: SparkSession, seeds: list[int], n: int, k: int = 3,
-                chunk: int = 1 << 20) -> DataFrame:
+                segment: int = 1 << 24) -> DataFrame:
     """Replay of NumPy's legacy stream: `RandomState(seed).randint(0, n, n)` per seed.
 
-    A stream is sequential, so one task draws a whole seed, in chunks. Opt-in, for results
-    that must line up with resamples drawn that way.
+    Opt-in, for results that must line up with resamples drawn that way. Such a stream cannot
+    be entered in the middle, so the task of a segment steps over what comes before (cheap,
+    nothing is kept) and hands out its own segment only.
     """
     bounds = np.array(fold_bounds(n, k)[1:])
+    chunk = min(segment, 1 << 20)
+    parts = spark.createDataFrame([(int(s), lo) for s in seeds for lo in range(0, n, segment)],
+                                  "seed long, first long")
 
     def draw(batches):
         for batch in batches:
-            for seed in batch.column("seed").to_pylist():
+            for seed, first in zip(*batch.to_pydict().values()):
                 stream = np.random.RandomState(seed)
-                for lo in range(0, n, chunk):
+                for lo in range(0, min(first + segment, n), chunk):
                     d = np.arange(lo, min(lo + chunk, n))
-                    yield pa.RecordBatch.from_pydict({
-                        "seed": np.full(len(d), seed), "draw": d,
-                        "fold": np.searchsorted(bounds, d, side="right").astype(np.int32),
-                        "position": stream.randint(0, high=n, size=len(d)).astype(np.int64)})
-
-    return seed_frame(spark, seeds).repartition(len(seeds), "seed").mapInArrow(
+                    position = stream.randint(0, high=n, size=len(d))
+                    if lo >= first:
+                        yield pa.RecordBatch.from_pydict({
+                            "seed": np.full(len(d), seed), "draw": d,
+                            "fold": np.searchsorted(bounds, d, side="right").astype(np.int32),
+                            "position": position.astype(np.int64)})
+
+    tasks = min(len(seeds) * math.ceil(n / segment), 8 * spark.sparkContext.defaultParallelism)
+    return parts.repartition(tasks).mapInArrow(
         draw, "seed long, draw long, fold int, position long")
 
 
@@ -238,7 +245,11 @@ def with_draws(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list
     def apply(rows: pa.Table, draws: pa.Table) -> pa.Table:
         if rows.num_rows == 0 or draws.num_rows == 0:
             return out_schema.empty_table()
-        rows = rows.take(np.argsort(rows[row_id].to_numpy()))
+        ids = rows[row_id].to_numpy()
+        order = np.argsort(ids)
+        if not np.all(np.diff(ids[order])):
+            raise ValueError(f"{row_id} is not unique")
+        rows = rows.take(order)
         offset = draws["offset"][0].as_py()
         return function(rows, weigh(draws, n, k, offset, rows.num_rows))
 

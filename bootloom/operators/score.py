@@ -15,11 +15,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import BooleanType, NumericType
 
 from ..functions.scratch import scratch_path
-from ..sources.frames import ROW_ID, frame_stats
+from ..sources.frames import ROW_ID, feature_names, frame_stats
 from .moments import plain_moments
-from .solve import ratio, squared_error
+from .solve import CONSTANT, ratio, squared_error
 
 # Coefficients shipped to the tasks at once; more replicates go in several passes.
 SHIPPED_BYTES = 64 << 20
@@ -156,44 +157,57 @@ def prediction_metrics(predictions: DataFrame, target: str) -> DataFrame:
 
 
 def metric_dist(records: DataFrame, df: DataFrame, target: str,
-                features: list[str] | None = None, via: str | None = None) -> DataFrame:
+                features: list[str] | None = None, via: str | None = None,
+                row_id: str = ROW_ID) -> DataFrame:
     """(model, seed, rmse, r2) of every replicate on the rows of `df`.
 
-    via="moments" reduces the rows to one Gram matrix that serves all replicates;
-    via="rows" predicts in the tasks and keeps only error sums. The default takes the
-    former unless the models are very wide.
+    via="moments" reduces the rows to one Gram matrix over `features` (by default every
+    numeric column that can be one) that serves all replicates, and scores the records where
+    they are. via="rows" predicts in the tasks and keeps only error sums. The default takes
+    the former unless there are very many features.
     """
-    parts = list(replicates(records, features))
-    if not parts:
-        raise ValueError("no records to score")
-    columns = sorted({f for r in parts for f in r.features})
-    _need(df, columns)
+    if features is None:
+        features = [c for c in feature_names(df, target, row_id)
+                    if isinstance(df.schema[c].dataType, (NumericType, BooleanType))]
+    _need(df, features + [target])
     if via is None:
-        via = "moments" if len(columns) <= GRAM_FEATURES else "rows"
+        via = "moments" if len(features) <= GRAM_FEATURES else "rows"
     if via not in ("moments", "rows"):
         raise ValueError(f"via must be 'moments' or 'rows', not {via!r}")
-    stats = frame_stats(df.select(F.lit(0).alias(ROW_ID), *[F.col(f"`{c}`") for c in
-                                                            columns + [target]]),
-                        columns + [target])
     if via == "moments":
-        gram = plain_moments(df, columns + [target], stats.centres(columns + [target]))
-        return _from_gram(df, parts, columns, target, stats, gram)
+        return _from_gram(records, df, sorted(features), target, row_id)
+    parts = list(replicates(records))
+    if not parts:
+        raise ValueError("no records to score")
+    stats = frame_stats(df, sorted({f for r in parts for f in r.features}) + [target], row_id)
     return _from_rows(df, parts, target, stats)
 
 
-def _from_gram(df, parts, columns, target, stats, gram) -> DataFrame:
-    place = {c: i for i, c in enumerate(columns, start=1)}
-    n, out = gram[0, 0], []
+def _from_gram(records, df, features, target, row_id) -> DataFrame:
+    columns = features + [target]
+    stats = frame_stats(df, columns, row_id)
+    gram = plain_moments(df, columns, stats.centres(columns))
+    place = {c: i for i, c in enumerate(features, start=1)}
+    n, means, last = gram[0, 0], stats.means, len(columns)
     sst = gram[-1, -1] - gram[0, -1] ** 2 / n
-    sst = sst if sst > 1e-12 * gram[-1, -1] else 0.0
-    for r in parts:
-        at = [0] + [place[f] for f in r.features] + [len(columns) + 1]
-        own = gram[np.ix_(at, at)]
-        level = r.intercept + r.coef @ stats.centres(r.features) - stats.means[target]
-        for seed, b, b0 in zip(r.seeds, r.coef, level):
-            sse = squared_error(own, b, b0)
-            out.append((r.model, int(seed), float(np.sqrt(sse / n)), ratio(sst, sse)))
-    return df.sparkSession.createDataFrame(out, "model string, seed long, rmse double, r2 double")
+    sst = sst if sst > CONSTANT * gram[-1, -1] else 0.0
+
+    def score(batches):
+        for batch in batches:
+            out = []
+            for r in batch.itertuples(index=False):
+                unknown = [c for c in r.column_names if c not in place]
+                if unknown:
+                    raise ValueError(f"the table to score lacks the features {unknown}")
+                at = [0] + [place[c] for c in r.column_names] + [last]
+                b = np.asarray(r.coef, dtype=float)
+                b0 = r.intercept + sum(means[c] * x for c, x in zip(r.column_names, b))
+                sse = squared_error(gram[np.ix_(at, at)], b, b0 - means[target])
+                out.append((r.model, r.seed, np.sqrt(sse / n), ratio(sst, sse)))
+            yield pd.DataFrame(out, columns=["model", "seed", "rmse", "r2"])
+
+    return records.select("model", "seed", "intercept", "coef", "column_names").mapInPandas(
+        score, "model string, seed long, rmse double, r2 double")
 
 
 def _from_rows(df, parts, target, stats) -> DataFrame:
