@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..sources.frames import ROW_ID, FrameStats
 
+BUCKET = "_bucket"
 # The bucket table has at most a small multiple of this many rows, whatever the data size.
 MAX_BUCKETS = 1 << 20
 # A bucket is split when it holds more than this many times the wanted rows.
@@ -33,14 +34,14 @@ def _shift_for(n: int, lo: int, hi: int, wanted: int) -> int:
 
 def bucket_rows(df: DataFrame, stats: FrameStats, wanted: int,
                 row_id: str = ROW_ID) -> DataFrame:
-    """Add a `bucket` column; ids within a bucket are neighbours, buckets are balanced."""
+    """Add a BUCKET column; ids within a bucket are neighbours, buckets are balanced."""
     wanted = rows_per_bucket(stats.n, wanted)
     shift = _shift_for(stats.n, stats.min_id, stats.max_id, wanted)
-    df = df.withColumn("bucket", F.shiftright(F.col(row_id) - F.lit(stats.min_id), shift))
+    df = df.withColumn(BUCKET, F.shiftright(F.col(row_id) - F.lit(stats.min_id), shift))
     fullest = 1 << shift
     next_bucket = ((stats.max_id - stats.min_id) >> shift) + 1
     while fullest > FULLNESS * wanted:
-        full = [r for r in df.groupBy("bucket")
+        full = [r for r in df.groupBy(BUCKET)
                 .agg(F.count("*").alias("n"), F.min(row_id).alias("lo"),
                      F.max(row_id).alias("hi"))
                 .where(F.col("n") > FULLNESS * wanted).collect()]  # <= MAX_BUCKETS / FULLNESS
@@ -51,14 +52,14 @@ def bucket_rows(df: DataFrame, stats: FrameStats, wanted: int,
             if r["n"] > r["hi"] - r["lo"] + 1:
                 raise ValueError(f"{row_id} is not unique")
             s = _shift_for(r["n"], r["lo"], r["hi"], wanted)
-            splits.append((r["bucket"], r["lo"], s, next_bucket))
+            splits.append((r[BUCKET], r["lo"], s, next_bucket))
             next_bucket += ((r["hi"] - r["lo"]) >> s) + 1
             fullest = max(fullest, 1 << s)
         table = df.sparkSession.createDataFrame(
-            splits, "bucket long, _lo long, _shift int, _base long")
-        df = (df.join(F.broadcast(table), "bucket", "left")  # bounded above
-              .withColumn("bucket", F.coalesce(
-                  F.expr(f"_base + shiftright(`{row_id}` - _lo, _shift)"), "bucket"))
+            splits, f"{BUCKET} long, _lo long, _shift int, _base long")
+        df = (df.join(F.broadcast(table), BUCKET, "left")  # bounded above
+              .withColumn(BUCKET, F.coalesce(
+                  F.expr(f"_base + shiftright(`{row_id}` - _lo, _shift)"), BUCKET))
               .drop("_lo", "_shift", "_base"))
     return df
 
@@ -70,19 +71,19 @@ def bucket_table(bucketed: DataFrame, row_id: str = ROW_ID) -> DataFrame:
     bounded number of rows (`MAX_BUCKETS`) however large the data are.
     """
     n, lo, hi = F.count("*"), F.min(row_id), F.max(row_id)
-    sizes = bucketed.groupBy("bucket").agg(
+    sizes = bucketed.groupBy(BUCKET).agg(
         F.when(n <= hi - lo + 1, n).otherwise(F.raise_error(F.lit(f"{row_id} is not unique")))
-        .alias("bucket_rows"), lo.alias("_lo"))
+        .alias("_bucket_rows"), lo.alias("_lo"))
     before = Window.orderBy("_lo").rowsBetween(Window.unboundedPreceding, -1)
-    return sizes.select("bucket", "bucket_rows",
-                        F.coalesce(F.sum("bucket_rows").over(before), F.lit(0)).alias("offset"))
+    return sizes.select(BUCKET, "_bucket_rows",
+                        F.coalesce(F.sum("_bucket_rows").over(before), F.lit(0)).alias("_offset"))
 
 
 def dense_index(df: DataFrame, stats: FrameStats, row_id: str = ROW_ID,
                 wanted: int = 1 << 14) -> DataFrame:
     """Add `position`: the rank 0..n-1 of each row in the order of its id."""
     bucketed = bucket_rows(df, stats, wanted, row_id)
-    within = F.row_number().over(Window.partitionBy("bucket").orderBy(row_id)) - 1
-    return (bucketed.join(bucket_table(bucketed, row_id), "bucket")
-            .withColumn("position", F.col("offset") + within)
-            .drop("bucket", "bucket_rows", "offset"))
+    within = F.row_number().over(Window.partitionBy(BUCKET).orderBy(row_id)) - 1
+    return (bucketed.join(bucket_table(bucketed, row_id), BUCKET)
+            .withColumn("position", F.col("_offset") + within)
+            .drop(BUCKET, "_bucket_rows", "_offset"))

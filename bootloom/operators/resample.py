@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import hashing
 from ..sources.frames import ROW_ID, FrameStats
-from .index import bucket_rows, bucket_table
+from .index import BUCKET, bucket_rows, bucket_table
 
 EXACT, POISSON, NUMPY = "exact", "poisson", "numpy"
 SAMPLINGS = (EXACT, POISSON, NUMPY)
@@ -214,6 +214,11 @@ def bucket_goal(spark: SparkSession, n: int, columns: int, blocks: int) -> int:
     return max(min(goal, idle), 2 * MIN_CELL)
 
 
+def numbered(columns: list[str]) -> list[Column]:
+    """The columns as doubles named c0, c1, ..., whatever they are called."""
+    return [F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)]
+
+
 def with_draws(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list[int], k: int,
                sampling: str, function, schema: str, row_id: str = ROW_ID) -> DataFrame:
     """Bring the rows of each bucket and the draws that hit it together, and apply
@@ -221,14 +226,14 @@ def with_draws(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list
     `weights` an iterator of (seeds, W[seed, fold, row])."""
     spark, n = df.sparkSession, stats.n
     goal = bucket_goal(spark, n, len(columns), len(seeds) * k)
-    bucketed = bucket_rows(df.select(row_id, *[F.col(f"`{c}`").cast("double").alias(c)
-                                               for c in columns]), stats, goal, row_id)
+    bucketed = bucket_rows(df.select(row_id, *numbered(columns)), stats, goal, row_id)
     buckets = bucket_table(bucketed, row_id)
     size = cell_size(n)
     cells = buckets.select(
-        F.col("bucket").alias("hit_bucket"), "offset", "bucket_rows",
-        F.explode(F.expr(f"sequence(cast(offset div {size} as int), "
-                         f"cast((offset + bucket_rows - 1) div {size} as int))")).alias("cell"))
+        F.col(BUCKET).alias("hit_bucket"), F.col("_offset").alias("offset"),
+        F.col("_bucket_rows").alias("n_rows"),
+        F.explode(F.expr(f"sequence(cast(_offset div {size} as int), "
+                         f"cast((_offset + _bucket_rows - 1) div {size} as int))")).alias("cell"))
     tasks = task_count(spark, n, len(columns), max(1, 2 * n // goal))
     if sampling == EXACT:
         draws = (cell_counts(spark, seeds, n, k).join(cells, "cell")
@@ -238,7 +243,7 @@ def with_draws(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list
         draws = (numpy_draws(spark, seeds, n, k)
                  .withColumn("cell", F.expr(f"cast(position div {size} as int)"))
                  .join(cells, "cell")
-                 .where("position between offset and offset + bucket_rows - 1")
+                 .where("position between offset and offset + n_rows - 1")
                  .select("hit_bucket", "offset", "seed", "fold", "position"))
         weigh = _position_weights
 
@@ -254,7 +259,7 @@ def with_draws(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list
         return function(rows, weigh(draws, n, k, offset, rows.num_rows))
 
     out_schema = _arrow_schema(schema)
-    return (bucketed.repartition(tasks, "bucket").groupBy("bucket")
+    return (bucketed.repartition(tasks, BUCKET).groupBy(BUCKET)
             .cogroup(draws.repartition(tasks, "hit_bucket").groupBy("hit_bucket"))
             .applyInArrow(apply, schema))
 

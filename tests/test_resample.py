@@ -60,7 +60,7 @@ def test_dense_index_is_the_rank(spark, layout):
 def test_no_bucket_is_overfull(spark, layout):
     df = ids_frame(spark, LAYOUTS[layout])
     buckets = index.bucket_table(index.bucket_rows(df, stats_of(df), 256))
-    assert buckets.agg(F.max("bucket_rows")).first()[0] <= 4 * 256
+    assert buckets.agg(F.max("_bucket_rows")).first()[0] <= 4 * 256
 
 
 @pytest.mark.parametrize("ids", [[1, 2, 2, 3], [5] * 5000 + list(range(10 ** 9, 10 ** 9 + 9))])
