@@ -226,7 +226,8 @@ def with_draws(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list
     `weights` an iterator of (seeds, W[seed, fold, row])."""
     spark, n = df.sparkSession, stats.n
     goal = bucket_goal(spark, n, len(columns), len(seeds) * k)
-    bucketed = bucket_rows(df.select(row_id, *numbered(columns)), stats, goal, row_id)
+    bucketed = bucket_rows(df.select(F.col(row_id).cast("long").alias(row_id),
+                                     *numbered(columns)), stats, goal, row_id)
     buckets = bucket_table(bucketed, row_id)
     size = cell_size(n)
     cells = buckets.select(

@@ -195,18 +195,21 @@ def _from_gram(records, df, features, target, row_id) -> DataFrame:
     def score(batches):
         for batch in batches:
             out = []
-            for r in batch.itertuples(index=False):
-                unknown = [c for c in r.column_names if c not in place]
+            for r in batch.to_pylist():
+                names, b = r["column_names"], np.asarray(r["coef"], dtype=float)
+                unknown = [c for c in names if c not in place]
                 if unknown:
                     raise ValueError(f"the table to score lacks the features {unknown}")
-                at = [0] + [place[c] for c in r.column_names] + [last]
-                b = np.asarray(r.coef, dtype=float)
-                b0 = r.intercept + sum(means[c] * x for c, x in zip(r.column_names, b))
+                at = [0] + [place[c] for c in names] + [last]
+                b0 = r["intercept"] + sum(means[c] * x for c, x in zip(names, b))
                 sse = squared_error(gram[np.ix_(at, at)], b, b0 - means[target])
-                out.append((r.model, r.seed, np.sqrt(sse / n), ratio(sst, sse)))
-            yield pd.DataFrame(out, columns=["model", "seed", "rmse", "r2"])
+                out.append({"model": r["model"], "seed": r["seed"],
+                            "rmse": float(np.sqrt(sse / n)), "r2": ratio(sst, sse)})
+            yield pa.RecordBatch.from_pylist(out, pa.schema([
+                ("model", pa.string()), ("seed", pa.int64()), ("rmse", pa.float64()),
+                ("r2", pa.float64())]))
 
-    return records.select("model", "seed", "intercept", "coef", "column_names").mapInPandas(
+    return records.select("model", "seed", "intercept", "coef", "column_names").mapInArrow(
         score, "model string, seed long, rmse double, r2 double")
 
 

@@ -16,8 +16,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, types as T
+import pyarrow as pa
+from pyspark.sql import DataFrame
 
 from .moments import unpack
 
@@ -37,23 +37,16 @@ CONSTANT = 1e-12
 RANK = 1e-11
 SWEEPS = 20000
 
-SOLVED = T.StructType([
-    T.StructField("model", T.StringType()),
-    T.StructField("seed", T.LongType()),
-    T.StructField("alpha", T.DoubleType()),
-    T.StructField("mse_min", T.DoubleType()),
-    T.StructField("r2", T.DoubleType()),
-    T.StructField("coef", T.ArrayType(T.DoubleType())),
-    T.StructField("intercept", T.DoubleType()),
-    T.StructField("column_names", T.ArrayType(T.StringType())),
-    T.StructField("n", T.DoubleType()),
-    T.StructField("path", T.ArrayType(T.StructType([
-        T.StructField("alpha", T.DoubleType()),
-        T.StructField("fold", T.IntegerType()),
-        T.StructField("mse", T.DoubleType()),
-        T.StructField("r2", T.DoubleType()),
-    ]))),
-])
+SOLVED = """model string, seed long, alpha double, mse_min double, r2 double,
+    coef array<double>, intercept double, column_names array<string>, n double,
+    path array<struct<alpha: double, fold: int, mse: double, r2: double>>"""
+_CELL = pa.struct([("alpha", pa.float64()), ("fold", pa.int32()), ("mse", pa.float64()),
+                   ("r2", pa.float64())])
+_SOLVED = pa.schema([
+    ("model", pa.string()), ("seed", pa.int64()), ("alpha", pa.float64()),
+    ("mse_min", pa.float64()), ("r2", pa.float64()), ("coef", pa.list_(pa.float64())),
+    ("intercept", pa.float64()), ("column_names", pa.list_(pa.string())), ("n", pa.float64()),
+    ("path", pa.list_(_CELL))])
 
 
 def check_method(method: str) -> None:
@@ -238,22 +231,21 @@ def solve_replicates(moments: DataFrame, columns: list[str], centres: list[float
     place = {c: i for i, c in enumerate(columns, start=1)}
     centre = dict(zip(columns, centres))
 
-    def solve(key, block):
+    def solve(key, table):
+        block = table.to_pandas()
         folds = np.stack([unpack(part, q) for _, part in block.groupby("fold", sort=True)])
         out = []
         for name, (method, features, alphas) in models.items():
             at = [0] + [place[f] for f in features] + [q - 1]
             got = solve_one(method, folds[:, at][:, :, at], alphas)
             shift = centre[columns[-1]] - sum(centre[f] * b for f, b in zip(features, got["coef"]))
-            out.append((name, key[0], got["alpha"], got["mse_min"], got["r2"],
-                        (got["coef"] + 0.0).tolist(), float(got["intercept"] + shift),
-                        list(features), got["n"],
-                        [dict(zip(("alpha", "fold", "mse", "r2"), c)) for c in got["path"]]))
-        frame = pd.DataFrame(out, columns=SOLVED.fieldNames())
-        for c in ("alpha", "mse_min"):
-            frame[c] = frame[c].astype(object).where(frame[c].notna(), None)
-        return frame
+            out.append({
+                "model": name, "seed": key[0].as_py(), "alpha": got["alpha"],
+                "mse_min": got["mse_min"], "r2": got["r2"], "coef": got["coef"] + 0.0,
+                "intercept": float(got["intercept"] + shift), "column_names": features,
+                "n": got["n"], "path": [dict(zip(_CELL.names, c)) for c in got["path"]]})
+        return pa.Table.from_pylist(out, _SOLVED)
 
     # A stated number of tasks: by size alone the tiny moment table would end in one task.
     tasks = max(1, min(n_seeds, 2 * moments.sparkSession.sparkContext.defaultParallelism))
-    return moments.repartition(tasks, "seed").groupBy("seed").applyInPandas(solve, SOLVED)
+    return moments.repartition(tasks, "seed").groupBy("seed").applyInArrow(solve, SOLVED)

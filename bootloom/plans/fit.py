@@ -65,7 +65,7 @@ def prepare(df: DataFrame, target: str, models: dict[str, Model] | None = None,
         resolved[name] = (model.method, features, tuple(alphas))
     used = [f for f in every if any(f in m[1] for m in resolved.values())]
     columns = used + [target]
-    rows = split_rows(df.select(row_id, *[F.col(f"`{c}`") for c in columns],
+    rows = split_rows(df.select(F.col(row_id).cast("long").alias(row_id), *[F.col(f"`{c}`") for c in columns],
                                 *[c for c in (TEST_COLUMN,) if c in df.columns]), split)
     stats = frame_stats(rows, columns, row_id)
     return Prepared(rows, stats, columns, resolved,

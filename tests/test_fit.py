@@ -199,3 +199,10 @@ def test_wide_fits_agree_with_the_moments(spark, orders, method, alphas, rtol):
     assert np.isclose(got["r2"], want["r2"], rtol=1e-5)
     if method != "linear":
         assert np.isclose(got["mse_min"], want["mse_min"], rtol=1e-4)
+
+
+def test_constant_target_has_no_r2(spark):
+    df = spark.createDataFrame([(i, float(i % 5), 4.0) for i in range(30)],
+                               "row_id long, a double, y double")
+    record = fit_bootstrap(df, "y", {"m": Model("linear")}, n_boot=1).first()
+    assert record["coef"] == [0.0] and record["intercept"] == 4.0 and np.isnan(record["r2"])
