@@ -14,6 +14,7 @@ import oracles as o  # noqa: E402
 from bootloom import split_rows  # noqa: E402
 from bootloom.functions.hashing import POISSON_1_CDF  # noqa: E402
 from bootloom.functions.scratch import scratch_path  # noqa: E402
+from bootloom.functions.ship import ship_package  # noqa: E402
 from bootloom.operators import moments as mom, resample as rs, score, summary  # noqa: E402
 from bootloom.operators.index import dense_index as add_position  # noqa: E402
 from bootloom.plans import fit, tables  # noqa: E402
@@ -296,8 +297,16 @@ def feature_match(spark, d):
     return summary.feature_match(_rounded(_freq(spark, d), p_nonzero=9), "iz").drop("is_intercept")
 
 
+def _shipped(query):
+    """The executors get the package with the first query that runs in an application."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    named = {
         "load_align": load_align,
         "split_train": split_query("train"),
         "split_test": split_query("test"),
@@ -338,11 +347,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "feature_subset": feature_subset,
         "feature_match": feature_match,
     }
+    return {name: _shipped(query) for name, query in named.items()}
 
 
 def entry(spark: SparkSession) -> DataFrame:
     """Lasso with cross-validated penalty on 20 resamples of the training orders, scored on the
     test orders: mean, standard error and 95% interval of RMSE and R^2."""
+    ship_package(spark)
     orders = _orders(spark, "/root/testdata/sf0.001")
     records = fit.fit_bootstrap(orders, "y", {"full": LASSO}, n_boot=20)
     return summary.ci_summary(score.metric_dist(records, split_rows(orders, "test"), "y"))

@@ -209,7 +209,7 @@ def bucket_goal(spark: SparkSession, n: int, columns: int, blocks: int) -> int:
     """Wanted rows per bucket: a few MB, more where the output of a bucket (`blocks` Gram
     matrices) would otherwise outweigh its rows, less where cores would go idle."""
     width = 8 * (columns + 2)
-    goal = max((4 << 20) // width, min(blocks * (columns + 3) // 2, (64 << 20) // width))
+    goal = max((4 << 20) // width, min(2 * blocks * (columns + 3), (64 << 20) // width))
     idle = n // (3 * spark.sparkContext.defaultParallelism)
     return max(min(goal, idle), 2 * MIN_CELL)
 

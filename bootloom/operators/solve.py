@@ -36,6 +36,8 @@ CONSTANT = 1e-12
 # Eigenvalues of the correlation matrix below this share of the largest count as zero.
 RANK = 1e-11
 SWEEPS = 20000
+# Where the active set cannot be solved, the duality gap to reach, as a share of y'y.
+GAP = 1e-12
 
 SOLVED = """model string, seed long, alpha double, mse_min double, r2 double,
     coef array<double>, intercept double, column_names array<string>, n double,
@@ -124,17 +126,20 @@ def fit_ridge(block: Block, alpha: float) -> np.ndarray:
 
 
 def fit_lasso(block: Block, alpha: float, start: np.ndarray | None = None) -> np.ndarray:
-    """Coordinate descent on the Gram matrix, finished by solving the active set exactly."""
+    """Coordinate descent on the Gram matrix, finished by solving the active set exactly.
+
+    Where collinear features leave no unique active set, the duality gap decides instead.
+    """
     xx, xy, limit = block.xx, block.xy, alpha * block.n
     size = np.diag(xx)
     live = np.flatnonzero(block.live)
     b = np.zeros(len(xy)) if start is None else np.where(block.live, start, 0.0)
     left = xy - xx @ b
-    scale = np.sqrt(max(block.yy, 0.0)) + 1e-300
-    candidates = live
+    every = True
     for sweep in range(SWEEPS):
         step = 0.0
-        for j in candidates:
+        # Most sweeps go over the active features only; the others are checked now and then.
+        for j in live if every else live[b[live] != 0]:
             old = b[j]
             rho = left[j] + size[j] * old
             new = 0.0
@@ -145,19 +150,27 @@ def fit_lasso(block: Block, alpha: float, start: np.ndarray | None = None) -> np
             if new != old:
                 left -= xx[j] * (new - old)
                 b[j] = new
-                step = max(step, abs(new - old) * np.sqrt(size[j]))
-        settled = step <= 1e-13 * scale
+                step = max(step, (new - old) ** 2 * size[j])
+        settled = step <= 1e-26 * block.yy
         if settled or sweep % 10 == 9:
             exact = _active_set(block, limit, b)
             if exact is not None:
                 return exact
-            if settled and candidates is live:
+            if _gap(block, limit, b, left) <= GAP * block.yy or (settled and every):
                 break
-        # Most sweeps go over the active features only; a full one checks the others.
-        candidates = live if settled or sweep % 10 == 9 else live[b[live] != 0]
+        every = settled or sweep % 10 == 9
     return b + 0.0
 
 
+def _gap(block: Block, limit: float, b: np.ndarray, left: np.ndarray) -> float:
+    """Duality gap of a lasso solution, times n; `left` is X'(y - Xb)."""
+    residual = max(block.yy - b @ (block.xy + left), 0.0)
+    along = block.yy - b @ block.xy
+    steepest = np.abs(left).max(initial=0.0)
+    scale = 1.0 if steepest <= limit else limit / steepest
+    return (residual * (1 + scale ** 2) / 2 + limit * np.abs(b).sum() - scale * along)
+
+
 def _active_set(block: Block, limit: float, b: np.ndarray) -> np.ndarray | None:
     """The exact solution with the signs of `b`, or None if those signs are not optimal."""
     active = np.flatnonzero(b)
@@ -177,23 +190,24 @@ def _active_set(block: Block, limit: float, b: np.ndarray) -> np.ndarray | None:
     return out if np.all(slack <= allowed) else None
 
 
-def fit(method: str, block: Block, alpha: float | None) -> np.ndarray:
+def fit(method: str, block: Block, alpha: float | None,
+        start: np.ndarray | None = None) -> np.ndarray:
     if method == LINEAR:
         return fit_linear(block)
-    return fit_ridge(block, alpha) if method == RIDGE else fit_lasso(block, alpha)
+    return fit_ridge(block, alpha) if method == RIDGE else fit_lasso(block, alpha, start)
 
 
 def cross_validate(method: str, folds: np.ndarray, alphas) -> list[tuple]:
     """(alpha, fold, mse, r2) for every penalty and held-out fold."""
     total, cells = folds.sum(axis=0), []
     for f, held_out in enumerate(folds):
-        train = Block.of(total - held_out)
+        train, b = Block.of(total - held_out), None
         test_n, test_total = held_out[0, 0], held_out[0, -1]
         if test_n <= 0:
             raise ValueError("a cross-validation fold has no rows")
         sst = held_out[-1, -1] - test_total ** 2 / test_n
-        for alpha in alphas:
-            b = fit(method, train, alpha)
+        for alpha in sorted(alphas, reverse=True):  # each starts from the sparser one before
+            b = fit(method, train, alpha, b)
             sse = squared_error(held_out, b, train.intercept(b))
             cells.append((float(alpha), f, sse / test_n,
                           ratio(sst if sst > CONSTANT * held_out[-1, -1] else 0.0, sse)))

@@ -65,3 +65,10 @@ def events_null(spark: SparkSession, sf_dir: str, event_types: list[str]) -> Dat
         *[(F.col("event_type") == e).cast("double").alias(f"event_type_{e}") for e in event_types],
         F.hour("ts").cast("double").alias("hour"),
         F.col("value").cast("double").alias("y"))
+
+
+def orders_expanded(spark: SparkSession, sf_dir: str, m: int) -> DataFrame:
+    """`orders_reg` with m features: the three it has and waves over a mix of them."""
+    mix = F.col("qty") + 1.618 * F.col("lines") + 31.4 * F.col("disc")
+    return orders_reg(spark, sf_dir).select(
+        "*", *[F.cos(mix * (0.137 * (i + 1))).alias(f"wave_{i}") for i in range(m - 3)])

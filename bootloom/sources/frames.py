@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Names under which a saved row index appears in a feature or target file
 # (a blank CSV header reads as `_c0`).
 INDEX_NAMES = ("_c0", "Unnamed: 0", "index")
 TEST_COLUMN = "test_set"
+# Spark compiles aggregations of up to 100 fields; an average takes two.
+CODEGEN_COLUMNS = 40
 ROW_ID = "row_id"
 
 
@@ -105,17 +109,64 @@ class FrameStats:
 
 def frame_stats(df: DataFrame, columns: list[str], row_id: str = ROW_ID) -> FrameStats:
     """Count, id range and means; missing values are an error, as in any least-squares fit."""
-    missing = F.lit(False)
-    for c in columns:
-        missing = missing | F.col(f"`{c}`").isNull() | F.isnan(as_double(c))
-    row = df.agg(
-        F.count("*").alias("n"), F.min(row_id).alias("lo"), F.max(row_id).alias("hi"),
-        F.count(row_id).alias("ids"), F.count_if(missing).alias("missing"),
-        *[F.avg(as_double(c)).alias(f"mean_{i}") for i, c in enumerate(columns)]).first()
-    if row["missing"] or row["ids"] != row["n"]:
-        raise ValueError(f"{row['missing']} rows have a missing feature or target value and "
-                         f"{row['n'] - row['ids']} have no {row_id}")
-    if row["n"] == 0:
+    ids = df[row_id].cast("long") if row_id in df.columns else F.lit(0).cast("long")
+    values = [as_double(c) for c in columns]
+    # A sum is NULL or NaN exactly when one of its terms is (or terms are infinite).
+    missing = _sum_of(values).isNull() | F.isnan(_sum_of(values)) if values else F.lit(False)
+    if len(columns) <= CODEGEN_COLUMNS:
+        row = df.agg(
+            F.count("*").alias("n"), F.min(ids).alias("lo"), F.max(ids).alias("hi"),
+            F.count(ids).alias("ids"), F.count_if(missing).alias("missing"),
+            *[F.avg(v).alias(f"mean_{i}") for i, v in enumerate(values)]).first()
+        n, lo, hi, known, bad = row["n"], row["lo"], row["hi"], row["ids"], row["missing"]
+        means = [row[f"mean_{i}"] for i in range(len(columns))]
+    else:
+        n, lo, hi, known, bad, means = _wide_stats(df, values, ids)
+    if bad or known != n:
+        raise ValueError(f"{bad} rows have a missing feature or target value and "
+                         f"{n - known} have no {row_id}")
+    if n == 0:
         raise ValueError("no rows to fit or score")
-    return FrameStats(row["n"], int(row["lo"]), int(row["hi"]),
-                      {c: row[f"mean_{i}"] for i, c in enumerate(columns)})
+    return FrameStats(n, int(lo), int(hi), dict(zip(columns, means)))
+
+
+def _sum_of(terms: list[Column]) -> Column:
+    """Sum as a balanced tree, so that thousands of terms do not nest thousands deep."""
+    while len(terms) > 1:
+        terms = [terms[i] + terms[i + 1] if i + 1 < len(terms) else terms[i]
+                 for i in range(0, len(terms), 2)]
+    return terms[0]
+
+
+def _wide_stats(df: DataFrame, values: list[Column], ids: Column):
+    """The same for many columns: too many aggregates for compiled code in one row, so each
+    task sums its batches as arrays and hands on one row per column."""
+    m = len(values)
+
+    def reduce(batches):
+        total, n, known, bad, lo, hi = np.zeros(m), 0, 0, 0, None, None
+        for batch in batches:
+            x = np.column_stack([batch.column(f"c{j}").to_numpy(zero_copy_only=False)
+                                 for j in range(m)])
+            id_column = batch.column("id").drop_null().to_numpy()
+            total += x.sum(axis=0)
+            n, known = n + len(x), known + len(id_column)
+            bad += int(np.isnan(x.sum(axis=1)).sum())
+            if len(id_column):
+                lo = min(int(id_column.min()), lo if lo is not None else int(id_column.min()))
+                hi = max(int(id_column.max()), hi if hi is not None else int(id_column.max()))
+        yield pa.RecordBatch.from_pydict({
+            "j": np.arange(m, dtype=np.int32), "s": total, "n": np.full(m, n),
+            "ids": np.full(m, known), "missing": np.full(m, bad),
+            "lo": pa.array([lo] * m, pa.int64()), "hi": pa.array([hi] * m, pa.int64())})
+
+    parts = df.select(ids.alias("id"), *[v.alias(f"c{j}") for j, v in enumerate(values)]).mapInArrow(
+        reduce, "j int, s double, n long, ids long, missing long, lo long, hi long")
+    rows = parts.groupBy("j").agg(
+        *[F.sum(c).alias(c) for c in ("s", "n", "ids", "missing")],
+        F.min("lo").alias("lo"), F.max("hi").alias("hi")).orderBy("j").collect()
+    if not rows:
+        return 0, None, None, 0, 0, [0.0] * m
+    first = rows[0]
+    return (first["n"], first["lo"], first["hi"], first["ids"], first["missing"],
+            [r["s"] / max(first["n"], 1) for r in rows])

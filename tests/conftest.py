@@ -20,6 +20,8 @@ def spark(tmp_path_factory):
                .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("scratch")))
                .getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
+    from bootloom.functions.ship import ship_package
+    ship_package(session)
     yield session
     session.stop()
 
