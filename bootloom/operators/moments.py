@@ -15,8 +15,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ..sources.frames import ROW_ID, FrameStats
-from .resample import POISSON, numbered, poisson_array_weights, with_draws
+from ..sources.frames import ROW_ID, FrameStats, packed, unpacked
+from .resample import POISSON, poisson_array_weights, with_draws
 
 BLOCK = 64
 # Up to this many columns the products z_i z_j are laid out once and all weights are applied
@@ -37,13 +37,9 @@ def _schema(columns: int) -> str:
         f"g{b} double" for b in range(block_width(columns)))
 
 
-def design(batch, centres: list[float]) -> np.ndarray:
-    """(rows x (1 + columns)) array: ones, then the columns c0, c1, ... about their centres."""
-    z = np.empty((batch.num_rows, len(centres) + 1))
-    z[:, 0] = 1.0
-    for j, centre in enumerate(centres):
-        z[:, j + 1] = np.asarray(batch.column(f"c{j}")) - centre
-    return z
+def design(x: np.ndarray, centres: list[float]) -> np.ndarray:
+    """(rows x (1 + columns)) array: ones, then each column about its centre."""
+    return np.column_stack([np.ones(len(x)), x - np.asarray(centres)])
 
 
 class _Grams:
@@ -119,11 +115,11 @@ def moments(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list[in
 
 def _drawn_partials(df, stats, columns, centres, seeds, k, sampling, row_id) -> DataFrame:
     """Partial Gram matrices per bucket of rows."""
-    def reduce(rows: pa.Table, weights) -> pa.Table:
-        grams = _Grams(design(rows, centres))
+    def reduce(ids, x, weights) -> pa.Table:
+        grams = _Grams(design(x, centres))
         parts = []
         for chunk, w in weights:
-            g = grams.under(w.reshape(-1, rows.num_rows))
+            g = grams.under(w.reshape(-1, len(ids)))
             parts.append(_long(chunk, g.reshape(len(chunk), k, grams.q, grams.q)))
         return pa.concat_tables(parts)
 
@@ -139,7 +135,7 @@ def _poisson_partials(df, columns, centres, seeds, k, row_id) -> DataFrame:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            grams = _Grams(design(batch, centres))
+            grams = _Grams(design(unpacked(batch, len(columns)), centres))
             ids = batch.column(row_id).to_numpy()
             done = 0
             for chunk, w in poisson_array_weights(ids, seeds, k):
@@ -148,7 +144,7 @@ def _poisson_partials(df, columns, centres, seeds, k, row_id) -> DataFrame:
                 done += len(chunk)
         yield from _long(seeds, total).to_batches(max_chunksize=1 << 14)
 
-    return df.select(row_id, *numbered(columns)).mapInArrow(reduce, _schema(len(columns)))
+    return df.select(F.col(row_id).cast("long").alias(row_id), *packed(columns)).mapInArrow(reduce, _schema(len(columns)))
 
 
 def plain_moments(df: DataFrame, columns: list[str], centres: list[float]) -> np.ndarray:
@@ -160,12 +156,12 @@ def plain_moments(df: DataFrame, columns: list[str], centres: list[float]) -> np
     def reduce(batches):
         total = np.zeros((1, 1, q, q))
         for batch in batches:
-            z = design(batch, centres)
+            z = design(unpacked(batch, len(columns)), centres)
             total[0, 0] += z.T @ z
         yield from _long(np.zeros(1), total).to_batches(max_chunksize=1 << 14)
 
     width = block_width(len(columns))
-    table = df.select(*numbered(columns)).mapInArrow(reduce, schema).groupBy("i", "j0").agg(
+    table = df.select(*packed(columns)).mapInArrow(reduce, schema).groupBy("i", "j0").agg(
         *[F.sum(f"g{b}").alias(f"g{b}") for b in range(width)]).toPandas()
     return unpack(table, q)
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import hashing
-from ..sources.frames import ROW_ID, FrameStats
+from ..sources.frames import ROW_ID, FrameStats, packed, unpacked
 from .index import BUCKET, bucket_rows, bucket_table
 
 EXACT, POISSON, NUMPY = "exact", "poisson", "numpy"
@@ -214,20 +214,15 @@ def bucket_goal(spark: SparkSession, n: int, columns: int, blocks: int) -> int:
     return max(min(goal, idle), 2 * MIN_CELL)
 
 
-def numbered(columns: list[str]) -> list[Column]:
-    """The columns as doubles named c0, c1, ..., whatever they are called."""
-    return [F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)]
-
-
 def with_draws(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list[int], k: int,
                sampling: str, function, schema: str, row_id: str = ROW_ID) -> DataFrame:
     """Bring the rows of each bucket and the draws that hit it together, and apply
-    ``function(rows, weights)`` to both: `rows` is an Arrow table in position order,
-    `weights` an iterator of (seeds, W[seed, fold, row])."""
+    ``function(ids, x, weights)`` to both: the ids and columns of the rows in position order
+    and an iterator of (seeds, W[seed, fold, row])."""
     spark, n = df.sparkSession, stats.n
     goal = bucket_goal(spark, n, len(columns), len(seeds) * k)
     bucketed = bucket_rows(df.select(F.col(row_id).cast("long").alias(row_id),
-                                     *numbered(columns)), stats, goal, row_id)
+                                     *packed(columns)), stats, goal, row_id)
     buckets = bucket_table(bucketed, row_id)
     size = cell_size(n)
     cells = buckets.select(
@@ -255,9 +250,9 @@ def with_draws(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list
         order = np.argsort(ids)
         if not np.all(np.diff(ids[order])):
             raise ValueError(f"{row_id} is not unique")
-        rows = rows.take(order)
+        x = unpacked(rows, len(columns))[order] if columns else None
         offset = draws["offset"][0].as_py()
-        return function(rows, weigh(draws, n, k, offset, rows.num_rows))
+        return function(ids[order], x, weigh(draws, n, k, offset, len(ids)))
 
     out_schema = _arrow_schema(schema)
     return (bucketed.repartition(tasks, BUCKET).groupBy(BUCKET)
@@ -278,8 +273,8 @@ def resample_weights(df: DataFrame, stats: FrameStats, seeds: list[int], k: int
         return poisson_weights(df, seeds, k, row_id)
     schema = f"seed long, {row_id} long, fold int, w int"
 
-    def emit(rows: pa.Table, weights) -> pa.Table:
-        ids, parts = rows[row_id].to_numpy(), []
+    def emit(ids, x, weights) -> pa.Table:
+        parts = []
         for chunk, w in weights:
             s, f, r = np.nonzero(w)
             parts.append(pa.table([chunk[s], ids[r], f.astype(np.int32),

@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType, NumericType
 
 from ..functions.scratch import scratch_path
-from ..sources.frames import ROW_ID, feature_names, frame_stats
+from ..sources.frames import (ROW_ID, as_double, feature_names, frame_stats, packed,
+                              unpacked)
 from .moments import plain_moments
 from .solve import CONSTANT, ratio, squared_error
 
@@ -93,15 +94,6 @@ def _need(df: DataFrame, features: list[str]) -> None:
         raise ValueError(f"the table to score lacks the features {missing}")
 
 
-def _doubles(df: DataFrame, names: list[str], *keep: str) -> DataFrame:
-    return df.select(*keep, *[F.col(f"`{c}`").cast("double").alias(c) for c in names])
-
-
-def _matrix(batch: pa.RecordBatch, names: list[str]) -> np.ndarray:
-    return np.column_stack([batch.column(c).to_numpy(zero_copy_only=False).astype(float)
-                            for c in names])
-
-
 def _row_slices(rows: int, per_row: int) -> Iterator[slice]:
     step = max(1, VALUES_AT_ONCE // max(per_row, 1))
     for lo in range(0, rows, step):
@@ -120,7 +112,7 @@ def predict(records: DataFrame, df: DataFrame, features: list[str] | None = None
     out = None
     for r in replicates(records, features):
         _need(df, r.features)
-        part = _doubles(df, r.features + [target] if target else r.features, row_id).mapInArrow(
+        part = df.select(row_id, *packed(r.features), *([as_double(target).alias(target)] if target else [])).mapInArrow(
             _predictor(r, row_id, target), schema)
         out = part if out is None else out.unionByName(part)
     if out is None:
@@ -133,7 +125,7 @@ def _predictor(r: Replicates, row_id: str, target: str | None):
         for whole in batches:
             for rows in _row_slices(whole.num_rows, len(r.seeds)):
                 batch = whole.slice(rows.start, rows.stop - rows.start)
-                p = _matrix(batch, r.features) @ r.coef.T + r.intercept
+                p = unpacked(batch, len(r.features)) @ r.coef.T + r.intercept
                 n, b = p.shape
                 data = {"model": pa.array([r.model], pa.string()).take(
                             pa.array(np.zeros(n * b, dtype=np.int32))),
@@ -222,7 +214,7 @@ def _from_rows(df, parts, target, stats) -> DataFrame:
                 for rows in _row_slices(whole.num_rows, len(r.seeds)):
                     batch = whole.slice(rows.start, rows.stop - rows.start)
                     y = batch.column(target).to_numpy(zero_copy_only=False)
-                    p = _matrix(batch, r.features) @ r.coef.T + r.intercept
+                    p = unpacked(batch, len(r.features)) @ r.coef.T + r.intercept
                     sse += ((y[:, None] - p) ** 2).sum(axis=0)
                     sst += ((y - centre) ** 2).sum()
                     n += len(y)
@@ -231,7 +223,7 @@ def _from_rows(df, parts, target, stats) -> DataFrame:
                 "model": pa.array([r.model] * b, pa.string()), "seed": r.seeds, "sse": sse,
                 "sst": np.full(b, sst), "n": np.full(b, n)})
 
-        part = _doubles(df, r.features + [target]).mapInArrow(
+        part = df.select(*packed(r.features), as_double(target).alias(target)).mapInArrow(
             sums, "model string, seed long, sse double, sst double, n long")
         out = part if out is None else out.unionByName(part)
     total = out.groupBy("model", "seed").agg(*[F.sum(c).alias(c) for c in ("sse", "sst", "n")])
@@ -256,14 +248,14 @@ def bagged_predict(records: DataFrame, df: DataFrame, features: list[str] | None
             for whole in batches:
                 for rows in _row_slices(whole.num_rows, len(r.seeds)):
                     batch = whole.slice(rows.start, rows.stop - rows.start)
-                    p = _matrix(batch, r.features) @ r.coef.T + r.intercept
+                    p = unpacked(batch, len(r.features)) @ r.coef.T + r.intercept
                     lower, upper = np.percentile(p, tails, axis=1)
                     yield pa.RecordBatch.from_pydict({
                         "model": pa.array([r.model] * len(p), pa.string()),
                         row_id: batch.column(row_id), "prediction": p.mean(axis=1),
                         "se": p.std(axis=1), "lower": lower, "upper": upper})
 
-        part = _doubles(df, r.features, row_id).mapInArrow(bag, schema)
+        part = df.select(row_id, *packed(r.features)).mapInArrow(bag, schema)
         out = part if out is None else out.unionByName(part)
     if out is None:
         raise ValueError("no records to predict from")

@@ -63,10 +63,11 @@ def prepare(df: DataFrame, target: str, models: dict[str, Model] | None = None,
         if model.method != solve.LINEAR and (not alphas or min(alphas) <= 0):
             raise ValueError(f"model {name!r} needs positive penalties")
         resolved[name] = (model.method, features, tuple(alphas))
-    used = [f for f in every if any(f in m[1] for m in resolved.values())]
-    columns = used + [target]
-    rows = split_rows(df.select(F.col(row_id).cast("long").alias(row_id), *[F.col(f"`{c}`") for c in columns],
-                                *[c for c in (TEST_COLUMN,) if c in df.columns]), split)
+    wanted = {f for m in resolved.values() for f in m[1]}
+    columns = [f for f in every if f in wanted] + [target]
+    marker = [TEST_COLUMN] if TEST_COLUMN in df.columns else []
+    rows = split_rows(df.select(F.col(row_id).cast("long").alias(row_id),
+                                *[f"`{c}`" for c in columns], *marker), split)
     stats = frame_stats(rows, columns, row_id)
     return Prepared(rows, stats, columns, resolved,
                     list(seeds) if seeds is not None else seed_list(seed_start, n_boot),

@@ -91,8 +91,27 @@ def feature_names(df: DataFrame, target: str, row_id: str = ROW_ID) -> list[str]
     return [c for c in df.columns if c not in {row_id, target, TEST_COLUMN}]
 
 
+def double_sql(name: str) -> str:
+    """A column as a double, in SQL: one expression for many columns is one call."""
+    return "CAST(`" + name.replace("`", "``") + "` AS DOUBLE)"
+
+
 def as_double(name: str) -> Column:
-    return F.col(f"`{name}`").cast("double")
+    return F.expr(double_sql(name))
+
+
+def packed(columns: list[str]) -> list[Column]:
+    """The columns as one array of doubles, `x`: one vector to hand to a task instead of
+    many (nothing at all for no columns)."""
+    return [F.expr(f"array({', '.join(map(double_sql, columns))})").alias("x")] if columns else []
+
+
+def unpacked(batch, m: int) -> np.ndarray:
+    """(rows x m) array of the `x` of an Arrow batch or table; missing values are NaN."""
+    x = batch.column("x")
+    if isinstance(x, pa.ChunkedArray):
+        x = x.combine_chunks()
+    return x.flatten().to_numpy(zero_copy_only=False).reshape(-1, m)
 
 
 @dataclass(frozen=True)
@@ -110,10 +129,11 @@ class FrameStats:
 def frame_stats(df: DataFrame, columns: list[str], row_id: str = ROW_ID) -> FrameStats:
     """Count, id range and means; missing values are an error, as in any least-squares fit."""
     ids = df[row_id].cast("long") if row_id in df.columns else F.lit(0).cast("long")
-    values = [as_double(c) for c in columns]
-    # A sum is NULL or NaN exactly when one of its terms is (or terms are infinite).
-    missing = _sum_of(values).isNull() | F.isnan(_sum_of(values)) if values else F.lit(False)
     if len(columns) <= CODEGEN_COLUMNS:
+        values = [as_double(c) for c in columns]
+        # A sum is finite only if every one of its terms is.
+        total = sum(values[1:], values[0]) if values else F.lit(0.0)
+        missing = total.isNull() | F.isnan(total) | (F.abs(total) == float("inf"))
         row = df.agg(
             F.count("*").alias("n"), F.min(ids).alias("lo"), F.max(ids).alias("hi"),
             F.count(ids).alias("ids"), F.count_if(missing).alias("missing"),
@@ -121,37 +141,28 @@ def frame_stats(df: DataFrame, columns: list[str], row_id: str = ROW_ID) -> Fram
         n, lo, hi, known, bad = row["n"], row["lo"], row["hi"], row["ids"], row["missing"]
         means = [row[f"mean_{i}"] for i in range(len(columns))]
     else:
-        n, lo, hi, known, bad, means = _wide_stats(df, values, ids)
+        n, lo, hi, known, bad, means = _wide_stats(df, columns, ids)
     if bad or known != n:
-        raise ValueError(f"{bad} rows have a missing feature or target value and "
+        raise ValueError(f"{bad} rows have a missing or infinite feature or target value and "
                          f"{n - known} have no {row_id}")
     if n == 0:
         raise ValueError("no rows to fit or score")
     return FrameStats(n, int(lo), int(hi), dict(zip(columns, means)))
 
 
-def _sum_of(terms: list[Column]) -> Column:
-    """Sum as a balanced tree, so that thousands of terms do not nest thousands deep."""
-    while len(terms) > 1:
-        terms = [terms[i] + terms[i + 1] if i + 1 < len(terms) else terms[i]
-                 for i in range(0, len(terms), 2)]
-    return terms[0]
-
-
-def _wide_stats(df: DataFrame, values: list[Column], ids: Column):
+def _wide_stats(df: DataFrame, columns: list[str], ids: Column):
     """The same for many columns: too many aggregates for compiled code in one row, so each
     task sums its batches as arrays and hands on one row per column."""
-    m = len(values)
+    m = len(columns)
 
     def reduce(batches):
         total, n, known, bad, lo, hi = np.zeros(m), 0, 0, 0, None, None
         for batch in batches:
-            x = np.column_stack([batch.column(f"c{j}").to_numpy(zero_copy_only=False)
-                                 for j in range(m)])
+            x = unpacked(batch, m)
             id_column = batch.column("id").drop_null().to_numpy()
             total += x.sum(axis=0)
             n, known = n + len(x), known + len(id_column)
-            bad += int(np.isnan(x.sum(axis=1)).sum())
+            bad += int((~np.isfinite(x.sum(axis=1))).sum())
             if len(id_column):
                 lo = min(int(id_column.min()), lo if lo is not None else int(id_column.min()))
                 hi = max(int(id_column.max()), hi if hi is not None else int(id_column.max()))
@@ -160,7 +171,7 @@ def _wide_stats(df: DataFrame, values: list[Column], ids: Column):
             "ids": np.full(m, known), "missing": np.full(m, bad),
             "lo": pa.array([lo] * m, pa.int64()), "hi": pa.array([hi] * m, pa.int64())})
 
-    parts = df.select(ids.alias("id"), *[v.alias(f"c{j}") for j, v in enumerate(values)]).mapInArrow(
+    parts = df.select(ids.alias("id"), *packed(columns)).mapInArrow(
         reduce, "j int, s double, n long, ids long, missing long, lo long, hi long")
     rows = parts.groupBy("j").agg(
         *[F.sum(c).alias(c) for c in ("s", "n", "ids", "missing")],

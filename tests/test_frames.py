@@ -68,13 +68,32 @@ def test_split_without_marker_keeps_all_rows(spark):
     assert frames.split_rows(spark.range(4), "train").count() == 4
 
 
-@pytest.mark.parametrize("bad", [None, float("nan")])
-def test_missing_values_are_rejected(spark, bad):
-    df = spark.createDataFrame([(0, 1.0), (1, bad)], "row_id long, a double")
-    with pytest.raises(ValueError, match="missing"):
+@pytest.mark.parametrize("columns", [1, 60])
+@pytest.mark.parametrize("bad", [None, float("nan"), float("inf")])
+def test_missing_values_are_rejected(spark, bad, columns):
+    names = [f"c{i}" for i in range(columns)]
+    df = spark.createDataFrame([(0, 1.0), (1, bad)], "row_id long, a double").select(
+        "row_id", *[F.col("a").alias(c) for c in names])
+    with pytest.raises(ValueError, match="1 rows have a missing"):
+        frames.frame_stats(df, names)
+
+
+def test_missing_ids_are_rejected(spark):
+    df = spark.createDataFrame([(None, 1.0), (1, 2.0)], "row_id long, a double")
+    with pytest.raises(ValueError, match="1 have no row_id"):
         frames.frame_stats(df, ["a"])
 
 
+def test_wide_statistics_equal_narrow_ones(spark, monkeypatch):
+    df = spark.range(10, 500).select(F.col("id").alias("row_id"), F.sqrt("id").alias("a"),
+                                     (F.col("id") % 7).alias("b"))
+    narrow = frames.frame_stats(df, ["a", "b"])
+    monkeypatch.setattr(frames, "CODEGEN_COLUMNS", 1)
+    wide = frames.frame_stats(df, ["a", "b"])
+    assert (wide.n, wide.min_id, wide.max_id) == (490, 10, 499) == (narrow.n, narrow.min_id, narrow.max_id)
+    assert all(abs(wide.means[c] - narrow.means[c]) < 1e-9 for c in "ab")
+
+
 def test_empty_table_is_rejected(spark):
     with pytest.raises(ValueError, match="no rows"):
         frames.frame_stats(spark.createDataFrame([], "row_id long, a double"), ["a"])
