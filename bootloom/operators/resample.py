@@ -20,7 +20,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions import hashing
 from ..sources.frames import ROW_ID, FrameStats, packed, unpacked
@@ -37,8 +37,8 @@ MAX_CELLS = 1 << 22
 # Draws hashed and counted by one task of step 1 (some seconds of work).
 DRAWS_PER_TASK = 1 << 27
 
-# Weights held at once in a task (seeds x folds x rows of a bucket).
-WEIGHTS_AT_ONCE = 1 << 21
+# Weights laid out at once in a task (seeds x folds x rows): small enough for a core's cache.
+WEIGHTS_AT_ONCE = 1 << 18
 
 
 def seed_list(seed_start: int, n_boot: int) -> list[int]:
@@ -72,77 +72,89 @@ def fold_of(draw: Column, n: int, k: int) -> Column:
 
 # ---------------------------------------------------------------- step 1: draws per cell
 
-def draw_numbers(spark: SparkSession, seeds: list[int], n: int) -> DataFrame:
-    """(seed, draw) for draw = 0..n-1 of every seed, from one flat range."""
-    index = F.expr(f"id div {n}")
+def _seed_at(index: Column, seeds: list[int]) -> Column:
     if seeds == list(range(seeds[0], seeds[0] + len(seeds))):
-        seed = index + F.lit(seeds[0]).cast("long")
-    else:
-        seed = F.element_at(F.array(*[F.lit(s).cast("long") for s in seeds]),
-                            (index + 1).cast("int"))
+        return index + F.lit(seeds[0]).cast("long")
+    return F.element_at(F.array(*[F.lit(s).cast("long") for s in seeds]), (index + 1).cast("int"))
+
+
+def draw_numbers(spark: SparkSession, seeds: list[int], n: int) -> DataFrame:
+    """(nth, seed, draw) for draw = 0..n-1 of every seed, the nth of the list, from one flat
+    range."""
     total = len(seeds) * n
     tasks = max(spark.sparkContext.defaultParallelism, math.ceil(total / DRAWS_PER_TASK))
+    nth = F.expr(f"id div {n}")
     return spark.range(0, total, 1, tasks).select(
-        seed.alias("seed"), (F.col("id") % n).alias("draw"))
+        nth.alias("nth"), _seed_at(nth, seeds).alias("seed"), (F.col("id") % n).alias("draw"))
 
 
 def cell_counts(spark: SparkSession, seeds: list[int], n: int, k: int) -> DataFrame:
-    """(seed, cell, counts): how many draws of each fold fall into each cell."""
-    draws = draw_numbers(spark, seeds, n).select(
-        "seed", fold_of(F.col("draw"), n, k).alias("fold"),
-        # coalesce: `%` and `div` count as nullable, and a null check would hash every draw twice
-        F.expr(f"coalesce(cast((shiftrightunsigned(xxhash64(seed, draw), 1) % {n}) "
-               f"div {cell_size(n)} as int), 0)").alias("cell"))
-    counted = draws.groupBy("seed", "cell").agg(
-        *[F.count_if(F.col("fold") == f).cast("int").alias(f"c{f}") for f in range(k)])
-    return counted.select("seed", "cell", F.array(*[f"c{f}" for f in range(k)]).alias("counts"))
+    """(seed, cell, fold, n_draws): how many draws of each fold fall into each cell.
+
+    Seed, cell and fold are counted as one long, which is what the compiled aggregation is
+    fastest at, and taken apart again afterwards.
+    """
+    size = cell_size(n)
+    blocks = math.ceil(n / size) * k
+    cell = F.expr(f"(shiftrightunsigned(xxhash64(seed, draw), 1) % {n}) div {size}")
+    key = F.col("nth") * blocks + cell * k + fold_of(F.col("draw"), n, k)
+    counted = draw_numbers(spark, seeds, n).groupBy(key.alias("key")).agg(
+        F.count("*").cast("int").alias("n_draws"))
+    # coalesce: `div` and `%` count as nullable, and a null check on a join key would be
+    # pushed down to every draw
+    return counted.select(
+        _seed_at(F.expr(f"key div {blocks}"), seeds).alias("seed"),
+        F.expr(f"coalesce(cast((key % {blocks}) div {k} as int), 0)").alias("cell"),
+        F.expr(f"cast(key % {k} as int)").alias("fold"), "n_draws")
 
 
 # ---------------------------------------------------------------- step 2: draws in a cell
 
 def resample(spark: SparkSession, seeds: list[int], n: int, k: int = 3) -> DataFrame:
-    """Every single draw: (seed, fold, cell, draw_in_cell, position). B * n rows."""
+    """Every single draw: (seed, fold, cell, draw_in_cell, position). B * n rows.
+
+    The draws of a cell are numbered through its folds, so that the resample is the same
+    whatever the number of folds.
+    """
     size = cell_size(n)
-    cells = cell_counts(spark, seeds, n, k).select(
-        "seed", "cell", F.posexplode("counts").alias("fold", "n_draws"),
-        F.expr("transform(sequence(0, size(counts) - 1), "
-               "i -> aggregate(slice(counts, 1, i), 0, (a, c) -> a + c))").alias("first"))
-    draws = (cells.where("n_draws > 0")
-             .select("seed", "cell", "fold",
-                     F.expr("explode(sequence(first[fold], first[fold] + n_draws - 1))")
+    before = Window.partitionBy("seed", "cell").orderBy("fold").rowsBetween(
+        Window.unboundedPreceding, -1)
+    draws = (cell_counts(spark, seeds, n, k)
+             .withColumn("first", F.coalesce(F.sum("n_draws").over(before), F.lit(0)))
+             .select("seed", "fold", F.col("cell").cast("long").alias("cell"),
+                     F.explode(F.sequence("first", F.col("first") + F.col("n_draws") - 1))
                      .alias("draw_in_cell")))
-    place = hashing.nonneg_hash("seed", "cell", "draw_in_cell") \
-        % F.least(F.lit(size), F.lit(n) - F.col("cell").cast("long") * size)
-    return draws.select("seed", "fold", F.col("cell").cast("long").alias("cell"),
-                        F.col("draw_in_cell").cast("long").alias("draw_in_cell"),
-                        (F.col("cell").cast("long") * size + place).alias("position"))
+    first = F.col("cell") * size
+    place = hashing.nonneg_hash("seed", "cell", "draw_in_cell") % F.least(F.lit(size), n - first)
+    return draws.select("*", (first + place).alias("position"))
 
 
 def _cell_weights(draws: pa.Table, n: int, k: int, offset: int, rows: int
                   ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Weights of one bucket's rows, a few seeds at a time: (seeds, W[seed, fold, row])."""
-    seed = draws["seed"].to_numpy()
-    cell = draws["cell"].to_numpy().astype(np.int64)
-    counts = draws["counts"].combine_chunks().flatten().to_numpy().reshape(len(seed), k)
-    order = np.lexsort((cell, seed))
-    seed, cell, counts = seed[order], cell[order], counts[order]
+    seed, fold = draws["seed"].to_numpy(), draws["fold"].to_numpy()
+    cell, count = draws["cell"].to_numpy().astype(np.int64), draws["n_draws"].to_numpy()
+    order = np.lexsort((fold, cell, seed))
+    seed, cell, fold, count = seed[order], cell[order], fold[order], count[order]
     state = hashing.hash_array(cell, hashing.hash_array(seed))
     size = cell_size(n)
     width = np.minimum(size, n - cell * size)
+    # The number of draws before each line, less those before the first line of its cell.
+    before = np.cumsum(count) - count
+    opens = np.append(True, (np.diff(seed) != 0) | (np.diff(cell) != 0))
+    earlier = before - before[opens][np.cumsum(opens) - 1]
 
     seeds, first = np.unique(seed, return_index=True)
     first = np.append(first, len(seed))
     step = max(1, WEIGHTS_AT_ONCE // (k * rows))
     for s in range(0, len(seeds), step):
-        lo, hi = first[s], first[min(s + step, len(seeds))]
-        per_cell = counts[lo:hi].sum(axis=1)
-        ordinal = np.arange(per_cell.sum()) - np.repeat(np.cumsum(per_cell) - per_cell, per_cell)
-        hashes = hashing.hash_array(ordinal, np.repeat(state[lo:hi], per_cell))
-        place = (hashes >> np.uint64(1)).astype(np.int64) % np.repeat(width[lo:hi], per_cell)
-        row = place + np.repeat(cell[lo:hi] * size - offset, per_cell)
-        chunk = seeds[s:s + step]
-        block = np.searchsorted(chunk, seed[lo:hi])[:, None] * k + np.arange(k)
-        block = np.repeat(block.ravel(), counts[lo:hi].ravel())
+        part = slice(first[s], first[min(s + step, len(seeds))])
+        times, chunk = count[part], seeds[s:s + step]
+        ordinal = np.arange(times.sum()) + np.repeat(earlier[part] - (before[part] - before[part][0]), times)
+        hashes = hashing.hash_array(ordinal, np.repeat(state[part], times))
+        place = (hashes >> np.uint64(1)).astype(np.int64) % np.repeat(width[part], times)
+        row = place + np.repeat(cell[part] * size - offset, times)
+        block = np.repeat(np.searchsorted(chunk, seed[part]) * k + fold[part], times)
         inside = (row >= 0) & (row < rows)
         flat = np.bincount(block[inside] * rows + row[inside], minlength=len(chunk) * k * rows)
         yield chunk, flat.reshape(len(chunk), k, rows)
@@ -233,7 +245,7 @@ def with_draws(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list
     tasks = task_count(spark, n, len(columns), max(1, 2 * n // goal))
     if sampling == EXACT:
         draws = (cell_counts(spark, seeds, n, k).join(cells, "cell")
-                 .select("hit_bucket", "offset", "seed", "cell", "counts"))
+                 .select("hit_bucket", "offset", "seed", "cell", "fold", "n_draws"))
         weigh = _cell_weights
     else:
         draws = (numpy_draws(spark, seeds, n, k)
