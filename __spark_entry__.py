@@ -429,8 +429,6 @@ def oracle_sql() -> dict[str, str]:
     poisson.ctes.append("p0 AS (SELECT seed, row_id FROM seeds, train)")
     poisson.ctes += o.hash_step("p1", "p0", "seed, row_id", "seed", "42")
     poisson.ctes += o.hash_step("p2", "p1", "seed, row_id", "row_id", "h")
-    poisson.ctes.append("p3 AS (SELECT seed, row_id, h AS u, h FROM p2)")
-    poisson.ctes += o.hash_step("p4", "p3", "seed, row_id, u", "1", "h")
     cases = " ".join(f"WHEN x < {o.lit(p)} THEN {j}" for j, p in enumerate(POISSON_1_CDF))
     draws = o.Sql().draws()
     weights = o.Sql().weights()
@@ -454,9 +452,9 @@ def oracle_sql() -> dict[str, str]:
         "resample": draws.select("SELECT * FROM draws"),
         "resample_weights": weights.select("SELECT seed, row_id, fold, w FROM w"),
         "poisson_weights": poisson.select(
-            "SELECT seed, row_id, ((h >> 1)::BIGINT % 3)::INTEGER AS fold, w::INTEGER AS w FROM "
+            "SELECT seed, row_id, ((h & 2047)::BIGINT % 3)::INTEGER AS fold, w::INTEGER AS w FROM "
             f"(SELECT *, CASE {cases} ELSE {len(POISSON_1_CDF)} END AS w FROM "
-            f"(SELECT *, (u >> 11)::DOUBLE * {o.lit(2.0 ** -53)} AS x FROM p4)) WHERE w > 0"),
+            f"(SELECT *, (h >> 11)::DOUBLE * {o.lit(2.0 ** -53)} AS x FROM p2)) WHERE w > 0"),
         "moments": mo.select(gram),
         "fit_linear": coefs("linear", "linear"),
         "fit_linear_1d": weights.select(

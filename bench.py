@@ -95,8 +95,8 @@ def main() -> None:
         wide = stored(f"orders_m{m}", tables.orders_expanded(spark, SF_DIR, m))
         models = {"wide": Model("lasso", None, GRID)}
         for sampling in ("exact", "poisson"):
-            timed(f"lasso_cv_{sampling}_m{m}_b5",
-                  lambda: run(fit.fit_bootstrap(wide, "y", models, n_boot=5, sampling=sampling)))
+            timed(f"lasso_cv_{sampling}_m{m}_b20",
+                  lambda: run(fit.fit_bootstrap(wide, "y", models, n_boot=20, sampling=sampling)))
 
     print(json.dumps({"metric": "total_seconds", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times,

@@ -18,6 +18,7 @@ PRIME_3 = np.uint64(0x165667B19E3779F9)
 PRIME_4 = np.uint64(0x85EBCA77C2B2AE63)
 PRIME_5 = np.uint64(0x27D4EB2F165667C5)
 SPARK_SEED = np.uint64(42)
+SPARE_BITS = 2047
 
 # Poisson(1) cumulative probabilities P(X <= j), j = 0, 1, 2, ... up to the
 # last one below 1 in double precision.
@@ -44,6 +45,11 @@ def uniform(*cols) -> Column:
     return F.shiftrightunsigned(_hash(cols), 11) * F.lit(2.0 ** -53)
 
 
+def spare(*cols) -> Column:
+    """The 11 bits of the same hash that `uniform` does not use: 0 .. 2047."""
+    return _hash(cols).bitwiseAND(SPARE_BITS)
+
+
 def poisson_weight(u: Column) -> Column:
     """Poisson(1) variate from a uniform, by the inverse of the distribution function."""
     out = F.when(u < POISSON_1_CDF[0], 0)
@@ -80,5 +86,10 @@ def uniform_array(hashes: np.ndarray) -> np.ndarray:
 
 
 def poisson_array(u: np.ndarray) -> np.ndarray:
-    """Array form of ``poisson_weight``."""
-    return np.searchsorted(POISSON_1_CDF, u, side="right")
+    """Array form of ``poisson_weight``. Few variates are large, so only those are looked up."""
+    w = (u >= POISSON_1_CDF[0]).astype(np.int8)
+    for p in POISSON_1_CDF[1:4]:
+        w += u >= p
+    large = np.nonzero(w == 4)
+    w[large] = np.searchsorted(POISSON_1_CDF, u[large], side="right")
+    return w

@@ -305,7 +305,7 @@ def poisson_weights(df: DataFrame, seeds: list[int], k: int = 3,
     each = df.select(row_id, F.explode(F.array(*[F.lit(s).cast("long") for s in seeds]))
                      .alias("seed"))
     return each.select(
-        "seed", row_id, (hashing.nonneg_hash("seed", row_id, F.lit(1)) % k).cast("int").alias("fold"),
+        "seed", row_id, (hashing.spare("seed", row_id) % k).cast("int").alias("fold"),
         hashing.poisson_weight(hashing.uniform("seed", row_id)).alias("w")).where("w > 0")
 
 
@@ -317,8 +317,8 @@ def poisson_array_weights(ids: np.ndarray, seeds: list[int], k: int
         chunk = np.asarray(seeds[s:s + step], dtype=np.int64)
         state = hashing.hash_array(ids[None, :], hashing.hash_array(chunk)[:, None])
         w = hashing.poisson_array(hashing.uniform_array(state))
-        fold = (hashing.hash_array(1, state) >> np.uint64(1)).astype(np.int64) % k
-        yield chunk, np.where(fold[:, None, :] == np.arange(k)[None, :, None], w[:, None, :], 0)
+        fold = (state & np.uint64(hashing.SPARE_BITS)).astype(np.int16) % k
+        yield chunk, np.stack([np.where(fold == f, w, 0) for f in range(k)], axis=1)
 
 
 def fold_assign(indexed: DataFrame, n: int, k: int = 3) -> DataFrame:

@@ -37,25 +37,26 @@ def read_table(spark: SparkSession, path: str, schema=None, row_id: str = ROW_ID
     return df.select(row_id, *[f"`{c}`" for c in df.columns if c != row_id])
 
 
-def number_rows(df: DataFrame, row_id: str = ROW_ID) -> DataFrame:
-    """Number the rows of a scan 0..n-1 in file order, without moving any row.
+def number_rows(scan: DataFrame, row_id: str = ROW_ID) -> DataFrame:
+    """Number the rows of a file scan 0..n-1 in the order of files and of rows in them,
+    without moving any row.
 
-    The built-in increasing id holds the scan partition and the place within it; the
-    partition offsets come from one small row per partition.
+    The built-in increasing id numbers the rows of each file block without gaps; where a block
+    begins comes from one small row per block.
     """
-    tagged = df.withColumn("_id", F.monotonically_increasing_id())
-    part = F.shiftright("_id", 33)
-    sizes = {r["p"]: r["n"] for r in
-             tagged.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect()}
+    tagged = scan.select("*", F.monotonically_increasing_id().alias("_id"),
+                         F.col("_metadata.file_path").alias("_path"),
+                         F.col("_metadata.file_block_start").alias("_start"))
+    blocks = sorted(tagged.groupBy("_path", "_start").agg(
+        F.min("_id"), F.count("*")).collect())
     offsets, total = [], 0
-    for p in sorted(sizes):
-        offsets.append((p, total))
-        total += sizes[p]
-    table = df.sparkSession.createDataFrame(offsets or [(0, 0)], "_p long, _offset long")
-    return (tagged.withColumn("_p", part)
-            .join(F.broadcast(table), "_p")  # one row per scan partition
-            .withColumn(row_id, F.col("_offset") + F.col("_id").bitwiseAND((1 << 33) - 1))
-            .drop("_p", "_id", "_offset"))
+    for path, start, first, n in blocks:
+        offsets.append((path, start, total - first))
+        total += n
+    table = scan.sparkSession.createDataFrame(offsets, "_path string, _start long, _shift long")
+    return (tagged.join(F.broadcast(table), ["_path", "_start"])  # one row per file block
+            .withColumn(row_id, F.col("_id") + F.col("_shift"))
+            .drop("_path", "_start", "_id", "_shift"))
 
 
 def align(features: DataFrame, target: DataFrame, row_id: str = ROW_ID,

@@ -35,6 +35,14 @@ def test_rows_without_index_are_numbered_in_file_order(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+def test_files_are_numbered_by_name_whatever_their_size(spark, tmp_path):
+    for name, values in (("a", range(3)), ("b", range(3, 900)), ("c", range(900, 950))):
+        (tmp_path / "t.csv").mkdir(exist_ok=True)
+        write(tmp_path / "t.csv" / f"{name}.csv", "v\n" + "\n".join(map(str, values)) + "\n")
+    df = frames.read_table(spark, str(tmp_path / "t.csv"))
+    assert df.where("row_id <> v").count() == 0 and df.count() == 950
+
+
 def test_parquet_is_read_too(spark, tmp_path):
     spark.range(3).select(F.col("id").alias("index"), F.lit(1.0).alias("a")).write.parquet(
         str(tmp_path / "a.parquet"))
