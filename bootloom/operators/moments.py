@@ -6,7 +6,7 @@ minus fold, so all penalties, folds, refits and in-sample scores come from this
 
 The table is long: (seed, fold, i, j0, g0, g1, ...) holds G[i, j0], G[i, j0 + 1], ... in up
 to BLOCK plain double columns, which keeps the partial sums in Spark's hash aggregate for
-models of any width.
+models of any width. Blocks wholly below the diagonal are left out.
 """
 
 from __future__ import annotations
@@ -77,19 +77,19 @@ class _Grams:
 
 
 def _long(seeds: np.ndarray, grams: np.ndarray) -> pa.Table:
-    """(seeds x folds x q x q) -> the long block layout."""
+    """(seeds x folds x q x q) -> the long block layout, without blocks below the diagonal."""
     s, k, q, _ = grams.shape
     width = block_width(q - 1)
     blocks = -(-q // width)
     padded = np.zeros((s, k, q, blocks * width))
     padded[..., :q] = grams
-    cells = padded.reshape(s * k * q * blocks, width)
-    arrays = [np.repeat(np.asarray(seeds, dtype=np.int64), k * q * blocks),
-              np.tile(np.repeat(np.arange(k, dtype=np.int32), q * blocks), s),
-              np.tile(np.repeat(np.arange(q, dtype=np.int32), blocks), s * k),
-              np.tile(np.arange(blocks, dtype=np.int32) * width, s * k * q)]
+    i, j = np.nonzero((np.arange(blocks) + 1) * width > np.arange(q)[:, None])
+    cells = padded.reshape(s, k, q, blocks, width)[:, :, i, j].reshape(-1, width)
+    arrays = [np.repeat(np.asarray(seeds, dtype=np.int64), k * len(i)),
+              np.tile(np.repeat(np.arange(k, dtype=np.int32), len(i)), s),
+              np.tile(i.astype(np.int32), s * k), np.tile((j * width).astype(np.int32), s * k)]
     names = ["seed", "fold", "i", "j0"] + [f"g{b}" for b in range(width)]
-    return pa.table(arrays + [np.ascontiguousarray(cells[:, b]) for b in range(width)], names=names)
+    return pa.table(arrays + list(np.ascontiguousarray(cells.T)), names=names)
 
 
 def moments(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list[int], k: int,
@@ -169,8 +169,8 @@ def plain_moments(df: DataFrame, columns: list[str], centres: list[float]) -> np
 def unpack(block, q: int) -> np.ndarray:
     """Gram matrix from the long layout of one (seed, fold), given as a pandas frame."""
     width = block_width(q - 1)
-    out = np.zeros((q, -(-q // width) * width))
-    values = block[[f"g{b}" for b in range(width)]].to_numpy()
-    for i, j0, row in zip(block["i"].to_numpy(), block["j0"].to_numpy(), values):
-        out[i, j0:j0 + width] = row
-    return out[:, :q]
+    out = np.zeros((q, -(-q // width), width))
+    out[block["i"].to_numpy(), block["j0"].to_numpy() // width] = block[
+        [f"g{b}" for b in range(width)]].to_numpy()
+    upper = np.triu(out.reshape(q, -1)[:, :q])
+    return upper + np.triu(upper, 1).T
