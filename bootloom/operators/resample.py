@@ -34,6 +34,9 @@ SAMPLINGS = (EXACT, POISSON, NUMPY)
 MIN_CELL = 1 << 10
 MAX_CELLS = 1 << 22
 
+# Tasks of one stage at most: map tasks times reduce tasks is what a shuffle has to track.
+MAX_TASKS = 1 << 16
+
 # Draws hashed and counted by one task of step 1 (some seconds of work).
 DRAWS_PER_TASK = 1 << 27
 
@@ -82,7 +85,8 @@ def draw_numbers(spark: SparkSession, seeds: list[int], n: int) -> DataFrame:
     """(nth, seed, draw) for draw = 0..n-1 of every seed, the nth of the list, from one flat
     range."""
     total = len(seeds) * n
-    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(total / DRAWS_PER_TASK))
+    tasks = max(spark.sparkContext.defaultParallelism,
+                min(math.ceil(total / DRAWS_PER_TASK), MAX_TASKS))
     nth = F.expr(f"id div {n}")
     return spark.range(0, total, 1, tasks).select(
         nth.alias("nth"), _seed_at(nth, seeds).alias("seed"), (F.col("id") % n).alias("draw"))
@@ -212,8 +216,10 @@ def numpy_draws(spark: SparkSession, seeds: list[int], n: int, k: int = 3,
 # ---------------------------------------------------------------- draws meet rows
 
 def task_count(spark: SparkSession, n: int, columns: int, buckets: int) -> int:
-    """Shuffle partitions for n rows: about 128 MB each, at least what keeps all cores busy."""
-    by_size = math.ceil(n * (columns + 2) * 8 / (128 << 20))
+    """Shuffle partitions for n rows: about 128 MB each, at least what keeps all cores busy
+    and at most MAX_TASKS. Larger partitions only sort with spills: a task takes up one
+    bucket at a time."""
+    by_size = min(math.ceil(n * (columns + 2) * 8 / (128 << 20)), MAX_TASKS)
     return max(1, min(max(by_size, 3 * spark.sparkContext.defaultParallelism), buckets))
 
 
@@ -301,10 +307,10 @@ def poisson_weights(df: DataFrame, seeds: list[int], k: int = 3,
                     row_id: str = ROW_ID) -> DataFrame:
     """One-pass stand-in for the exact resample: an independent Poisson(1) weight per
     (seed, row), so the size is n only on average and all copies of a row share a fold.
-    Needs no shuffle at all; opt-in."""
-    each = df.select(row_id, F.explode(F.array(*[F.lit(s).cast("long") for s in seeds]))
-                     .alias("seed"))
-    return each.select(
+    Needs no shuffle at all, and so cannot notice repeated ids; opt-in."""
+    each = df.select(row_id, F.explode(F.sequence(F.lit(0).cast("long"),
+                                                  F.lit(len(seeds) - 1).cast("long"))).alias("nth"))
+    return each.select(row_id, _seed_at(F.col("nth"), seeds).alias("seed")).select(
         "seed", row_id, (hashing.spare("seed", row_id) % k).cast("int").alias("fold"),
         hashing.poisson_weight(hashing.uniform("seed", row_id)).alias("w")).where("w > 0")
 

@@ -18,8 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType, NumericType
 
 from ..functions.scratch import scratch_path
-from ..sources.frames import (ROW_ID, as_double, feature_names, frame_stats, packed,
-                              unpacked)
+from ..sources.frames import ROW_ID, feature_names, frame_stats, packed, unpacked
 from .moments import plain_moments
 from .solve import CONSTANT, ratio, squared_error
 
@@ -100,6 +99,36 @@ def _row_slices(rows: int, per_row: int) -> Iterator[slice]:
         yield slice(lo, min(lo + step, rows))
 
 
+def _passes(parts: Iterator[Replicates]) -> Iterator[tuple[list[Replicates], list[str]]]:
+    """Replicates that share a pass over the rows, of whatever models, with the union of
+    their features."""
+    now, size = [], 0
+    for r in parts:
+        if now and size + r.coef.nbytes > SHIPPED_BYTES:
+            yield now, sorted({f for p in now for f in p.features})
+            now, size = [], 0
+        now, size = now + [r], size + r.coef.nbytes
+    if now:
+        yield now, sorted({f for p in now for f in p.features})
+
+
+def _over_rows(parts: Iterator[Replicates], df: DataFrame, keep: list[str], schema: str,
+               make) -> DataFrame:
+    """Apply ``make(passed)(batches)`` to the rows of `df`, once per pass. `passed` lists
+    each replicate block with the places of its features in the `x` of a row."""
+    out = None
+    for now, names in _passes(parts):
+        _need(df, names)
+        place = {c: i for i, c in enumerate(names)}
+        passed = [(r, [place[f] for f in r.features]) for r in now]
+        part = df.select(*[F.col(f"`{c}`") for c in keep], *packed(names)).mapInArrow(
+            make(passed, len(names)), schema)
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        raise ValueError("no records to work with")
+    return out
+
+
 def predict(records: DataFrame, df: DataFrame, features: list[str] | None = None,
             row_id: str = ROW_ID, target: str | None = None) -> DataFrame:
     """(model, row_id, seed, prediction[, target]): every row under every replicate.
@@ -109,32 +138,27 @@ def predict(records: DataFrame, df: DataFrame, features: list[str] | None = None
     """
     carried = f", {target} double" if target else ""
     schema = f"model string, {row_id} long, seed long, prediction double{carried}"
-    out = None
-    for r in replicates(records, features):
-        _need(df, r.features)
-        part = df.select(row_id, *packed(r.features), *([as_double(target).alias(target)] if target else [])).mapInArrow(
-            _predictor(r, row_id, target), schema)
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        raise ValueError("no records to predict from")
-    return out
-
 
-def _predictor(r: Replicates, row_id: str, target: str | None):
-    def run(batches):
-        for whole in batches:
-            for rows in _row_slices(whole.num_rows, len(r.seeds)):
-                batch = whole.slice(rows.start, rows.stop - rows.start)
-                p = unpacked(batch, len(r.features)) @ r.coef.T + r.intercept
-                n, b = p.shape
-                data = {"model": pa.array([r.model], pa.string()).take(
-                            pa.array(np.zeros(n * b, dtype=np.int32))),
-                        row_id: np.repeat(batch.column(row_id).to_numpy(), b),
-                        "seed": np.tile(r.seeds, n), "prediction": p.ravel()}
-                if target:
-                    data[target] = np.repeat(batch.column(target).to_numpy(zero_copy_only=False), b)
-                yield pa.RecordBatch.from_pydict(data)
-    return run
+    def make(passed, m):
+        def run(batches):
+            for whole in batches:
+                x, ids = unpacked(whole, m), whole.column(row_id).to_numpy()
+                y = whole.column(target).to_numpy(zero_copy_only=False) if target else None
+                for r, at in passed:
+                    for rows in _row_slices(len(x), len(r.seeds)):
+                        p = x[rows][:, at] @ r.coef.T + r.intercept
+                        n, b = p.shape
+                        data = {"model": pa.array([r.model], pa.string()).take(
+                                    pa.array(np.zeros(n * b, dtype=np.int32))),
+                                row_id: np.repeat(ids[rows], b),
+                                "seed": np.tile(r.seeds, n), "prediction": p.ravel()}
+                        if target:
+                            data[target] = np.repeat(y[rows].astype(float), b)
+                        yield pa.RecordBatch.from_pydict(data)
+        return run
+
+    return _over_rows(replicates(records, features), _long_id(df, row_id),
+                      [row_id] + ([target] if target else []), schema, make)
 
 
 def prediction_metrics(predictions: DataFrame, target: str) -> DataFrame:
@@ -170,7 +194,7 @@ def metric_dist(records: DataFrame, df: DataFrame, target: str,
         return _from_gram(records, df, sorted(features), target, row_id)
     parts = list(replicates(records))
     if not parts:
-        raise ValueError("no records to score")
+        raise ValueError("no records to work with")
     stats = frame_stats(df, sorted({f for r in parts for f in r.features}) + [target], row_id)
     return _from_rows(df, parts, target, stats)
 
@@ -206,27 +230,29 @@ def _from_gram(records, df, features, target, row_id) -> DataFrame:
 
 
 def _from_rows(df, parts, target, stats) -> DataFrame:
-    centre, out = stats.means[target], None
-    for r in parts:
-        def sums(batches, r=r):
-            sse, sst, n = np.zeros(len(r.seeds)), 0.0, 0
+    centre = stats.means[target]
+
+    def make(passed, m):
+        def sums(batches):
+            sse, sst, n = [np.zeros(len(r.seeds)) for r, _ in passed], 0.0, 0
             for whole in batches:
-                for rows in _row_slices(whole.num_rows, len(r.seeds)):
-                    batch = whole.slice(rows.start, rows.stop - rows.start)
-                    y = batch.column(target).to_numpy(zero_copy_only=False)
-                    p = unpacked(batch, len(r.features)) @ r.coef.T + r.intercept
-                    sse += ((y[:, None] - p) ** 2).sum(axis=0)
-                    sst += ((y - centre) ** 2).sum()
-                    n += len(y)
-            b = len(r.seeds)
-            yield pa.RecordBatch.from_pydict({
-                "model": pa.array([r.model] * b, pa.string()), "seed": r.seeds, "sse": sse,
-                "sst": np.full(b, sst), "n": np.full(b, n)})
-
-        part = df.select(*packed(r.features), as_double(target).alias(target)).mapInArrow(
-            sums, "model string, seed long, sse double, sst double, n long")
-        out = part if out is None else out.unionByName(part)
-    total = out.groupBy("model", "seed").agg(*[F.sum(c).alias(c) for c in ("sse", "sst", "n")])
+                x = unpacked(whole, m)
+                y = whole.column(target).to_numpy(zero_copy_only=False).astype(float)
+                sst, n = sst + ((y - centre) ** 2).sum(), n + len(y)
+                for total, (r, at) in zip(sse, passed):
+                    for rows in _row_slices(len(x), len(r.seeds)):
+                        p = x[rows][:, at] @ r.coef.T + r.intercept
+                        total += ((y[rows, None] - p) ** 2).sum(axis=0)
+            for total, (r, _) in zip(sse, passed):
+                b = len(r.seeds)
+                yield pa.RecordBatch.from_pydict({
+                    "model": pa.array([r.model] * b, pa.string()), "seed": r.seeds, "sse": total,
+                    "sst": np.full(b, sst), "n": np.full(b, n)})
+        return sums
+
+    total = _over_rows(parts, df, [target],
+                       "model string, seed long, sse double, sst double, n long", make) \
+        .groupBy("model", "seed").agg(*[F.sum(c).alias(c) for c in ("sse", "sst", "n")])
     constant = F.when(F.col("sse") == 0, F.lit(float("nan"))).otherwise(F.lit(float("-inf")))
     return total.select("model", "seed", F.sqrt(F.col("sse") / F.col("n")).alias("rmse"),
                         F.when(F.col("sst") == 0, constant)
@@ -240,23 +266,24 @@ def bagged_predict(records: DataFrame, df: DataFrame, features: list[str] | None
     tails = [(100 - level) / 2, 100 - (100 - level) / 2]
     schema = (f"model string, {row_id} long, prediction double, se double, lower double, "
               "upper double")
-    out = None
-    for r in replicates(records, features, whole_models=True):
-        _need(df, r.features)
 
-        def bag(batches, r=r):
+    def make(passed, m):
+        def bag(batches):
             for whole in batches:
-                for rows in _row_slices(whole.num_rows, len(r.seeds)):
-                    batch = whole.slice(rows.start, rows.stop - rows.start)
-                    p = unpacked(batch, len(r.features)) @ r.coef.T + r.intercept
-                    lower, upper = np.percentile(p, tails, axis=1)
-                    yield pa.RecordBatch.from_pydict({
-                        "model": pa.array([r.model] * len(p), pa.string()),
-                        row_id: batch.column(row_id), "prediction": p.mean(axis=1),
-                        "se": p.std(axis=1), "lower": lower, "upper": upper})
-
-        part = df.select(row_id, *packed(r.features)).mapInArrow(bag, schema)
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        raise ValueError("no records to predict from")
-    return out
+                x, ids = unpacked(whole, m), whole.column(row_id).to_numpy()
+                for r, at in passed:
+                    for rows in _row_slices(len(x), len(r.seeds)):
+                        p = x[rows][:, at] @ r.coef.T + r.intercept
+                        lower, upper = np.percentile(p, tails, axis=1)
+                        yield pa.RecordBatch.from_pydict({
+                            "model": pa.array([r.model] * len(p), pa.string()),
+                            row_id: ids[rows], "prediction": p.mean(axis=1),
+                            "se": p.std(axis=1), "lower": lower, "upper": upper})
+        return bag
+
+    return _over_rows(replicates(records, features, whole_models=True), _long_id(df, row_id),
+                      [row_id], schema, make)
+
+
+def _long_id(df: DataFrame, row_id: str) -> DataFrame:
+    return df.withColumn(row_id, F.col(row_id).cast("long"))

@@ -49,6 +49,9 @@ def prepare(df: DataFrame, target: str, models: dict[str, Model] | None = None,
             row_id: str = ROW_ID) -> Prepared:
     if sampling not in SAMPLINGS:
         raise ValueError(f"unknown sampling {sampling!r}: use one of {', '.join(SAMPLINGS)}")
+    seeds = seed_list(seed_start, n_boot) if seeds is None else list(seeds)
+    if not seeds or len(set(seeds)) < len(seeds):
+        raise ValueError("seeds must be given once each")
     every = feature_names(df, target, row_id)
     resolved = {}
     for name, model in (models or {"lasso": Model()}).items():
@@ -69,9 +72,7 @@ def prepare(df: DataFrame, target: str, models: dict[str, Model] | None = None,
     rows = split_rows(df.select(F.col(row_id).cast("long").alias(row_id),
                                 *[f"`{c}`" for c in columns], *marker), split)
     stats = frame_stats(rows, columns, row_id)
-    return Prepared(rows, stats, columns, resolved,
-                    list(seeds) if seeds is not None else seed_list(seed_start, n_boot),
-                    k, sampling, row_id)
+    return Prepared(rows, stats, columns, resolved, seeds, k, sampling, row_id)
 
 
 def fit_bootstrap(df: DataFrame, target: str, models: dict[str, Model] | None = None, *,

@@ -17,13 +17,17 @@ CODEGEN_COLUMNS = 40
 ROW_ID = "row_id"
 
 
-def read_table(spark: SparkSession, path: str, schema=None, row_id: str = ROW_ID) -> DataFrame:
-    """Read a feature or target table from CSV (with header) or Parquet.
+def read_table(spark: SparkSession, path: str, schema=None, row_id: str = ROW_ID,
+               format: str | None = None) -> DataFrame:
+    """Read a feature or target table from CSV (with header) or Parquet, which is told from
+    the end of the path unless `format` says it.
 
     A saved row index becomes ``row_id`` and is never a predictor. Without one, rows are
     numbered in file order, which is how the two files correspond.
     """
-    if path.rstrip("/").endswith(".parquet"):
+    if format not in (None, "csv", "parquet"):
+        raise ValueError(f"format must be csv or parquet, not {format!r}")
+    if format == "parquet" or format is None and path.rstrip("/").endswith(".parquet"):
         df = spark.read.parquet(path)
     else:
         reader = spark.read.option("header", True)
@@ -54,7 +58,7 @@ def number_rows(scan: DataFrame, row_id: str = ROW_ID) -> DataFrame:
         offsets.append((path, start, total - first))
         total += n
     table = scan.sparkSession.createDataFrame(offsets, "_path string, _start long, _shift long")
-    return (tagged.join(F.broadcast(table), ["_path", "_start"])  # one row per file block
+    return (tagged.join(table, ["_path", "_start"])  # one row per file block
             .withColumn(row_id, F.col("_id") + F.col("_shift"))
             .drop("_path", "_start", "_id", "_shift"))
 

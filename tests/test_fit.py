@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from bootloom import Model, fit_bootstrap, prepare
+from bootloom import (Model, ci_summary, coef_table, fit_bootstrap, metric_dist, prepare,
+                      selection_freq, split_rows)
 from bootloom.operators import resample as rs, wide
 from bootloom.operators.solve import DEFAULT_ALPHAS
 from bootloom.plans import fit as plan, tables
@@ -156,6 +157,7 @@ def test_defaults_and_fields_that_do_not_apply(spark, orders):
     (dict(models={"m": Model("lasso", ("nope",))}), "unknown features"),
     (dict(sampling="half"), "unknown sampling"),
     (dict(n_boot=0), "n_boot"),
+    (dict(seeds=[1, 1]), "once"),
     (dict(k=1), "folds"),
     (dict(models={"m": Model("ridge", None, (0.0,))}), "positive"),
 ])
@@ -206,3 +208,23 @@ def test_constant_target_has_no_r2(spark):
                                "row_id long, a double, y double")
     record = fit_bootstrap(df, "y", {"m": Model("linear")}, n_boot=1).first()
     assert record["coef"] == [0.0] and record["intercept"] == 4.0 and np.isnan(record["r2"])
+
+
+def test_noise_is_rarely_selected(spark, sf_dir):
+    """Event type and hour say next to nothing about the value of an event."""
+    df = tables.events_null(spark, sf_dir, ["click", "error", "purchase", "signup", "view"])
+    records = fit_bootstrap(df, "y", {"m": Model("lasso", None, (20.0, 40.0))}, n_boot=20).cache()
+    freq = selection_freq(coef_table(records)).collect()
+    assert len(freq) == 6
+    # One-hot types have a small spread, so only the hour can reach such a penalty by chance.
+    assert all(r["p_nonzero"] == 0 for r in freq if r["feature"] != "hour")
+    assert all(abs(r["r2"]) < 0.05 for r in records.collect())
+
+
+def test_model_list_from_small_to_wide(spark, sf_dir):
+    df = tables.orders_wide(spark, sf_dir)
+    records = fit_bootstrap(df, "y", {**tables.MODELS, "wide": Model("lasso", None, GRID)}, n_boot=3)
+    summary = {r["model"]: r for r in
+               ci_summary(metric_dist(records, split_rows(df, "test"), "y")).collect()}
+    assert summary["reduced"]["r2_mean"] < summary["full"]["r2_mean"] <= summary["wide"]["r2_mean"] + 0.01
+    assert summary["reduced"]["rmse_mean"] > summary["full"]["rmse_mean"]

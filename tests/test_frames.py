@@ -47,6 +47,11 @@ def test_parquet_is_read_too(spark, tmp_path):
     spark.range(3).select(F.col("id").alias("index"), F.lit(1.0).alias("a")).write.parquet(
         str(tmp_path / "a.parquet"))
     assert frames.read_table(spark, str(tmp_path / "a.parquet")).columns == ["row_id", "a"]
+    spark.range(3).select(F.lit(1.0).alias("a")).write.parquet(str(tmp_path / "b"))
+    df = frames.read_table(spark, str(tmp_path / "b"), format="parquet")
+    assert sorted(r["row_id"] for r in df.collect()) == [0, 1, 2]
+    with pytest.raises(ValueError, match="format"):
+        frames.read_table(spark, "x", format="xls")
 
 
 def test_align_joins_one_to_one(spark):

@@ -172,6 +172,11 @@ def test_poisson_weights_array_equals_column(spark, monkeypatch):
     assert abs(sum(g[3] for g in got) / (2 * len(ids)) - 1) < 0.1
 
 
+def test_task_numbers_are_bounded(spark):
+    assert rs.task_count(spark, 10 ** 13, 10, 10 ** 6) == rs.MAX_TASKS
+    assert rs.task_count(spark, 10 ** 4, 3, 5) == 5
+
+
 def test_bucket_size_grows_with_the_data_not_without_bound():
     assert index.rows_per_bucket(10 ** 6, 4096) == 4096
     assert index.rows_per_bucket(10 ** 12, 4096) == -(-10 ** 12 // 2 ** 20)

@@ -33,7 +33,9 @@ def expected(records, test):
 def test_predictions_match_by_name(orders, records):
     test = split_rows(orders, "test")
     local, want = expected(records, test)
-    got = predict(records, test, target="y").toPandas()
+    predictions = predict(records, test, target="y")
+    assert predictions._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    got = predictions.toPandas()
     assert len(got) == 9 * len(local)
     for (m, s), p in want.items():
         part = got[(got["model"] == m) & (got["seed"] == s)].sort_values("row_id")
