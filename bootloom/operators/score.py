@@ -115,7 +115,7 @@ def _passes(parts: Iterator[Replicates]) -> Iterator[tuple[list[Replicates], lis
 def _over_rows(parts: Iterator[Replicates], df: DataFrame, keep: list[str], schema: str,
                make) -> DataFrame:
     """Apply ``make(passed)(batches)`` to the rows of `df`, once per pass. `passed` lists
-    each replicate block with the places of its features in the `x` of a row."""
+    each replicate block with the places of its features in the packed columns of a row."""
     out = None
     for now, names in _passes(parts):
         _need(df, names)
@@ -136,8 +136,8 @@ def predict(records: DataFrame, df: DataFrame, features: list[str] | None = None
     Coefficients and features are matched by name. With `features` given, a record fitted on
     any other set is an error; without, the features of the record must be in the table.
     """
-    carried = f", {target} double" if target else ""
-    schema = f"model string, {row_id} long, seed long, prediction double{carried}"
+    carried = f", `{target}` double" if target else ""
+    schema = f"model string, `{row_id}` long, seed long, prediction double{carried}"
 
     def make(passed, m):
         def run(batches):
@@ -163,9 +163,10 @@ def predict(records: DataFrame, df: DataFrame, features: list[str] | None = None
 
 def prediction_metrics(predictions: DataFrame, target: str) -> DataFrame:
     """(model, seed, rmse, r2) from a table of predictions that carries the target."""
-    error = F.col(target) - F.col("prediction")
+    y = F.col(f"`{target}`")
+    error = y - F.col("prediction")
     sums = predictions.groupBy("model", "seed").agg(
-        F.avg(error * error).alias("mse"), F.var_pop(target).alias("var"))
+        F.avg(error * error).alias("mse"), F.var_pop(y).alias("var"))
     constant = F.when(F.col("mse") == 0, F.lit(float("nan"))).otherwise(F.lit(float("-inf")))
     return sums.select("model", "seed", F.sqrt("mse").alias("rmse"),
                        F.when(F.col("var") == 0, constant)
@@ -264,7 +265,7 @@ def bagged_predict(records: DataFrame, df: DataFrame, features: list[str] | None
     """(model, row_id, prediction, se, lower, upper): the mean over replicates, their
     population standard deviation and percentile interval. No shuffle."""
     tails = [(100 - level) / 2, 100 - (100 - level) / 2]
-    schema = (f"model string, {row_id} long, prediction double, se double, lower double, "
+    schema = (f"model string, `{row_id}` long, prediction double, se double, lower double, "
               "upper double")
 
     def make(passed, m):

@@ -106,14 +106,14 @@ def as_double(name: str) -> Column:
 
 
 def packed(columns: list[str]) -> list[Column]:
-    """The columns as one array of doubles, `x`: one vector to hand to a task instead of
+    """The columns as one array of doubles, `_x`: one vector to hand to a task instead of
     many (nothing at all for no columns)."""
-    return [F.expr(f"array({', '.join(map(double_sql, columns))})").alias("x")] if columns else []
+    return [F.expr(f"array({', '.join(map(double_sql, columns))})").alias("_x")] if columns else []
 
 
 def unpacked(batch, m: int) -> np.ndarray:
-    """(rows x m) array of the `x` of an Arrow batch or table; missing values are NaN."""
-    x = batch.column("x")
+    """(rows x m) array of the `_x` of an Arrow batch or table; missing values are NaN."""
+    x = batch.column("_x")
     if isinstance(x, pa.ChunkedArray):
         x = x.combine_chunks()
     return x.flatten().to_numpy(zero_copy_only=False).reshape(-1, m)

@@ -127,6 +127,16 @@ def test_missing_feature_value_gives_missing_prediction(spark):
     assert np.isnan(got[0]) and got[1] == 3.0
 
 
+def test_odd_names(spark):
+    df = spark.createDataFrame([(0, 5.0, 10.0), (1, 7.0, 14.5)], "id long, `a.b` double, `my x` double")
+    records = make_records(spark, [("m", 0, 0.0, {"a.b": 2.0})])
+    got = predict(records, df, row_id="id", target="my x")
+    assert got.columns == ["model", "id", "seed", "prediction", "my x"]
+    for m in (score.prediction_metrics(got, "my x"), metric_dist(records, df, "my x", row_id="id"),
+              metric_dist(records, df, "my x", row_id="id", via="rows")):
+        assert np.isclose(m.first()["rmse"], np.sqrt(0.125))
+
+
 def test_no_records(spark, orders):
     with pytest.raises(ValueError, match="no records"):
         predict(make_records(spark, []), orders)
