@@ -31,14 +31,17 @@ SAMPLINGS = (EXACT, POISSON, NUMPY)
 
 # Smallest cell and the number of cells at most. The cell size depends on n
 # alone, so equal seeds and equal n give equal resamples for every model and cluster.
-MIN_CELL = 1 << 10
-MAX_CELLS = 1 << 22
+MIN_CELL = 1 << 12
+MAX_CELLS = 1 << 21
 
 # Tasks of one stage at most: map tasks times reduce tasks is what a shuffle has to track.
 MAX_TASKS = 1 << 16
 
-# Draws hashed and counted by one task of step 1 (some seconds of work).
+# Draws hashed and counted by one task of step 1 (some seconds of work), and the groups it
+# counts into: Spark's compiled aggregation keeps the first 2^16 in a map of its own, which
+# is several times faster than the general one.
 DRAWS_PER_TASK = 1 << 27
+GROUPS_PER_TASK = 50_000
 
 # Weights laid out at once in a task (seeds x folds x rows): small enough for a core's cache.
 WEIGHTS_AT_ONCE = 1 << 18
@@ -81,12 +84,13 @@ def _seed_at(index: Column, seeds: list[int]) -> Column:
     return F.element_at(F.array(*[F.lit(s).cast("long") for s in seeds]), (index + 1).cast("int"))
 
 
-def draw_numbers(spark: SparkSession, seeds: list[int], n: int) -> DataFrame:
+def draw_numbers(spark: SparkSession, seeds: list[int], n: int, blocks: int = 1) -> DataFrame:
     """(nth, seed, draw) for draw = 0..n-1 of every seed, the nth of the list, from one flat
-    range."""
+    range; `blocks` is the number of groups the draws of a seed will be counted in."""
     total = len(seeds) * n
-    tasks = max(spark.sparkContext.defaultParallelism,
-                min(math.ceil(total / DRAWS_PER_TASK), MAX_TASKS))
+    wanted = max(math.ceil(total / DRAWS_PER_TASK),
+                 math.ceil(len(seeds) * blocks / GROUPS_PER_TASK))
+    tasks = max(spark.sparkContext.defaultParallelism, min(wanted, MAX_TASKS))
     nth = F.expr(f"id div {n}")
     return spark.range(0, total, 1, tasks).select(
         nth.alias("nth"), _seed_at(nth, seeds).alias("seed"), (F.col("id") % n).alias("draw"))
@@ -102,7 +106,7 @@ def cell_counts(spark: SparkSession, seeds: list[int], n: int, k: int) -> DataFr
     blocks = math.ceil(n / size) * k
     cell = F.expr(f"(shiftrightunsigned(xxhash64(seed, draw), 1) % {n}) div {size}")
     key = F.col("nth") * blocks + cell * k + fold_of(F.col("draw"), n, k)
-    counted = draw_numbers(spark, seeds, n).groupBy(key.alias("key")).agg(
+    counted = draw_numbers(spark, seeds, n, blocks).groupBy(key.alias("key")).agg(
         F.count("*").cast("int").alias("n_draws"))
     # coalesce: `div` and `%` count as nullable, and a null check on a join key would be
     # pushed down to every draw
@@ -133,7 +137,7 @@ def resample(spark: SparkSession, seeds: list[int], n: int, k: int = 3) -> DataF
     return draws.select("*", (first + place).alias("position"))
 
 
-def _cell_weights(draws: pa.Table, n: int, k: int, offset: int, rows: int
+def _cell_weights(draws: pa.Table, n: int, k: int, size: int, offset: int, rows: int
                   ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Weights of one bucket's rows, a few seeds at a time: (seeds, W[seed, fold, row])."""
     seed, fold = draws["seed"].to_numpy(), draws["fold"].to_numpy()
@@ -141,7 +145,6 @@ def _cell_weights(draws: pa.Table, n: int, k: int, offset: int, rows: int
     order = np.lexsort((fold, cell, seed))
     seed, cell, fold, count = seed[order], cell[order], fold[order], count[order]
     state = hashing.hash_array(cell, hashing.hash_array(seed))
-    size = cell_size(n)
     width = np.minimum(size, n - cell * size)
     # The number of draws before each line, less those before the first line of its cell.
     before = np.cumsum(count) - count
@@ -164,7 +167,7 @@ def _cell_weights(draws: pa.Table, n: int, k: int, offset: int, rows: int
         yield chunk, flat.reshape(len(chunk), k, rows)
 
 
-def _position_weights(draws: pa.Table, n: int, k: int, offset: int, rows: int
+def _position_weights(draws: pa.Table, n: int, k: int, size: int, offset: int, rows: int
                       ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The same from explicit draws (seed, fold, position)."""
     seed, fold = draws["seed"].to_numpy(), draws["fold"].to_numpy()
@@ -229,7 +232,7 @@ def bucket_goal(spark: SparkSession, n: int, columns: int, blocks: int) -> int:
     width = 8 * (columns + 2)
     goal = max((4 << 20) // width, min(2 * blocks * (columns + 3), (64 << 20) // width))
     idle = n // (3 * spark.sparkContext.defaultParallelism)
-    return max(min(goal, idle), 2 * MIN_CELL)
+    return max(min(goal, idle), MIN_CELL // 2)
 
 
 def with_draws(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list[int], k: int,
@@ -270,7 +273,7 @@ def with_draws(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list
             raise ValueError(f"{row_id} is not unique")
         x = unpacked(rows, len(columns))[order] if columns else None
         offset = draws["offset"][0].as_py()
-        return function(ids[order], x, weigh(draws, n, k, offset, len(ids)))
+        return function(ids[order], x, weigh(draws, n, k, size, offset, len(ids)))
 
     out_schema = _arrow_schema(schema)
     return (bucketed.repartition(tasks, BUCKET).groupBy(BUCKET)

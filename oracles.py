@@ -73,8 +73,8 @@ class Sql:
             f"train AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY row_id) - 1 AS position, "
             + ", ".join(f"{c} - avg({c}) OVER () AS d_{c}" for c in cols)
             + f" FROM reg WHERE {split})",
-            "size AS MATERIALIZED (SELECT count(*) AS n, greatest(1024, "
-            "ceil(count(*) / 4194304.0)::BIGINT) AS cell, "
+            "size AS MATERIALIZED (SELECT count(*) AS n, greatest(4096, "
+            "ceil(count(*) / 2097152.0)::BIGINT) AS cell, "
             + ", ".join(f"avg({c}) AS m_{c}" for c in cols) + " FROM train)",
             f"seeds AS (SELECT range AS seed FROM range({seeds[0]}, {seeds[0] + seeds[1]}))",
         ]

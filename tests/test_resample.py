@@ -80,8 +80,14 @@ def test_folds_are_contiguous_and_the_first_are_longer(spark):
         rs.fold_bounds(2, 3)
 
 
-@pytest.mark.parametrize("n", [7, 1024, 1025, 5000])
-def test_every_seed_draws_n_rows_in_whole_folds(spark, n):
+@pytest.fixture
+def small_cells(monkeypatch):
+    """Many cells in a small table."""
+    monkeypatch.setattr(rs, "MIN_CELL", 256)
+
+
+@pytest.mark.parametrize("n", [7, 256, 257, 5000])
+def test_every_seed_draws_n_rows_in_whole_folds(spark, small_cells, n):
     df = ids_frame(spark, range(n))
     w = rs.resample_weights(df, stats_of(df), [0, 1, 2])
     sizes = {(r["seed"], r["fold"]): r["s"] for r in
@@ -90,7 +96,7 @@ def test_every_seed_draws_n_rows_in_whole_folds(spark, n):
     assert sizes == {(s, f): bounds[f + 1] - bounds[f] for s in range(3) for f in range(3)}
 
 
-def test_weights_equal_the_listed_draws(spark):
+def test_weights_equal_the_listed_draws(spark, small_cells):
     n, seeds = 3000, [3, 4, 9]
     df = ids_frame(spark, np.arange(n) * 11 + 5)
     listed = rs.resample(spark, seeds, n).groupBy(
@@ -100,7 +106,7 @@ def test_weights_equal_the_listed_draws(spark):
     assert weights.exceptAll(listed).count() == 0 and listed.exceptAll(weights).count() == 0
 
 
-def test_layout_changes_nothing(spark, monkeypatch):
+def test_layout_changes_nothing(spark, small_cells, monkeypatch):
     df = ids_frame(spark, np.arange(4000) * 3)
     want = sorted(map(tuple, rs.resample_weights(df, stats_of(df), [0, 1]).collect()))
     monkeypatch.setattr(rs, "bucket_goal", lambda *a: 100)
@@ -109,7 +115,7 @@ def test_layout_changes_nothing(spark, monkeypatch):
     assert sorted(map(tuple, got.collect())) == want
 
 
-def test_resample_does_not_depend_on_the_other_seeds_or_on_k(spark):
+def test_resample_does_not_depend_on_the_other_seeds_or_on_k(spark, small_cells):
     df = ids_frame(spark, range(2500))
     both = rs.resample_weights(df, stats_of(df), [5, 6], k=3)
     alone = rs.resample_weights(df, stats_of(df), [6], k=3)
@@ -120,8 +126,10 @@ def test_resample_does_not_depend_on_the_other_seeds_or_on_k(spark):
     assert totals(alone) == totals(rs.resample_weights(df, stats_of(df), [6], k=5))
 
 
-def test_draws_are_uniform_and_independent(spark):
+@pytest.mark.parametrize("cell", [128, 4096])
+def test_draws_are_uniform_and_independent(spark, monkeypatch, cell):
     """Chi-square over positions, and the variance of row weights, as for a multinomial."""
+    monkeypatch.setattr(rs, "MIN_CELL", cell)
     n, b = 3000, 200
     counts = np.zeros(n)
     square = 0.0
@@ -139,6 +147,7 @@ def test_draws_are_uniform_and_independent(spark):
 def test_many_draws_use_many_tasks(spark, monkeypatch):
     monkeypatch.setattr(rs, "DRAWS_PER_TASK", 1000)
     assert rs.draw_numbers(spark, [0, 1], 20000).rdd.getNumPartitions() == 40
+    assert rs.draw_numbers(spark, [0, 1], 2000, 2_000_000).rdd.getNumPartitions() == 80
 
 
 # ------------------------------------------------------------------ other samplings
