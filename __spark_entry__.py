@@ -21,6 +21,15 @@ from bootloom.plans import fit, tables  # noqa: E402
 from bootloom.plans.fit import Model  # noqa: E402
 from bootloom.sources import frames, records as rec  # noqa: E402
 
+try:  # the corpus operators can be left out of an installation
+    import corpus_pipeline
+    from bootloom.llm import queries as corpus
+except ImportError:
+    CORPUS_QUERIES, CORPUS_ORACLES = {}, {}
+else:
+    CORPUS_QUERIES = corpus.QUERIES | {"pipeline": corpus_pipeline.run}
+    CORPUS_ORACLES = corpus.ORACLES
+
 SEEDS = 5
 FULL = ("qty", "lines", "disc")
 GRID = o.LASSO_GRID
@@ -306,7 +315,11 @@ def _shipped(query):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = {
+    return {name: _shipped(query) for name, query in (own_queries() | CORPUS_QUERIES).items()}
+
+
+def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {
         "load_align": load_align,
         "split_train": split_query("train"),
         "split_test": split_query("test"),
@@ -347,7 +360,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "feature_subset": feature_subset,
         "feature_match": feature_match,
     }
-    return {name: _shipped(query) for name, query in named.items()}
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -375,6 +387,10 @@ def _split_sql(where: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    return own_oracles() | CORPUS_ORACLES
+
+
+def own_oracles() -> dict[str, str]:
     fitted = _family(o.Sql().moments())
     scored = _family(o.Sql().moments()).metrics({n: m.features for n, m in FAMILY.items()})
     only = {n: _family(o.Sql().moments(), (n,)) for n in FAMILY}

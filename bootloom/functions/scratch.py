@@ -7,16 +7,28 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_folders: dict[tuple[str, str], str] = {}
+_local: list[str] = []
+
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the cluster's shared ``spark.checkpoint.dir``.
+    """A fresh folder below the cluster's shared ``spark.checkpoint.dir``,
+    in one folder for the application.
 
     Only a local session, which has one machine by definition, may go without the
-    setting; it then gets a folder of its own.
+    setting; it then gets a folder of its own. Folders go when the driver's JVM ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="bootloom-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        base = _local[0] if _local else tempfile.mkdtemp(prefix="bootloom-")
+        _local[:] = [base]
+    application = spark.sparkContext.applicationId
+    if (base, application) not in _folders:
+        _folders[base, application] = f"{base.rstrip('/')}/{application}-{uuid.uuid4().hex[:8]}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(_folders[base, application])
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+    return f"{_folders[base, application]}/{name}-{uuid.uuid4().hex}"

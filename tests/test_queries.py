@@ -11,7 +11,7 @@ import __spark_entry__ as e
 from bootloom.operators import resample as rs
 from tools.compare import differences
 
-ORACLES = e.oracle_sql()
+ORACLES = e.own_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -23,8 +23,8 @@ def db(sf_dir):
 
 
 def test_every_twin_has_a_query():
-    assert set(ORACLES) <= set(e.queries())
-    assert set(e.queries()) - set(ORACLES) == {"resample_numpy"}
+    assert set(ORACLES) <= set(e.own_queries())
+    assert set(e.own_queries()) - set(ORACLES) == {"resample_numpy"}
 
 
 @pytest.mark.parametrize("key", sorted(ORACLES))
