@@ -20,7 +20,7 @@ def make_folder(uri: str) -> None:
 
 def open_out(uri: str):
     system, path = resolve(uri)
-    return system.open_output_stream(path)
+    return system.open_output_stream(path, compression=None)
 
 
 def open_in(uri: str):
@@ -32,7 +32,7 @@ def write_whole(uri: str, data: bytes) -> None:
     """Appears complete or not at all; a repeated task writes the same again."""
     system, path = resolve(uri)
     part = f"{path}.{uuid.uuid4().hex}"
-    with system.open_output_stream(part) as out:
+    with system.open_output_stream(part, compression=None) as out:
         out.write(data)
     system.move(part, path)
 

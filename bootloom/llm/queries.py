@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from . import warc
 from .token_counts import op10_token_counts
+from .token_store import op2_token_store
+from .warc import op1_warc
 
-QUERIES = {f.__name__: f for f in (op10_token_counts,)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_token_store, op10_token_counts)}
+ORACLES: dict[str, str] = {"op1_warc": warc.ORACLE}
