@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import warc
+from . import substring_dedup, warc
+from .substring_dedup import op8_substring_dedup
 from .token_counts import op10_token_counts
 from .token_store import op2_token_store
 from .warc import op1_warc
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_token_store, op10_token_counts)}
-ORACLES: dict[str, str] = {"op1_warc": warc.ORACLE}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_token_store, op8_substring_dedup, op10_token_counts)}
+ORACLES: dict[str, str] = {"op1_warc": warc.ORACLE, "op8_substring_dedup": substring_dedup.ORACLE}

@@ -225,11 +225,11 @@ ORACLE = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
 d AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS h FROM p),
 k AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS kept,
- list_transform(range(40), i -> strpos('0123456789abcdef', substr(h, i::INTEGER + 1, 1)) - 1) AS x
+ list_transform(range(40), lambda i: strpos('0123456789abcdef', substr(h, i::INTEGER + 1, 1)) - 1) AS x
  FROM d)
 SELECT page_id, n::BIGINT AS payload_bytes,
- list_aggregate(list_transform(range(32), j -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-  1 + list_sum(list_transform(range(5), t ->
+ list_aggregate(list_transform(range(32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  1 + list_sum(list_transform(range(5), lambda t:
    ((x[(5 * j + t) // 4 + 1] >> (3 - (5 * j + t) % 4)::INTEGER) & 1) << (4 - t)::INTEGER))::INTEGER,
   1)), 'string_agg', '') AS payload_digest,
  CASE WHEN page_id = kept THEN 'response' ELSE 'revisit' END AS record_type,
