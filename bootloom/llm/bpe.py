@@ -15,6 +15,7 @@ SOLID = np.zeros(256, bool)
 SOLID[0x21:0x7F] = True
 JOINED = 1 << 14
 KEPT = 1 << 20
+SLICE = 8 << 20
 _loaded: dict[str, "Encoder"] = {}
 
 

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ..functions.scratch import scratch_path
 
-BATCH_ROWS = 2048
+BATCH_ROWS = 512
+BATCH_BYTES = 4 << 20
 INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
@@ -17,6 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def small_batches(spark: SparkSession) -> None:
     """Hand few texts at a time to Python workers, as a text can be long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def parts(spark: SparkSession) -> int:

@@ -23,23 +23,31 @@ SEEDS = (U(0x9AE16A3B2F90404F), U(0xC949D7C7509E6557))
 M1, M2 = U(0x9FB21C651E98DF25), U(0xD6E8FEB86659FD93)
 
 
-def slices(batches, column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """The batches cut to about ``most`` bytes of text; a longer text is alone."""
+def slices(batches, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches put together or cut to about ``most`` bytes of text; a longer text is alone."""
+    held: list[pa.RecordBatch] = []
+    size = 0
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        ends = _offsets(batch.column(column))[1:]
+        ends = np.cumsum(np.diff(_offsets(batch.column(column)))) if batch.num_rows else []
         begin = 0
         while begin < batch.num_rows:
-            base = ends[begin - 1] if begin else ends[0] - _length(batch.column(column), 0)
-            end = max(begin + 1, int(np.searchsorted(ends, base + most, "right")))
-            yield batch.slice(begin, end - begin)
-            begin = end
-
-
-def _length(array: pa.Array, i: int) -> int:
-    o = _offsets(array)
-    return int(o[i + 1] - o[i])
+            base = ends[begin - 1] if begin else 0
+            end = int(np.searchsorted(ends, base + most - size, "right"))
+            if end <= begin and not held:
+                end = begin + 1
+            if end > begin:
+                held.append(batch.slice(begin, end - begin))
+                size += int(ends[end - 1] - base)
+            if end < batch.num_rows or size >= most:
+                yield _one(held)
+                held, size = [], 0
+            begin = max(begin, end)
+    if held:
+        yield _one(held)
+
+
+def _one(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return held[0] if len(held) == 1 else pa.concat_batches(held)
 
 
 def _offsets(array: pa.Array) -> np.ndarray:

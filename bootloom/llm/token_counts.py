@@ -106,7 +106,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = LIMIT, id_col: st
             piece = sentencepiece.SentencePieceProcessor(model_file=tokenizer)
         else:
             encoder = bpe.load(tokenizer)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", bpe.SLICE):
             data, offs = text_bytes(batch.column("text"))
             if tokenizer.endswith(".model"):
                 texts = batch.column("text").fill_null("").to_pylist()

@@ -172,7 +172,7 @@ def write_store(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc
     def write(batches):
         encoder, out, at = bpe.load(tokenizer), None, 0
         name = f"ids-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex[:12]}.bin"
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", bpe.SLICE):
             if out is None:
                 out = fsio.open_out(f"{folder}/{name}")
             ids, counts = encode_batch(encoder, *text_bytes(batch.column("text")))
