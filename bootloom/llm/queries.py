@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from . import substring_dedup, warc
+from . import decontaminate, ngram_join, substring_dedup, warc
+from .decontaminate import op9_decontaminate
+from .ngram_join import op6_ngram_join
 from .substring_dedup import op8_substring_dedup
 from .token_counts import op10_token_counts
 from .token_store import op2_token_store
 from .warc import op1_warc
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_token_store, op8_substring_dedup, op10_token_counts)}
-ORACLES: dict[str, str] = {"op1_warc": warc.ORACLE, "op8_substring_dedup": substring_dedup.ORACLE}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_token_store, op6_ngram_join, op8_substring_dedup, op9_decontaminate,
+                                  op10_token_counts)}
+ORACLES: dict[str, str] = {"op1_warc": warc.ORACLE, "op6_ngram_join": ngram_join.ORACLE,
+                            "op8_substring_dedup": substring_dedup.ORACLE,
+                            "op9_decontaminate": decontaminate.ORACLE}

@@ -23,8 +23,9 @@ SEEDS = (U(0x9AE16A3B2F90404F), U(0xC949D7C7509E6557))
 M1, M2 = U(0x9FB21C651E98DF25), U(0xD6E8FEB86659FD93)
 
 
-def slices(batches, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """The batches put together or cut to about ``most`` bytes of text; a longer text is alone."""
+def slices(batches, column: str, most: int = 4 << 20, rows: int = 8192) -> Iterator[pa.RecordBatch]:
+    """The batches put together or cut to about ``most`` bytes of text and not much over ``rows``
+    rows; a longer text is alone."""
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
@@ -38,7 +39,7 @@ def slices(batches, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch
             if end > begin:
                 held.append(batch.slice(begin, end - begin))
                 size += int(ends[end - 1] - base)
-            if end < batch.num_rows or size >= most:
+            if end < batch.num_rows or size >= most or sum(x.num_rows for x in held) >= rows:
                 yield _one(held)
                 held, size = [], 0
             begin = max(begin, end)
