@@ -23,6 +23,7 @@ from .textops import LOWER, U, find_words, hash_spans, mix, ngram_starts, ngrams
 
 SKETCH_BITS = 18     # word counts are kept for 2^18 hash buckets: of fixed size, so it can be sent to all
 SIGN = 8             # longs of the parity signature
+MARKS = 1 << 26      # bits that mark documents wanted again; up to an eighth as many are marked, else joined
 
 
 def _sets(batch, size: int):
@@ -127,8 +128,25 @@ def _full_sets(keyed: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("uid"), pa.ListArray.from_arrays(
                 np.append(0, np.cumsum(n)).astype(np.int32), signed(g[new]))], schema=schema)
 
-    return keyed.select("uid", "text").join(wanted, "uid", "left_semi").mapInArrow(
-        work, "uid long, grams array<long>")
+    columns = "uid long, grams array<long>"
+    wanted = common.stage(wanted, "wanted")
+    if wanted.count() > MARKS // 8:
+        return keyed.select("uid", "text").join(wanted, "uid", "left_semi").mapInArrow(work, columns)
+    place = F.pmod(F.xxhash64("uid"), F.lit(MARKS))
+    words = wanted.select(place.alias("b")).groupBy(F.shiftright("b", 6).alias("at")).agg(
+        F.expr("bit_or(shiftleft(1L, CAST(b & 63 AS INT)))").alias("bits")).toPandas()
+    marks = np.zeros(MARKS // 64, np.int64)
+    marks[words["at"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    marks = keyed.sparkSession.sparkContext.broadcast(marks)
+
+    def marked(batches):
+        for batch in batches:
+            b = batch.column("place").to_numpy()
+            yield batch.filter(pa.array((marks.value[b >> 6] >> (b & 63)) & 1 == 1))
+
+    # a few others share a mark; they join with no pair
+    return keyed.select("uid", "text", place.alias("place")).mapInArrow(
+        lambda batches: work(marked(batches)), columns)
 
 
 def _similar(percent: int):
