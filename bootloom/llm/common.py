@@ -25,14 +25,44 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+_staged: list[str] = []
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared scratch folder and read back: the plan so far runs once, and a
     lost executor costs no more than the tasks it was running."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def folder(spark: SparkSession, name: str) -> str:
+    """A new scratch folder, which ``drop_stages`` may remove."""
+    _staged.append(scratch_path(spark, name))
+    return _staged[-1]
+
+
+def mark() -> int:
+    """For ``drop_stages``: folders made from now on."""
+    return len(_staged)
+
+
+def drop_stages(spark: SparkSession, since: int, keep: DataFrame) -> None:
+    """Remove the scratch folders made since a mark, but for those that ``keep`` still reads."""
+    used = keep.inputFiles()
+    for path in _staged[since:]:
+        plain = path.removeprefix("file://")
+        if not any(plain in f for f in used):
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+            _staged.remove(path)
+    release(spark)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of plans that have run; it waits for the driver's
+    collector, which may not run for long."""
+    spark._jvm.System.gc()
 
 
 def pick(df: DataFrame, **columns: str | Column) -> DataFrame:
@@ -45,19 +75,22 @@ def _column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(uid, id, text)``: ``uid`` is a unique long in the order of the ids.
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:
+    """``(uid, id, text)``: ``uid`` is a unique long in the order of the ids. With ``whole``
+    also ``row``, a struct of all input columns.
 
     Unique integer ids are used as they are. Where ids repeat, are NULL or are no integers, rows
     are numbered by (id with NULL first, hash of the text) once, in a written table, so each
     row counts as a document of its own and later scans agree on its number. NULL text is "".
     """
-    df = pick(docs, id=id_col, text=F.coalesce(_column(text_col).cast("string"), F.lit("")))
+    names = ["id", "text", *(["row"] if whole else [])]
+    df = pick(docs, id=id_col, text=F.coalesce(_column(text_col).cast("string"), F.lit("")),
+              row=F.struct(*[_column(c) for c in docs.columns])).select(*names)
     if isinstance(df.schema["id"].dataType, INTEGERS):
         bad = df.groupBy("id").count().where("count > 1 OR id IS NULL")
         if bad.isEmpty():
-            return df.select(F.col("id").cast("long").alias("uid"), "id", "text")
+            return df.select(F.col("id").cast("long").alias("uid"), *names)
     order = [F.col("id").asc_nulls_first(), F.xxhash64("text")]
     return stage(df.repartitionByRange(parts(df.sparkSession), *order)
                  .sortWithinPartitions(*order, "text")
-                 .select(F.monotonically_increasing_id().alias("uid"), "id", "text"), "numbered")
+                 .select(F.monotonically_increasing_id().alias("uid"), *names), "numbered")

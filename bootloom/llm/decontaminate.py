@@ -187,9 +187,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, length: int = WINDOW, i
     nothing; rows with one item id are one item. An empty benchmark leaves all clean. Documents
     with NULL or repeated ids are documents of their own (``common.keyed``).
     """
-    spark = docs.sparkSession
+    return contamination_of(common.keyed(docs, id_col, text_col), benchmark, length, item_col,
+                            item_text_col, block_bytes)
+
+
+def contamination_of(keyed: DataFrame, benchmark: DataFrame, length: int = WINDOW, item_col: str = "item_id",
+                     item_text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``contamination`` of the output of ``common.keyed``."""
+    spark = keyed.sparkSession
     common.small_batches(spark)
-    keyed = common.keyed(docs, id_col, text_col)
     lengths, hits, items = None, [], []
     for block in blocks(benchmark, item_col, item_text_col, length, block_bytes):
         windows = order_windows(block, term_counts(keyed, block.terms))

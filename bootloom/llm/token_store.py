@@ -26,7 +26,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import bpe, common, fsio
-from ..functions.scratch import scratch_path
 from .textops import mix, slices, text_bytes
 from .token_counts import encode_batch, tokenizer_path
 
@@ -166,12 +165,14 @@ def write_store(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc
     n = n_shards or common.parts(spark)
     vocabulary = bpe.load(tokenizer).size
     kind = "<u2" if max(vocabulary, (end_id or 0) + 1) <= 1 << 16 else "<u4"
-    rows = (common.keyed(docs, id_col, text_col)
-            .repartitionByRange(n, "uid").sortWithinPartitions("uid"))
+    # rows of one id go by the hash of their text, so that an id of any number of rows is spread
+    order = [F.col("id").asc_nulls_first(), F.xxhash64("text")]
+    rows = (common.pick(docs, id=id_col, text=F.coalesce(common._column(text_col).cast("string"), F.lit("")))
+            .repartitionByRange(n, *order).sortWithinPartitions(*order))
 
     def write(batches):
-        encoder, out, at = bpe.load(tokenizer), None, 0
-        name = f"ids-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex[:12]}.bin"
+        encoder, out, at, part = bpe.load(tokenizer), None, 0, TaskContext.get().partitionId()
+        name = f"ids-{part:06d}-{uuid.uuid4().hex[:12]}.bin"
         for batch in slices(batches, "text", bpe.SLICE):
             if out is None:
                 out = fsio.open_out(f"{folder}/{name}")
@@ -182,25 +183,25 @@ def write_store(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc
             out.write(ids.astype(kind).tobytes())
             keys = [key_hash(k) for k in batch.column("id").to_pylist()]
             yield pa.RecordBatch.from_arrays([
-                batch.column("uid"), pa.array([name] * len(counts)),
+                pa.array([part] * len(counts), pa.int64()), pa.array([name] * len(counts)),
                 pa.array(at + np.cumsum(counts) - counts), pa.array(counts),
                 pa.array(np.array([h for h, _ in keys], np.uint64).view(np.int64)),
                 pa.array(np.array([h for _, h in keys], np.uint64).view(np.int64))],
-                names=["uid", "file", "offset", "length", "high", "low"])
+                names=["part", "file", "offset", "length", "high", "low"])
             at += int(counts.sum())
         if out is not None:
             out.close()
 
     records = common.stage(rows.mapInArrow(
-        write, "uid long, file string, offset long, length long, high long, low long"), "records")
+        write, "part long, file string, offset long, length long, high long, low long"), "records")
     # one row for each shard file, of which there are n
-    shards = (records.groupBy("file").agg(F.min("uid").alias("first"), F.sum("length").alias("ids"),
+    shards = (records.groupBy("file").agg(F.first("part").alias("part"), F.sum("length").alias("ids"),
                                           F.count("*").alias("docs"))
-              .toPandas().sort_values("first", ignore_index=True))
+              .toPandas().sort_values("part", ignore_index=True))
     shards["shard"] = np.arange(len(shards))
     shards["start"] = shards["ids"].cumsum() - shards["ids"]
-    files = spark.createDataFrame(shards.astype({"first": "int64"}) if len(shards) else [],
-                                  "file string, first long, ids long, docs long, shard long, start long")
+    files = spark.createDataFrame(shards if len(shards) else [],
+                                  "file string, part long, ids long, docs long, shard long, start long")
     files.coalesce(1).write.parquet(f"{folder}/shards")
     n_keys = int(shards["docs"].sum())
     layout = Layout.of(n_keys)
@@ -350,7 +351,7 @@ def ids_crc32(ids: np.ndarray) -> tuple[int]:
 
 def stored_digests(docs: DataFrame, tokenizer: str) -> DataFrame:
     """Write a store of all documents, look every document up in it and read its ids back."""
-    store = write_store(docs, scratch_path(docs.sparkSession, "tokens"), tokenizer)
+    store = write_store(docs, common.folder(docs.sparkSession, "tokens"), tokenizer)
     keys = common.pick(docs, key="doc_id")
     if store.manifest["keys"] != store.manifest["records"]:
         keys = keys.distinct()

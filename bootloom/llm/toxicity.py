@@ -245,6 +245,21 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return df.mapInArrow(work, kind)
 
 
+def is_toxic(model: Model, text: Column, threshold: float = 0.5) -> Column:
+    """The verdict as a column, for filters that keep whole rows; NULL text counts as empty."""
+    @F.arrow_udf("boolean")
+    def verdict(texts: pa.Array) -> pa.Array:
+        out = []
+        for batch in slices([pa.RecordBatch.from_arrays([texts], names=["text"])], "text"):
+            h, words = _tokens(batch)
+            z = np.array([(1.0, *features(model, x, int(k))) for x, k in zip(
+                segments_of(model, h, words), words.counts())])
+            out.append(1 / (1 + np.exp(-np.clip(z @ model.curve, -30, 30))) >= threshold)
+        return pa.array(np.concatenate(out) if out else np.zeros(0, bool))
+
+    return verdict(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def held_out(column: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
