@@ -1,15 +1,87 @@
-"""A training-data pipeline out of the corpus operators: documents in, token shards out."""
+"""A training-data pipeline out of the corpus operators: documents in, token shards out.
+
+A stage's result is written before the next one begins; scratch tables of earlier stages that
+the documents at hand don't read are removed then.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import functions as F
+
+from bootloom.functions.ship import ship_package
+from bootloom.llm import common, decontaminate, mixing, ngram_join, token_store, toxicity
+from bootloom.llm.token_counts import tokenizer_path
+
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+_since = common.mark()
+
+
+def _begin(spark, docs):
+    ship_package(spark)
+    common.small_batches(spark)
+    common.drop_stages(spark, _since, docs)
+
+
+def _without(keyed, dropped):
+    """The rows of ``keyed`` but for those named in ``dropped(uid)``, as they came."""
+    return keyed.join(dropped, "uid", "left_anti").select("row.*")
+
+
+def drop_toxic(spark, docs, sf_dir):
+    """Documents that the toxicity model rejects go."""
+    _begin(spark, docs)
+    model = toxicity.fit(docs, common.table(spark, sf_dir, "labels"), rows=~toxicity.held_out())
+    return docs.where(~toxicity.is_toxic(model, F.col("text")))
+
+
+def drop_near_duplicates(spark, docs, sf_dir):
+    """Of each group of near duplicates (5 words, similarity 0.8), the first document stays."""
+    _begin(spark, docs)
+    keyed = common.keyed(docs, whole=True)
+    classes = ngram_join.classes_of(keyed, NEAR_WORDS, NEAR_PERCENT)
+    return _without(keyed, classes.where("uid <> first_uid").select("uid"))
+
+
+def drop_contaminated(spark, docs, sf_dir):
+    """Documents that the benchmark contaminates go."""
+    _begin(spark, docs)
+    keyed = common.keyed(docs, whole=True)
+    found = decontaminate.contamination_of(keyed, common.table(spark, sf_dir, "benchmark"))
+    return _without(keyed, found.where("contaminated").select("uid"))
+
+
+def mix_sources(spark, docs, sf_dir):
+    """Each document as often as the mix holds it."""
+    _begin(spark, docs)
+    keyed = common.keyed(docs, whole=True)
+    mixed = mixing.mix(keyed.select("uid", "text", F.col("row.source").alias("source")), id_col="uid")
+    times = mixed.where("epochs > 0").select(F.col("doc_id").alias("uid"), "epochs")
+    return (keyed.join(times, "uid").select("row", F.explode(F.sequence(F.lit(1), F.col("epochs"))))
+            .select("row.*"))
+
+
+def write_tokens(spark, docs, sf_dir):
+    """Token shards with their index; one row per record, read back from them."""
+    _begin(spark, docs)
+    return token_store.stored_digests(docs, tokenizer_path())
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("ngram_join", drop_near_duplicates),
+    ("decontaminate", drop_contaminated),
+    ("mixing", mix_sources),
+    ("token_store", write_tokens),
+]
 
 
 def run(spark, sf_dir):
+    """All stages over the documents; the last one's rows."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = common.stage(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
 
 
+# Tokenizers are not SQL; tests/llm compares every stage with a plain version.
 ORACLE_SQL = None
