@@ -131,8 +131,43 @@ def record_append(spark, d):
         F.count("*").alias("copies"), F.round(F.max("intercept"), 3).alias("intercept"))
 
 
+def load_no_index(spark, d):
+    """Two CSV files without an index column: rows are numbered as they are in the files."""
+    base = scratch_path(spark, "plain")
+    table = _orders(spark, d).orderBy("row_id")
+    for name, rows in (("a", table.where("row_id % 2 = 0")), ("b", table.where("row_id % 2 = 1"))):
+        rows.select("qty", "lines", F.col("row_id").alias("was")).coalesce(1).write.option(
+            "header", True).csv(f"{base}/{name}.csv")
+        read = frames.read_table(spark, f"{base}/{name}.csv", schema="qty double, lines double, was long")
+        both = read.withColumn("file", F.lit(name)) if name == "a" else both.unionByName(
+            read.withColumn("file", F.lit(name)))
+    return both.select("file", "row_id", "was", "qty", "lines")
+
+
+def seedless_records(spark, d):
+    """Records that were written without seed and model: each is a replicate of its own."""
+    path = scratch_path(spark, "seedless")
+    _records(spark, d, {"full": LASSO}).drop("model", "seed").write.json(path)
+    metrics = score.metric_dist(rec.read_records(spark, path),
+                                split_rows(_orders(spark, d), "test"), "y")
+    return metrics.groupBy().agg(F.count_distinct("model", "seed").alias("n"), F.round(F.avg("rmse"), 4).alias(
+        "rmse_mean"), F.round(F.avg("r2"), 8).alias("r2_mean"))
+
+
+def coef_wide(spark, d):
+    return summary.coef_wide(_records(spark, d, {"full": LASSO, "reduced": REDUCED})).select(
+        "model", "seed", *[F.round(c, 3).alias(c) for c in (*FULL, "intercept")])
+
+
 # ------------------------------------------------------------------ resampling
 
+def dense_index_hashed(spark, d):
+    """Positions of rows whose ids are hashes, over all 64 bits."""
+    df = split_rows(_orders(spark, d), "train").select(F.conv(F.substring(F.md5(
+        F.col("row_id").cast("string")), 1, 16), 16, -10).cast("long").alias("row_id"), "y")
+    return add_position(df, frames.frame_stats(df, ["y"]), wanted=64).select("row_id", "position")
+
+
 def dense_index(spark, d):
     df, stats = _train(spark, d)
     return add_position(df, stats, wanted=1024).select("row_id", "position")
@@ -158,11 +193,6 @@ def poisson_weights(spark, d):
     return rs.poisson_weights(df, rs.seed_list(0, SEEDS))
 
 
-def resample_numpy(spark, d):
-    df, stats = _train(spark, d)
-    return rs.resample_weights(df, stats, rs.seed_list(0, SEEDS), sampling=rs.NUMPY)
-
-
 def moments(spark, d, **options):
     """Gram entries in units of each column, so that all have a similar size. (The units are
     odd because exact decimal ties would be rounded up or down by the last bit of a sum.)"""
@@ -324,14 +354,16 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "split_train": split_query("train"),
         "split_test": split_query("test"),
         "split_all": split_query("all"),
+        "load_no_index": load_no_index,
         "record_roundtrip": record_roundtrip,
+        "seedless_records": seedless_records,
         "record_append": record_append,
         "dense_index": dense_index,
+        "dense_index_hashed": dense_index_hashed,
         "fold_assign": fold_assign,
         "resample": resample,
         "resample_weights": resample_weights,
         "poisson_weights": poisson_weights,
-        "resample_numpy": resample_numpy,
         "moments": moments,
         "fit_linear": fit_linear,
         "fit_linear_1d": fit_1d(Model("linear", ("qty",))),
@@ -344,6 +376,7 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "mse_min": mse_min,
         "fit_r2": fit_r2,
         "coef_table": coef_table,
+        "coef_wide": coef_wide,
         "info_table": info_table,
         "predict": predict,
         "rmse_dist": rmse_dist,
@@ -453,6 +486,20 @@ def own_oracles() -> dict[str, str]:
     return {
         "load_align": "SELECT row_id, qty, lines, round(disc, 9) AS disc, round(y, 6) AS y, "
                       f"test_set FROM ({o.ORDERS_REG})",
+        "load_no_index": "SELECT CASE WHEN row_id % 2 = 0 THEN 'a' ELSE 'b' END AS file, "
+                         "row_number() OVER (PARTITION BY row_id % 2 ORDER BY row_id) - 1 AS row_id, "
+                         f"row_id AS was, qty::DOUBLE AS qty, lines::DOUBLE AS lines FROM ({o.ORDERS_REG})",
+        "seedless_records": scored.select(
+            "SELECT count(*)::BIGINT AS n, round(avg(rmse), 4) AS rmse_mean, "
+            "round(avg(r2), 8) AS r2_mean FROM metrics WHERE model = 'full'"),
+        "coef_wide": fitted.select(
+            "SELECT 'full' AS model, seed, round(b_qty, 3) AS qty, round(b_lines, 3) AS lines, "
+            "round(b_disc, 3) AS disc, round(b0, 3) AS intercept FROM coef_full UNION ALL "
+            "SELECT 'reduced', seed, round(b_qty, 3), NULL, NULL, round(b0, 3) FROM coef_reduced"),
+        "dense_index_hashed": "SELECT row_id, row_number() OVER (ORDER BY row_id) - 1 AS position FROM "
+                              "(SELECT (u - CASE WHEN u >= 9223372036854775808 THEN 18446744073709551616 "
+                              "ELSE 0 END)::BIGINT AS row_id FROM (SELECT ('0x' || substr(md5(row_id::VARCHAR), "
+                              f"1, 16))::UBIGINT::HUGEINT AS u FROM ({o.ORDERS_REG}) WHERE test_set = 0))",
         "split_train": _split_sql("test_set = 0"),
         "split_test": _split_sql("test_set = 1"),
         "split_all": _split_sql("true"),

@@ -32,14 +32,26 @@ def _shift_for(n: int, lo: int, hi: int, wanted: int) -> int:
     return max(ids_per_bucket.bit_length() - 1, 0)
 
 
+def _bucket(row_id: str, lo: int, hi: int, shift: int):
+    """The id's distance from `lo`, shifted. Where ids span more than half of all 64-bit numbers (as
+    hashes do), the distance has no place in a long; then ids are shifted as unsigned numbers."""
+    if hi - lo < 1 << 62:
+        return F.shiftright(F.col(row_id) - F.lit(lo), shift)
+    sign = -(1 << 63)
+    return (F.shiftrightunsigned(F.col(row_id).bitwiseXOR(F.lit(sign)), shift)
+            - F.lit((lo - sign) >> shift))
+
+
 def bucket_rows(df: DataFrame, stats: FrameStats, wanted: int,
                 row_id: str = ROW_ID) -> DataFrame:
     """Add a BUCKET column; ids within a bucket are neighbours, buckets are balanced."""
     wanted = rows_per_bucket(stats.n, wanted)
     shift = _shift_for(stats.n, stats.min_id, stats.max_id, wanted)
-    df = df.withColumn(BUCKET, F.shiftright(F.col(row_id) - F.lit(stats.min_id), shift))
+    if stats.max_id - stats.min_id >= 1 << 62:
+        shift = min(max(shift, 2), 61)
+    df = df.withColumn(BUCKET, _bucket(row_id, stats.min_id, stats.max_id, shift))
     fullest = 1 << shift
-    next_bucket = ((stats.max_id - stats.min_id) >> shift) + 1
+    next_bucket = ((stats.max_id - stats.min_id) >> shift) + 2
     while fullest > FULLNESS * wanted:
         full = [r for r in df.groupBy(BUCKET)
                 .agg(F.count("*").alias("n"), F.min(row_id).alias("lo"),

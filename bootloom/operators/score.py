@@ -15,10 +15,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import BooleanType, NumericType
 
 from ..functions.scratch import scratch_path
-from ..sources.frames import ROW_ID, feature_names, frame_stats, packed, unpacked
+from ..sources.frames import ROW_ID, frame_stats, packed, unpacked
+from ..sources.records import unique_records
 from .moments import plain_moments
 from .solve import CONSTANT, ratio, squared_error
 
@@ -48,10 +48,7 @@ def replicates(records: DataFrame, features: list[str] | None = None,
     The records (one small row per model and seed) are first put in a table of their own, so
     that the fits behind them run once however many passes follow.
     """
-    spark = records.sparkSession
-    path = scratch_path(spark, "records")
-    records.select("model", "seed", "intercept", "coef", "column_names").write.parquet(path)
-    kept = spark.read.parquet(path)
+    kept = _kept(records)
     groups = (kept.groupBy("model", "column_names")
               .agg(F.sort_array(F.collect_list("seed")).alias("seeds")).collect())
     size = sum(8 * len(g["seeds"]) * (len(g["column_names"]) + 1) for g in groups)
@@ -78,6 +75,14 @@ def replicates(records: DataFrame, features: list[str] | None = None,
                 & F.col("seed").between(part[0], part[-1])).toPandas())
 
 
+def _kept(records: DataFrame) -> DataFrame:
+    """The records in a table of their own; repeated or missing seeds are an error."""
+    path = scratch_path(records.sparkSession, "records")
+    unique_records(records.select("model", "seed", "intercept", "coef", "column_names")
+                   ).write.parquet(path)
+    return records.sparkSession.read.parquet(path)
+
+
 def _replicates(group, rows: pd.DataFrame) -> Replicates:
     names = sorted(group["column_names"])
     order = np.array([group["column_names"].index(c) for c in names], dtype=int)
@@ -178,21 +183,23 @@ def metric_dist(records: DataFrame, df: DataFrame, target: str,
                 row_id: str = ROW_ID) -> DataFrame:
     """(model, seed, rmse, r2) of every replicate on the rows of `df`.
 
-    via="moments" reduces the rows to one Gram matrix over `features` (by default every
-    numeric column that can be one) that serves all replicates, and scores the records where
-    they are. via="rows" predicts in the tasks and keeps only error sums. The default takes
-    the former unless there are very many features.
+    Records are read first, and their features (or `features`, which must have them all) are
+    the only columns looked at. via="moments" reduces the rows to one Gram matrix that serves
+    all replicates, and scores the records where they are. via="rows" predicts in the tasks and
+    keeps only error sums; it gives the same and is the default for very many features.
     """
-    if features is None:
-        features = [c for c in feature_names(df, target, row_id)
-                    if isinstance(df.schema[c].dataType, (NumericType, BooleanType))]
+    if via not in (None, "moments", "rows"):
+        raise ValueError(f"via must be 'moments' or 'rows', not {via!r}")
+    records = _kept(records)
+    used = {r[0] for r in records.select(F.explode("column_names")).distinct().collect()}
+    if features is not None and used - set(features):
+        raise ValueError(f"records have other features: {sorted(used - set(features))}")
+    features = sorted(used)
     _need(df, features + [target])
     if via is None:
         via = "moments" if len(features) <= GRAM_FEATURES else "rows"
-    if via not in ("moments", "rows"):
-        raise ValueError(f"via must be 'moments' or 'rows', not {via!r}")
     if via == "moments":
-        return _from_gram(records, df, sorted(features), target, row_id)
+        return _from_gram(records, df, features, target, row_id)
     parts = list(replicates(records))
     if not parts:
         raise ValueError("no records to work with")

@@ -129,6 +129,7 @@ def fit_lasso(block: Block, alpha: float, start: np.ndarray | None = None) -> np
     """Coordinate descent on the Gram matrix, finished by solving the active set exactly.
 
     Where collinear features leave no unique active set, the duality gap decides instead.
+    Features so nearly collinear that neither is reached are an error, not a rough answer.
     """
     xx, xy, limit = block.xx, block.xy, alpha * block.n
     size = np.diag(xx)
@@ -159,6 +160,9 @@ def fit_lasso(block: Block, alpha: float, start: np.ndarray | None = None) -> np
             if _gap(block, limit, b, left) <= GAP * block.yy or (settled and every):
                 break
         every = settled or sweep % 10 == 9
+    else:
+        raise ArithmeticError(f"the lasso with penalty {alpha:g} has not converged in {SWEEPS} "
+                              "sweeps: features are nearly collinear; drop some or use ridge")
     return b + 0.0
 
 

@@ -95,13 +95,12 @@ def selection_count(freq: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 
 def feature_subset(table: DataFrame, names: list[str]) -> DataFrame:
-    """Rows of the named features; an unknown name is an error."""
-    found = {r["feature"] for r in table.where(F.col("feature").isin(names))
-             .select("feature").distinct().collect()}
-    unknown = [n for n in names if n not in found]
-    if unknown:
-        raise ValueError(f"unknown features: {unknown}")
-    return table.where(F.col("feature").isin(names))
+    """Rows of the named features; an unknown name is an error when the rows are computed."""
+    wanted = table.sparkSession.createDataFrame([(n,) for n in sorted(set(names))], "feature string")
+    rows = wanted.join(table.withColumn("_there", F.lit(True)), "feature", "left")
+    unknown = F.raise_error(F.concat(F.lit("unknown features: "), "feature")).cast("string")
+    return rows.withColumn("feature", F.when(F.col("_there").isNull(), unknown).otherwise(
+        F.col("feature"))).select(*[f"`{c}`" for c in table.columns])
 
 
 def feature_match(table: DataFrame, text: str) -> DataFrame:
@@ -113,9 +112,13 @@ def compare_models(metrics: DataFrame, first: str, second: str, metric: str = "r
                    level: float = 95.0) -> DataFrame:
     """Distribution of `first` minus `second` over the seeds both have, and the share of
     replicates in which it is above zero. Equal seeds are equal resamples, so this is paired."""
+    def only(model):
+        own = F.when(F.col("model") == model, F.col(metric))
+        return F.when(F.col("seed").isNull() | (F.count(own) > 1), F.raise_error(F.lit(
+            "pairing needs one value for each model and seed")).cast("double")).otherwise(F.max(own))
+
     paired = metrics.where(F.col("model").isin(first, second)).groupBy("seed").agg(
-        F.max(F.when(F.col("model") == first, F.col(metric))).alias("a"),
-        F.max(F.when(F.col("model") == second, F.col(metric))).alias("b"))
+        only(first).alias("a"), only(second).alias("b"))
     diff = paired.where("a is not null and b is not null").select((F.col("a") - F.col("b"))
                                                                   .alias("d"))
     return diff.agg(F.count("*").alias("n_pairs"), *_distribution("d", level, "diff_"),

@@ -6,7 +6,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+
+from ..functions.scratch import scratch_path
 
 # Names under which a saved row index appears in a feature or target file
 # (a blank CSV header reads as `_c0`).
@@ -42,23 +44,24 @@ def read_table(spark: SparkSession, path: str, schema=None, row_id: str = ROW_ID
 
 
 def number_rows(scan: DataFrame, row_id: str = ROW_ID) -> DataFrame:
-    """Number the rows of a file scan 0..n-1 in the order of files and of rows in them,
-    without moving any row.
+    """Number the rows of a file scan 0..n-1 in the order of files and of rows in them.
 
-    The built-in increasing id numbers the rows of each file block without gaps; where a block
-    begins comes from one small row per block.
+    The built-in increasing id numbers the rows of each file block without gaps, and the blocks'
+    row counts say where a block begins. Both are taken from one scan, which is written to the
+    scratch folder: a second scan may cut the files at other places.
     """
-    tagged = scan.select("*", F.monotonically_increasing_id().alias("_id"),
-                         F.col("_metadata.file_path").alias("_path"),
-                         F.col("_metadata.file_block_start").alias("_start"))
-    blocks = sorted(tagged.groupBy("_path", "_start").agg(
-        F.min("_id"), F.count("*")).collect())
-    offsets, total = [], 0
-    for path, start, first, n in blocks:
-        offsets.append((path, start, total - first))
-        total += n
-    table = scan.sparkSession.createDataFrame(offsets, "_path string, _start long, _shift long")
-    return (tagged.join(table, ["_path", "_start"])  # one row per file block
+    path = scratch_path(scan.sparkSession, "numbered")
+    scan.select("*", F.monotonically_increasing_id().alias("_id"),
+                F.col("_metadata.file_path").alias("_path"),
+                F.col("_metadata.file_block_start").alias("_start")).write.parquet(path)
+    tagged = scan.sparkSession.read.parquet(path)
+    # one row per file block
+    blocks = tagged.groupBy("_path", "_start").agg(F.min("_id").alias("_first"),
+                                                   F.count("*").alias("_n"))
+    before = Window.orderBy("_path", "_start").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("_path", "_start", (F.coalesce(F.sum("_n").over(before), F.lit(0))
+                                               - F.col("_first")).alias("_shift"))
+    return (tagged.join(blocks, ["_path", "_start"])
             .withColumn(row_id, F.col("_id") + F.col("_shift"))
             .drop("_path", "_start", "_id", "_shift"))
 

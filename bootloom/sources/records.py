@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 ENGINE_VERSION = "bootloom 0.1"
 
@@ -40,13 +40,33 @@ def append_records(records: DataFrame, path: str) -> None:
 
 
 def read_records(spark: SparkSession, path) -> DataFrame:
-    """Read a record file or folder with the fixed schema. Older field names are accepted; a
-    file without model folders gets a NULL model, one without seeds NULL seeds."""
+    """Read a record file or folder with the fixed schema; older field names are accepted.
+
+    Every record gets a (model, seed) of its own. Without a model it has the name of its file,
+    or of the folder where the file is one of several parts; without a seed it has a negative
+    number, unique in what is read but not the same from one reading to another.
+    """
     extra = [T.StructField(other, T.StringType()) for other in SYNONYMS.values()]
     raw = spark.read.schema(T.StructType(RECORD.fields + extra)).json(path)
-    return raw.select(*[
-        F.coalesce(f.name, SYNONYMS[f.name]).alias(f.name) if f.name in SYNONYMS else f.name
-        for f in RECORD.fields])
+    file = F.regexp_replace("_metadata.file_path", "/part-[^/]*$", "")
+    name = F.regexp_extract(file, r"([^/]+?)(?:\.[A-Za-z0-9]+)*/*$", 1)
+    number = -1 - F.monotonically_increasing_id()
+    own = {"model": F.when(F.col("model").isNotNull(), F.col("model")).when(F.lit(True), name),
+           "seed": F.when(F.col("seed").isNotNull(), F.col("seed")).when(F.lit(True), number)}
+    own |= {f: F.coalesce(f, other) for f, other in SYNONYMS.items()}
+    return raw.select(*[own.get(f.name, F.col(f.name)).alias(f.name) for f in RECORD.fields])
+
+
+def unique_records(records: DataFrame) -> DataFrame:
+    """The records, with an error in the plan where (model, seed) repeats or a seed is missing:
+    what is computed per replicate would mix them up."""
+    copies = F.count("*").over(Window.partitionBy("model", "seed"))
+    wrong = F.raise_error(F.concat(F.lit("records need a seed each, unique by model: "),
+                                   F.coalesce("model", F.lit("NULL")), F.lit(", "),
+                                   F.coalesce(F.col("seed").cast("string"), F.lit("NULL"))))
+    return records.withColumn("_copies", copies).withColumn("seed", F.when(
+        F.col("seed").isNull() | (F.col("_copies") > 1), wrong.cast("long")).otherwise(
+        F.col("seed"))).drop("_copies")
 
 
 def missing_seeds(spark: SparkSession, wanted: DataFrame, path: str) -> DataFrame:

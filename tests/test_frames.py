@@ -110,3 +110,17 @@ def test_wide_statistics_equal_narrow_ones(spark, monkeypatch):
 def test_empty_table_is_rejected(spark):
     with pytest.raises(ValueError, match="no rows"):
         frames.frame_stats(spark.createDataFrame([], "row_id long, a double"), ["a"])
+
+
+def test_rows_keep_their_numbers_when_splits_change(spark, tmp_path):
+    """Files are cut anew between reading and use; no row is lost or numbered otherwise."""
+    for k in range(3):
+        with open(tmp_path / f"part{k}.csv", "w") as f:
+            f.write("x\n" + "".join(f"{k * 20000 + i}\n" for i in range(20000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        df = frames.read_table(spark, str(tmp_path), schema="x long")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+        assert df.where("row_id = x").count() == 60000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)

@@ -4,11 +4,9 @@ import glob
 import os
 
 import duckdb
-import numpy as np
 import pytest
 
 import __spark_entry__ as e
-from bootloom.operators import resample as rs
 from tools.compare import differences
 
 ORACLES = e.own_oracles()
@@ -23,8 +21,7 @@ def db(sf_dir):
 
 
 def test_every_twin_has_a_query():
-    assert set(ORACLES) <= set(e.own_queries())
-    assert set(e.own_queries()) - set(ORACLES) == {"resample_numpy"}
+    assert set(ORACLES) == set(e.own_queries())
 
 
 @pytest.mark.parametrize("key", sorted(ORACLES))
@@ -32,11 +29,6 @@ def test_query_equals_its_twin(spark, sf_dir, db, key):
     assert differences(e.queries()[key](spark, sf_dir).toPandas(), db.execute(ORACLES[key]).df()) == ""
 
 
-def test_numpy_replay_query(spark, sf_dir):
-    got = e.resample_numpy(spark, sf_dir).groupBy("seed").agg({"w": "sum"}).collect()
-    assert sorted(map(tuple, got)) == [(s, 1200) for s in range(e.SEEDS)]
-
-
 def test_flagship(spark):
     row = e.entry(spark).first()
     assert row["model"] == "full" and 0.6 < row["r2_mean"] < 0.9

@@ -71,7 +71,7 @@ def test_plain_lines_with_older_names(spark, tmp_path):
     (tmp_path / "out.txt").write_text(text)
     rows = {r["seed"]: r for r in read_records(spark, str(tmp_path / "out.txt")).collect()}
     assert rows[4]["training_feats"] == "d.csv" and rows[4]["training_targets"] == "t.csv"
-    assert rows[4]["engine_version"] == "0.18" and rows[4]["model"] is None
+    assert rows[4]["engine_version"] == "0.18" and rows[4]["model"]
     assert rows[4]["cv"] is None and np.isnan(rows[5]["r2"])
 
 
@@ -86,3 +86,51 @@ def test_merge_into_one_file(spark, records, tmp_path):
 def test_json_text_has_every_field(records):
     for r in rec.as_json(records).collect():
         assert list(json.loads(r["record"])) == rec.RECORD.fieldNames()
+
+
+def seedless(spark, path):
+    """Records as written without seed and model, in two files and a folder of parts."""
+    import json
+    import os
+    x = [[0.0, 0.0, 1.0], [0.0, 0.0, 1.0], [2.0, 1.0, 3.0]]
+    os.makedirs(f"{path}/many")
+    for name, rows in (("one.txt", x[:2]), ("many/part-00000", x[:1]), ("many/part-00001", x[1:])):
+        with open(f"{path}/{name}", "w") as f:
+            f.writelines(json.dumps({"coef": r[:2], "intercept": r[2], "column_names": ["a", "b"]}) + "\n"
+                         for r in rows)
+    return rec.read_records(spark, [f"{path}/one.txt", f"{path}/many"])
+
+
+def test_seedless_records_are_replicates_of_their_own(spark, tmp_path, monkeypatch):
+    from bootloom.operators import score
+    records = seedless(spark, tmp_path)
+    assert sorted((r["model"], r["n"]) for r in records.groupBy("model").agg(
+        F.count_distinct("seed").alias("n")).collect()) == [("many", 3), ("one", 2)]
+    df = spark.createDataFrame([(i, float(i), float(i % 3), 5.0 + i, None) for i in range(20)],
+                               "row_id long, a double, b double, y double, unused double")
+    want = None
+    for limit in (64 << 20, 16):
+        monkeypatch.setattr(score, "SHIPPED_BYTES", limit)
+        for via in ("moments", "rows"):
+            got = sorted((r["model"], round(r["rmse"], 9)) for r in score.metric_dist(
+                records, df, "y", via=via).collect())
+            want = want or got
+            assert got == want and len(got) == 5
+        assert score.predict(records, df).count() == 100
+        assert score.bagged_predict(records, df).count() == 40
+
+
+def test_repeated_replicates_are_an_error(spark):
+    from bootloom.operators import score
+    from bootloom.operators.summary import compare_models
+    rows = [("m", 1, 0.0, [1.0], ["a"]), ("m", 1, 1.0, [1.0], ["a"])]
+    df = spark.createDataFrame([(0, 1.0, 2.0), (1, 2.0, 3.0)], "row_id long, a double, y double")
+    for some in (rows, [("m", None, *rows[0][2:])]):
+        records = spark.createDataFrame(
+            some, "model string, seed long, intercept double, coef array<double>, column_names array<string>")
+        for run in (lambda: score.metric_dist(records, df, "y").count(), lambda: score.predict(records, df).count()):
+            with pytest.raises(Exception, match="records need a seed each"):
+                run()
+    metrics = spark.createDataFrame([("a", 1, 0.5), ("a", 1, 0.6), ("b", 1, 0.1)], "model string, seed long, r2 double")
+    with pytest.raises(Exception, match="one value for each"):
+        compare_models(metrics, "a", "b").collect()

@@ -190,3 +190,12 @@ def test_bucket_size_grows_with_the_data_not_without_bound():
     assert index.rows_per_bucket(10 ** 6, 4096) == 4096
     assert index.rows_per_bucket(10 ** 12, 4096) == -(-10 ** 12 // 2 ** 20)
     assert FrameStats(1, 0, 0, {}).centres([]) == []
+
+
+@pytest.mark.parametrize("wanted", [1, 64, 1 << 14])
+def test_hashed_ids_have_positions(spark, wanted):
+    """Ids over all 64 bits, with both ends."""
+    df = spark.range(3000).selectExpr("xxhash64(id) AS row_id").unionByName(spark.createDataFrame(
+        [(-(1 << 63),), ((1 << 63) - 1,)], "row_id long"))
+    got = index.dense_index(df, stats_of(df), wanted=wanted).orderBy("row_id").collect()
+    assert [r["position"] for r in got] == list(range(3002))

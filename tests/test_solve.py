@@ -121,6 +121,23 @@ def test_collinear_lasso_still_meets_its_conditions():
                       rtol=1e-5)
 
 
+def test_nearly_collinear_lasso_is_right_or_an_error(monkeypatch):
+    rng = np.random.default_rng(60)
+    base = rng.normal(size=400)
+    x = base[:, None] + 1e-5 * rng.normal(size=(400, 60))
+    y = x @ rng.normal(size=60) * 100 + rng.normal(size=400)
+    block = solve.Block.of(gram(x, y))
+    for sweeps in (50, 400):
+        monkeypatch.setattr(solve, "SWEEPS", sweeps)
+        try:
+            b = solve.fit_lasso(block, 1e-6)
+        except ArithmeticError as e:
+            assert "not converged" in str(e)
+        else:
+            slope = block.xy - block.xx @ b
+            assert np.all(np.abs(slope) <= 1e-6 * block.n * 1.01 + 1e-9 * np.sqrt(np.diag(block.xx) * block.yy))
+
+
 def test_columns_that_vanish_from_a_resample_get_zero():
     x, y = sample(9)
     x = np.column_stack([x, (np.arange(len(y)) < 3).astype(float)])
