@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
@@ -10,7 +11,7 @@ from ..operators import moments as mom, solve
 from ..operators.resample import EXACT, SAMPLINGS, seed_list
 from ..sources.frames import (ROW_ID, TEST_COLUMN, FrameStats, feature_names, frame_stats,
                               split_rows)
-from ..sources.records import ENGINE_VERSION, RECORD, append_records, missing_seeds
+from ..sources.records import ENGINE_VERSION, RECORD, append_records, missing_seeds, read_records
 
 
 @dataclass(frozen=True)
@@ -95,11 +96,22 @@ def to_records(run: Prepared, training_feats: str | None = None,
         "training_targets": F.lit(training_targets).cast("string"),
         "cv": F.when(F.col("model").isin(ridge), F.lit(run.k)),
         "engine_version": F.lit(ENGINE_VERSION),
+        "settings": F.coalesce(*[F.when(F.col("model") == name, F.lit(settings(run, name)))
+                                 for name in run.models]),
     }
     return run.solved().select(*[given[f.name].alias(f.name) if f.name in given else f.name
                                  for f in RECORD.fields])
 
 
+def settings(run: Prepared, name: str) -> str:
+    """What decides a record besides its seed: records with other settings don't belong to the
+    same run."""
+    method, features, alphas = run.models[name]
+    return json.dumps({"method": method, "features": features, "target": run.columns[-1],
+                       "alphas": list(alphas) if method != solve.LINEAR else [], "k": run.k,
+                       "sampling": run.sampling, "n": run.stats.n})
+
+
 def cv_path(run: Prepared) -> DataFrame:
     """(model, seed, alpha, fold, mse, r2): held-out errors of every penalty and fold."""
     return run.solved().select("model", "seed", F.explode("path").alias("p")).select(
@@ -109,7 +121,10 @@ def cv_path(run: Prepared) -> DataFrame:
 def extend_run(df: DataFrame, target: str, models: dict[str, Model], path: str, *,
                n_boot: int, seed_start: int = 0, **options) -> int:
     """Fit only the (model, seed) pairs a record folder does not hold and append them, so a
-    run can be repeated or continued. Returns the number of records added."""
+    run can be repeated or continued. Returns the number of records added.
+
+    Records of a model of the same name that were fitted with other features, penalties, folds,
+    sampling or number of rows are an error; records without settings are taken as they are."""
     spark = df.sparkSession
     wanted = spark.createDataFrame(
         [(m, s) for m in models for s in seed_list(seed_start, n_boot)], "model string, seed long")
@@ -119,6 +134,14 @@ def extend_run(df: DataFrame, target: str, models: dict[str, Model], path: str,
         if "PATH_NOT_FOUND" not in str(e):
             raise
         todo = wanted.collect()
+    else:
+        plain = {k: v for k, v in options.items() if not k.startswith("training_")}
+        run = prepare(df, target, models, n_boot=1, **plain)
+        held = read_records(spark, path).where(F.col("model").isin(list(models))).select(
+            "model", "settings").where("settings IS NOT NULL").distinct().collect()
+        other = sorted({r["model"] for r in held if r["settings"] != settings(run, r["model"])})
+        if other:
+            raise ValueError(f"{path} holds records of {other} that were fitted with other settings")
     # Models that lack the same seeds go through the data together.
     lacking: dict[tuple, list[str]] = {}
     for name in models:

@@ -22,6 +22,7 @@ RECORD = T.StructType([
     T.StructField("coef", _NUMBERS),
     T.StructField("intercept", T.DoubleType()),
     T.StructField("column_names", T.ArrayType(T.StringType())),
+    T.StructField("settings", T.StringType()),  # what the fit was asked for, as JSON
 ])
 
 # Other names a record may use for the same field.

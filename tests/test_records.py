@@ -62,6 +62,14 @@ def test_extending_a_run_fits_only_what_is_missing(spark, orders, tmp_path):
     assert joined.where("abs(x.intercept - y.intercept) > 1e-6 * abs(y.intercept)").count() == 0
 
 
+def test_a_run_is_not_extended_with_other_settings(spark, orders, tmp_path):
+    path = str(tmp_path / "out")
+    extend_run(orders, "y", {"a": MODELS["a"]}, path, n_boot=1)
+    for models, options in (({"a": Model("lasso", ("qty",), (500.0,))}, {}), ({"a": MODELS["a"]}, {"k": 4})):
+        with pytest.raises(ValueError, match="other settings"):
+            extend_run(orders, "y", models, path, n_boot=2, **options)
+
+
 def test_plain_lines_with_older_names(spark, tmp_path):
     """One text file, no model folders, other field names, gaps and NaN, ignored extras."""
     line = {"alpha": 0.1, "random_state": None, "training_data": "d.csv", "training_labels": "t.csv",

@@ -13,7 +13,7 @@ def make_records(spark, rows):
     """(model, seed, intercept, {feature: coef}) -> records."""
     return spark.createDataFrame(
         [(m, s, None, None, None, None, None, None, None, None, list(map(float, c.values())),
-          float(b0), list(c)) for m, s, b0, c in rows], RECORD)
+          float(b0), list(c), None) for m, s, b0, c in rows], RECORD)
 
 
 @pytest.fixture(scope="module")
