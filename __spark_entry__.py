@@ -93,7 +93,7 @@ def _coefs(spark, d, models):
 # ------------------------------------------------------------------ sources, splits
 
 def load_align(spark, d):
-    """Features and target through CSV files with a saved, blank-named index column."""
+    """Features and target through CSV files with a saved index column."""
     base = scratch_path(spark, "csv")
     table = _orders(spark, d).withColumnRenamed("row_id", " ")
     table.drop("y").withColumnRenamed(" ", "Unnamed: 0").write.option("header", True).csv(
@@ -102,7 +102,8 @@ def load_align(spark, d):
         f"{base}/target.csv")
     df = frames.align(frames.read_table(spark, f"{base}/feats.csv"),
                       frames.read_table(spark, f"{base}/target.csv"))
-    return _money(df).join(df.select("row_id", F.col("test_set").cast("int")), "row_id")
+    return df.select("row_id", "qty", "lines", F.round("disc", 9).alias("disc"),
+                     F.round("y", 6).alias("y"), F.col("test_set").cast("int"))
 
 
 def split_query(flag):

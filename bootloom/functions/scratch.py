@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _folders: dict[tuple[str, str], str] = {}
 _local: list[str] = []
@@ -32,3 +32,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         files.mkdirs(path)
         files.deleteOnExit(path)
     return f"{_folders[base, application]}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The rows in a written table of their own: what is behind them runs once."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def computed_once(df: DataFrame, name: str = "rows") -> DataFrame:
+    """`df` itself if it is stored rows under filters and projections, which each pass may read anew;
+    else (joins, aggregations, several inputs) its rows in a written table."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() in ("Project", "Filter"):
+        plan = plan.children().head()
+    return staged(df, name) if plan.children().size() else df

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..sources.frames import ROW_ID, FrameStats, packed, unpacked
-from .resample import POISSON, poisson_array_weights, with_draws
+from .resample import POISSON, bundles, cell_size, poisson_array_weights, unbundled, with_draws
 
 BLOCK = 64
 # Up to this many columns the products z_i z_j are laid out once and all weights are applied
@@ -97,18 +97,22 @@ def moments(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list[in
     """The moment table of every (seed, fold) over `columns` (features, then target).
 
     All seeds go in one pass over the data unless the Gram matrices of that many would not
-    fit in a task; very wide models go over it in several batches of seeds.
+    fit in a task. Then the rows are still shuffled once: they are written with their draws, and a
+    task takes its share of them through the seeds in batches. Poisson weights, which move no
+    rows, go over the table once for each batch.
     """
     centres = stats.centres(columns)
     at_once = max(1, PARTIAL_BYTES // (k * (len(columns) + 1) ** 2 * 8))
-    partial = None
-    for s in range(0, len(seeds), at_once):
-        batch = seeds[s:s + at_once]
-        if sampling == POISSON:
+    batches = [seeds[s:s + at_once] for s in range(0, len(seeds), at_once)]
+    if sampling == POISSON:
+        partial = None
+        for batch in batches:
             part = _poisson_partials(df, columns, centres, batch, k, row_id)
-        else:
-            part = _drawn_partials(df, stats, columns, centres, batch, k, sampling, row_id)
-        partial = part if partial is None else partial.unionByName(part)
+            partial = part if partial is None else partial.unionByName(part)
+    elif len(batches) == 1:
+        partial = _drawn_partials(df, stats, columns, centres, seeds, k, sampling, row_id)
+    else:
+        partial = _bundled_partials(df, stats, columns, centres, batches, k, sampling, row_id)
     return partial.groupBy("seed", "fold", "i", "j0").agg(
         *[F.sum(f"g{b}").alias(f"g{b}") for b in range(block_width(len(columns)))])
 
@@ -126,6 +130,28 @@ def _drawn_partials(df, stats, columns, centres, seeds, k, sampling, row_id) ->
     return with_draws(df, stats, columns, seeds, k, sampling, reduce, _schema(len(columns)), row_id)
 
 
+def _bundled_partials(df, stats, columns, centres, batches, k, sampling, row_id) -> DataFrame:
+    """Partial Gram matrices per task, a batch of seeds at a time. A task keeps its share of the
+    written table, which is a file split."""
+    m, n, size = len(columns), stats.n, cell_size(stats.n)
+
+    def reduce(share):
+        share = [b for b in share if b.num_rows]
+        for seeds in batches if share else []:
+            place = {s: i for i, s in enumerate(seeds)}
+            total = np.zeros((len(seeds), k, m + 1, m + 1))
+            for batch in share:
+                for x, weights in unbundled(batch, m, n, k, size, sampling, seeds):
+                    grams = _Grams(design(x, centres))
+                    for chunk, w in weights:
+                        total[[place[s] for s in chunk]] += grams.under(
+                            w.reshape(-1, len(x))).reshape(len(chunk), k, m + 1, m + 1)
+            yield from _long(seeds, total).to_batches(max_chunksize=1 << 14)
+
+    every = [s for batch in batches for s in batch]
+    return bundles(df, stats, columns, every, k, sampling, row_id).mapInArrow(reduce, _schema(m))
+
+
 def _poisson_partials(df, columns, centres, seeds, k, row_id) -> DataFrame:
     """Partial Gram matrices per task, without moving a row."""
     q = len(columns) + 1

@@ -20,9 +20,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions import hashing
+from ..functions.scratch import staged
 from ..sources.frames import ROW_ID, FrameStats, packed, unpacked
 from .index import BUCKET, bucket_rows, bucket_table
 
@@ -235,16 +237,15 @@ def bucket_goal(spark: SparkSession, n: int, columns: int, blocks: int) -> int:
     return max(min(goal, idle), MIN_CELL // 2)
 
 
-def with_draws(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list[int], k: int,
-               sampling: str, function, schema: str, row_id: str = ROW_ID) -> DataFrame:
+def _meet(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list[int], k: int,
+          sampling: str, blocks: int, row_id: str, function, schema: str) -> DataFrame:
     """Bring the rows of each bucket and the draws that hit it together, and apply
-    ``function(ids, x, weights)`` to both: the ids and columns of the rows in position order
-    and an iterator of (seeds, W[seed, fold, row])."""
+    ``function(ids, x, draws)`` to both: ids and columns in position order, and a table."""
     spark, n = df.sparkSession, stats.n
-    goal = bucket_goal(spark, n, len(columns), len(seeds) * k)
+    goal = bucket_goal(spark, n, len(columns), blocks)
     bucketed = bucket_rows(df.select(F.col(row_id).cast("long").alias(row_id),
                                      *packed(columns)), stats, goal, row_id)
-    buckets = bucket_table(bucketed, row_id)
+    buckets = bucket_table(bucketed, stats, row_id)
     size = cell_size(n)
     cells = buckets.select(
         F.col(BUCKET).alias("hit_bucket"), F.col("_offset").alias("offset"),
@@ -255,14 +256,12 @@ def with_draws(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list
     if sampling == EXACT:
         draws = (cell_counts(spark, seeds, n, k).join(cells, "cell")
                  .select("hit_bucket", "offset", "seed", "cell", "fold", "n_draws"))
-        weigh = _cell_weights
     else:
         draws = (numpy_draws(spark, seeds, n, k)
                  .withColumn("cell", F.expr(f"cast(position div {size} as int)"))
                  .join(cells, "cell")
                  .where("position between offset and offset + n_rows - 1")
                  .select("hit_bucket", "offset", "seed", "fold", "position"))
-        weigh = _position_weights
 
     def apply(rows: pa.Table, draws: pa.Table) -> pa.Table:
         if rows.num_rows == 0 or draws.num_rows == 0:
@@ -271,9 +270,7 @@ def with_draws(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list
         order = np.argsort(ids)
         if not np.all(np.diff(ids[order])):
             raise ValueError(f"{row_id} is not unique")
-        x = unpacked(rows, len(columns))[order] if columns else None
-        offset = draws["offset"][0].as_py()
-        return function(ids[order], x, weigh(draws, n, k, size, offset, len(ids)))
+        return function(ids[order], unpacked(rows, len(columns))[order] if columns else None, draws)
 
     out_schema = _arrow_schema(schema)
     return (bucketed.repartition(tasks, BUCKET).groupBy(BUCKET)
@@ -281,8 +278,54 @@ def with_draws(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list
             .applyInArrow(apply, schema))
 
 
+def _weigh(sampling: str, draws: pa.Table, n: int, k: int, size: int, rows: int):
+    """Weights of a bucket of `rows` rows from its draws in cells of a size."""
+    weights = _cell_weights if sampling == EXACT else _position_weights
+    return weights(draws, n, k, size, draws["offset"][0].as_py(), rows)
+
+
+def with_draws(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list[int], k: int,
+               sampling: str, function, schema: str, row_id: str = ROW_ID) -> DataFrame:
+    """Apply ``function(ids, x, weights)`` to each bucket: the ids and columns of its rows in
+    position order and an iterator of (seeds, W[seed, fold, row])."""
+    n, size = stats.n, cell_size(stats.n)
+
+    def weighed(ids, x, draws) -> pa.Table:
+        return function(ids, x, _weigh(sampling, draws, n, k, size, len(ids)))
+
+    return _meet(df, stats, columns, seeds, k, sampling, len(seeds) * k, row_id, weighed, schema)
+
+
+def bundles(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list[int], k: int,
+            sampling: str, row_id: str = ROW_ID) -> DataFrame:
+    """The buckets with their draws in a written table, one row of a few MB each, for work that
+    goes over them more than once. `unbundled` takes them apart."""
+    def bundle(ids, x, draws) -> pa.Table:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, draws.schema) as out:
+            out.write_table(draws)
+        return pa.table([pa.array([np.ascontiguousarray(x).tobytes()], pa.binary()),
+                         pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["x", "draws"])
+
+    return staged(_meet(df, stats, columns, seeds, k, sampling, 0, row_id, bundle,
+                        "x binary, draws binary"), "bundles")
+
+
+def unbundled(batch, columns: int, n: int, k: int, size: int, sampling: str, seeds: list[int]
+              ) -> Iterator[tuple[np.ndarray, Iterator]]:
+    """(x, weights) of each bundle of an Arrow batch, weights for some of the seeds only; `size` is
+    the `cell_size` the draws were counted with."""
+    wanted = pa.array(seeds, pa.int64())
+    for x, draws in zip(batch.column("x"), batch.column("draws")):
+        x = np.frombuffer(x.as_buffer()).reshape(-1, columns)
+        draws = pa.ipc.open_stream(draws.as_buffer()).read_all()
+        draws = draws.filter(pc.is_in(draws["seed"], value_set=wanted))
+        if draws.num_rows:
+            yield x, _weigh(sampling, draws, n, k, size, len(x))
+
+
 def _arrow_schema(ddl: str) -> pa.Schema:
-    kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64()}
+    kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "binary": pa.binary()}
     return pa.schema([(name, kinds[kind]) for name, kind in
                       (f.strip().split(" ") for f in ddl.split(","))])
 

@@ -16,7 +16,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.scratch import scratch_path
+from ..functions.scratch import computed_once, staged
 from ..sources.frames import ROW_ID, frame_stats, packed, unpacked
 from ..sources.records import unique_records
 from .moments import plain_moments
@@ -77,10 +77,8 @@ def replicates(records: DataFrame, features: list[str] | None = None,
 
 def _kept(records: DataFrame) -> DataFrame:
     """The records in a table of their own; repeated or missing seeds are an error."""
-    path = scratch_path(records.sparkSession, "records")
-    unique_records(records.select("model", "seed", "intercept", "coef", "column_names")
-                   ).write.parquet(path)
-    return records.sparkSession.read.parquet(path)
+    return staged(unique_records(records.select("model", "seed", "intercept", "coef", "column_names")),
+                  "records")
 
 
 def _replicates(group, rows: pd.DataFrame) -> Replicates:
@@ -196,6 +194,8 @@ def metric_dist(records: DataFrame, df: DataFrame, target: str,
         raise ValueError(f"records have other features: {sorted(used - set(features))}")
     features = sorted(used)
     _need(df, features + [target])
+    ids = [row_id] if row_id in df.columns else []
+    df = computed_once(df.select(*[f"`{c}`" for c in [*ids, *features, target]]))
     if via is None:
         via = "moments" if len(features) <= GRAM_FEATURES else "rows"
     if via == "moments":

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.scratch import computed_once
 from ..operators import moments as mom, solve
 from ..operators.resample import EXACT, SAMPLINGS, seed_list
 from ..sources.frames import (ROW_ID, TEST_COLUMN, FrameStats, feature_names, frame_stats,
@@ -70,8 +71,8 @@ def prepare(df: DataFrame, target: str, models: dict[str, Model] | None = None,
     wanted = {f for m in resolved.values() for f in m[1]}
     columns = [f for f in every if f in wanted] + [target]
     marker = [TEST_COLUMN] if TEST_COLUMN in df.columns else []
-    rows = split_rows(df.select(F.col(row_id).cast("long").alias(row_id),
-                                *[f"`{c}`" for c in columns], *marker), split)
+    rows = computed_once(split_rows(df.select(F.col(row_id).cast("long").alias(row_id),
+                                              *[f"`{c}`" for c in columns], *marker), split))
     stats = frame_stats(rows, columns, row_id)
     return Prepared(rows, stats, columns, resolved, seeds, k, sampling, row_id)
 

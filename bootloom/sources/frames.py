@@ -70,18 +70,27 @@ def align(features: DataFrame, target: DataFrame, row_id: str = ROW_ID,
           check: bool = True) -> DataFrame:
     """Join the target to the features one to one on ``row_id``.
 
-    ``check`` verifies in one aggregation that every id occurs exactly once on both sides.
+    ``check`` verifies that every id occurs exactly once on both sides. Either side is grouped by id,
+    and the join needs that same grouping, so both are shuffled once; an id that is missing or
+    repeated fails the job that reads the rows.
     """
-    if check:
-        sides = features.select(row_id, F.lit(1).alias("f"), F.lit(0).alias("t")).unionByName(
-            target.select(row_id, F.lit(0).alias("f"), F.lit(1).alias("t")))
-        bad = (sides.groupBy(row_id).agg(F.sum("f").alias("f"), F.sum("t").alias("t"))
-               .where("f <> 1 or t <> 1")
-               .agg(F.count("*").alias("n"), F.min(row_id).alias("first")).first())
-        if bad["n"]:
-            raise ValueError(f"features and target do not match one to one: {bad['n']} row ids "
-                             f"missing or repeated, the first is {bad['first']}")
-    return features.join(target, row_id)
+    if not check:
+        return features.join(target, row_id)
+
+    def single(df, side):
+        """One row per id: how many there were, and the other columns of one of them."""
+        others = [f"`{c}`" for c in df.columns if c != row_id]
+        return df.groupBy(row_id).agg(F.count("*").alias(f"_n_{side}"),
+                                      F.first(F.struct(F.lit(1).alias("_there"), *others)).alias(f"_{side}"))
+
+    joined = single(features, "features").join(single(target, "target"), row_id, "full")
+    wrong = F.raise_error(F.concat(
+        F.lit(f"features and target do not match one to one: {row_id} "),
+        F.coalesce(F.col(row_id).cast("string"), F.lit("NULL")), F.lit(" is missing or repeated")))
+    fits = (F.col("_n_features") == 1) & (F.col("_n_target") == 1) & F.col(row_id).isNotNull()
+    return joined.where(F.when(fits, True).otherwise(wrong.cast("boolean"))).select(
+        row_id, *[F.col(f"_{side}")[c].alias(c) for side, df in (("features", features), ("target", target))
+                  for c in df.columns if c != row_id])
 
 
 def split_rows(df: DataFrame, split: str = "train") -> DataFrame:

@@ -65,8 +65,15 @@ def test_align_joins_one_to_one(spark):
 def test_align_rejects_missing_and_repeated_ids(spark, ids):
     feats = spark.createDataFrame([(0, 1.0), (1, 2.0)], "row_id long, a double")
     target = spark.createDataFrame([(i, 1.0) for i in ids], "row_id long, y double")
-    with pytest.raises(ValueError, match="one to one"):
-        frames.align(feats, target)
+    for columns in (["row_id", "a", "y"], ["a"]):  # also where only some columns are read
+        with pytest.raises(Exception, match="one to one"):
+            frames.align(feats, target).select(*columns).collect()
+
+
+def test_align_shuffles_each_side_once(spark, monkeypatch):
+    sides = [spark.range(50).selectExpr("id AS row_id", f"id * 1.0D AS {c}") for c in "ay"]
+    plan = frames.align(*sides)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
 
 
 def test_split(spark):

@@ -26,9 +26,40 @@ def run(stored, **options):
 
 def test_scans_are_pruned_and_filtered(stored):
     plan = plan_of(run(stored).moments())
-    schemas = re.findall(r"ReadSchema: struct<([^>]*)", plan)
-    assert sorted(len(s.split(",")) for s in schemas) == [2, 5]  # ids only, and the columns used
-    assert plan.count("EqualTo(test_set,0)") == len(schemas) == 2
+    schemas = [s for s in re.findall(r"ReadSchema: struct<([^>]*)", plan) if "_bucket" not in s and "_range" not in s]
+    assert [len(s.split(",")) for s in schemas] == [5]  # the columns used
+    assert plan.count("EqualTo(test_set,0)") == 1
+
+
+def test_a_derived_input_is_computed_once(spark, sf_dir, monkeypatch):
+    """One job over lineitem for the fit and one for scoring; the rest reads what they wrote."""
+    from bootloom.functions import scratch
+    from bootloom.plans import tables
+    orders, written = tables.orders_reg(spark, sf_dir), []
+    staged = scratch.staged
+    monkeypatch.setattr(scratch, "staged", lambda df, name: written.append(
+        (name, plan_of(df).count("lineitem.parquet"))) or staged(df, name))
+    prepared = prepare(orders, "y", {"m": Model("lasso", ("qty", "disc"), (5.0,))}, n_boot=3)
+    records = fit.to_records(prepared)
+    metrics = metric_dist(records, split_rows(orders, "test"), "y")
+    assert "lineitem.parquet" not in plan_of(records) + plan_of(metrics)
+    assert [name for name, scans in written if scans] == ["rows", "rows"]
+
+
+def test_stored_inputs_are_not_copied(stored, monkeypatch):
+    from bootloom.functions import scratch
+    monkeypatch.setattr(scratch, "staged", None)
+    assert scratch.computed_once(split_rows(stored, "train").select("row_id", "qty")) is not None
+
+
+def test_wide_moments_shuffle_the_rows_once(stored, monkeypatch):
+    from bootloom.operators import moments, resample
+    plans, staged = [], resample.staged
+    monkeypatch.setattr(moments, "PARTIAL_BYTES", 1)   # a batch for every seed
+    monkeypatch.setattr(resample, "staged", lambda df, name: plans.append(plan_of(df)) or staged(df, name))
+    plan = plan_of(run(stored).moments())
+    assert len(plans) == 1 and plans[0].count("REPARTITION_BY_NUM") == 2   # rows, counts of draws
+    assert len(re.findall("Exchange ", plan)) == 1                         # partial Gram matrices
 
 
 def test_rows_are_shuffled_once_and_draws_never(stored):

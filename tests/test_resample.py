@@ -59,7 +59,7 @@ def test_dense_index_is_the_rank(spark, layout):
 @pytest.mark.parametrize("layout", ["outlier", "clusters", "random"])
 def test_no_bucket_is_overfull(spark, layout):
     df = ids_frame(spark, LAYOUTS[layout])
-    buckets = index.bucket_table(index.bucket_rows(df, stats_of(df), 256))
+    buckets = index.bucket_table(index.bucket_rows(df, stats_of(df), 256), stats_of(df))
     assert buckets.agg(F.max("_bucket_rows")).first()[0] <= 4 * 256
 
 
@@ -186,12 +186,25 @@ def test_task_numbers_are_bounded(spark):
     assert rs.task_count(spark, 10 ** 4, 3, 5) == 5
 
 
-def test_bucket_size_grows_with_the_data_not_without_bound():
-    assert index.rows_per_bucket(10 ** 6, 4096) == 4096
-    assert index.rows_per_bucket(10 ** 12, 4096) == -(-10 ** 12 // 2 ** 20)
+@pytest.mark.parametrize("n", [10 ** 6, 10 ** 12, 10 ** 15])
+def test_rows_of_a_bucket_do_not_grow_with_the_data(n):
+    assert 2048 <= 1 << index._shift_for(n, 0, n - 1, 4096) <= 4096
+    assert 2048 <= n / (1 << 63) * (1 << index._shift_for(n, 0, (1 << 63) - 1, 4096)) <= 4096
     assert FrameStats(1, 0, 0, {}).centres([]) == []
 
 
+def test_buckets_that_are_split_again_and_again_keep_their_order(spark):
+    """Clusters in clusters: every splitting leaves a part too full."""
+    ids = sorted({-(1 << 62), (1 << 62) + 5, *range(3000), *range(1 << 40, (1 << 40) + 2000),
+                  *range(-(1 << 20), -(1 << 20) + 900)})
+    df = ids_frame(spark, ids)
+    buckets = index.bucket_table(index.bucket_rows(df, stats_of(df), 64), stats_of(df)).collect()
+    assert max(b["_bucket_rows"] for b in buckets) <= 4 * 64
+    assert sum(b["_bucket_rows"] for b in buckets) == len(ids)
+    got = index.dense_index(df, stats_of(df), wanted=64).orderBy("row_id").collect()
+    assert [(r["row_id"], r["position"]) for r in got] == [(x, i) for i, x in enumerate(ids)]
+
+
 @pytest.mark.parametrize("wanted", [1, 64, 1 << 14])
 def test_hashed_ids_have_positions(spark, wanted):
     """Ids over all 64 bits, with both ends."""
