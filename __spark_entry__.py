@@ -43,6 +43,9 @@ RIDGE = Model("ridge", FULL)
 LINEAR = Model("linear", FULL)
 FAMILY = {"reduced": REDUCED, "pair": Model("lasso", ("qty", "lines"), GRID), "full": LASSO,
           "ridge": RIDGE, "linear": LINEAR}
+ONE_HOT = ("qty", "orderstatus_F", "orderstatus_O")
+ONE_HOT_ALPHAS = (5.0, 1e4, 1e5)
+COLLINEAR = Model("linear", (*ONE_HOT, "orderstatus_P"))
 PART = {"part": Model("lasso", ("partkey", "size"), PART_ALPHAS)}
 
 
@@ -249,6 +252,36 @@ def fit_r2(spark, d):
     return _records(spark, d, FAMILY).select("model", "seed", F.round("r2", 8).alias("r2"))
 
 
+def fit_lasso_default(spark, d):
+    """The default penalties."""
+    return _coefs(spark, d, {"lasso": Model("lasso", FULL)})
+
+
+# ------------------------------------------------------------------ one-hot features
+
+def _wide_records(spark, d, model):
+    return fit.fit_bootstrap(tables.orders_wide(spark, d), "y", {"wide": model}, n_boot=SEEDS)
+
+
+def fit_r2_wide(spark, d):
+    """All levels of a column, which are collinear with the intercept: R^2 is that of all but one."""
+    return _wide_records(spark, d, COLLINEAR).select(
+        "model", "seed", F.size("coef").alias("n_features"), F.round("r2", 8).alias("r2"))
+
+
+def metrics_wide(spark, d):
+    """Predictions of the collinear fit on the test rows."""
+    return _rounded(score.metric_dist(_wide_records(spark, d, COLLINEAR),
+                                      split_rows(tables.orders_wide(spark, d), "test"), "y"), rmse=4, r2=8)
+
+
+def feature_match_wide(spark, d):
+    """Selection frequencies of the columns that a category was spread over."""
+    records = _wide_records(spark, d, Model("lasso", ONE_HOT, ONE_HOT_ALPHAS))
+    freq = summary.selection_freq(summary.coef_table(records))
+    return _rounded(summary.feature_match(freq, "orderstatus_"), p_nonzero=9).drop("is_intercept")
+
+
 # ------------------------------------------------------------------ analysis
 
 def coef_table(spark, d):
@@ -370,7 +403,11 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fit_linear_1d": fit_1d(Model("linear", ("qty",))),
         "fit_lasso": fit_lasso,
         "fit_lasso_1d": fit_1d(REDUCED),
+        "fit_lasso_default": fit_lasso_default,
         "fit_ridge": fit_ridge,
+        "fit_r2_wide": fit_r2_wide,
+        "metrics_wide": metrics_wide,
+        "feature_match_wide": feature_match_wide,
         "cv_path": cv_path,
         "cv_path_1d": cv_path_1d,
         "best_alpha": best_alpha,
@@ -468,6 +505,12 @@ def own_oracles() -> dict[str, str]:
             f"FROM ({parts.long('part', ('partkey', 'size'))}) GROUP BY ALL")
     plain = f"SELECT model, feature, p_nonzero FROM ({freq}) WHERE NOT is_intercept"
 
+    default = o.Sql().moments().fit("default", "lasso", FULL, o.LASSO_DEFAULT)
+    wide = o.Sql(o.ORDERS_ONE_HOT, ONE_HOT).moments().fit("wide", "linear", ONE_HOT, ())
+    wide_lasso = o.Sql(o.ORDERS_ONE_HOT, ONE_HOT).moments().fit("wide", "lasso", ONE_HOT, ONE_HOT_ALPHAS)
+    wide_scored = o.Sql(o.ORDERS_ONE_HOT, ONE_HOT).moments().fit("wide", "linear", ONE_HOT, ()).metrics(
+        {"wide": ONE_HOT})
+
     z = list(UNITS)
     mo = o.Sql().moments()
     gram = union(
@@ -528,6 +571,16 @@ def own_oracles() -> dict[str, str]:
         "fit_lasso": coefs("full", "lasso"),
         "fit_lasso_1d": one(only["reduced"], "reduced"),
         "fit_ridge": coefs("ridge", "ridge"),
+        "fit_lasso_default": default.select(
+            "SELECT model, seed, feature, round(coef, 3) AS coef FROM "
+            f"({default.long('default', FULL, 'lasso')})"),
+        "fit_r2_wide": wide.select("SELECT 'wide' AS model, seed, 4::INTEGER AS n_features, "
+                                   "round(r2, 8) AS r2 FROM score_wide"),
+        "metrics_wide": wide_scored.select("SELECT model, seed, round(rmse, 4) AS rmse, "
+                                           "round(r2, 8) AS r2 FROM metrics"),
+        "feature_match_wide": wide_lasso.select(
+            "SELECT model, feature, round(avg((coef <> 0)::INTEGER), 9) AS p_nonzero FROM "
+            f"({wide_lasso.long('wide', ONE_HOT)}) WHERE feature LIKE 'orderstatus_%' GROUP BY ALL"),
         "cv_path": fitted.select(paths(("full", "ridge"))),
         "cv_path_1d": fitted.select(paths(("reduced",))),
         "best_alpha": fitted.select(union(f"SELECT '{n}' AS model, seed, alpha FROM best_{n}"

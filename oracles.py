@@ -24,10 +24,16 @@ ORDERS_REG = """
            sum(l_extendedprice * (1 - l_discount) * (1 + l_tax)) AS y
     FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey"""
 
+ORDERS_ONE_HOT = f"""
+  SELECT r.*, (o_orderstatus = 'F')::INTEGER::DOUBLE AS "orderstatus_F",
+         (o_orderstatus = 'O')::INTEGER::DOUBLE AS "orderstatus_O"
+  FROM ({ORDERS_REG}) r JOIN orders ON o_orderkey = row_id"""
+
 PART_LINE = """
   SELECT p_partkey AS row_id, p_partkey::DOUBLE AS partkey, p_size::DOUBLE AS size,
          p_retailprice AS y, 0 AS test_set FROM part"""
 
+LASSO_DEFAULT = (0.05, 0.1, 0.2)
 LASSO_GRID = (5.0, 500.0, 5000.0)
 RIDGE_GRID = (1e-5, 1e-4, 1e-3, 1e-2, 0.1, 1.0, 10.0, 100.0, 1000.0, 10000.0)
 
