@@ -3,7 +3,9 @@
 Every text has a vector of transformed statistics. Location and scatter of its language and source
 come from the three quarters of its vectors that have the smallest covariance determinant, found by
 concentration steps from the medians, each of them one sum over all rows by group and distance
-class. Vectors that are too far by their Mahalanobis distance are rejected.
+class. A share or mean that is taken over few words or lines is known less well than one over many:
+the scatter a text is held against is the one between texts and the counting error of the text's own
+statistics. Vectors that are too far by their Mahalanobis distance are rejected.
 """
 
 from __future__ import annotations
@@ -28,26 +30,34 @@ STEPS = 6
 GROUP = 200         # rows of a group with own estimates; smaller ones are pooled by language, then over all
 ALONE = 30          # a pool with fewer rows rejects nothing
 BINS = 8            # distance classes for each doubling of 1 + squared distance
-FEATURES = {        # transformed statistic: SQL and the least standard deviation it is held to have
-    "x0": ("ln(word_chars / n_words)", 0.10),
-    "x1": ("sqrt(n_symbols / word_chars)", 0.05),
-    "x2": ("sqrt(n_dup_lines / greatest(n_lines, 1))", 0.15),
-    "x3": ("sqrt(n_repeat_words / n_words)", 0.15),
-    "x4": ("ln(n_words)", 0.50),
+FEATURES = {        # transformed statistic
+    "x0": "ln(word_chars / n_words)",
+    "x1": "sqrt(n_symbols / word_chars)",
+    "x2": "sqrt(n_dup_lines / greatest(n_lines, 1))",
+    "x3": "sqrt(n_repeat_words / n_words)",
+    "x4": "ln(n_words)",
 }
+# Variance of each statistic by counting alone: that of ln(mean) is cv^2 / n, of the root of a share 1 / (4 n), of
+# the log of a count 1 / n. The symbols of a word come together, and so do the repeated words of a line.
+COUNTS = {          # squared variation of a text's word lengths, and one over its words and lines
+    "v": "greatest(word_squares * n_words / (CAST(word_chars AS double) * word_chars) - 1, 0)",
+    "per_word": "1 / n_words",
+    "per_line": "1 / greatest(n_lines, 1)",
+}
+ERRORS = "array({v} * per_word, per_word / 4, per_line / 4, per_line / 4, per_word)"
 N = len(FEATURES)
-CUT = 40.0          # squared distance; a normal vector is beyond it once in six million times
+NORMAL = 1 - 1e-6   # share of normal vectors within the cut
 
 
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """``(doc_id, lang, source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    n_lines)`` per row. NULL text has no words."""
+    n_lines, word_squares)`` per row; the last is the sum of squared word lengths. NULL text has no words."""
     common.small_batches(docs.sparkSession)
     df = common.pick(docs, doc_id=id_col, lang=common._column(lang_col).cast("string"),
                      source=common._column(source_col).cast("string"),
                      text=F.coalesce(common._column(text_col).cast("string"), F.lit("")))
-    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "word_squares"]
     kind = df.drop("text").schema
     for name in names:
         kind = kind.add(name, "long")
@@ -63,11 +73,13 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             line_doc = lines.doc[filled]
             key = mix(hash_spans(data, lines.start[filled], lines.length[filled])) + line_doc.astype(np.uint64)
             n = batch.num_rows
+            chars = _sums((data & 0xC0) != 0x80, np.stack([words.start, words.start + words.length]))
             n_lines = np.bincount(line_doc, minlength=n)
             first = np.unique(key, return_index=True)[1]
             columns = [words.counts(), _sums(inside & ((data & 0xC0) != 0x80), np.stack([offs[:-1], offs[1:]])),
                        _sums(SYMBOLS[data], np.stack([offs[:-1], offs[1:]])),
-                       n_lines - np.bincount(line_doc[first], minlength=n), _repeated(h, words, n), n_lines]
+                       n_lines - np.bincount(line_doc[first], minlength=n), _repeated(h, words, n), n_lines,
+                       np.bincount(words.doc, weights=chars.astype(float) ** 2, minlength=n)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("lang"), batch.column("source"),
                  *[pa.array(c.astype(np.int64)) for c in columns]],
@@ -105,13 +117,20 @@ def _chi2(x: float, k: int) -> float:
     return out
 
 
-def _correction(share: float) -> float:
-    """What the covariance of the innermost share of a normal sample is too small by."""
+def _quantile(share: float, k: int) -> float:
     low, high = 0.0, 200.0
     for _ in range(80):
         mid = (low + high) / 2
-        low, high = (mid, high) if _chi2(mid, N) < share else (low, mid)
-    return share / _chi2(high, N + 2)
+        low, high = (mid, high) if _chi2(mid, k) < share else (low, mid)
+    return high
+
+
+CUT = _quantile(NORMAL, N)   # 35.9
+
+
+def _correction(share: float) -> float:
+    """What the covariance of the innermost share of a normal sample is too small by."""
+    return share / _chi2(_quantile(share, N), N + 2)
 
 
 def _pooled(rows: DataFrame) -> DataFrame:
@@ -125,20 +144,35 @@ def _pooled(rows: DataFrame) -> DataFrame:
     return out.select("lang", "source", F.when(~small, name).otherwise(pool).alias("g"))
 
 
+def _mahalanobis(x: pa.Array, mean: pa.Array, scatter: pa.Array, errors: pa.Array) -> pa.Array:
+    flat = lambda column, *shape: column.flatten().to_numpy(zero_copy_only=False).reshape(-1, *shape)
+    gap = flat(x, N) - flat(mean, N)
+    cov = flat(scatter, N, N) + flat(errors, N)[:, :, None] * np.eye(N)
+    return pa.array((gap * np.linalg.solve(cov, gap[:, :, None])[:, :, 0]).sum(axis=1))
+
+
 def _distance() -> Column:
-    """Squared Mahalanobis distance from columns x0.., mean (array) and precision (flat array)."""
-    gap = [f"(x{i} - mean[{i}])" for i in range(N)]
-    return F.expr(" + ".join(f"{gap[i]} * {gap[j]} * precision[{i * N + j}]" for i in range(N) for j in range(N)))
+    """Squared Mahalanobis distance from columns x0.., per_word, per_line, mean, scatter (flat) and v_mean;
+    rows without them have the distance 0."""
+    vector = lambda sql, n, other: F.expr(f"IF(x0 IS NULL OR v_mean IS NULL, array_repeat({other}D, {n}), {sql})")
+    return F.arrow_udf(_mahalanobis, "double")(vector(f"array({', '.join(FEATURES)})", N, 0), vector("mean", N, 0),
+                                               vector("scatter", N * N, 0), vector(ERRORS.format(v="v_mean"), N, 1))
 
 
 def _start(rows: DataFrame) -> DataFrame:
     """Medians, and spreads from the quartiles."""
     third = [F.percentile_approx(f"x{i}", [0.25, 0.5, 0.75], 1000).alias(f"q{i}") for i in range(N)]
-    wide = [f"pow(greatest((q{i}[2] - q{i}[0]) / 1.349, {low}), -2)" for i, (_, low) in enumerate(FEATURES.values())]
-    flat = ", ".join(wide[i] if i == j else "0D" for i in range(N) for j in range(N))
-    return rows.groupBy("g").agg(*third, F.count("*").alias("members")).select(
+    flat = ", ".join(f"pow((q{i}[2] - q{i}[0]) / 1.349, 2)" if i == j else "0D" for i in range(N) for j in range(N))
+    return rows.groupBy("g").agg(*third, F.percentile_approx("v", 0.5, 1000).alias("v_mean"),
+                                 F.count("*").alias("members")).select(
         "g", "members", F.expr(f"array({', '.join(f'q{i}[1]' for i in range(N))})").alias("mean"),
-        F.expr(f"array({flat})").alias("precision"))
+        F.expr(f"array({flat})").alias("scatter"), "v_mean")
+
+
+def _between(cov: np.ndarray, errors: np.ndarray) -> np.ndarray:
+    """The scatter between texts: what their covariance has beyond the counting errors."""
+    size, axes = np.linalg.eigh(cov - np.diag(errors))
+    return (axes * np.maximum(size, 0)) @ axes.T
 
 
 def _concentrate(rows: DataFrame, estimates: DataFrame) -> DataFrame:
@@ -146,9 +180,8 @@ def _concentrate(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     are sorted by classes; the class in which the share ends counts in part."""
     seen = rows.join(estimates, "g").withColumn("d", _distance())
     bins = seen.groupBy("g", F.least(F.floor(F.log2(1 + F.col("d")) * BINS), F.lit(1000)).cast("int").alias("b")).agg(
-        F.count("*").alias("n"), *[F.sum(f"x{i}").alias(f"s{i}") for i in range(N)],
+        F.count("*").alias("n"), *[F.sum(x).alias(f"s_{x}") for x in (*FEATURES, *COUNTS)],
         *[F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s{i}_{j}") for i in range(N) for j in range(i, N)])
-    floors = np.array([low for _, low in FEATURES.values()]) ** 2
     factor = _correction(KEPT_SHARE)
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -157,18 +190,18 @@ def _concentrate(rows: DataFrame, estimates: DataFrame) -> DataFrame:
         total = n.sum()
         share = np.clip((math.ceil(KEPT_SHARE * total) - (np.cumsum(n) - n)) / n, 0, 1)
         take = (share * n).sum()
-        mean = np.array([(share * pdf[f"s{i}"]).sum() for i in range(N)]) / take
+        mean = np.array([(share * pdf[f"s_{x}"]).sum() for x in FEATURES]) / take
+        v, a, l = [(share * pdf[f"s_{x}"]).sum() / take for x in COUNTS]
         cov = np.zeros((N, N))
         for i in range(N):
             for j in range(i, N):
                 cov[i, j] = cov[j, i] = (share * pdf[f"s{i}_{j}"]).sum() / take - mean[i] * mean[j]
-        cov *= factor
-        cov += np.diag(np.maximum(floors - np.diag(cov), 0) + 1e-9)
+        between = _between(cov * factor, np.array([v * a, a / 4, l / 4, l / 4, a]))
         return pd.DataFrame({"g": [pdf["g"].iloc[0]], "members": [int(total)], "mean": [mean.tolist()],
-                             "precision": [np.linalg.inv(cov).ravel().tolist()]})
+                             "scatter": [between.ravel().tolist()], "v_mean": [v]})
 
     return bins.groupBy("g").applyInPandas(
-        solve, "g string, members long, mean array<double>, precision array<double>")
+        solve, "g string, members long, mean array<double>, scatter array<double>, v_mean double")
 
 
 def judge(stats: DataFrame) -> DataFrame:
@@ -181,18 +214,18 @@ def judge(stats: DataFrame) -> DataFrame:
     """
     base = F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words")
     stats = common.stage(stats.withColumn("base_failed", base), "statistics")
+    columns = FEATURES | COUNTS
     vectors = stats.where("NOT base_failed").select("lang", "source", *[
-        F.expr(sql).alias(x) for x, (sql, _) in FEATURES.items()])
+        F.expr(sql).alias(x) for x, sql in columns.items()])
     pools = common.stage(_pooled(vectors), "pools")
     l, s = F.col("lang").eqNullSafe(F.col("l")), F.col("source").eqNullSafe(F.col("s"))
     named = pools.toDF("l", "s", "g")
-    rows = common.stage(vectors.join(named, l & s).select("g", *FEATURES), "vectors")
+    rows = common.stage(vectors.join(named, l & s).select("g", *columns), "vectors")
     estimates = common.stage(_start(rows), "estimates")
     for _ in range(STEPS):
         estimates = common.stage(_concentrate(rows, estimates), "estimates")
     full = stats.join(named, l & s, "left").join(estimates, "g", "left").withColumns(
-        {x: F.when(~F.col("base_failed"), F.expr(sql.replace("n_words", "greatest(n_words, 1)").replace(
-            "/ word_chars", "/ greatest(word_chars, 1)"))) for x, (sql, _) in FEATURES.items()})
+        {x: F.expr(f"CASE WHEN NOT base_failed THEN {sql} END") for x, sql in columns.items()})
     distance = F.when(~F.col("base_failed") & (F.col("members") >= ALONE), _distance())
     return full.withColumn("distance", distance).withColumn(
         "kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= CUT))

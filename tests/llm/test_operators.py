@@ -268,6 +268,29 @@ def test_outliers_are_rejected_and_others_stay(spark, none):
     assert quality.judge(quality.statistics(none)).count() == 0
 
 
+def test_scatter_is_estimated_or_that_of_counting(spark):
+    """Texts of one language without symbols and repeats, of another in which symbols vary much."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefgh", k=rng.randrange(2, 10)))
+
+    def text(symbols, repeated=0):
+        lines = [[word() for _ in range(12)] for _ in range(40)]
+        for line in lines[40 - repeated:]:
+            line[:9] = lines[0][:9]
+        w = [x for line in lines for x in line]
+        for i in rng.sample(range(len(w)), round(symbols * sum(map(len, w)))):
+            w[i] = "$" + w[i][1:]
+        return "\n".join(" ".join(w[i:i + 12]) for i in range(0, len(w), 12))
+
+    plain = [text(0) for _ in range(300)] + [text(0.05), text(0, 20)]
+    varied = [text(rng.uniform(0, 0.12)) for _ in range(300)] + [text(0.05)]
+    df = spark.createDataFrame([(i, t, "plain" if i < 302 else "varied", "s") for i, t in enumerate(plain + varied)],
+                               "doc_id long, text string, lang string, source string")
+    got = by_id(quality.judge(quality.statistics(df)))
+    assert not any(r["base_failed"] for r in got.values())
+    assert [i for i, r in got.items() if not r["kept"]] == [300, 301]
+
+
 def test_chi_square():
     assert abs(quality._chi2(4.351460, 5) - 0.5) < 1e-6 and abs(quality._chi2(9.236357, 5) - 0.9) < 1e-6
 
