@@ -2,8 +2,9 @@
 
 Every text has a vector of transformed statistics. Location and scatter of its language and source
 come from the three quarters of its vectors that have the smallest covariance determinant, found by
-concentration steps from the medians, each of them one sum over all rows by group and distance
-class. A share or mean that is taken over few words or lines is known less well than one over many:
+concentration steps from the medians until the determinant falls no more, each of them one sum over all rows
+by group and distance class. Languages and the whole table have estimates too, and every estimate is drawn
+towards the one above it, the less the more texts it rests on. A share or mean that is taken over few words or lines is known less well than one over many:
 the scatter a text is held against is the one between texts and the counting error of the text's own
 statistics. Vectors that are too far by their Mahalanobis distance are rejected.
 """
@@ -26,9 +27,7 @@ NOT_LINE_END = np.ones(256, bool)
 NOT_LINE_END[10] = False
 
 KEPT_SHARE = 0.75   # of a group's vectors, the share that the estimates rest on
-STEPS = 6
-GROUP = 200         # rows of a group with own estimates; smaller ones are pooled by language, then over all
-ALONE = 30          # a pool with fewer rows rejects nothing
+SETTLED = 1e-3      # a group is done when a step lowers its log determinant by less
 BINS = 8            # distance classes for each doubling of 1 + squared distance
 FEATURES = {        # transformed statistic
     "x0": "ln(word_chars / n_words)",
@@ -46,6 +45,7 @@ COUNTS = {          # squared variation of a text's word lengths, and one over i
 }
 ERRORS = "array({v} * per_word, per_word / 4, per_line / 4, per_line / 4, per_word)"
 N = len(FEATURES)
+PARENT = N * (N + 3) // 2   # texts that the estimate above counts as: the numbers in a location and scatter
 NORMAL = 1 - 1e-6   # share of normal vectors within the cut
 
 
@@ -125,7 +125,30 @@ def _quantile(share: float, k: int) -> float:
     return high
 
 
-CUT = _quantile(NORMAL, N)   # 35.9
+def _beyond(d: float, n: int) -> float:
+    """The share of normal vectors whose squared distance from estimates over n > N others is over d: a tail
+    of the beta distribution, as Hotelling's T^2 has an F one."""
+    x = d * n / (n * n - 1)
+    left, c = 1 / (1 + x), (n - N) / 2
+    w = (np.arange(20_000) + 0.5) / 20_000
+    area = math.log(np.mean((1 - left * w ** (1 / c)) ** (N / 2 - 1)) / c) + c * math.log(left)
+    return math.exp(area + math.lgamma(n / 2) - math.lgamma(N / 2) - math.lgamma(c))
+
+
+def _cut(n: int) -> float:
+    """The squared distance that NORMAL of all normal vectors are within, for estimates over n of them: the
+    chi-square quantile, 35.9, where n is large; no distance is too large where n texts span no scatter."""
+    if n > 1_000_000:
+        return _quantile(NORMAL, N)
+    if n <= N:
+        return math.inf
+    low, high = 0.0, 1.0
+    while _beyond(high, n) > 1 - NORMAL:
+        low, high = high, 2 * high
+    for _ in range(60):
+        mid = (low + high) / 2
+        low, high = (mid, high) if _beyond(mid, n) > 1 - NORMAL else (low, mid)
+    return high
 
 
 def _correction(share: float) -> float:
@@ -133,15 +156,10 @@ def _correction(share: float) -> float:
     return share / _chi2(_quantile(share, N), N + 2)
 
 
-def _pooled(rows: DataFrame) -> DataFrame:
-    """``(lang, source, g, members)``: the group whose estimates a language and source use."""
-    own = rows.groupBy("lang", "source").agg(F.count("*").alias("n"))
-    small = F.col("n") < GROUP
-    by_lang = own.where(small).groupBy("lang").agg(F.sum("n").alias("m")).withColumnRenamed("lang", "l")
-    out = own.join(by_lang, F.col("lang").eqNullSafe(F.col("l")), "left")
-    name = F.to_json(F.struct("lang", "source"), {"ignoreNullFields": "false"})
-    pool = F.when(F.col("m") >= GROUP, F.to_json(F.struct("lang"), {"ignoreNullFields": "false"})).otherwise("{}")
-    return out.select("lang", "source", F.when(~small, name).otherwise(pool).alias("g"))
+def _groups() -> list[Column]:
+    """The names of a row's groups: all rows, its language, its language and source. NULL is one of its own."""
+    name = lambda *columns: F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    return [F.lit("{}"), name("lang"), name("lang", "source")]
 
 
 def _mahalanobis(x: pa.Array, mean: pa.Array, scatter: pa.Array, errors: pa.Array) -> pa.Array:
@@ -166,7 +184,12 @@ def _start(rows: DataFrame) -> DataFrame:
     return rows.groupBy("g").agg(*third, F.percentile_approx("v", 0.5, 1000).alias("v_mean"),
                                  F.count("*").alias("members")).select(
         "g", "members", F.expr(f"array({', '.join(f'q{i}[1]' for i in range(N))})").alias("mean"),
-        F.expr(f"array({flat})").alias("scatter"), "v_mean")
+        F.expr(f"array({flat})").alias("scatter"), "v_mean", F.lit(math.inf).alias("fit"), F.lit(True).alias("moving"))
+
+
+def _core(n: float) -> int:
+    """Of n vectors, how many the estimates rest on; not all of them if there are two or more."""
+    return max(1, math.floor(KEPT_SHARE * n))
 
 
 def _between(cov: np.ndarray, errors: np.ndarray) -> np.ndarray:
@@ -176,9 +199,9 @@ def _between(cov: np.ndarray, errors: np.ndarray) -> np.ndarray:
 
 
 def _concentrate(rows: DataFrame, estimates: DataFrame) -> DataFrame:
-    """One step: the estimates over the share of each group that is nearest to the last ones. Distances
-    are sorted by classes; the class in which the share ends counts in part."""
-    seen = rows.join(estimates, "g").withColumn("d", _distance())
+    """One step: the estimates over the share of each moving group that is nearest to the last ones, where their
+    determinant is smaller. Distances are sorted by classes; the class in which the share ends counts in part."""
+    seen = rows.join(estimates.where("moving"), "g").withColumn("d", _distance())
     bins = seen.groupBy("g", F.least(F.floor(F.log2(1 + F.col("d")) * BINS), F.lit(1000)).cast("int").alias("b")).agg(
         F.count("*").alias("n"), *[F.sum(x).alias(f"s_{x}") for x in (*FEATURES, *COUNTS)],
         *[F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s{i}_{j}") for i in range(N) for j in range(i, N)])
@@ -188,7 +211,7 @@ def _concentrate(rows: DataFrame, estimates: DataFrame) -> DataFrame:
         pdf = pdf.sort_values("b")
         n = pdf["n"].to_numpy(float)
         total = n.sum()
-        share = np.clip((math.ceil(KEPT_SHARE * total) - (np.cumsum(n) - n)) / n, 0, 1)
+        share = np.clip((_core(total) - (np.cumsum(n) - n)) / n, 0, 1)
         take = (share * n).sum()
         mean = np.array([(share * pdf[f"s_{x}"]).sum() for x in FEATURES]) / take
         v, a, l = [(share * pdf[f"s_{x}"]).sum() / take for x in COUNTS]
@@ -196,39 +219,63 @@ def _concentrate(rows: DataFrame, estimates: DataFrame) -> DataFrame:
         for i in range(N):
             for j in range(i, N):
                 cov[i, j] = cov[j, i] = (share * pdf[f"s{i}_{j}"]).sum() / take - mean[i] * mean[j]
-        between = _between(cov * factor, np.array([v * a, a / 4, l / 4, l / 4, a]))
-        return pd.DataFrame({"g": [pdf["g"].iloc[0]], "members": [int(total)], "mean": [mean.tolist()],
-                             "scatter": [between.ravel().tolist()], "v_mean": [v]})
-
-    return bins.groupBy("g").applyInPandas(
-        solve, "g string, members long, mean array<double>, scatter array<double>, v_mean double")
+        errors = np.array([v * a, a / 4, l / 4, l / 4, a])
+        between = _between(cov * factor, errors)
+        # bounded below by the counting errors, so every group settles
+        fit = np.linalg.slogdet(between + np.diag(errors))[1]
+        return pd.DataFrame({"g": [pdf["g"].iloc[0]], "mean": [mean.tolist()], "scatter": [between.ravel().tolist()],
+                             "v_mean": [v], "fit": [fit]})
+
+    found = bins.groupBy("g").applyInPandas(
+        solve, "g string, mean array<double>, scatter array<double>, v_mean double, fit double")
+    old, new = F.struct("mean", "scatter", "v_mean", "fit"), F.struct("n.mean", "n.scatter", "n.v_mean", "n.fit")
+    last = estimates.select("g", "members", old.alias("old"))
+    return last.join(found.select("g", F.struct("mean", "scatter", "v_mean", "fit").alias("n")), "g", "left").select(
+        "g", "members", F.when(F.col("n.fit") < F.col("old.fit"), new).otherwise(F.col("old")).alias("e"),
+        F.coalesce(F.col("n.fit") < F.col("old.fit") - SETTLED, F.lit(False)).alias("moving")).select(
+        "g", "members", "e.*", "moving")
+
+
+def _drawn(names: DataFrame, estimates: DataFrame) -> DataFrame:
+    """``(g, mean, scatter, v_mean)`` of the last groups in ``names(g0, g1, g2)``: every estimate is the mean of the
+    group's own, which counts as often as it has members, and of the drawn one above it, which counts PARENT times."""
+    own = estimates.select("g", "members", "mean", "scatter", "v_mean")
+    out = own.where("g = '{}'").select(F.col("g").alias("above"), "mean", "scatter", "v_mean")
+    pull = f"(members * x + {PARENT} * y) / (members + {PARENT})"
+    for i in (1, 2):
+        links = names.select(F.col(f"g{i - 1}").alias("above"), F.col(f"g{i}").alias("g")).distinct()
+        up = links.join(out.toDF("above", "m", "s", "w"), "above").drop("above")
+        out = own.join(up, "g").select(
+            F.col("g").alias("above"), F.expr(f"zip_with(mean, m, (x, y) -> {pull})").alias("mean"),
+            F.expr(f"zip_with(scatter, s, (x, y) -> {pull})").alias("scatter"),
+            F.expr(pull.replace("x", "v_mean").replace("y", "w")).alias("v_mean"))
+    return out.withColumnRenamed("above", "g")
 
 
 def judge(stats: DataFrame) -> DataFrame:
     """Adds ``base_failed``, ``distance`` and ``kept`` to the output of ``statistics``.
 
     The base rules reject texts of under 50 words and those more than half of whose words repeat. The
-    estimates rest on texts that pass them. Languages and sources of under GROUP such texts share
-    estimates by language, and those of small languages over all; NULL is a language or source of its own. Pools
-    of under ALONE texts reject nothing.
+    estimates rest on texts that pass them. NULL is a language or source of its own.
     """
     base = F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words")
     stats = common.stage(stats.withColumn("base_failed", base), "statistics")
     columns = FEATURES | COUNTS
+    groups = _groups()
     vectors = stats.where("NOT base_failed").select("lang", "source", *[
         F.expr(sql).alias(x) for x, sql in columns.items()])
-    pools = common.stage(_pooled(vectors), "pools")
-    l, s = F.col("lang").eqNullSafe(F.col("l")), F.col("source").eqNullSafe(F.col("s"))
-    named = pools.toDF("l", "s", "g")
-    rows = common.stage(vectors.join(named, l & s).select("g", *columns), "vectors")
+    rows = common.stage(vectors.select(F.explode(F.array(*groups)).alias("g"), *columns), "vectors")
     estimates = common.stage(_start(rows), "estimates")
-    for _ in range(STEPS):
+    while not estimates.where("moving").isEmpty():
         estimates = common.stage(_concentrate(rows, estimates), "estimates")
-    full = stats.join(named, l & s, "left").join(estimates, "g", "left").withColumns(
+    names = vectors.select("lang", "source").distinct().select(*[g.alias(f"g{i}") for i, g in enumerate(groups)])
+    members = estimates.where("g = '{}'").first()
+    cut = _cut(_core(members["members"]) if members else 0)
+    full = stats.withColumn("g", groups[2]).join(_drawn(names, estimates), "g", "left").withColumns(
         {x: F.expr(f"CASE WHEN NOT base_failed THEN {sql} END") for x, sql in columns.items()})
-    distance = F.when(~F.col("base_failed") & (F.col("members") >= ALONE), _distance())
+    distance = F.when(~F.col("base_failed"), _distance())
     return full.withColumn("distance", distance).withColumn(
-        "kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= CUT))
+        "kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cut))
 
 
 def op4_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:

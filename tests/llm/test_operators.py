@@ -291,6 +291,38 @@ def test_scatter_is_estimated_or_that_of_counting(spark):
     assert [i for i, r in got.items() if not r["kept"]] == [300, 301]
 
 
+def test_estimates_do_not_jump_with_the_size_of_a_source(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefgh", k=rng.randrange(2, 10)))
+    text = lambda low, high: " ".join(word() for _ in range(rng.randrange(low, high)))
+    short, long = [text(60, 90) for _ in range(200)], [text(300, 900) for _ in range(190)]
+    schema = "doc_id long, text string, lang string, source string"
+    found = []
+    for n in (199, 201):
+        rows = [(0, text(200, 201), "en", "a")] if not found else rows[:1]  # noqa: F821
+        rows += [(1 + i, t, "en", "a") for i, t in enumerate(short[:n - 1])]
+        rows += [(1000 + i, t, "en", "b") for i, t in enumerate(long)]
+        found.append(by_id(quality.judge(quality.statistics(spark.createDataFrame(rows, schema))))[0]["distance"])
+    assert abs(found[0] - found[1]) < 0.1 * found[0]
+
+
+def test_few_texts_have_estimates_too(spark):
+    rng = random.Random(6)
+    rows = [(i, " ".join("".join(rng.choices("abcdefgh", k=rng.randrange(2, 10))) + "$$$" * (i == 4) for _ in range(
+        rng.randrange(200, 400))), ["en", None][i % 2], f"s{i % 5}") for i in range(25)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert [i for i, r in by_id(quality.judge(quality.statistics(df))).items() if not r["kept"]] == [4]
+    assert all(r["kept"] for r in quality.judge(quality.statistics(df.where("doc_id < 5"))).collect())
+
+
+def test_cut_of_few_texts():
+    for d in (1.0, 30.0):
+        b = d * 7 / 48 / (1 + d * 7 / 48)
+        assert abs(quality._beyond(d, 7) - (1 - b ** 2.5)) < 1e-9
+    cuts = [quality._cut(n) for n in (5, 10, 100, 10_000, 10 ** 6, 10 ** 9)]
+    assert cuts == sorted(cuts, reverse=True) and abs(cuts[-2] - cuts[-1]) < 0.01 and abs(cuts[-1] - 35.888) < 1e-3
+
+
 def test_chi_square():
     assert abs(quality._chi2(4.351460, 5) - 0.5) < 1e-6 and abs(quality._chi2(9.236357, 5) - 0.9) < 1e-6
 
