@@ -107,12 +107,13 @@ def build_index(keyed: DataFrame, terms: np.ndarray, windows: pd.DataFrame, slop
     """Postings ``(term, uid, pos)`` in a written table, and a row (-1, uid, words) per document.
 
     Positions are kept where they can matter: in a run of the block's terms that holds a
-    window's rarest term and is as long as its shortest such window. With ``slop``, runs
-    may have ``slop`` other words between two terms.
+    window's rarest term and is as long as its shortest such window. With ``slop``, all those that are
+    less than the size of a window and ``slop`` words away from its rarest term.
     """
-    least = np.full(len(terms), 1 << 30, np.int64)
+    least, most = np.full(len(terms), 1 << 30, np.int64), np.zeros(len(terms), np.int64)
     for first, size in zip(windows["terms"].str[0], windows["size"]):
         least[first] = min(least[first], size)
+        most[first] = max(most[first], size)
     schema = pa.schema([("term", pa.int32()), ("uid", pa.int64()), ("pos", pa.int32())])
 
     def work(batches):
@@ -121,13 +122,7 @@ def build_index(keyed: DataFrame, terms: np.ndarray, windows: pd.DataFrame, slop
             uid = batch.column("uid").to_numpy()
             term = _places(terms, h)
             at = np.flatnonzero(term >= 0)
-            fresh = np.ones(len(at), bool)
-            fresh[1:] = (np.diff(at) > slop + 1) | (words.doc[at[1:]] != words.doc[at[:-1]])
-            run = np.cumsum(fresh) - 1
-            n = np.bincount(run) if len(at) else np.zeros(0, np.int64)
-            need = np.full(len(n), 1 << 30, np.int64)
-            np.minimum.at(need, run, least[term[at]])
-            at = at[(n >= need)[run]] if not slop else at[(need < 1 << 30)[run]]
+            at = _around(at, term[at], words, most, slop) if slop else _runs(at, term[at], words, least)
             doc = words.doc[at]
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.concatenate([np.full(len(uid), LENGTH_ROW), term[at]]).astype(np.int32)),
@@ -139,6 +134,26 @@ def build_index(keyed: DataFrame, terms: np.ndarray, windows: pd.DataFrame, slop
         work, "term int, uid long, pos int"), "postings")
 
 
+def _runs(at: np.ndarray, term: np.ndarray, words, least: np.ndarray) -> np.ndarray:
+    """Of the places of terms, those in runs that are as long as a window whose rarest term they hold."""
+    fresh = np.ones(len(at), bool)
+    fresh[1:] = (np.diff(at) > 1) | (words.doc[at[1:]] != words.doc[at[:-1]])
+    run = np.cumsum(fresh) - 1
+    n = np.bincount(run) if len(at) else np.zeros(0, np.int64)
+    need = np.full(len(n), 1 << 30, np.int64)
+    np.minimum.at(need, run, least[term])
+    return at[(n >= need)[run]]
+
+
+def _around(at: np.ndarray, term: np.ndarray, words, most: np.ndarray, slop: int) -> np.ndarray:
+    """Of the places of terms, those near a rarest term of the same document."""
+    rare, size = at[most[term] > 0], most[term[most[term] > 0]]
+    low = np.maximum(rare - (size - 1 + slop), words.first[words.doc[rare]])
+    high = np.minimum(rare + size + slop, words.first[words.doc[rare] + 1])
+    depth = np.bincount(low, minlength=len(words.doc) + 1) - np.bincount(high, minlength=len(words.doc) + 1)
+    return at[np.cumsum(depth)[at] > 0]
+
+
 def _window_table(spark: SparkSession, windows: pd.DataFrame) -> DataFrame:
     return spark.createDataFrame(windows, "w long, size int, offsets array<int>, terms array<int>")
 
@@ -149,12 +164,12 @@ def _starts(index: DataFrame, windows: DataFrame) -> DataFrame:
     rare = windows.withColumn("term", F.element_at("terms", 1)).withColumn(
         "first", F.element_at("offsets", 1))
     return (index.join(F.broadcast(rare), "term").withColumn("start", F.col("pos") - F.col("first"))
-            .where("start >= 0").select("w", "size", "offsets", "terms", "uid", "start"))
+            .select("w", "size", "offsets", "terms", "uid", "start"))
 
 
 def phrase_matches(index: DataFrame, windows: DataFrame) -> DataFrame:
     """Exact ``(w, uid, start, size)``: all terms at their places."""
-    starts = _starts(index, windows)
+    starts = _starts(index, windows).where("start >= 0")
     second = index.select(F.col("term").alias("t"), F.col("uid").alias("u"), F.col("pos").alias("p"))
     single = starts.where("size = 1").select("w", "uid", "start", "size")
     cut = starts.where("size > 1").join(second, (F.element_at("terms", 2) == F.col("t")) & (F.col("uid") == F.col(
@@ -169,7 +184,8 @@ def phrase_matches(index: DataFrame, windows: DataFrame) -> DataFrame:
 
 def proximity_matches(index: DataFrame, windows: DataFrame, slop: int) -> DataFrame:
     """``(w, uid, start)`` where every term of the window is within ``slop`` words of the place
-    that the rarest term gives the window; the index needs the same slop."""
+    that the rarest term gives the window, in any order; the index needs the same slop. Where that place
+    is before the first word, ``start`` is negative."""
     starts = _starts(index, windows).withColumn("distinct", F.size(F.array_distinct("terms")))
     each = starts.select("w", "uid", "start", "size", "distinct",
                          F.explode(F.array_distinct("terms")).alias("term"))

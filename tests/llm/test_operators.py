@@ -514,3 +514,28 @@ def test_proximity(spark):
     table = decontaminate._window_table(spark, windows)
     assert [r["uid"] for r in decontaminate.phrase_matches(index, table).collect()] == [1]
     assert sorted(r["uid"] for r in decontaminate.proximity_matches(index, table, 2).collect()) == [1, 2]
+
+
+@pytest.mark.parametrize("slop", [1, 2, 4])
+def test_proximity_in_any_order_and_widely_spaced(spark, slop):
+    rng = random.Random(slop)
+    items = ["a b c", "d e a f", "b b g", "c"]
+    rows = ["c x a x x x b", "a b c", "c b a", "x a", "", "b c x x a"] + [
+        " ".join(rng.choice("aabbbccddeeffgxxxxxx") for _ in range(rng.randrange(1, 25))) for _ in range(150)]
+    keyed = common.keyed(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"))
+    table = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    block = next(decontaminate.blocks(table, "item_id", "text", 13, 1 << 20))
+    windows = decontaminate.order_windows(block, decontaminate.term_counts(keyed, block.terms))
+    name = {int(t): w for w in "abcdefg" for t in decontaminate._places(
+        block.terms, decontaminate.word_hashes(decontaminate.pa.array([w]))[0])}
+    expected = set()
+    for uid, text in enumerate(rows):
+        w = text.split()
+        for k in windows.itertuples():
+            for start in (i - k.offsets[0] for i, x in enumerate(w) if x == name[k.terms[0]]):
+                near = w[max(0, start - slop):max(0, start + k.size + slop)]
+                if all(name[t] in near for t in k.terms):
+                    expected.add((k.w, uid, start))
+    index = decontaminate.build_index(keyed, block.terms, windows, slop).where("term >= 0")
+    got = decontaminate.proximity_matches(index, decontaminate._window_table(spark, windows), slop)
+    assert {tuple(r) for r in got.collect()} == expected and len(expected) > 50
