@@ -42,18 +42,17 @@ def word_hashes(array: pa.Array):
 def blocks(benchmark: DataFrame, id_col: str, text_col: str, length: int, most: int):
     """The benchmark in blocks of bounded size, on the driver one at a time."""
     df = common.pick(benchmark, item=common._column(id_col).cast("string"),
-                     text=F.coalesce(common._column(text_col).cast("string"), F.lit(""))).where(
-        "item IS NOT NULL")
-    total = df.agg(F.sum(F.octet_length("text") + F.octet_length("item") + 32)).first()[0] or 0
+                     text=F.coalesce(common._column(text_col).cast("string"), F.lit("")))
+    total = df.agg(F.sum(F.octet_length("text") + F.coalesce(F.octet_length("item"), F.lit(0)) + 32)).first()[0] or 0
     n = -(-total // most)
     for b in range(n):
         rows = df.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == b).toPandas()
         h, words = word_hashes(pa.array(rows["text"], pa.string()))
         if len(h):
-            yield _block(rows["item"].tolist(), h, words, length)
+            yield _block([None if pd.isna(i) else i for i in rows["item"]], h, words, length)
 
 
-def _block(items: list[str], h: np.ndarray, words, length: int) -> Block:
+def _block(items: list[str | None], h: np.ndarray, words, length: int) -> Block:
     terms, place = np.unique(h, return_inverse=True)
     seen: dict[tuple, int] = {}
     pairs = set()
@@ -63,7 +62,8 @@ def _block(items: list[str], h: np.ndarray, words, length: int) -> Block:
             continue
         for s in range(max(1, len(own) - length + 1)):
             w = seen.setdefault(tuple(own[s:s + length]), len(seen))
-            pairs.add((w, item))
+            if item is not None:
+                pairs.add((w, item))
     return Block(terms, pd.DataFrame({"w": list(seen.values()), "terms": [list(k) for k in seen]}),
                  pd.DataFrame(sorted(pairs), columns=["w", "item"]))
 
@@ -199,8 +199,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, length: int = WINDOW, i
                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``(uid, doc_id, n_words, n_hit, n_items, items_sha256, contaminated)`` per document.
 
-    NULL and empty texts have no words and are clean. Items without words or without an id match
-    nothing; rows with one item id are one item. An empty benchmark leaves all clean. Documents
+    NULL and empty texts have no words and are clean. Items without words match nothing; rows with one
+    item id are one item. Items with a NULL id cover words as others do (``n_hit``, ``contaminated``); having
+    no name, they are not in ``n_items`` and the digest. An empty benchmark leaves all clean. Documents
     with NULL or repeated ids are documents of their own (``common.keyed``).
     """
     return contamination_of(common.keyed(docs, id_col, text_col), benchmark, length, item_col,

@@ -495,6 +495,25 @@ def test_contamination(spark, docs, texts, block):
         assert (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) == expected
 
 
+@pytest.mark.parametrize("alone", [False, True])
+def test_items_without_an_id_cover_words(spark, alone):
+    text = [" ".join(f"{x}{i}" for i in range(30)) for x in "abc"]
+    docs = spark.createDataFrame([(1, "x y " + text[0]), (2, text[1]), (3, text[2]), (4, text[1] + " " + text[0])],
+                                 "doc_id long, text string")
+    items = [(None, text[0])] + [(7, text[1]), (None, text[1][:50])] * (not alone)
+    table = spark.createDataFrame(items, "item_id long, text string")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents(doc_id BIGINT, text VARCHAR); CREATE TABLE benchmark(item_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [tuple(r) for r in docs.collect()])
+    con.executemany("INSERT INTO benchmark VALUES (?, ?)", items)
+    # the twin counts NULL in n_items too
+    columns = ["doc_id", "n_words", "n_hit", "items_sha256", "contaminated"]
+    got = decontaminate.contamination(docs, table)
+    assert differences(got.select(columns).toPandas(), con.execute(decontaminate.ORACLE).df()[columns]) == ""
+    assert [by_id(got)[i]["n_hit"] for i in (1, 2, 3, 4)] == ([30, 0, 0, 30] if alone else [30, 30, 0, 60])
+    assert [by_id(got)[i]["n_items"] for i in (1, 2, 3, 4)] == ([0] * 4 if alone else [0, 1, 0, 1])
+
+
 def test_contamination_on_odd_tables(spark, docs, messy, none, texts):
     _, table = bench(spark, texts)
     assert decontaminate.contamination(messy, table).count() == messy.count()
