@@ -136,12 +136,13 @@ def record_append(spark, d):
 
 
 def load_no_index(spark, d):
-    """Two CSV files without an index column: rows are numbered as they are in the files."""
+    """Two CSV tables of several files without an index column: rows are numbered as they are in the files."""
     base = scratch_path(spark, "plain")
-    table = _orders(spark, d).orderBy("row_id")
+    table = _orders(spark, d)
+    parts = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
     for name, rows in (("a", table.where("row_id % 2 = 0")), ("b", table.where("row_id % 2 = 1"))):
-        rows.select("qty", "lines", F.col("row_id").alias("was")).coalesce(1).write.option(
-            "header", True).csv(f"{base}/{name}.csv")
+        rows.select("qty", "lines", F.col("row_id").alias("was")).repartitionByRange(parts, "was").sortWithinPartitions(
+            "was").write.option("header", True).csv(f"{base}/{name}.csv")
         read = frames.read_table(spark, f"{base}/{name}.csv", schema="qty double, lines double, was long")
         both = read.withColumn("file", F.lit(name)) if name == "a" else both.unionByName(
             read.withColumn("file", F.lit(name)))

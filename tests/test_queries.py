@@ -38,3 +38,19 @@ def test_flagship(spark):
 def test_selection_is_not_trivial(spark, sf_dir):
     freq = {r["feature"]: r["p_nonzero"] for r in e.selection_freq(spark, sf_dir).collect()}
     assert freq["partkey"] == 1.0 and freq["size"] < 1.0
+
+
+def test_rows_without_index_are_numbered_across_files(spark, sf_dir, monkeypatch):
+    read, files = e.frames.read_table, []
+
+    def spy(spark, path, **options):
+        files.append(spark.read.option("header", True).csv(path).select("_metadata.file_path").distinct().count())
+        return read(spark, path, **options)
+
+    monkeypatch.setattr(e.frames, "read_table", spy)
+    rows = e.load_no_index(spark, sf_dir).collect()
+    assert len(files) == 2 and min(files) > 1
+    for name in "ab":
+        was = [r["was"] for r in sorted((r for r in rows if r["file"] == name), key=lambda r: r["row_id"])]
+        assert was == sorted(was) and len(was) > 100
+        assert sorted(r["row_id"] for r in rows if r["file"] == name) == list(range(len(was)))
