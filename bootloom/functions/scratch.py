@@ -41,10 +41,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Logical leaves that each pass may read anew: files, and rows that are part of the plan. A cached table is
+# none, as blocks that were evicted are computed again.
+STORED = {"LogicalRelation", "DataSourceV2ScanRelation", "HiveTableRelation", "LocalRelation", "Range",
+          "OneRowRelation"}
+
+
 def computed_once(df: DataFrame, name: str = "rows") -> DataFrame:
     """`df` itself if it is stored rows under filters and projections, which each pass may read anew;
-    else (joins, aggregations, several inputs) its rows in a written table."""
+    else (joins, aggregations, several inputs, cached tables) its rows in a written table."""
     plan = df._jdf.queryExecution().optimizedPlan()
     while plan.nodeName() in ("Project", "Filter"):
         plan = plan.children().head()
-    return staged(df, name) if plan.children().size() else df
+    return df if plan.nodeName() in STORED else staged(df, name)

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from bootloom import Model, metric_dist, prepare, split_rows
 from bootloom.plans import fit
@@ -31,11 +32,14 @@ def test_scans_are_pruned_and_filtered(stored):
     assert plan.count("EqualTo(test_set,0)") == 1
 
 
-def test_a_derived_input_is_computed_once(spark, sf_dir, monkeypatch):
-    """One job over lineitem for the fit and one for scoring; the rest reads what they wrote."""
+@pytest.mark.parametrize("cached", [False, True])
+def test_a_derived_input_is_computed_once(spark, sf_dir, monkeypatch, cached):
+    """One job over lineitem for the fit and one for scoring; the rest reads what they wrote. A cached
+    table is written too, as its blocks may be evicted."""
     from bootloom.functions import scratch
     from bootloom.plans import tables
-    orders, written = tables.orders_reg(spark, sf_dir), []
+    orders, written = tables.orders_reg(spark, sf_dir).withColumn("own", F.lit(f"{cached}")), []
+    orders = orders.cache() if cached else orders
     staged = scratch.staged
     monkeypatch.setattr(scratch, "staged", lambda df, name: written.append(
         (name, plan_of(df).count("lineitem.parquet"))) or staged(df, name))
@@ -44,6 +48,7 @@ def test_a_derived_input_is_computed_once(spark, sf_dir, monkeypatch):
     metrics = metric_dist(records, split_rows(orders, "test"), "y")
     assert "lineitem.parquet" not in plan_of(records) + plan_of(metrics)
     assert [name for name, scans in written if scans] == ["rows", "rows"]
+    orders.unpersist()
 
 
 def test_stored_inputs_are_not_copied(stored, monkeypatch):
