@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.scratch import scratch_path
@@ -15,54 +18,74 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Hand few texts at a time to Python workers, as a text can be long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+#: What holds while an intermediate table is written: few texts at a time go to Python workers, as a text can be
+#: long, and Spark removes the shuffle files of the write when it has ended.
+WRITING = {"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_ROWS,
+           "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES,
+           "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict):
+    """Session settings that are as before afterwards."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-_staged: list[str] = []
+#: Scratch folders made within the innermost ``passing`` of this thread.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared scratch folder and read back: the plan so far runs once, and a
     lost executor costs no more than the tasks it was running."""
-    path = folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _written(df, folder(df.sparkSession, name))
 
 
-def folder(spark: SparkSession, name: str) -> str:
-    """A new scratch folder, which ``drop_stages`` may remove."""
-    _staged.append(scratch_path(spark, name))
-    return _staged[-1]
+def _written(df: DataFrame, path: str) -> DataFrame:
+    spark = df.sparkSession
+    with settings(spark, WRITING):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def mark() -> int:
-    """For ``drop_stages``: folders made from now on."""
-    return len(_staged)
-
-
-def drop_stages(spark: SparkSession, since: int, keep: DataFrame) -> None:
-    """Remove the scratch folders made since a mark, but for those that ``keep`` still reads."""
-    used = keep.inputFiles()
-    for path in _staged[since:]:
-        plain = path.removeprefix("file://")
-        if not any(plain in f for f in used):
+def folder(spark: SparkSession, name: str) -> str:
+    """A new scratch folder; it goes with the ``passing`` around it, else with the application."""
+    path = scratch_path(spark, name)
+    if _made.get() is not None:
+        _made.get().append(path)
+    return path
+
+
+@contextmanager
+def passing(spark: SparkSession):
+    """Scratch folders made within go at the end, and no others."""
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        for path in made:
             target = spark._jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-            _staged.remove(path)
-    release(spark)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark remove the shuffle files of plans that have run; it waits for the driver's
-    collector, which may not run for long."""
-    spark._jvm.System.gc()
+def settled(spark: SparkSession, name: str, build) -> DataFrame:
+    """The rows of ``build()`` in a written table, without the scratch folders behind them."""
+    path = folder(spark, name)
+    with passing(spark):
+        return _written(build(), path)
 
 
 def pick(df: DataFrame, **columns: str | Column) -> DataFrame:

@@ -212,7 +212,6 @@ def contamination_of(keyed: DataFrame, benchmark: DataFrame, length: int = WINDO
                      item_text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``contamination`` of the output of ``common.keyed``."""
     spark = keyed.sparkSession
-    common.small_batches(spark)
     lengths, hits, items = None, [], []
     for block in blocks(benchmark, item_col, item_text_col, length, block_bytes):
         windows = order_windows(block, term_counts(keyed, block.terms))

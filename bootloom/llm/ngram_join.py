@@ -186,8 +186,6 @@ def near_duplicates(docs: DataFrame, size: int, percent: int, id_col: str = "doc
 
 def classes_of(keyed: DataFrame, size: int, percent: int) -> DataFrame:
     """``near_duplicates`` of the output of ``common.keyed``."""
-    spark = keyed.sparkSession
-    common.small_batches(spark)
     sets = document_sets(keyed, size, percent)
     same = ["n", "s1", "s2"]
     classes = common.stage(sets.where("n > 0").groupBy(*same).agg(F.min("uid").alias("rep")), "classes")
@@ -195,7 +193,6 @@ def classes_of(keyed: DataFrame, size: int, percent: int) -> DataFrame:
     rows = reps.select("uid", "n", F.posexplode("prefix").alias("p", "gram"))
     often = rows.groupBy("gram").agg(F.count("*").alias("f")).where("f > 1")
     shared = common.stage(rows.join(common.stage(often, "often"), "gram"), "shared")
-    common.release(spark)
 
     signs = sets.select("uid", *[F.col("sign")[i].alias(f"a{i}") for i in range(SIGN)])
     others = signs.toDF("vid", *[f"b{i}" for i in range(SIGN)])
@@ -213,7 +210,6 @@ def classes_of(keyed: DataFrame, size: int, percent: int) -> DataFrame:
              .distinct().join(signs, "uid").join(others, "vid").where(close).select("uid", "vid"))
     links = common.stage(_verified(common.stage(pairs, "pairs"), keyed, size, percent), "links")
     roots = components(links)
-    common.release(spark)
 
     # round 2: between components; of an n-gram's largest component only with the rest
     part = shared.join(roots.withColumnRenamed("node", "uid"), "uid", "left").select(
@@ -234,7 +230,6 @@ def classes_of(keyed: DataFrame, size: int, percent: int) -> DataFrame:
         late = common.stage(_verified(more, keyed, size, percent), "links")
         roots = components(links.unionByName(late))
 
-    common.release(spark)
     named = keyed.select("uid", "id")
     return (named.join(sets.select("uid", *same), "uid").join(classes, same, "left")
             .join(roots.withColumnRenamed("node", "rep"), "rep", "left")

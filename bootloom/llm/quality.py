@@ -53,7 +53,6 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """``(doc_id, lang, source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     n_lines, word_squares)`` per row; the last is the sum of squared word lengths. NULL text has no words."""
-    common.small_batches(docs.sparkSession)
     df = common.pick(docs, doc_id=id_col, lang=common._column(lang_col).cast("string"),
                      source=common._column(source_col).cast("string"),
                      text=F.coalesce(common._column(text_col).cast("string"), F.lit("")))

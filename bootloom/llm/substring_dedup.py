@@ -165,7 +165,6 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     """
     if length < 2 or length % 2:
         raise ValueError("the window needs an even number of words")
-    common.small_batches(docs.sparkSession)
     keyed = common.keyed(docs, id_col, text_col)
     whole = common.stage(document_digests(keyed), "digests")
     copies = whole.groupBy("sha", "n_words").agg(F.min("uid").alias("first"), F.count("*").alias("n"))

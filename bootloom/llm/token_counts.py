@@ -95,7 +95,6 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = LIMIT, id_col: st
     place can be proven stable, so their texts are encoded whole. NULL and empty texts have no
     bytes and no tokens; NULL or repeated ids are passed on; other columns are left out.
     """
-    common.small_batches(docs.sparkSession)
     df = common.pick(docs, doc_id=id_col, text=text_col)
     out = df.select("doc_id").schema.add("n_bytes", "long").add("n_tokens", "long").add(
         "over_limit", "boolean")

@@ -160,7 +160,6 @@ def write_store(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc
     shard file, and only files of tasks that ended are named in the index.
     """
     spark = docs.sparkSession
-    common.small_batches(spark)
     fsio.make_folder(f"{folder}/index")
     n = n_shards or common.parts(spark)
     vocabulary = bpe.load(tokenizer).size

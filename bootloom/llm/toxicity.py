@@ -166,7 +166,6 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic",
     """A model from the labelled rows that ``rows`` (over doc_id) selects, all of them by default.
     Without both classes among them, or where no token is significant, the score is the share
     of label 1."""
-    common.small_batches(docs.sparkSession)
     labelled = common.stage(_labelled(docs, labels, label, F.lit(True) if rows is None else rows), "labelled")
     model, _ = token_scores(labelled)
 
@@ -218,7 +217,6 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """The input rows as ``(doc_id, score, predicted)``, without a shuffle; with ``spans`` also
     ``passages``: first and last word, evidence of the significant segments. NULL and empty texts have no
     tokens and get the score of texts without a toxic token. Ids are only passed on."""
-    common.small_batches(docs.sparkSession)
     df = common.pick(docs, doc_id=id_col, text=F.coalesce(common._column(text_col).cast("string"), F.lit("")))
     kind = df.select("doc_id").schema.add("score", "double").add("predicted", "integer")
     passage = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("evidence", pa.float64())]))

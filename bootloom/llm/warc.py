@@ -96,7 +96,6 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     name. Rows that repeat id and payload are written again. A lost or repeated task writes
     files of new names; the index names the files of tasks that ended.
     """
-    common.small_batches(pages.sparkSession)
     fsio.make_folder(folder)
 
     def write(batches):

@@ -1,12 +1,13 @@
 """The pipeline's stages against plain versions of them."""
 
+import os
 import zlib
 
 import numpy as np
 import pytest
 
 import corpus_pipeline as cp
-from bootloom.llm import bpe, common, mixing, toxicity
+from bootloom.llm import bpe, common, mixing, substring_dedup, toxicity
 from bootloom.llm.token_counts import tokenizer_path
 
 from . import brute
@@ -19,7 +20,6 @@ def steps(spark, sf_dir):
     out = [docs]
     for name, stage in cp.STAGES:
         out.append(common.stage(stage(spark, out[-1], sf_dir), f"test-{name}"))
-        common._staged.pop()  # stays for the tests
     return out
 
 
@@ -75,8 +75,29 @@ def test_stages_take_odd_documents(spark, sf_dir, messy):
     docs = messy
     for name, stage in cp.STAGES:
         out = common.stage(stage(spark, docs, sf_dir), f"odd-{name}")
-        common._staged.pop()
         if name != "token_store":
             assert out.columns == messy.columns
         assert 0 < out.count() <= 2 * docs.count()
         docs = out
+
+
+def test_stages_leave_results_and_settings_of_others_alone(spark, sf_dir, steps):
+    keys = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch",
+            "spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    before = [spark.conf.get(k) for k in keys]
+    held = substring_dedup.op8_substring_dedup(spark, sf_dir)
+    kept = [stage(spark, steps[i], sf_dir) for i, (_, stage) in enumerate(cp.STAGES)]
+    assert held.count() == steps[0].count()
+    assert [k.count() for k in kept] == [s.count() for s in steps[1:]]
+    assert [spark.conf.get(k) for k in keys] == before
+
+
+def test_passing_removes_only_its_own(spark):
+    outer = common.stage(spark.range(3), "outer")
+    with common.passing(spark):
+        inner = common.stage(spark.range(4), "inner")
+        kept = common.settled(spark, "kept", lambda: common.stage(spark.range(5), "behind"))
+        files = inner.inputFiles() + kept.inputFiles()
+        assert kept.count() == 5 and len(files) > 1
+    assert outer.count() == 3
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in files)
