@@ -1,7 +1,9 @@
 """A training-data pipeline out of the corpus operators: documents in, token shards out.
 
-A stage's result is written before the next one begins; scratch tables of earlier stages that
-the documents at hand don't read are removed then.
+A stage takes NULL, empty and repeated texts, NULL and repeated ids (rows of their own) and empty tables as its
+operator does, and hands on the columns it got, whatever their names. It decides first: the decisions (ids) are
+written, and the scratch tables behind them are removed; those of others are not touched. Its result is written
+before the next stage begins.
 """
 
 from __future__ import annotations
@@ -13,13 +15,6 @@ from bootloom.llm import common, decontaminate, mixing, ngram_join, token_store,
 from bootloom.llm.token_counts import tokenizer_path
 
 NEAR_WORDS, NEAR_PERCENT = 5, 80
-_since = common.mark()
-
-
-def _begin(spark, docs):
-    ship_package(spark)
-    common.small_batches(spark)
-    common.drop_stages(spark, _since, docs)
 
 
 def _without(keyed, dropped):
@@ -28,41 +23,48 @@ def _without(keyed, dropped):
 
 
 def drop_toxic(spark, docs, sf_dir):
-    """Documents that the toxicity model rejects go."""
-    _begin(spark, docs)
-    model = toxicity.fit(docs, common.table(spark, sf_dir, "labels"), rows=~toxicity.held_out())
+    """Documents that the toxicity model rejects go. NULL and empty texts are scored like any other; without labels
+    of both kinds all or none are toxic, as the share of toxic labels says."""
+    ship_package(spark)
+    with common.passing(spark):
+        model = toxicity.fit(docs, common.table(spark, sf_dir, "labels"), rows=~toxicity.held_out())
     return docs.where(~toxicity.is_toxic(model, F.col("text")))
 
 
 def drop_near_duplicates(spark, docs, sf_dir):
-    """Of each group of near duplicates (5 words, similarity 0.8), the first document stays."""
-    _begin(spark, docs)
+    """Of each group of near duplicates (5 words, similarity 0.8), the document of the smallest id stays; of rows of
+    one id, the first by text hash. Texts without words stay."""
+    ship_package(spark)
     keyed = common.keyed(docs, whole=True)
-    classes = ngram_join.classes_of(keyed, NEAR_WORDS, NEAR_PERCENT)
-    return _without(keyed, classes.where("uid <> first_uid").select("uid"))
+    later = common.settled(spark, "later", lambda: ngram_join.classes_of(keyed, NEAR_WORDS, NEAR_PERCENT).where(
+        "uid <> first_uid").select("uid"))
+    return _without(keyed, later)
 
 
 def drop_contaminated(spark, docs, sf_dir):
-    """Documents that the benchmark contaminates go."""
-    _begin(spark, docs)
+    """Documents that the benchmark contaminates go; those without words stay."""
+    ship_package(spark)
     keyed = common.keyed(docs, whole=True)
-    found = decontaminate.contamination_of(keyed, common.table(spark, sf_dir, "benchmark"))
-    return _without(keyed, found.where("contaminated").select("uid"))
+    found = common.settled(spark, "contaminated", lambda: decontaminate.contamination_of(
+        keyed, common.table(spark, sf_dir, "benchmark")).where("contaminated").select("uid"))
+    return _without(keyed, found)
 
 
 def mix_sources(spark, docs, sf_dir):
-    """Each document as often as the mix holds it."""
-    _begin(spark, docs)
+    """Each document as often as the mix holds it; a NULL source is one of its own. Texts without words
+    come with each whole epoch, and once more where their place is before the cut."""
+    ship_package(spark)
     keyed = common.keyed(docs, whole=True)
-    mixed = mixing.mix(keyed.select("uid", "text", F.col("row.source").alias("source")), id_col="uid")
-    times = mixed.where("epochs > 0").select(F.col("doc_id").alias("uid"), "epochs")
+    rows = keyed.select("uid", "text", F.col("row.source").alias("source"))
+    times = common.settled(spark, "times", lambda: mixing.mix(rows, id_col="uid").where("epochs > 0").select(
+        F.col("doc_id").alias("uid"), "epochs"))
     return (keyed.join(times, "uid").select("row", F.explode(F.sequence(F.lit(1), F.col("epochs"))))
             .select("row.*"))
 
 
 def write_tokens(spark, docs, sf_dir):
     """Token shards with their index; one row per record, read back from them."""
-    _begin(spark, docs)
+    ship_package(spark)
     return token_store.stored_digests(docs, tokenizer_path())
 
 
@@ -83,5 +85,5 @@ def run(spark, sf_dir):
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-# Tokenizers are not SQL; tests/llm compares every stage with a plain version.
+# Tokenizers are not SQL; tests/llm compares near duplicates, decontamination and tokens with plain versions.
 ORACLE_SQL = None
