@@ -41,7 +41,7 @@ def test_query_equals_its_twin(spark, sf_dir, key):
 def test_every_operator_is_registered():
     names = sorted(e.CORPUS_QUERIES)
     assert "pipeline" in names
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14))
 
 
 # ------------------------------------------------------------------ helpers
