@@ -1,10 +1,11 @@
 """Byte-level BPE through a table of distinct words, and back through a table of pieces.
 
 A text may be cut before any white space that follows a printed character without changing its ids; what lies
-between two cuts is a word here. Words repeat, so a document is kept as numbers: each slice of some MB of text has
-a list of its distinct words, and its documents are positions in that list. Only the lists are shuffled by
-word: each distinct word of the corpus is encoded once, its ids are decoded by a join with the table of the
-vocabulary's pieces, and both come back to the slices by word, where documents are put together by position.
+between two cuts is a word here. Words repeat, so a document is kept as positions in a list: each slice of some MB
+of text has a sorted list of its distinct words. Only the lists are shuffled, cut by word hash into compressed
+pieces: where the lists of a hash bucket meet, each distinct word is encoded once, and its ids are decoded by a
+join with the table of the vocabulary's pieces. Both go back to the slices in the order of their lists, and
+documents are put together by position.
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from . import bpe, common
-from .textops import hash_spans, slices, text_bytes
+from . import bpe, common, fsio
+from .textops import U, hash_spans, slices, text_bytes
 from .token_counts import tokenizer_path
 
 SLICE_BYTES = 16 << 20
@@ -38,70 +39,179 @@ def word_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return start, np.diff(np.append(start, len(data))), np.diff(np.searchsorted(start, offs))
 
 
-def numbered_words(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-    """The distinct words of a slice, the most frequent first, and each word's place among them."""
+def distinct_words(data: np.ndarray, start: np.ndarray, length: np.ndarray, buckets: int):
+    """(distinct words, their hash buckets, the place of each word among them); words are in order of bucket, then
+    bytes."""
     if not len(start):
-        return [], np.zeros(0, np.int64)
+        return [], np.zeros(0, np.int64), np.zeros(0, np.int64)
     first, second = hash_spans(data, start, length), hash_spans(data, start, length, 1)
-    _, at, inverse, count = np.unique(first, return_index=True, return_inverse=True, return_counts=True)
+    order = np.argsort(first)
+    fresh = np.append(True, first[order][1:] != first[order][:-1])
+    at = order[fresh]
+    number = np.empty(len(first), np.int64)
+    number[order] = np.cumsum(fresh) - 1
     view = memoryview(np.ascontiguousarray(data))
-    if (second[at][inverse] != second).any():   # two words of one hash: the words themselves
+    if (second[at][number] != second).any():   # two words of one hash: tell them apart by their bytes
         every = [view[s:s + n].tobytes() for s, n in zip(start, length)]
         place = {w: i for i, w in enumerate(dict.fromkeys(every))}
-        return list(place), np.array([place[w] for w in every], np.int64)
-    order = np.argsort(-count, kind="stable")
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    return [view[s:s + n].tobytes() for s, n in zip(start[at[order]], length[at[order]])], rank[inverse]
+        words, number = list(place), np.array([place[w] for w in every], np.int64)
+        at = np.unique(number, return_index=True)[1]
+    else:
+        words = [view[s:s + n].tobytes() for s, n in zip(start[at], length[at])]
+    bucket = (first[at] % U(buckets)).astype(np.int64)
+    by = sorted(range(len(words)), key=lambda i: (bucket[i], words[i]))
+    rank = np.empty(len(by), np.int64)
+    rank[by] = np.arange(len(by))
+    return [words[i] for i in by], bucket[by], rank[number]
 
 
-def _packed(codes: np.ndarray, distinct: int) -> bytes:
-    return pa.compress(codes.astype("<u2" if distinct <= 1 << 16 else "<u4").tobytes(), "zstd", asbytes=True)
+# ------------------------------------------------------------------ compressed numbers and bytes
 
+def _shrunk(values: np.ndarray) -> bytes:
+    """Non-negative integers: byte by byte of all, the lowest first, compressed."""
+    wide = 4 if len(values) and values.max() >= 1 << 16 else 2
+    planes = np.ascontiguousarray(values.astype(f"<u{wide}").view(np.uint8).reshape(-1, wide).T)
+    return bytes([wide]) + pa.compress(planes.tobytes(), "zstd", asbytes=True) if len(values) else b""
 
-def _unpacked(raw: bytes, n: int, distinct: int) -> np.ndarray:
-    kind = np.dtype("<u2" if distinct <= 1 << 16 else "<u4")
-    return np.frombuffer(pa.decompress(raw, n * kind.itemsize, "zstd", asbytes=True), kind)
 
+def _restored(raw: bytes, n: int) -> np.ndarray:
+    if not n:
+        return np.zeros(0, np.int64)
+    planes = np.frombuffer(pa.decompress(raw[1:], n * raw[0], "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(raw[0], n).T).view(f"<u{raw[0]}").ravel().astype(np.int64)
 
-def coded_slices(docs: DataFrame, id_col: str, text_col: str, most: int) -> DataFrame:
-    """``(slice, ids, counts, codes, words)``, written: documents as positions in their slice's list of words. What
-    a task wrote is what counts, so slices need not be cut alike in a repeated task."""
+
+def _squeezed(raw: bytes) -> bytes:
+    return pa.compress(raw, "zstd", asbytes=True) if raw else b""
+
+
+def _expanded(raw: bytes, n: int) -> bytes:
+    return pa.decompress(raw, n, "zstd", asbytes=True) if n else b""
+
+
+def _gathered(pool: np.ndarray, sizes: np.ndarray, pick: np.ndarray) -> np.ndarray:
+    """The stretches ``pick`` of a pool, whose stretches have the given sizes."""
+    begin, count = (np.cumsum(sizes) - sizes)[pick], sizes[pick]
+    ends = np.cumsum(count)
+    return pool[np.repeat(begin - ends + count, count) + np.arange(ends[-1])] if len(pick) else pool[:0]
+
+
+# ------------------------------------------------------------------ the tables
+
+def coded_slices(docs: DataFrame, id_col: str, text_col: str, most: int, buckets: int) -> DataFrame:
+    """``(slice, ids, counts, n, codes, lists)``, written: documents as positions in their slice's list of n words,
+    and the list by hash bucket. What a task wrote is what counts, so a repeated task may cut other slices."""
     df = common.pick(docs, doc_id=id_col, text=F.coalesce(common._column(text_col).cast("string"), F.lit("")))
     kind = T.StructType([
         T.StructField("slice", T.LongType()), T.StructField("ids", T.ArrayType(df.schema["doc_id"].dataType)),
-        T.StructField("counts", T.ArrayType(T.IntegerType())), T.StructField("codes", T.BinaryType()),
-        T.StructField("words", T.ArrayType(T.BinaryType()))])
+        T.StructField("counts", T.ArrayType(T.IntegerType())), T.StructField("n", T.IntegerType()),
+        T.StructField("codes", T.BinaryType()), T.StructField("lists", T.ArrayType(T.StructType.fromDDL(LIST)))])
+    arrow = to_arrow_schema(kind)
 
     def work(batches):
         number = TaskContext.get().partitionId() << 33
         for batch in slices(batches, "text", most, SLICE_ROWS):
             data, offs = text_bytes(batch.column("text"))
             start, length, counts = word_spans(data, offs)
-            words, codes = numbered_words(data, start, length)
+            words, bucket, codes = distinct_words(data, start, length, buckets)
+            lists = []
+            cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(words) else []
+            for a, b in zip(cut, np.append(cut[1:], len(words)) if len(words) else []):
+                sizes = np.array([len(w) for w in words[a:b]], np.int64)
+                lists.append({"bucket": int(bucket[a]), "size": int(b - a), "length": int(sizes.sum()),
+                              "lengths": _shrunk(sizes), "words": _squeezed(b"".join(words[a:b]))})
             rows = pa.array([0, batch.num_rows], pa.int32())
             yield pa.RecordBatch.from_arrays([
                 pa.array([number]), pa.ListArray.from_arrays(rows, batch.column("doc_id")),
                 pa.ListArray.from_arrays(rows, pa.array(counts.astype(np.int32))),
-                pa.array([_packed(codes, len(words))], pa.binary()),
-                pa.array([words], pa.list_(pa.binary()))], names=kind.names)
+                pa.array([len(words)], pa.int32()), pa.array([_shrunk(codes)], pa.binary()),
+                pa.array([lists], arrow.field("lists").type)], schema=arrow)
             number += 1
 
     return common.stage(df.mapInArrow(work, kind), "coded")
 
 
-def encoded_words(words: DataFrame, tokenizer: str) -> DataFrame:
-    """``(word, ids)`` for a table of distinct words."""
+LIST = "bucket int, size int, length long, lengths binary, words binary"
+# A bucket is a stream of rows: one that holds the slices' lists as places, then the ids of each distinct word.
+ENCODED = "bucket int, slices array<long>, places array<binary>, sizes array<int>, total int, ids array<int>"
+ANSWER = "slice long, bucket int, n int, counts binary, tokens binary, lengths binary, length long, text binary"
+
+
+def encoded_words(lists: DataFrame, tokenizer: str) -> DataFrame:
+    """The distinct words of each bucket of ``(slice, bucket, size, length, lengths, words)``, encoded once each."""
+    arrow = to_arrow_schema(T.StructType.fromDDL(ENCODED))
+
+    def work(table: pa.Table) -> pa.Table:
+        encoder, known, places = bpe.load(tokenizer), {}, []
+        for row in table.select(["size", "length", "lengths", "words"]).to_pylist():
+            raw, ends = _expanded(row["words"], row["length"]), np.cumsum(_restored(row["lengths"], row["size"])).tolist()
+            places.append(_shrunk(np.array([known.setdefault(raw[a:b], len(known))
+                                            for a, b in zip([0, *ends], ends)], np.int64)))
+        words = list(known)
+        ids = [None]
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            ids += encoder.whole([w.decode() for w in words[at:at + WORDS_AT_ONCE]])
+        bucket, rest = table["bucket"][0].as_py(), len(words)
+        return pa.table([pa.array([bucket] * (rest + 1), pa.int32()),
+                         pa.array([table["slice"].to_pylist(), *[None] * rest], pa.list_(pa.int64())),
+                         pa.array([places, *[None] * rest], pa.list_(pa.binary())),
+                         pa.array([table["size"].to_pylist(), *[None] * rest], pa.list_(pa.int32())),
+                         pa.array([rest, *[None] * rest], pa.int32()), pa.array(ids, pa.list_(pa.int32()))], schema=arrow)
+
+    return lists.groupBy("bucket").applyInArrow(work, ENCODED)
+
+
+def decoded_words(encoded: DataFrame, pieces: DataFrame) -> DataFrame:
+    """``ANSWER`` rows, one per slice and bucket: ids and decoded bytes of the slice's words in the order of its list.
+
+    The join with the pieces (one row per id, so it is sent to all tasks) leaves the order of a bucket's rows as it
+    is; that each bucket is whole and in order is checked by the numbers its rows carry.
+    """
+    arrow = to_arrow_schema(T.StructType.fromDDL(ANSWER))
+    each = encoded.select("bucket", "slices", "places", "sizes", "total", F.posexplode_outer("ids").alias("at", "token"))
+    each = each.join(F.broadcast(pieces.withColumnRenamed("token", "id")), F.col("token") == F.col("id"), "left").drop("id")
+
+    def flush(head, at, tokens, sizes, text):
+        at, tokens, sizes = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (at, tokens, sizes))
+        first = np.flatnonzero(at == 0)
+        counts = np.diff(np.append(first, len(at)))
+        if len(first) != head["total"] or (at != np.arange(len(at)) - np.repeat(first, counts)).any():
+            raise RuntimeError("the rows of a bucket are not in order")
+        upto = np.append(0, np.cumsum(sizes))
+        lengths = upto[np.append(first, len(at))[1:]] - upto[first]
+        pool = np.frombuffer(b"".join(text), np.uint8)
+        for number, raw, n in zip(head["slices"], head["places"], head["sizes"]):
+            pick = _restored(raw, n)
+            mine = _gathered(pool, lengths, pick).tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((
+                number, head["bucket"], n, _shrunk(counts[pick]), _shrunk(_gathered(tokens, counts, pick)),
+                _shrunk(lengths[pick]), len(mine), _squeezed(mine)), arrow)], schema=arrow)
+
     def work(batches):
-        encoder = bpe.load(tokenizer)
+        head, held = None, ([], [], [], [])
         for batch in batches:
-            for at in range(0, batch.num_rows, WORDS_AT_ONCE):
-                part = batch.column("word").slice(at, WORDS_AT_ONCE)
-                yield pa.RecordBatch.from_arrays(
-                    [part, pa.array(encoder.whole([w.decode() for w in part.to_pylist()]), pa.list_(pa.int32()))],
-                    names=["word", "ids"])
-
-    return words.mapInArrow(work, "word binary, ids array<int>")
+            heads = set(np.flatnonzero(batch.column("total").is_valid().to_numpy(zero_copy_only=False)).tolist())
+            cuts = sorted({0, batch.num_rows, *heads})
+            for a, b in zip(cuts, cuts[1:]):
+                if a in heads:
+                    if head is not None:
+                        yield from flush(head, *held)
+                    head = {c: batch.column(c)[a].as_py() for c in ("bucket", "slices", "places", "sizes", "total")}
+                    held = ([], [], [], [])
+                    a += 1
+                if b > a:
+                    piece = batch.column("piece").slice(a, b - a)
+                    if piece.null_count:
+                        raise RuntimeError("the vocabulary lacks an id")
+                    ends = np.frombuffer(piece.buffers()[1], np.int32, b - a + 1 + piece.offset)[piece.offset:]
+                    held[0].append(batch.column("at").slice(a, b - a).to_numpy().astype(np.int64))
+                    held[1].append(batch.column("token").slice(a, b - a).to_numpy().astype(np.int64))
+                    held[2].append(np.diff(ends).astype(np.int64))
+                    held[3].append(memoryview(piece.buffers()[2])[ends[0]:ends[-1]].tobytes())
+        if head is not None:
+            yield from flush(head, *held)
+
+    return each.mapInArrow(work, ANSWER)
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -113,26 +223,13 @@ def byte_alphabet() -> dict[int, str]:
 
 
 def piece_table(spark: SparkSession, tokenizer: str) -> DataFrame:
-    """``(token, piece)``: what an id decodes to, in characters that stand for bytes. A piece of other characters
-    (an added token, say) stands for its own UTF-8 bytes. One row per id, so its size is the vocabulary's."""
-    encoder, alphabet = bpe.load(tokenizer), byte_alphabet()
-    known = set(alphabet.values())
+    """``(token, piece)``: the bytes an id decodes to. A piece with a character that stands for no byte (an added
+    token, say) is its own UTF-8 bytes. One row per id, so its size is the vocabulary's."""
+    encoder, back = bpe.load(tokenizer), {c: b for b, c in byte_alphabet().items()}
     pieces = ((i, encoder.tokenizer.id_to_token(i)) for i in range(encoder.size))
     return spark.createDataFrame(
-        [(i, p if set(p) <= known else "".join(alphabet[b] for b in p.encode()))
-         for i, p in pieces if p is not None], "token int, piece string")
-
-
-def word_table(words: DataFrame, tokenizer: str) -> DataFrame:
-    """``(word, tokens, pieces)`` of each word of ``words(word)``, written: its ids as little-endian 32-bit integers,
-    and what these ids decode to, in characters that stand for bytes."""
-    spark = words.sparkSession
-    encoded = common.stage(encoded_words(words.distinct(), tokenizer), "encoded")
-    pieces = F.broadcast(piece_table(spark, tokenizer))   # bounded by the vocabulary
-    each = encoded.select("word", F.posexplode("ids").alias("at", "token")).join(pieces, "token")
-    return common.stage(each.groupBy("word").agg(F.array_sort(F.collect_list(F.struct("at", "token", "piece"))).alias("x"))
-                        .select("word", F.col("x.token").alias("tokens"), F.array_join("x.piece", "").alias("pieces")),
-                        "words")
+        [(i, bytearray(back[c] for c in p) if all(c in back for c in p) else bytearray(p.encode()))
+         for i, p in pieces if p is not None], "token int, piece binary")
 
 
 def _check(tokenizer: str) -> None:
@@ -149,37 +246,58 @@ def encode_and_decode(docs: DataFrame, tokenizer: str, what, columns: str, id_co
 
     NULL and empty texts have no ids. Special strings in a text become their ids, as in the library by default. NULL or
     repeated ids are passed on; rows need no id to find back to their words. Other columns are left out.
-    A slice is the unit that a task holds: some 16 MB of text, or one text that is longer.
+    A task holds a slice, some 16 MB of text or one text that is longer, or the words of one hash bucket, of which
+    there are as many as shuffle partitions. The answers of a slice are a file in the shared scratch folder.
     """
     _check(tokenizer)
-    coded = coded_slices(docs, id_col, text_col, slice_bytes)
-    table = word_table(coded.select(F.explode("words").alias("word")), tokenizer)
-    lists = coded.select("slice", F.posexplode("words").alias("code", "word"))
-    lists = lists.join(table, "word").select(F.col("slice").alias("of"), "code", "tokens", "pieces")
+    spark = docs.sparkSession
+    coded = coded_slices(docs, id_col, text_col, slice_bytes, common.parts(spark))
+    lists = coded.select("slice", F.explode("lists").alias("l")).select("slice", "l.*")
+    answers = decoded_words(encoded_words(lists, tokenizer), piece_table(spark, tokenizer))
+    folder = common.folder(spark, "answers")
+    fsio.make_folder(folder)
+
+    def write(table: pa.Table) -> pa.Table:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as out:
+            out.write_table(table.sort_by("bucket"))
+        fsio.write_whole(f"{folder}/{table['slice'][0].as_py()}", sink.getvalue().to_pybytes())
+        return table.select(["slice"]).slice(0, 1)
+
+    common.stage(answers.groupBy("slice").applyInArrow(write, "slice long"), "answered")
     kind = T.StructType([T.StructField("doc_id", coded.schema["ids"].dataType.elementType),
                          *T.StructType.fromDDL(columns).fields])
-    back = {ord(c): chr(b) for b, c in byte_alphabet().items()}
-
-    def assemble(left, right):
-        n = right.num_rows
-        order = np.argsort(right.column("code").to_numpy())
-        tokens = right.column("tokens").combine_chunks().take(pa.array(order)) if n else None
-        ids = [np.array(x, "<u4").tobytes() for x in tokens.to_pylist()] if n else []
-        pieces = right.column("pieces").combine_chunks().take(pa.array(order)).to_pylist() if n else []
-        text = [p.translate(back).encode("latin-1") for p in pieces]
-        out = []
-        for row in left.to_pylist():
-            counts = np.array(row["counts"], np.int64)
-            ends = np.cumsum(counts)
-            codes = _unpacked(row["codes"], int(ends[-1]), n).tolist() if n else []
-            for doc, a, b in zip(row["ids"], ends - counts, ends):
-                own = codes[a:b]
-                out.append((doc, *what(b"".join([ids[c] for c in own]), b"".join([text[c] for c in own]))))
-        return pa.table([pa.array([r[i] for r in out], f.type) for i, f in enumerate(arrow)], schema=arrow)
-
     arrow = to_arrow_schema(kind)
-    documents = coded.select("slice", "ids", "counts", "codes").groupBy("slice")
-    return documents.cogroup(lists.groupBy("of")).applyInArrow(assemble, kind)
+
+    def assemble(batches):
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = {c: batch.column(c)[at] for c in batch.schema.names}
+                counts = np.array(row["counts"].as_py(), np.int64)
+                ids, text = _answered(f"{folder}/{row['slice'].as_py()}") if row["n"].as_py() else ([], [])
+                ends = np.cumsum(counts)
+                codes = _restored(row["codes"].as_py(), int(ends[-1])).tolist()
+                out = [what(b"".join([ids[c] for c in codes[a:b]]), b"".join([text[c] for c in codes[a:b]]))
+                       for a, b in zip(ends - counts, ends)]
+                yield pa.RecordBatch.from_arrays(
+                    [row["ids"].values, *[pa.array(x, f.type) for x, f in zip(zip(*out), list(arrow)[1:])]], schema=arrow)
+
+    return coded.select("slice", "ids", "counts", "n", "codes").mapInArrow(assemble, kind)
+
+
+def _answered(uri: str) -> tuple[list[bytes], list[bytes]]:
+    """(ids, decoded bytes) of the words of a slice, in the order of its list."""
+    with fsio.open_in(uri) as f:
+        table = pa.ipc.open_stream(f.read()).read_all()
+    ids, text = [], []
+    for row in table.to_pylist():
+        for out, sizes, raw in ((ids, 4 * _restored(row["counts"], row["n"]), None),
+                                (text, _restored(row["lengths"], row["n"]), row["text"])):
+            ends = np.cumsum(sizes)
+            raw = (_expanded(raw, row["length"]) if raw is not None else
+                   _restored(row["tokens"], int(ends[-1]) // 4).astype("<u4").tobytes())
+            out += [raw[a:b] for a, b in zip((ends - sizes).tolist(), ends.tolist())]
+    return ids, text
 
 
 def digests(ids: bytes, decoded: bytes) -> tuple[int, str, str]:

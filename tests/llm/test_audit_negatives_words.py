@@ -267,13 +267,35 @@ def test_words_of_odd_rows(spark, library, messy, none):
 
 
 def test_each_distinct_word_is_encoded_once(spark, docs):
-    coded = word_table.coded_slices(docs, "doc_id", "text", 3000)
-    words = coded.select(F.explode("words").alias("word"))
-    table = word_table.word_table(words, tokenizer_path())
-    assert table.count() == words.distinct().count() < words.count()
-    back = {ord(c): b for b, c in word_table.byte_alphabet().items()}
-    for r in table.collect():
-        assert bytes(back[ord(c)] for c in r["pieces"]) == bytes(r["word"])
+    coded = word_table.coded_slices(docs, "doc_id", "text", 3000, 5)
+    lists = coded.select("slice", F.explode("lists").alias("l")).select("slice", "l.*")
+    rows = word_table.encoded_words(lists, tokenizer_path()).collect()
+    words = set()
+    for r in docs.collect():
+        data = np.frombuffer((r["text"] or "").encode(), np.uint8)
+        start, length, _ = word_table.word_spans(data, np.array([0, len(data)]))
+        words |= {data[s:s + n].tobytes() for s, n in zip(start, length)}
+    listed = sum(r["size"] for r in lists.collect())
+    assert sum(r["total"] or 0 for r in rows) == len([r for r in rows if r["ids"] is not None]) == len(words) < listed
+    pieces = {r["token"]: bytes(r["piece"]) for r in word_table.piece_table(spark, tokenizer_path()).collect()}
+    assert {b"".join(pieces[i] for i in r["ids"]) for r in rows if r["ids"] is not None} == words
+
+
+def test_numbers_and_bytes_are_restored():
+    rng = np.random.default_rng(1)
+    for top, n in ((1, 5), (300, 1000), (1 << 17, 1000), (5, 0)):
+        x = rng.integers(0, top, n)
+        assert (word_table._restored(word_table._shrunk(x), n) == x).all()
+    assert word_table._expanded(word_table._squeezed(b"ab" * 99), 198) == b"ab" * 99
+    assert word_table._expanded(word_table._squeezed(b""), 0) == b""
+
+
+def test_words_of_one_hash_are_told_apart(monkeypatch):
+    data = np.frombuffer(b"a b a c b a", np.uint8)
+    start, length, _ = word_table.word_spans(data, np.array([0, len(data)]))
+    monkeypatch.setattr(word_table, "hash_spans", lambda d, s, n, which=0: np.arange(len(s)).astype(np.uint64) * np.uint64(which))
+    words, bucket, codes = word_table.distinct_words(data, start, length, 3)
+    assert [words[c] for c in codes] == [b"a", b" b", b" a", b" c", b" b", b" a"] and len(words) == 4
 
 
 def test_other_vocabularies_are_refused(spark, docs):
