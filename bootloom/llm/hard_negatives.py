@@ -31,6 +31,7 @@ CENTRES = 256          # cells of the top level at most; fuller cells have sever
 TREE_ROWS = 4096       # rows of a tree, about, and anchors that meet it at once
 NET_SAMPLE = 4096      # rows that the centres are chosen from; every row is indexed
 LEAF = 64
+AT_ONCE = 512          # rows of leaves that are scored together
 TRIES = 32             # new centres in a row without company that end a net; the rest goes to leaves by distance
 SALTS = 64
 EXACT = float(1 << 53)
@@ -159,39 +160,47 @@ class Tree:
 
     def descend(self, q: np.ndarray, low: np.ndarray, high: np.ndarray, windows: list[tuple], wanted, own=None):
         """For each window (lowest, highest score) the best ``(-score, id)`` of the rows that ``wanted(labels)`` selects,
-        best first; ``low`` and ``high`` are the anchor's bounds of all nodes. ``own`` is an id left out."""
+        best first; ``low`` and ``high`` are the anchor's bounds of all nodes. ``own`` is an id left out. Leaves are
+        scored some ``AT_ONCE`` rows at a time, so that what they hold raises the floor for the next."""
         found: list[list[tuple]] = [[] for _ in windows]
-        floor = [w[0] for w in windows]
-        top = max(w[1] for w in windows)
         exact = math.sqrt(float(_squares(q[None])[0]) * self.most) < EXACT / 2
+        floor, most = (np.array(x, float if exact else object) for x in zip(*windows))
+        top, keep = float(most.max()), NEGATIVES if own is None else POSITIVES
         point = q.astype(float)
 
-        def alive(node):
-            return any(high[node] >= f and low[node] <= w[1] for f, w in zip(floor, windows))
+        def alive(nodes):
+            return ((high[nodes, None] >= floor) & (low[nodes, None] <= most)).astype(bool).any(axis=1)
 
         heap = [(-min(high[0], top), 0)]
         while heap:
-            bound, node = heapq.heappop(heap)
-            if -bound < min(floor):
-                break
-            if not alive(node):
+            leaves, rows = [], 0
+            while heap and rows < AT_ONCE:
+                bound, node = heapq.heappop(heap)
+                if -bound < floor.min():
+                    heap = []
+                elif self.last[node] > self.first[node]:
+                    kids = np.arange(self.first[node], self.last[node])
+                    kids = kids[alive(kids)]
+                    for pair in zip(np.negative(np.minimum(high[kids], top)).tolist(), kids.tolist()):
+                        heapq.heappush(heap, pair)
+                else:
+                    leaves.append(node)
+                    rows += self.end[node] - self.begin[node]
+            leaves = np.array(leaves, np.int64)
+            leaves = leaves[alive(leaves)]
+            if not len(leaves):
                 continue
-            if self.last[node] > self.first[node]:
-                for child in range(self.first[node], self.last[node]):
-                    if alive(child):
-                        heapq.heappush(heap, (-min(high[child], top), child))
-                continue
-            a, b = self.begin[node], self.end[node]
-            scores = (self.float_rows[a:b, :len(point)] @ point) if exact else products(
-                q[None], self.vectors[a:b])[0]
-            mask = wanted(self.labels[a:b])
-            for j, (_, most) in enumerate(windows):
-                hit = np.flatnonzero(mask & ((scores >= floor[j]) & (scores <= most)).astype(bool))
+            at = np.concatenate([np.arange(a, b) for a, b in zip(self.begin[leaves], self.end[leaves])])
+            at = at[wanted(self.labels[at])]
+            scores = self.float_rows[at] @ point if exact else products(q[None], self.vectors[at])[0]
+            for j in range(len(windows)):
+                hit = np.flatnonzero(((scores >= floor[j]) & (scores <= most[j])).astype(bool))
+                if len(hit) > keep + 1:   # one more, as a row may be the anchor's own
+                    hit = hit[scores[hit] >= np.sort(scores[hit])[-keep - 1]]
                 if not len(hit):
                     continue
-                more = [(-int(scores[i]), k) for i in hit for k in self.ids[a + i] if k != own or not scores_own(
-                    self.vectors[a + i], q)]
-                keep = NEGATIVES if own is None else POSITIVES
+                more = [(-int(scores[i]), k) for i in hit for k in self.ids[at[i]]
+                        if k != own or not scores_own(self.vectors[at[i]], q)]
                 found[j] = heapq.nsmallest(keep, found[j] + more)
                 if len(found[j]) == keep:
                     floor[j] = max(floor[j], -found[j][-1][0])
