@@ -15,7 +15,7 @@ from bootloom import split_rows  # noqa: E402
 from bootloom.functions.hashing import POISSON_1_CDF  # noqa: E402
 from bootloom.functions.scratch import scratch_path  # noqa: E402
 from bootloom.functions.ship import ship_package  # noqa: E402
-from bootloom.operators import moments as mom, resample as rs, score, summary  # noqa: E402
+from bootloom.operators import moments as mom, resample as rs, score, sparse_score, summary  # noqa: E402
 from bootloom.operators.index import dense_index as add_position  # noqa: E402
 from bootloom.plans import fit, tables  # noqa: E402
 from bootloom.plans.fit import Model  # noqa: E402
@@ -45,6 +45,9 @@ FAMILY = {"reduced": REDUCED, "pair": Model("lasso", ("qty", "lines"), GRID), "f
           "ridge": RIDGE, "linear": LINEAR}
 ONE_HOT = ("qty", "orderstatus_F", "orderstatus_O")
 ONE_HOT_ALPHAS = (5.0, 1e4, 1e5)
+WIDE_COLUMNS = 4000
+LEVEL_UNITS = {"1": 1.0, "qty": 97.3, **{f"orderstatus_{s}": 1.07 for s in "FOP"},
+               **{f"priority_P{i}": 1.01 for i in range(1, 6)}, "y": 1.13e5}
 COLLINEAR = Model("linear", (*ONE_HOT, "orderstatus_P"))
 PART = {"part": Model("lasso", ("partkey", "size"), PART_ALPHAS)}
 
@@ -283,6 +286,35 @@ def feature_match_wide(spark, d):
     return _rounded(summary.feature_match(freq, "orderstatus_"), p_nonzero=9).drop("is_intercept")
 
 
+def moments_one_hot(spark, d):
+    """Gram entries of sparse rows, on and above the diagonal."""
+    run = fit.prepare(tables.orders_one_hot(spark, d), "y", {"m": Model("linear")}, n_boot=SEEDS)
+    units = F.array(*map(F.lit, LEVEL_UNITS.values()))
+    table = run.moments()
+    width = sum(c[0] == "g" for c in table.columns)
+    entries = table.select("seed", "fold", "i", "j0", F.posexplode(F.array(*[f"g{b}" for b in range(width)])).alias("b", "g"))
+    entries = entries.withColumn("j", (F.col("j0") + F.col("b")).cast("int")).where(
+        (F.col("j") >= F.col("i")) & (F.col("j") < len(LEVEL_UNITS)))
+    return entries.select("seed", "fold", "i", "j", F.round(
+        F.col("g") / (units[F.col("i")] * units[F.col("j")]), 5).alias("g"))
+
+
+def fit_wide_tiles(spark, d):
+    """4,000 columns, whose Gram matrices stay in tiles; they span two dimensions, so R^2 is that of two columns."""
+    records = fit.fit_bootstrap(tables.part_wide(spark, d, WIDE_COLUMNS), "y", {"wide": Model("linear")},
+                                n_boot=SEEDS, k=1)
+    return records.select("model", "seed", F.size("coef").alias("n_features"), F.round("r2", 8).alias("r2"))
+
+
+def predict_sparse(spark, d):
+    """Predictions for sparse test rows from inverted lists of coefficients; one model keeps no feature."""
+    train = tables.orders_one_hot(spark, d)
+    models = {"wide": Model("lasso", ONE_HOT, ONE_HOT_ALPHAS), "none": Model("lasso", ONE_HOT, (1e9,))}
+    records = fit.fit_bootstrap(train, "y", models, n_boot=SEEDS)
+    test = tables.orders_one_hot(spark, d, "test", train)
+    return _rounded(sparse_score.predict_sparse(records, test), prediction=3)
+
+
 # ------------------------------------------------------------------ analysis
 
 def coef_table(spark, d):
@@ -400,6 +432,9 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "resample_weights": resample_weights,
         "poisson_weights": poisson_weights,
         "moments": moments,
+        "moments_one_hot": moments_one_hot,
+        "fit_wide_tiles": fit_wide_tiles,
+        "predict_sparse": predict_sparse,
         "fit_linear": fit_linear,
         "fit_linear_1d": fit_1d(Model("linear", ("qty",))),
         "fit_lasso": fit_lasso,
@@ -519,6 +554,15 @@ def own_oracles() -> dict[str, str]:
         f"{'_'.join((a, b) if i <= j else (b, a))} / {o.lit(UNITS[a] * UNITS[b])}, 5) AS g FROM mom"
         for i, a in enumerate(z) for j, b in enumerate(z))
 
+    levels = o.Sql(o.ORDERS_LEVELS, list(LEVEL_UNITS)[1:-1]).moments()
+    level_gram = union(
+        f"SELECT seed, fold, {i}::INTEGER AS i, {j}::INTEGER AS j, round(s_{a}_{b} / "
+        f"{o.lit(LEVEL_UNITS[a] * LEVEL_UNITS[b])}, 5) AS g FROM mom"
+        for i, a in enumerate(LEVEL_UNITS) for j, b in enumerate(LEVEL_UNITS) if i <= j)
+    mixtures = o.Sql(o.PART_LINE, ("partkey", "size"), "true").moments().fit("wide", "linear", ("partkey", "size"), ())
+    sparse = o.Sql(o.ORDERS_ONE_HOT, ONE_HOT).moments().fit("wide", "lasso", ONE_HOT, ONE_HOT_ALPHAS).fit(
+        "none", "lasso", ONE_HOT, (1e9,)).metrics({"wide": ONE_HOT, "none": ONE_HOT})
+
     poisson = o.Sql()
     poisson.ctes.append("p0 AS (SELECT seed, row_id FROM seeds, train)")
     poisson.ctes += o.hash_step("p1", "p0", "seed, row_id", "seed", "42")
@@ -529,6 +573,10 @@ def own_oracles() -> dict[str, str]:
     base = o.Sql()
 
     return {
+        "moments_one_hot": levels.select(level_gram),
+        "fit_wide_tiles": mixtures.select(f"SELECT 'wide' AS model, seed, {WIDE_COLUMNS}::INTEGER AS n_features, "
+                                          "round(r2, 8) AS r2 FROM score_wide"),
+        "predict_sparse": sparse.select("SELECT model, row_id, seed, round(prediction, 3) AS prediction FROM pred"),
         "load_align": "SELECT row_id, qty, lines, round(disc, 9) AS disc, round(y, 6) AS y, "
                       f"test_set FROM ({o.ORDERS_REG})",
         "load_no_index": "SELECT CASE WHEN row_id % 2 = 0 THEN 'a' ELSE 'b' END AS file, "

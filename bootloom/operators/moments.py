@@ -194,9 +194,8 @@ def plain_moments(df: DataFrame, columns: list[str], centres: list[float]) -> np
 
 def unpack(block, q: int) -> np.ndarray:
     """Gram matrix from the long layout of one (seed, fold), given as a pandas frame."""
-    width = block_width(q - 1)
-    out = np.zeros((q, -(-q // width), width))
-    out[block["i"].to_numpy(), block["j0"].to_numpy() // width] = block[
-        [f"g{b}" for b in range(width)]].to_numpy()
+    names = [c for c in block.columns if c[0] == "g"]
+    out = np.zeros((q, -(-q // len(names)), len(names)))
+    out[block["i"].to_numpy(), block["j0"].to_numpy() // len(names)] = block[names].to_numpy()
     upper = np.triu(out.reshape(q, -1)[:, :q])
     return upper + np.triu(upper, 1).T

@@ -237,14 +237,11 @@ def bucket_goal(spark: SparkSession, n: int, columns: int, blocks: int) -> int:
     return max(min(goal, idle), MIN_CELL // 2)
 
 
-def _meet(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list[int], k: int,
-          sampling: str, blocks: int, row_id: str, function, schema: str) -> DataFrame:
-    """Bring the rows of each bucket and the draws that hit it together, and apply
-    ``function(ids, x, draws)`` to both: ids and columns in position order, and a table."""
+def bucketed_draws(df: DataFrame, stats: FrameStats, seeds: list[int], k: int, sampling: str, goal: int,
+                   row_id: str) -> tuple[DataFrame, DataFrame]:
+    """The rows with the bucket they are in, and the draws that hit each bucket."""
     spark, n = df.sparkSession, stats.n
-    goal = bucket_goal(spark, n, len(columns), blocks)
-    bucketed = bucket_rows(df.select(F.col(row_id).cast("long").alias(row_id),
-                                     *packed(columns)), stats, goal, row_id)
+    bucketed = bucket_rows(df, stats, goal, row_id)
     buckets = bucket_table(bucketed, stats, row_id)
     size = cell_size(n)
     cells = buckets.select(
@@ -252,7 +249,6 @@ def _meet(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list[int]
         F.col("_bucket_rows").alias("n_rows"),
         F.explode(F.expr(f"sequence(cast(_offset div {size} as int), "
                          f"cast((_offset + _bucket_rows - 1) div {size} as int))")).alias("cell"))
-    tasks = task_count(spark, n, len(columns), max(1, 2 * n // goal))
     if sampling == EXACT:
         draws = (cell_counts(spark, seeds, n, k).join(cells, "cell")
                  .select("hit_bucket", "offset", "seed", "cell", "fold", "n_draws"))
@@ -262,6 +258,18 @@ def _meet(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list[int]
                  .join(cells, "cell")
                  .where("position between offset and offset + n_rows - 1")
                  .select("hit_bucket", "offset", "seed", "fold", "position"))
+    return bucketed, draws
+
+
+def _meet(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list[int], k: int,
+          sampling: str, blocks: int, row_id: str, function, schema: str) -> DataFrame:
+    """Bring the rows of each bucket and the draws that hit it together, and apply
+    ``function(ids, x, draws)`` to both: ids and columns in position order, and a table."""
+    spark, n = df.sparkSession, stats.n
+    goal = bucket_goal(spark, n, len(columns), blocks)
+    bucketed, draws = bucketed_draws(df.select(F.col(row_id).cast("long").alias(row_id), *packed(columns)),
+                                     stats, seeds, k, sampling, goal, row_id)
+    tasks = task_count(spark, n, len(columns), max(1, 2 * n // goal))
 
     def apply(rows: pa.Table, draws: pa.Table) -> pa.Table:
         if rows.num_rows == 0 or draws.num_rows == 0:
@@ -278,7 +286,7 @@ def _meet(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list[int]
             .applyInArrow(apply, schema))
 
 
-def _weigh(sampling: str, draws: pa.Table, n: int, k: int, size: int, rows: int):
+def weigh(sampling: str, draws: pa.Table, n: int, k: int, size: int, rows: int):
     """Weights of a bucket of `rows` rows from its draws in cells of a size."""
     weights = _cell_weights if sampling == EXACT else _position_weights
     return weights(draws, n, k, size, draws["offset"][0].as_py(), rows)
@@ -291,21 +299,40 @@ def with_draws(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list
     n, size = stats.n, cell_size(stats.n)
 
     def weighed(ids, x, draws) -> pa.Table:
-        return function(ids, x, _weigh(sampling, draws, n, k, size, len(ids)))
+        return function(ids, x, weigh(sampling, draws, n, k, size, len(ids)))
 
     return _meet(df, stats, columns, seeds, k, sampling, len(seeds) * k, row_id, weighed, schema)
 
 
+def bundle_bytes(draws: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, draws.schema) as out:
+        out.write_table(draws)
+    return sink.getvalue().to_pybytes()
+
+
+def bundle_draws(draws: DataFrame) -> DataFrame:
+    """(hit_bucket, draws): the draws of each bucket as one value."""
+    def bundle(table: pa.Table) -> pa.Table:
+        return pa.table({"hit_bucket": table["hit_bucket"].slice(0, 1),
+                         "draws": pa.array([bundle_bytes(table.drop_columns("hit_bucket"))], pa.binary())})
+
+    return draws.groupBy("hit_bucket").applyInArrow(bundle, "hit_bucket long, draws binary")
+
+
+def unbundle_draws(draws: pa.Scalar, seeds: list[int]) -> pa.Table:
+    """The draws of some seeds."""
+    table = pa.ipc.open_stream(draws.as_buffer()).read_all()
+    return table.filter(pc.is_in(table["seed"], value_set=pa.array(seeds, pa.int64())))
+
+
 def bundles(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list[int], k: int,
             sampling: str, row_id: str = ROW_ID) -> DataFrame:
     """The buckets with their draws in a written table, one row of a few MB each, for work that
     goes over them more than once. `unbundled` takes them apart."""
     def bundle(ids, x, draws) -> pa.Table:
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, draws.schema) as out:
-            out.write_table(draws)
         return pa.table([pa.array([np.ascontiguousarray(x).tobytes()], pa.binary()),
-                         pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["x", "draws"])
+                         pa.array([bundle_bytes(draws)], pa.binary())], names=["x", "draws"])
 
     return staged(_meet(df, stats, columns, seeds, k, sampling, 0, row_id, bundle,
                         "x binary, draws binary"), "bundles")
@@ -315,13 +342,11 @@ def unbundled(batch, columns: int, n: int, k: int, size: int, sampling: str, see
               ) -> Iterator[tuple[np.ndarray, Iterator]]:
     """(x, weights) of each bundle of an Arrow batch, weights for some of the seeds only; `size` is
     the `cell_size` the draws were counted with."""
-    wanted = pa.array(seeds, pa.int64())
     for x, draws in zip(batch.column("x"), batch.column("draws")):
         x = np.frombuffer(x.as_buffer()).reshape(-1, columns)
-        draws = pa.ipc.open_stream(draws.as_buffer()).read_all()
-        draws = draws.filter(pc.is_in(draws["seed"], value_set=wanted))
+        draws = unbundle_draws(draws, seeds)
         if draws.num_rows:
-            yield x, _weigh(sampling, draws, n, k, size, len(x))
+            yield x, weigh(sampling, draws, n, k, size, len(x))
 
 
 def _arrow_schema(ddl: str) -> pa.Schema:

@@ -8,13 +8,18 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.scratch import computed_once
-from ..operators import moments as mom, solve
+from ..operators import moments as mom, solve, tiles, wide
 from ..operators.resample import EXACT, SAMPLINGS, seed_list
 from ..sources.frames import (ROW_ID, TEST_COLUMN, FrameStats, feature_names, frame_stats,
                               split_rows)
+from ..sources.sparse import Sparse
 from ..sources.records import ENGINE_VERSION, RECORD, append_records, missing_seeds, read_records
 
 
+# Columns beyond which the Gram matrices of a seed stay in tiles.
+WIDE = 3000
+
+
 @dataclass(frozen=True)
 class Model:
     """What to fit: a method, the features it sees (all when None) and a penalty grid."""
@@ -34,32 +39,46 @@ class Prepared:
     k: int
     sampling: str
     row_id: str
+    sparse: Sparse | None = None
+    tile: int = tiles.TILE
+
+    def is_wide(self) -> bool:
+        return len(self.columns) > WIDE
 
     def moments(self) -> DataFrame:
-        return mom.moments(self.rows, self.stats, self.columns, self.seeds, self.k,
-                           self.sampling, self.row_id)
+        shared = (self.seeds, self.k, self.sampling, self.row_id)
+        if self.sparse is not None:
+            at = [0, *self.sparse.places(self.columns)]
+            return tiles.sparse_moments(self.sparse.only(at), self.stats, self.sparse.rest[at], *shared, self.tile)
+        own = tiles.tile_moments if self.is_wide() else mom.moments
+        return own(self.rows, self.stats, self.columns, *shared, *([self.tile] if self.is_wide() else []))
 
     def solved(self) -> DataFrame:
-        return solve.solve_replicates(self.moments(), self.columns,
-                                      self.stats.centres(self.columns), self.models,
-                                      len(self.seeds))
+        centres = self.stats.centres(self.columns)
+        if self.is_wide():
+            return wide.solve_wide(self.moments(), self.columns, centres, self.models, self.seeds, self.k, self.tile)
+        return solve.solve_replicates(self.moments(), self.columns, centres, self.models, len(self.seeds))
 
 
-def prepare(df: DataFrame, target: str, models: dict[str, Model] | None = None, *,
+def prepare(df: DataFrame | Sparse, target: str, models: dict[str, Model] | None = None, *,
             n_boot: int = 2, seed_start: int = 0, seeds: list[int] | None = None,
             split: str = "train", k: int = 3, sampling: str = EXACT,
             row_id: str = ROW_ID) -> Prepared:
+    """A run over a feature table, or over sparse rows as `sparse.one_hot` makes them; those were split when they
+    were made, so `split` does not apply to them."""
     if sampling not in SAMPLINGS:
         raise ValueError(f"unknown sampling {sampling!r}: use one of {', '.join(SAMPLINGS)}")
     seeds = seed_list(seed_start, n_boot) if seeds is None else list(seeds)
     if not seeds or len(set(seeds)) < len(seeds):
         raise ValueError("seeds must be given once each")
-    every = feature_names(df, target, row_id)
+    sparse = df if isinstance(df, Sparse) else None
+    every = feature_names(df, target, row_id) if sparse is None else sparse.names[1:-1]
     resolved = {}
     for name, model in (models or {"lasso": Model()}).items():
         solve.check_method(model.method)
         features = list(every if model.features is None else model.features)
-        unknown = [f for f in features if f not in every]
+        known = set(every)
+        unknown = [f for f in features if f not in known]
         if unknown or not features:
             raise ValueError(f"model {name!r} has no or unknown features: {unknown}")
         if model.method != solve.LINEAR and k < 2:
@@ -70,6 +89,10 @@ def prepare(df: DataFrame, target: str, models: dict[str, Model] | None = None,
         resolved[name] = (model.method, features, tuple(alphas))
     wanted = {f for m in resolved.values() for f in m[1]}
     columns = [f for f in every if f in wanted] + [target]
+    if sparse is not None:
+        if sparse.row_id != row_id or sparse.names[-1] != target:
+            raise ValueError(f"the sparse rows were made for {sparse.row_id} and {sparse.names[-1]}")
+        return Prepared(sparse.rows, sparse.stats, columns, resolved, seeds, k, sampling, row_id, sparse)
     marker = [TEST_COLUMN] if TEST_COLUMN in df.columns else []
     rows = computed_once(split_rows(df.select(F.col(row_id).cast("long").alias(row_id),
                                               *[f"`{c}`" for c in columns], *marker), split))

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..sources.sparse import Sparse, one_hot
 from .fit import Model
 
 # Levels of the categorical columns.
@@ -49,6 +52,14 @@ def orders_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("qty_disc", F.col("qty") * F.col("disc")))
 
 
+def orders_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with status and priority as they are, for sparse rows."""
+    levels = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("long").alias("row_id"), F.col("o_orderstatus").alias("orderstatus"),
+        F.concat(F.lit("P"), F.substring("o_orderpriority", 1, 1)).alias("priority"))
+    return orders_reg(spark, sf_dir).join(levels, "row_id")
+
+
 def part_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Part price: one feature with signal (the key) and one without (the size)."""
     return table(spark, sf_dir, "part").select(
@@ -58,6 +69,18 @@ def part_line(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_retailprice").cast("double").alias("y"))
 
 
+def part_wide(spark: SparkSession, sf_dir: str, m: int) -> DataFrame:
+    """Part price explained by m mixtures of the key and the size: wide, and of two dimensions."""
+    return part_line(spark, sf_dir).select("row_id", "y", *[
+        F.expr(f"{math.cos(i)!r}D * partkey + {math.sin(i)!r}D * size").alias(f"mix_{i}") for i in range(m)])
+
+
+def orders_one_hot(spark: SparkSession, sf_dir: str, split: str = "train", levels: Sparse | None = None) -> Sparse:
+    """Order value by quantity, status and priority, as sparse rows."""
+    return one_hot(orders_levels(spark, sf_dir), "y", ["qty"], [("orderstatus",), ("priority",)], split=split,
+                   levels=levels)
+
+
 def events_null(spark: SparkSession, sf_dir: str, event_types: list[str]) -> DataFrame:
     """Event values explained by type and hour: almost no signal."""
     return table(spark, sf_dir, "events").select(

@@ -29,6 +29,11 @@ ORDERS_ONE_HOT = f"""
          (o_orderstatus = 'O')::INTEGER::DOUBLE AS "orderstatus_O"
   FROM ({ORDERS_REG}) r JOIN orders ON o_orderkey = row_id"""
 
+ORDERS_LEVELS = "SELECT r.*, " + ", ".join(
+    [f"(o_orderstatus = '{s}')::INTEGER::DOUBLE AS orderstatus_{s}" for s in "FOP"]
+    + [f"(left(o_orderpriority, 1) = '{i}')::INTEGER::DOUBLE AS priority_P{i}" for i in range(1, 6)]
+) + f" FROM ({ORDERS_REG}) r JOIN orders ON o_orderkey = row_id"
+
 PART_LINE = """
   SELECT p_partkey AS row_id, p_partkey::DOUBLE AS partkey, p_size::DOUBLE AS size,
          p_retailprice AS y, 0 AS test_set FROM part"""
