@@ -1,12 +1,12 @@
 """Removal of passages that occurred before, found by level-wise doubling.
 
-Level 1 looks at windows of half the length. Only some of them: of the half windows within a full
-window the one with the smallest hash, its anchor, which equal windows share. Windows of the full
-length are made for repeated anchors alone; everything else is out after level 1. Repeats at the
-full length decide what goes.
+Windows are first looked at by some five words of theirs, then by twice as many, and so on to the full length; what
+does not occur twice at one length is not looked at at the next, and without candidates it ends there. Not all
+shorter windows are looked at: of those within a full window the one with the smallest hash, its anchor,
+which equal windows share. Repeats at the full length decide what goes.
 
-Shuffled rows are thinned before they move: equal anchors or windows of one slice of a task are one
-row, so a passage that occurs in a third of all documents is a few rows per task.
+What meets by hash is counted by aggregation, with partial counts on the map side, and joined back, so that a passage
+that a third of all documents share is one row of the counts per task, and a skewed side that Spark can split.
 """
 
 from __future__ import annotations
@@ -15,26 +15,43 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import common
 from .textops import Words, find_words, hash_spans, mix, ngrams, signed, slices, text_bytes
 
 LENGTH = 20
+START = 5      # words of the first level, or up to twice as many where halving does not come out
 
 
-def _anchors(words: Words, h: np.ndarray, length: int):
-    """Window starts, and for each the place of its anchor; hashes of all half windows."""
-    half = length // 2
-    grams = ngrams(h, half)
+def levels(length: int) -> list[int]:
+    """The lengths that are looked at; each is at most twice the one before."""
+    out = [length]
+    while out[0] >= 2 * START:
+        out.insert(0, -(-out[0] // 2))
+    return out
+
+
+def _anchors(words: Words, h: np.ndarray, length: int, part: int):
+    """Window starts, and for each the place of its anchor of ``part`` words; hashes of all such parts."""
+    grams = ngrams(h, part)
     starts = np.arange(max(0, len(h) - length + 1))
     starts = starts[words.doc[starts] == words.doc[starts + length - 1]]
     if not len(starts):
         return starts, starts, grams
-    span = np.lib.stride_tricks.sliding_window_view(grams, length - half + 1)
+    span = np.lib.stride_tricks.sliding_window_view(grams, length - part + 1)
     return starts, starts + span[starts].argmin(axis=1), grams
 
 
+def _alive(batch, words: Words, h: np.ndarray, length: int, part: int) -> np.ndarray:
+    """Starts of the windows whose anchor of ``part`` words is in the row's list ``anchors``."""
+    starts, place, grams = _anchors(words, h, length, part)
+    lists = batch.column("anchors")
+    owner = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+    wanted = mix(lists.flatten().to_numpy().view(np.uint64)) + owner.astype(np.uint64)
+    return starts[np.isin(mix(grams[place]) + words.doc[place].astype(np.uint64), wanted)]
+
+
 def _prepared(batch):
     data, offs = text_bytes(batch.column("text"))
     words = find_words(data, offs)
@@ -78,49 +95,42 @@ def document_digests(keyed: DataFrame) -> DataFrame:
     return keyed.select("uid", "text").mapInArrow(work, "uid long, n_words long, sha string")
 
 
-def repeated_anchors(keyed: DataFrame, length: int) -> DataFrame:
-    """``(uid, anchors)``: the anchors of each document that occur more than once anywhere."""
-    schema = {"key": pa.int64(), "uid": pa.int64(), "anchor": pa.int64(), "n": pa.int32()}
+def repeated_anchors(texts: DataFrame, length: int, part: int, before: int | None) -> DataFrame:
+    """``(uid, anchors)``, written: the anchors of ``part`` words of each document that occur more than once anywhere.
+    With ``before``, ``texts`` has the repeated anchors of that many words, and only windows over one count."""
+    schema = {"anchor": pa.int64(), "uid": pa.int64(), "n": pa.int32()}
 
     def work(batches):
         for batch in slices(batches, "text"):
             _, words, h = _prepared(batch)
-            _, place, grams = _anchors(words, h, length)
+            starts, place, grams = _anchors(words, h, length, part)
+            if before is not None:
+                place = place[np.isin(starts, _alive(batch, words, h, length, before))]
             place = np.unique(place)
             if not len(place):
                 continue
-            uid = batch.column("uid").to_numpy()[words.doc[place]]
-            key = grams[place]
-            order, fresh = _grouped(key)
-            count = np.diff(np.append(np.flatnonzero(fresh), len(order)))
-            # a further one of this slice is known to be repeated: it needs no meeting point
-            n = np.full(len(order), 2, np.int32)
-            n[fresh] = count
-            at = signed(key[order])
-            meet = np.where(fresh, at, signed(mix(key[order] + np.arange(len(order), dtype=np.uint64))))
-            yield _rows(schema, meet, uid[order], at, n)
-
-    rows = keyed.select("uid", "text").mapInArrow(work, "key long, uid long, anchor long, n int")
-    total = F.sum("n").over(Window.partitionBy("key"))
-    return (rows.withColumn("total", total).where("total > 1")
-            .groupBy("uid").agg(F.collect_set("anchor").alias("anchors")))
-
-
-def earlier_windows(candidates: DataFrame, length: int) -> DataFrame:
-    """``(uid, starts)``: windows of ``(uid, text, anchors)`` whose words also start earlier."""
-    schema = {"key": pa.int64(), "uid": pa.int64(), "starts": pa.list_(pa.int32()),
-              "hashes": pa.list_(pa.int64())}
+            key, doc = grams[place], words.doc[place]
+            order, _ = _grouped(key, doc)
+            key, doc = key[order], doc[order]
+            first = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])))
+            yield _rows(schema, signed(key[first]), batch.column("uid").to_numpy()[doc[first]],
+                        np.diff(np.append(first, len(key))).astype(np.int32))
+
+    rows = common.stage(texts.mapInArrow(work, "anchor long, uid long, n int"), "anchors")
+    often = rows.groupBy("anchor").agg(F.sum("n").alias("total")).where("total > 1").select("anchor")
+    return common.stage(rows.join(often, "anchor").groupBy("uid").agg(
+        F.collect_list("anchor").alias("anchors")), "repeated")
+
+
+def earlier_windows(texts: DataFrame, length: int, before: int) -> DataFrame:
+    """``(uid, starts)``: windows of ``(uid, text, anchors)`` whose words also start earlier; ``anchors`` has the
+    repeated ones of ``before`` words. Windows that a slice of a task has already had need no meeting point."""
+    schema = {"hash": pa.int64(), "uid": pa.int64(), "start": pa.int32(), "known": pa.list_(pa.int32())}
 
     def work(batches):
         for batch in slices(batches, "text"):
             _, words, h = _prepared(batch)
-            starts, place, grams = _anchors(words, h, length)
-            lists = batch.column("anchors")
-            owner = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
-            wanted = mix(lists.flatten().to_numpy().view(np.uint64)) + owner.astype(np.uint64)
-            mine = mix(grams[place]) + words.doc[place].astype(np.uint64)
-            live = np.isin(mine, wanted)
-            starts, place = starts[live], place[live]
+            starts = _alive(batch, words, h, length, before)
             if not len(starts):
                 continue
             full = ngrams(h, length, 1)[starts]
@@ -128,52 +138,52 @@ def earlier_windows(candidates: DataFrame, length: int) -> DataFrame:
             pos = (starts - words.first[words.doc[starts]]).astype(np.int32)
             order, fresh = _grouped(full, uid, pos)
             first = np.sort(order[fresh])
-            # one row for the windows of an anchor; they are neighbours
-            cut = np.flatnonzero(np.append(True, (place[first][1:] != place[first][:-1])))
-            ends = np.append(cut, len(first)).astype(np.int32)
-            yield _rows(schema, signed(grams[place[first[cut]]]), uid[first[cut]],
-                        pa.ListArray.from_arrays(ends, pos[first]),
-                        pa.ListArray.from_arrays(ends, signed(full[first])))
-            later = np.sort(order[~fresh])
-            if len(later):  # an earlier one is in this slice already
+            yield _rows(schema, signed(full[first]), uid[first], pos[first], [None] * len(first))
+            later = order[~fresh]
+            if len(later):
+                later = later[np.argsort(uid[later], kind="stable")]
                 cut = np.flatnonzero(np.append(True, uid[later][1:] != uid[later][:-1]))
                 ends = np.append(cut, len(later)).astype(np.int32)
-                yield _rows(schema, uid[later[cut]], uid[later[cut]],
-                            pa.ListArray.from_arrays(ends, pos[later]),
-                            pa.array([None] * len(cut), pa.list_(pa.int64())))
-
-    rows = candidates.mapInArrow(
-        work, "key long, uid long, starts array<int>, hashes array<long>").repartition("key")
-    each = rows.selectExpr(
-        "key", "uid", "hashes IS NULL AS known",
-        "inline(arrays_zip(starts, coalesce(hashes, transform(starts, x -> 0L))))").toDF(
-        "key", "uid", "known", "start", "hash")
+                yield _rows(schema, [None] * len(cut), uid[later[cut]], [None] * len(cut),
+                            pa.ListArray.from_arrays(ends, pos[later]))
+
+    rows = common.stage(texts.mapInArrow(work, "hash long, uid long, start int, known array<int>"), "windows")
     here = F.struct("uid", "start")
-    first = F.min(here).over(Window.partitionBy("key", "hash", "known"))
-    return (each.withColumn("first", first).where(F.col("known") | (here != F.col("first")))
-            .groupBy("uid").agg(F.collect_list("start").alias("starts")))
+    firsts = rows.where("hash IS NOT NULL").groupBy("hash").agg(F.min(here).alias("first"), F.count("*").alias("n")).where(
+        "n > 1").select("hash", "first")
+    later = rows.where("hash IS NOT NULL").join(firsts, "hash").where(here != F.col("first")).select(
+        "uid", F.array("start").alias("starts"))
+    known = rows.where("hash IS NULL").select("uid", F.col("known").alias("starts"))
+    return later.unionByName(known).groupBy("uid").agg(F.flatten(F.collect_list("starts")).alias("starts"))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
                    text_col: str = "text", with_text: bool = False) -> DataFrame:
     """``(doc_id, n_words, n_removed, kept_sha256)``, and with ``with_text`` the kept words.
 
-    A word goes if a window of ``length`` words (an even number) covers it whose words also start earlier,
-    in a smaller id or before in the same document. NULL and empty texts have no words; texts
-    with fewer words than a window stay whole. Rows with NULL or repeated ids are documents of
-    their own, in the order of ``common.keyed``. Other columns are left out.
+    A word goes if a window of ``length`` words covers it whose words also start earlier, in a smaller id or
+    before in the same document. NULL and empty texts have no words; texts with fewer words than a window stay
+    whole. Rows with NULL or repeated ids are documents of their own, in the order of ``common.keyed``. Other
+    columns are left out.
     """
-    if length < 2 or length % 2:
-        raise ValueError("the window needs an even number of words")
+    if length < 1:
+        raise ValueError("the window needs a word")
     keyed = common.keyed(docs, id_col, text_col)
     whole = common.stage(document_digests(keyed), "digests")
     copies = whole.groupBy("sha", "n_words").agg(F.min("uid").alias("first"), F.count("*").alias("n"))
     copies = whole.join(copies.where("n > 1").drop("n"), ["sha", "n_words"]).where(
         "uid <> first").select("uid")
     # every window of a later copy starts earlier in the first
-    anchors = repeated_anchors(keyed, length).join(copies, "uid", "left_anti")
-    candidates = common.stage(keyed.select("uid", "text").join(anchors, "uid"), "candidates")
-    windows = earlier_windows(candidates, length)
+    texts, before, anchors = keyed.select("uid", "text").join(copies, "uid", "left_anti"), None, None
+    for part in levels(length)[:-1] or [length]:
+        level = texts if anchors is None else texts.join(anchors, "uid")
+        found = repeated_anchors(level, length, part, before)
+        if before is None:   # the others are out of it for good
+            texts = common.stage(texts.join(found.select("uid"), "uid", "left_semi"), "candidates")
+        before, anchors = part, found
+        if anchors.isEmpty():
+            break
+    windows = earlier_windows(texts.join(anchors, "uid"), length, before)
     kind = "uid long, removed long, kept string, words string"
     schema = {"uid": pa.int64(), "removed": pa.int64(), "kept": pa.string(), "words": pa.string()}
 
@@ -198,7 +208,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
                                       if k).decode() if with_text else None)
             yield _rows(schema, batch.column("uid"), removed, kept, text)
 
-    changed = candidates.select("uid", "text").join(windows, "uid").mapInArrow(cut, kind)
+    changed = texts.join(windows, "uid").mapInArrow(cut, kind)
     gone = copies.join(whole.select("uid", "n_words"), "uid").where(
         F.col("n_words") >= length).select(
         "uid", F.col("n_words").alias("removed"), F.sha2(F.lit("").cast("binary"), 256).alias("kept"),

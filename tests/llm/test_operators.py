@@ -3,6 +3,7 @@
 import glob
 import os
 import random
+import time
 import zlib
 
 import duckdb
@@ -446,6 +447,78 @@ def test_toxic_texts_are_found_in_rows_left_out(spark, none):
     assert toxicity.score(none, model).count() == 0
 
 
+def test_scores_by_brute_force(spark):
+    """Counts, log-odds of all tokens, segments, evidence and score, spelled out."""
+    df, labels = toxic_table(spark, 150)
+    model = toxicity.fit(df, labels, rows=~toxicity.held_out())
+    y = {r["doc_id"]: r["toxic"] for r in labels.collect() if r["doc_id"] is not None and r["toxic"] is not None}
+    texts = {r["doc_id"]: brute.ALNUM.findall(brute.lower(r["text"])) for r in df.collect()}
+    fitted = [i for i in texts if i in y and zlib.crc32(str(i).encode()) % 5]
+    counts = {}
+    for i in fitted:
+        for w in set(texts[i]):
+            counts.setdefault(w, [0, 0])[1 - y[i]] += 1
+    assert len(model.tokens) == len(counts)
+    rate = sum(c[0] for c in counts.values()) / sum(map(sum, counts.values()))
+    m = toxicity.PRIOR
+
+    def odds(w, minus=(0, 0)):
+        a, b = (max(c - x, 0) for c, x in zip(counts.get(w, (0, 0)), minus))
+        return np.log((a + m * rate) / (b + m * (1 - rate))) - np.log(rate / (1 - rate))
+
+    assert odds("vile") > 1 and min(odds(w) for w in counts) < -0.2 and odds("never seen") == pytest.approx(0)
+
+    def raw(words, minus=(0, 0)):
+        scores = [odds(w, minus) - toxicity.DRIFT for w in words]
+        found = [(sum(scores[a:b])) for a, b in all_maximal(scores)]
+        if not found:
+            return 0.0, 0.0, 0.0, 0.0
+        e = [model.decay * s - np.log(model.scale * max(len(words), 1)) for s in found]
+        return max(-20.0, min(50.0, max(e))), np.log1p(sum(max(0.0, x) for x in e)), 1.0, max(found)
+
+    null = [(raw(texts[i], (0, 1))[3], len(texts[i])) for i in fitted if not y[i]]
+    assert model.scale == pytest.approx(np.exp(np.mean([model.decay * s - np.log(max(n, 1)) for s, n in null]) - toxicity.EULER))
+    clean = sum(c[1] for c in counts.values())
+    assert sum(c[1] / clean * np.exp(model.decay * (odds(w) - toxicity.DRIFT)) for w, c in counts.items()) == pytest.approx(1)
+    x = np.array([raw(texts[i], (y[i], 1 - y[i]))[:3] for i in fitted])
+    assert model.curve == pytest.approx(toxicity._logistic(x, np.array([float(y[i]) for i in fitted])), rel=1e-6)
+    for r in toxicity.score(df, model).collect():
+        z = model.curve @ np.array([1.0, *raw(texts[r["doc_id"]])[:3]])
+        assert r["score"] == pytest.approx(1 / (1 + np.exp(-np.clip(z, -30, 30))), rel=1e-9)
+
+
+def test_segments_are_found_in_linear_time():
+    for gap in (-5.0, -0.5, -0.999999):
+        scores = np.tile([1.0, gap], 100_000)
+        total = np.cumsum(scores)
+        began = time.perf_counter()
+        toxicity.maximal_segments((total - scores)[::2].tolist(), total[::2].tolist())
+        assert time.perf_counter() - began < 1
+
+
+def test_repeated_ids_labels_and_empty_tables(spark, messy, none):
+    labels = spark.createDataFrame([(7, 0), (7, 1), (7, None), (None, 1), (3, 0), (5, 0), (9, 0)], "doc_id long, toxic int")
+    model = toxicity.fit(messy, labels)
+    n = messy.where("doc_id = 7").count()
+    assert int(model.toxic.max()) <= n and len(model.tokens)
+    assert toxicity.score(messy, model).count() == messy.count()
+    verdicts = messy.where(toxicity.is_toxic(model, common.F.col("text"))).count()
+    assert verdicts == toxicity.score(messy, model).where("predicted = 1").count()
+    assert none.where(toxicity.is_toxic(model, common.F.col("text"))).count() == 0
+
+
+def test_the_sample_shrinks_to_a_model_of_bounded_size(spark, monkeypatch):
+    rows = [(i, f"own{i} {'vile' if i % 2 else 'kind'}") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
+    assert len(toxicity.fit(df, labels).tokens) == 402
+    monkeypatch.setattr(toxicity, "FIT_ROWS", 400)
+    monkeypatch.setattr(toxicity, "FIT_TOKENS", 150)
+    model = toxicity.fit(df, labels)
+    assert 50 < len(model.tokens) <= 150
+    assert [r["predicted"] for r in toxicity.score(df, model).orderBy("doc_id").collect()] == [i % 2 for i in range(400)]
+
+
 def test_without_labels_nothing_is_toxic(spark, docs, none):
     df, labels = toxic_table(spark, 20)
     for label in (labels.where("false"), labels.where("toxic = 0")):
@@ -465,15 +538,38 @@ def test_repeats_go(docs, none):
     assert substring_dedup.remove_repeats(none).count() == 0
 
 
-def test_repeats_with_odd_ids_and_lengths(messy):
+@pytest.mark.parametrize("length", [1, 4, 5, 13, 20, 27, 50])
+def test_repeats_with_odd_ids_and_lengths(messy, length):
     keyed = sorted(common.keyed(messy).collect(), key=lambda r: r["uid"])
-    for length in (20, 4):
-        expected = sorted(brute.kept_words([r["text"] for r in keyed], length))
-        got = sorted((r["n_words"], r["n_removed"], r["kept_sha256"])
-                     for r in substring_dedup.remove_repeats(messy, length).collect())
-        assert sum(x[1] for x in got) == sum(x[1] for x in expected) and [x[:2] for x in got] == [x[:2] for x in expected]
-    with pytest.raises(ValueError):
-        substring_dedup.remove_repeats(messy, 5)
+    expected = sorted(brute.kept_words([r["text"] for r in keyed], length))
+    got = sorted((r["n_words"], r["n_removed"], r["kept_sha256"])
+                 for r in substring_dedup.remove_repeats(messy, length).collect())
+    assert sum(x[1] for x in got) == sum(x[1] for x in expected) and [x[:2] for x in got] == [x[:2] for x in expected]
+
+
+def test_levels_double_until_nothing_is_left(spark, monkeypatch):
+    assert [substring_dedup.levels(n) for n in (1, 9, 10, 20, 27, 50)] == [
+        [1], [9], [5, 10], [5, 10, 20], [7, 14, 27], [7, 13, 25, 50]]
+    looked, find = [], substring_dedup.repeated_anchors
+
+    def spy(texts, length, part, before):
+        out = find(texts, length, part, before)
+        looked.append((part, out.count()))
+        return out
+
+    monkeypatch.setattr(substring_dedup, "repeated_anchors", spy)
+    rng = random.Random(4)
+    rows = [" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(60)) for _ in range(40)]
+    long, short = rows[0].split()[:45], rows[1].split()[:8]
+    rows[5] += " " + " ".join(long)          # 45 words come again
+    rows[6] += " " + " ".join(short)         # 8 words: gone after the first level of 50
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    assert sum(r["n_removed"] for r in substring_dedup.remove_repeats(df, 20).collect()) == 45
+    assert [p for p, _ in looked] == [5, 10] and looked[1][1] == 2
+    looked.clear()
+    plain = df.where("doc_id > 6")
+    assert sum(r["n_removed"] for r in substring_dedup.remove_repeats(plain, 50).collect()) == 0
+    assert looked == [(7, 0)]
 
 
 # ------------------------------------------------------------------ 9 decontamination
