@@ -23,7 +23,7 @@ from . import bpe, common, fsio
 from .textops import U, hash_spans, slices, text_bytes
 from .token_counts import tokenizer_path
 
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 12 << 20
 SLICE_ROWS = 1 << 16
 WORDS_AT_ONCE = 4096
 
@@ -133,8 +133,11 @@ def coded_slices(docs: DataFrame, id_col: str, text_col: str, most: int, buckets
 
 LIST = "bucket int, size int, length long, lengths binary, words binary"
 # A bucket is a stream of rows: one that holds the slices' lists as places, then the ids of each distinct word.
-ENCODED = "bucket int, slices array<long>, places array<binary>, sizes array<int>, total int, ids array<int>"
-ANSWER = "slice long, bucket int, n int, counts binary, tokens binary, lengths binary, length long, text binary"
+ENCODED = ("bucket int, slices array<long>, places array<binary>, sizes array<int>, total int, lengths binary, words binary, "
+           "ids array<int>")
+# Ids of a list's words, and the decoded bytes of those (``other``) that don't decode to their own bytes.
+ANSWER = ("slice long, bucket int, n int, counts binary, tokens binary, other binary, n_other int, lengths binary, "
+          "length long, text binary")
 
 
 def encoded_words(lists: DataFrame, tokenizer: str) -> DataFrame:
@@ -156,19 +159,24 @@ def encoded_words(lists: DataFrame, tokenizer: str) -> DataFrame:
                          pa.array([table["slice"].to_pylist(), *[None] * rest], pa.list_(pa.int64())),
                          pa.array([places, *[None] * rest], pa.list_(pa.binary())),
                          pa.array([table["size"].to_pylist(), *[None] * rest], pa.list_(pa.int32())),
-                         pa.array([rest, *[None] * rest], pa.int32()), pa.array(ids, pa.list_(pa.int32()))], schema=arrow)
+                         pa.array([rest, *[None] * rest], pa.int32()),
+                         pa.array([_shrunk(np.array([len(w) for w in words], np.int64)), *[None] * rest], pa.binary()),
+                         pa.array([b"".join(words), *[None] * rest], pa.binary()),
+                         pa.array(ids, pa.list_(pa.int32()))], schema=arrow)
 
     return lists.groupBy("bucket").applyInArrow(work, ENCODED)
 
 
 def decoded_words(encoded: DataFrame, pieces: DataFrame) -> DataFrame:
     """``ANSWER`` rows, one per slice and bucket: ids and decoded bytes of the slice's words in the order of its list.
+    Every word is decoded and compared; as a slice has its own words, only bytes that differ go back to it.
 
     The join with the pieces (one row per id, so it is sent to all tasks) leaves the order of a bucket's rows as it
     is; that each bucket is whole and in order is checked by the numbers its rows carry.
     """
     arrow = to_arrow_schema(T.StructType.fromDDL(ANSWER))
-    each = encoded.select("bucket", "slices", "places", "sizes", "total", F.posexplode_outer("ids").alias("at", "token"))
+    heading = ["bucket", "slices", "places", "sizes", "total", "lengths", "words"]
+    each = encoded.select(*heading, F.posexplode_outer("ids").alias("at", "token"))
     each = each.join(F.broadcast(pieces.withColumnRenamed("token", "id")), F.col("token") == F.col("id"), "left").drop("id")
 
     def flush(head, at, tokens, sizes, text):
@@ -179,13 +187,16 @@ def decoded_words(encoded: DataFrame, pieces: DataFrame) -> DataFrame:
             raise RuntimeError("the rows of a bucket are not in order")
         upto = np.append(0, np.cumsum(sizes))
         lengths = upto[np.append(first, len(at))[1:]] - upto[first]
-        pool = np.frombuffer(b"".join(text), np.uint8)
+        decoded = b"".join(text)
+        differs = _differing(decoded, lengths, head["words"], _restored(head["lengths"], head["total"]))
+        pool = np.frombuffer(decoded, np.uint8)
         for number, raw, n in zip(head["slices"], head["places"], head["sizes"]):
             pick = _restored(raw, n)
-            mine = _gathered(pool, lengths, pick).tobytes()
+            other = np.flatnonzero(differs[pick])
+            mine = _gathered(pool, lengths, pick[other]).tobytes()
             yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((
-                number, head["bucket"], n, _shrunk(counts[pick]), _shrunk(_gathered(tokens, counts, pick)),
-                _shrunk(lengths[pick]), len(mine), _squeezed(mine)), arrow)], schema=arrow)
+                number, head["bucket"], n, _shrunk(counts[pick]), _shrunk(_gathered(tokens, counts, pick)), _shrunk(other),
+                len(other), _shrunk(lengths[pick[other]]), len(mine), _squeezed(mine)), arrow)], schema=arrow)
 
     def work(batches):
         head, held = None, ([], [], [], [])
@@ -196,7 +207,7 @@ def decoded_words(encoded: DataFrame, pieces: DataFrame) -> DataFrame:
                 if a in heads:
                     if head is not None:
                         yield from flush(head, *held)
-                    head = {c: batch.column(c)[a].as_py() for c in ("bucket", "slices", "places", "sizes", "total")}
+                    head = {c: batch.column(c)[a].as_py() for c in heading}
                     held = ([], [], [], [])
                     a += 1
                 if b > a:
@@ -214,6 +225,14 @@ def decoded_words(encoded: DataFrame, pieces: DataFrame) -> DataFrame:
     return each.mapInArrow(work, ANSWER)
 
 
+def _differing(one: bytes, one_sizes: np.ndarray, two: bytes, two_sizes: np.ndarray) -> np.ndarray:
+    """Which of as many stretches differ."""
+    if one == two and (one_sizes == two_sizes).all():
+        return np.zeros(len(one_sizes), bool)
+    a, b = np.append(0, np.cumsum(one_sizes)).tolist(), np.append(0, np.cumsum(two_sizes)).tolist()
+    return np.array([one[a[i]:a[i + 1]] != two[b[i]:b[i + 1]] for i in range(len(one_sizes))], bool)
+
+
 def byte_alphabet() -> dict[int, str]:
     """The printable character that stands for each byte in the pieces of byte-level vocabularies: printed Latin-1
     characters stand for themselves, the other bytes are numbered from 256 on."""
@@ -246,7 +265,7 @@ def encode_and_decode(docs: DataFrame, tokenizer: str, what, columns: str, id_co
 
     NULL and empty texts have no ids. Special strings in a text become their ids, as in the library by default. NULL or
     repeated ids are passed on; rows need no id to find back to their words. Other columns are left out.
-    A task holds a slice, some 16 MB of text or one text that is longer, or the words of one hash bucket, of which
+    A task holds a slice, some 12 MB of text or one text that is longer, or the words of one hash bucket, of which
     there are as many as shuffle partitions. The answers of a slice are a file in the shared scratch folder.
     """
     _check(tokenizer)
@@ -274,7 +293,8 @@ def encode_and_decode(docs: DataFrame, tokenizer: str, what, columns: str, id_co
             for at in range(batch.num_rows):
                 row = {c: batch.column(c)[at] for c in batch.schema.names}
                 counts = np.array(row["counts"].as_py(), np.int64)
-                ids, text = _answered(f"{folder}/{row['slice'].as_py()}") if row["n"].as_py() else ([], [])
+                ids, text = (_answered(f"{folder}/{row['slice'].as_py()}", row["lists"].as_py()) if row["n"].as_py()
+                             else ([], []))
                 ends = np.cumsum(counts)
                 codes = _restored(row["codes"].as_py(), int(ends[-1])).tolist()
                 out = [what(b"".join([ids[c] for c in codes[a:b]]), b"".join([text[c] for c in codes[a:b]]))
@@ -282,24 +302,31 @@ def encode_and_decode(docs: DataFrame, tokenizer: str, what, columns: str, id_co
                 yield pa.RecordBatch.from_arrays(
                     [row["ids"].values, *[pa.array(x, f.type) for x, f in zip(zip(*out), list(arrow)[1:])]], schema=arrow)
 
-    return coded.select("slice", "ids", "counts", "n", "codes").mapInArrow(assemble, kind)
+    return coded.mapInArrow(assemble, kind)
 
 
-def _answered(uri: str) -> tuple[list[bytes], list[bytes]]:
-    """(ids, decoded bytes) of the words of a slice, in the order of its list."""
+def _answered(uri: str, lists: list[dict]) -> tuple[list[bytes], list[bytes]]:
+    """(ids, decoded bytes) of the words of a slice, in the order of its lists."""
     with fsio.open_in(uri) as f:
         table = pa.ipc.open_stream(f.read()).read_all()
     ids, text = [], []
-    for row in table.to_pylist():
-        for out, sizes, raw in ((ids, 4 * _restored(row["counts"], row["n"]), None),
-                                (text, _restored(row["lengths"], row["n"]), row["text"])):
-            ends = np.cumsum(sizes)
-            raw = (_expanded(raw, row["length"]) if raw is not None else
-                   _restored(row["tokens"], int(ends[-1]) // 4).astype("<u4").tobytes())
-            out += [raw[a:b] for a, b in zip((ends - sizes).tolist(), ends.tolist())]
+    for row, own in zip(table.to_pylist(), lists, strict=True):
+        ends = 4 * np.cumsum(_restored(row["counts"], row["n"]))
+        ids += _cut(_restored(row["tokens"], int(ends[-1]) // 4).astype("<u4").tobytes(), ends)
+        words = _cut(_expanded(own["words"], own["length"]), np.cumsum(_restored(own["lengths"], own["size"])))
+        other = _restored(row["other"], row["n_other"])
+        changed = _cut(_expanded(row["text"], row["length"]), np.cumsum(_restored(row["lengths"], row["n_other"])))
+        for i, w in zip(other.tolist(), changed):
+            words[i] = w
+        text += words
     return ids, text
 
 
+def _cut(raw: bytes, ends: np.ndarray) -> list[bytes]:
+    ends = ends.tolist()
+    return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+
 def digests(ids: bytes, decoded: bytes) -> tuple[int, str, str]:
     """Number of ids, and SHA-256 of the ids and of the decoded text. Bytes that are no UTF-8 decode to U+FFFD."""
     text = decoded.decode("utf-8", "replace").encode()

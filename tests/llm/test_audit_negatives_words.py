@@ -281,6 +281,17 @@ def test_each_distinct_word_is_encoded_once(spark, docs):
     assert {b"".join(pieces[i] for i in r["ids"]) for r in rows if r["ids"] is not None} == words
 
 
+def test_decoded_bytes_come_from_the_pieces(spark, docs, monkeypatch):
+    """With other pieces the texts decode to other bytes."""
+    keep = word_table.piece_table
+    monkeypatch.setattr(word_table, "piece_table", lambda s, path: keep(s, path).withColumn(
+        "piece", F.when(F.col("token") % 3 == 0, F.concat("piece", F.lit(b"!?"))).otherwise(F.col("piece"))))
+    pieces = {r["token"]: bytes(r["piece"]) for r in word_table.piece_table(spark, tokenizer_path()).collect()}
+    out = word_table.encode_and_decode(docs, tokenizer_path(), lambda ids, text: (ids, text), "ids binary, text binary")
+    for r in out.collect():
+        assert bytes(r["text"]) == b"".join(pieces[i] for i in np.frombuffer(bytes(r["ids"]), "<u4").tolist())
+
+
 def test_numbers_and_bytes_are_restored():
     rng = np.random.default_rng(1)
     for top, n in ((1, 5), (300, 1000), (1 << 17, 1000), (5, 0)):
