@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -20,34 +22,57 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+#: What a stable place follows: a printed ASCII character or a letter or digit, with white space behind it.
+BEFORE_STABLE = re.compile(r"(?:[!-~]|[^\W_])(?=[ \t\n\r\x0b\x0c])")
+
+
 def _stable(text: str, low: int, high: int) -> list[int]:
     """Places strictly between, last first, where no token can reach over: white space after
     a printed ASCII character or a letter or digit."""
-    return [p for p in range(high - 1, low, -1)
-            if text[p] in " \t\n\r\x0b\x0c" and ("!" <= text[p - 1] <= "~" or text[p - 1].isalnum())]
+    return [m.end() for m in BEFORE_STABLE.finditer(text, low, high)][::-1]
+
+
+def _chunk_end(text: str, begin: int, chunk: int, overlap: int) -> int:
+    """Where a chunk ends: just after the last stable place within its size, or the first one beyond where it
+    has none, or at the end of the text. So no chunk is without a place to splice it at."""
+    if begin + chunk >= len(text):
+        return len(text)
+    wide = overlap
+    while True:
+        low = max(begin, begin + chunk - wide)
+        places = _stable(text, low, begin + chunk)
+        if places or low == begin:
+            break
+        wide *= 2
+    if places:
+        place = places[0]
+    else:
+        found = BEFORE_STABLE.search(text, begin + chunk - 1)
+        place = found.end() if found else len(text)
+    return min(len(text), place + max(1, overlap // 2))
 
 
 def chunked_ids(encoder: bpe.Encoder, text: str, chunk: int = CHUNK, overlap: int = OVERLAP):
     """Ids of one text from overlapping chunks.
 
     Two neighbours are spliced at a place in their overlap that is stable (see ``_stable``) and
-    where both encodings begin a token. If their overlap has none, the later chunk begins
-    earlier and earlier, overlap by doubled overlap; in the end the two are one chunk.
+    where both encodings begin a token. Should their overlap have none, the later chunk begins
+    earlier and earlier, overlap by doubled overlap; in the end the two are one chunk. A stretch without any
+    stable place (a script without spaces, say) is one chunk, however long, and encoded once.
     """
     def encode(a, b):
         e = encoder.tokenizer.encode(text[a:b], add_special_tokens=False)
         return np.array(e.ids, np.uint32), np.array([x[0] for x in e.offsets], np.int64) + a
 
-    begin, end = 0, min(len(text), chunk)
+    begin, end = 0, _chunk_end(text, 0, chunk, overlap)
     ids, at = encode(begin, end)
     done: list[np.ndarray] = []
     while end < len(text):
-        stop, wide = min(len(text), end + chunk), overlap
+        stop, wide = _chunk_end(text, end, chunk, overlap), overlap
         while True:
             low = max(begin, end - wide)
             if low == begin:
-                new_ids, new_at = encode(begin, stop)
-                ids, at = new_ids, new_at
+                ids, at = encode(begin, stop)
                 break
             new_ids, new_at = encode(low, stop)
             place = next((p for p in _stable(text, low, end)

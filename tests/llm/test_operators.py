@@ -205,6 +205,25 @@ def test_chunks_are_spliced_exactly(text):
         assert token_counts.chunked_ids(encoder, text, chunk, overlap).tolist() == encoder.whole([text])[0]
 
 
+def test_texts_without_spaces_are_encoded_once():
+    encoder = bpe.load(TOKENIZER)
+    rng = random.Random(8)
+    text = "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(1_000_000))
+    seen, encode = [], encoder.tokenizer.encode
+
+    class Spy:
+        def encode(self, part, **options):
+            seen.append(len(part))
+            return encode(part, **options)
+
+    spy = type("Encoder", (), {"tokenizer": Spy()})()
+    for extra, most in (("", 1.0), (" some words between " * 9000 + text[:300_000], 1.02)):
+        whole = text + extra
+        seen.clear()
+        assert token_counts.chunked_ids(spy, whole).tolist() == encoder.whole([whole])[0]
+        assert sum(seen) <= most * len(whole)
+
+
 # ------------------------------------------------------------------ 3 mixing
 
 def test_mixing(docs, messy, none):
