@@ -256,6 +256,21 @@ def fit_r2(spark, d):
     return _records(spark, d, FAMILY).select("model", "seed", F.round("r2", 8).alias("r2"))
 
 
+PAIR = ("qty", "disc")
+
+
+def ridge_df(spark, d):
+    """Effective degrees of freedom of a ridge of two features at every default penalty."""
+    out = fit.ridge_degrees(_prepare(spark, d, {"pair": Model("ridge", PAIR)}))
+    return _rounded(out, df=8)
+
+
+def lasso_knots(spark, d):
+    """Penalties at which the lasso takes up its first and its second feature."""
+    out = fit.lasso_knots(_prepare(spark, d, {"pair": Model("lasso", PAIR, (0.05,))}))
+    return _rounded(out, alpha=3)
+
+
 def fit_lasso_default(spark, d):
     """The default penalties."""
     return _coefs(spark, d, {"lasso": Model("lasso", FULL)})
@@ -440,6 +455,8 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fit_lasso": fit_lasso,
         "fit_lasso_1d": fit_1d(REDUCED),
         "fit_lasso_default": fit_lasso_default,
+        "ridge_df": ridge_df,
+        "lasso_knots": lasso_knots,
         "fit_ridge": fit_ridge,
         "fit_r2_wide": fit_r2_wide,
         "metrics_wide": metrics_wide,
@@ -563,6 +580,25 @@ def own_oracles() -> dict[str, str]:
     sparse = o.Sql(o.ORDERS_ONE_HOT, ONE_HOT).moments().fit("wide", "lasso", ONE_HOT, ONE_HOT_ALPHAS).fit(
         "none", "lasso", ONE_HOT, (1e9,)).metrics({"wide": ONE_HOT, "none": ONE_HOT})
 
+    pair = o.Sql().moments()
+    pair.ctes.append(
+        "whole AS (SELECT seed, n, c_qty_qty AS a, c_qty_disc AS b, c_disc_disc AS d, c_qty_y AS u, c_disc_y AS v "
+        "FROM blocks WHERE fold = -1)")
+    pair.ctes.append("eigen AS (SELECT seed, big, (a * d - b * b) / big AS small FROM (SELECT *, "
+                     "(a + d + sqrt((a - d) ** 2 + 4 * b * b)) / 2 AS big FROM whole))")
+    pair.ctes.append(
+        "led AS (SELECT seed, n, abs(u) >= abs(v) AS first, CASE WHEN abs(u) >= abs(v) THEN u ELSE v END AS u, "
+        "CASE WHEN abs(u) >= abs(v) THEN v ELSE u END AS v, b / CASE WHEN abs(u) >= abs(v) THEN a ELSE d END AS r FROM whole)")
+    pair.ctes.append(
+        "joined AS (SELECT *, greatest((v - r * u) / (1 - r * sign(u)), -(v - r * u) / (1 + r * sign(u))) AS at FROM led)")
+    knots = pair.select(
+        "SELECT 'pair' AS model, seed, 1 AS knot, round(abs(u) / n, 3) AS alpha, CASE WHEN first THEN 'qty' ELSE 'disc' END "
+        "AS feature, true AS enters FROM joined UNION ALL SELECT 'pair', seed, 2, round(at / n, 3), "
+        "CASE WHEN first THEN 'disc' ELSE 'qty' END, true FROM joined WHERE at / n > 0.05")
+    degrees = pair.select(
+        "SELECT 'pair' AS model, seed, alpha, round(big / (big + alpha) + small / (small + alpha), 8) AS df FROM eigen, "
+        "(SELECT unnest([" + ", ".join(o.lit(a) for a in o.RIDGE_GRID) + "]) AS alpha)")
+
     poisson = o.Sql()
     poisson.ctes.append("p0 AS (SELECT seed, row_id FROM seeds, train)")
     poisson.ctes += o.hash_step("p1", "p0", "seed, row_id", "seed", "42")
@@ -573,6 +609,8 @@ def own_oracles() -> dict[str, str]:
     base = o.Sql()
 
     return {
+        "ridge_df": degrees,
+        "lasso_knots": knots,
         "moments_one_hot": levels.select(level_gram),
         "fit_wide_tiles": mixtures.select(f"SELECT 'wide' AS model, seed, {WIDE_COLUMNS}::INTEGER AS n_features, "
                                           "round(r2, 8) AS r2 FROM score_wide"),

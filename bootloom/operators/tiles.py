@@ -10,6 +10,8 @@ there. Their task keeps its share of the rows and takes it through as many tiles
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -28,44 +30,70 @@ ROWS_BYTES = 16 << 20
 PAIRS_AT_ONCE = 1 << 21
 
 
-def tile_layout(q: int, tile: int) -> tuple[int, int]:
-    """(blocks of columns, width of a row of the long layout) for q columns; the width divides the tile."""
-    return -(-q // tile), min(BLOCK, tile)
+TILES = "seed long, c1 int, c2 int, g binary"
+_TILES = pa.schema([("seed", pa.int64()), ("c1", pa.int32()), ("c2", pa.int32()), ("g", pa.binary())])
+
+
+def block_count(q: int, tile: int) -> int:
+    return -(-q // tile)
+
+
+def _tiles(seeds, total: np.ndarray, at: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+    """(seeds x folds x tile x tile) of the blocks ``at``, a row of ``TILES`` per seed."""
+    for seed, own in zip(seeds, total):
+        yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(
+            (int(seed), int(at[0]), int(at[1]), np.ascontiguousarray(own).tobytes()), _TILES)], schema=_TILES)
 
 
-def _schema(width: int) -> str:
-    return "seed long, fold int, i int, j0 int, " + ", ".join(f"g{b} double" for b in range(width))
+def _summed(parts: DataFrame) -> DataFrame:
+    """One row per tile; a task adds up the parts of a tile as they come."""
+    def add(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, total = None, None
+        for batch in parts:
+            for at in range(batch.num_rows):
+                g = np.frombuffer(batch.column("g")[at].as_buffer())
+                if total is None:
+                    key, total = [batch.column(c)[at].as_py() for c in ("seed", "c1", "c2")], g.copy()
+                else:
+                    total += g
+        yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(
+            (*key, total.tobytes()), _TILES)], schema=_TILES)
+
+    return parts.groupBy("seed", "c1", "c2").applyInArrow(add, TILES)
 
 
-def tile_rows(seeds, total: np.ndarray, at: tuple[int, int], tile: int, width: int) -> pa.Table:
-    """(seeds x folds x tile x tile) of the blocks ``at`` in the long layout: a row per column i and ``width``
-    columns from j0 on, without those wholly below the diagonal or wholly zero."""
-    s, k = total.shape[:2]
-    cells = total.reshape(s, k, tile, tile // width, width)
-    i = np.arange(tile)[:, None] + at[0] * tile
-    j = np.arange(tile // width) * width + at[1] * tile
-    held = (j + width > i) & (cells != 0).any(axis=(0, 1, 4))
-    rows, blocks = np.nonzero(held)
-    flat = np.ascontiguousarray(cells[:, :, rows, blocks].reshape(-1, width).T)
-    arrays = [np.repeat(np.asarray(seeds, np.int64), k * len(rows)),
-              np.tile(np.repeat(np.arange(k, dtype=np.int32), len(rows)), s),
-              np.tile(i[rows, 0].astype(np.int32), s * k), np.tile(j[blocks].astype(np.int32), s * k)]
-    return pa.table(arrays + list(flat), names=["seed", "fold", "i", "j0"] + [f"g{b}" for b in range(width)])
+def as_moments(tiles: DataFrame, k: int, tile: int) -> DataFrame:
+    """The long layout of `moments.moments`: a row per column i and up to BLOCK columns from j0 on, without those
+    wholly below the diagonal or wholly zero."""
+    width = min(BLOCK, tile)
+    names = [f"g{b}" for b in range(width)]
 
+    def rows(batches):
+        for batch in batches:
+            for at in range(batch.num_rows):
+                seed, c1, c2 = (batch.column(c)[at].as_py() for c in ("seed", "c1", "c2"))
+                cells = np.frombuffer(batch.column("g")[at].as_buffer()).reshape(k, tile, tile // width, width)
+                i = np.arange(tile)[:, None] + c1 * tile
+                j = np.arange(tile // width) * width + c2 * tile
+                one, two = np.nonzero((j + width > i) & (cells != 0).any(axis=(0, 3)))
+                flat = np.ascontiguousarray(cells[:, one, two].reshape(-1, width).T)
+                yield from pa.table(
+                    [np.full(k * len(one), seed), np.repeat(np.arange(k, dtype=np.int32), len(one)),
+                     np.tile(i[one, 0].astype(np.int32), k), np.tile(j[two].astype(np.int32), k), *flat],
+                    names=["seed", "fold", "i", "j0", *names]).to_batches(1 << 14)
 
-def _summed(partial: DataFrame, width: int) -> DataFrame:
-    return partial.groupBy("seed", "fold", "i", "j0").agg(*[F.sum(f"g{b}").alias(f"g{b}") for b in range(width)])
+    return tiles.mapInArrow(rows, "seed long, fold int, i int, j0 int, " + ", ".join(f"{g} double" for g in names))
 
 
 # ------------------------------------------------------------------ dense rows
 
-def tile_moments(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list[int], k: int, sampling: str,
-                 row_id: str = ROW_ID, tile: int = TILE) -> DataFrame:
-    """The moment table of `moments.moments`, from tiles. A row is shuffled once in blocks of columns; after that
+def dense_tiles(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list[int], k: int, sampling: str,
+                row_id: str = ROW_ID, tile: int = TILE) -> DataFrame:
+    """The tiles of the Gram matrices of `moments.moments`, ``TILES``. A row is shuffled once in blocks of columns; after that
     each block meets every other one of its bucket, which is what a product of blocks takes."""
     spark, m, n, size = df.sparkSession, len(columns), stats.n, cell_size(stats.n)
     q = m + 1
-    blocks, width = tile_layout(q, tile)
+    blocks = block_count(q, tile)
     centres = stats.centres(columns)
     goal = max(MIN_CELL // 2, ROWS_BYTES // (8 * tile))
     rows = df.select(F.col(row_id).cast("long").alias(row_id), *packed(columns))
@@ -118,14 +146,14 @@ def tile_moments(df: DataFrame, stats: FrameStats, columns: list[str], seeds: li
     met = met.repartition(min(max(tasks, pairs * chunks), MAX_TASKS), *key, "chunk").sortWithinPartitions(*key).select(
         *key, "ids", "x1", "x2", "draws")
 
-    def multiply(parts):
+    def multiply(met):
         now, total = None, None
-        for part in parts:
+        for part in met:
             for at in range(part.num_rows):
                 c1, c2, b = (part.column(c)[at].as_py() for c in key)
                 if (c1, c2, b) != now:
                     if now is not None:
-                        yield from tile_rows(batches[now[2]], total, now[:2], tile, width).to_batches(1 << 14)
+                        yield from _tiles(batches[now[2]], total, now[:2])
                     now, total = (c1, c2, b), np.zeros((len(batches[b]), k, tile, tile))
                 ids = np.frombuffer(part.column("ids")[at].as_buffer(), np.int64)
                 x, y = (np.frombuffer(part.column(c)[at].as_buffer()).reshape(-1, tile) for c in ("x1", "x2"))
@@ -142,9 +170,10 @@ def tile_moments(df: DataFrame, stats: FrameStats, columns: list[str], seeds: li
                             hit = np.flatnonzero(one)
                             total[place[s], f] += (x[hit] * one[hit, None]).T @ y[hit]
         if now is not None:
-            yield from tile_rows(batches[now[2]], total, now[:2], tile, width).to_batches(1 << 14)
+            yield from _tiles(batches[now[2]], total, now[:2])
 
-    return _summed(met.mapInArrow(multiply, _schema(width)), width)
+    parts = met.mapInArrow(multiply, TILES)
+    return parts if chunks == 1 else _summed(parts)
 
 
 # ------------------------------------------------------------------ sparse rows
@@ -200,20 +229,21 @@ def _centred(total: np.ndarray, pairs: list[tuple[int, int]], sums: np.ndarray,
         total[:, :, number] += (n * means[one, None] * means[None, two] - means[one, None] * sums[:, :, None, two]
                                 - sums[:, :, one, None] * means[None, two])
         if a == b:
-            total[:, :, number] = np.triu(total[:, :, number])
+            upper = np.triu(total[:, :, number])
+            total[:, :, number] = upper + np.triu(upper, 1).swapaxes(-1, -2)
 
 
-def sparse_moments(rows: DataFrame, stats: FrameStats, means: np.ndarray, seeds: list[int], k: int, sampling: str,
-                   row_id: str = ROW_ID, tile: int = TILE) -> DataFrame:
-    """The moment table over sparse rows ``(row_id, _i array<int>, _v array<double>)``. Column 0 is the constant;
+def sparse_tiles(rows: DataFrame, stats: FrameStats, means: np.ndarray, seeds: list[int], k: int, sampling: str,
+                 row_id: str = ROW_ID, tile: int = TILE) -> DataFrame:
+    """The tiles over sparse rows ``(row_id, _i array<int>, _v array<double>)``. Column 0 is the constant;
     entries are sorted by column, and values of columns that are there in most rows are best centred already
-    (their mean in ``means``, which has one number a column, is 0 then). The table is centred by ``means``.
+    (their mean in ``means``, which has one number a column, is 0 then). The tiles are centred by ``means``.
 
     ``stats`` needs the number of rows and the range of ids only. A task keeps its share of the written rows, a
     file split, and takes it through batches of seeds and tiles of ``PARTIAL_BYTES``.
     """
     n, size, q = stats.n, cell_size(stats.n), len(means)
-    blocks, width = tile_layout(q, tile)
+    blocks = block_count(q, tile)
     means = np.pad(np.asarray(means, float), (0, blocks * tile - q))
     every = [(a, b) for a in range(blocks) for b in range(a, blocks)]
     room = max(1, PARTIAL_BYTES // (k * tile * tile * 8))
@@ -259,9 +289,9 @@ def sparse_moments(rows: DataFrame, stats: FrameStats, means: np.ndarray, seeds:
                                 sums[s, f] += np.bincount(index, value * one[row], blocks * tile)
             _centred(total, pairs, sums, means, tile)
             for number, at in enumerate(pairs):
-                yield from tile_rows(own, total[:, :, number], at, tile, width).to_batches(1 << 14)
+                yield from _tiles(own, total[:, :, number], at)
 
-    return _summed(held.mapInArrow(reduce, _schema(width)), width)
+    return _summed(held.mapInArrow(reduce, TILES))
 
 
 def _sparse_arrays(table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.scratch import staged
-from .solve import CONSTANT, LASSO, LINEAR, _CELL, _SOLVED, SOLVED, Block, best_alpha, fit_lasso, ratio
+from .solve import CONSTANT, LASSO, LINEAR, _CELL, _SOLVED, SOLVED, Block, best_alpha, lasso_path, ratio
 
 # Features that may be in play at once for one seed: their entries are what one task holds, k + 1 times.
 IN_PLAY = 3000
@@ -40,27 +40,6 @@ _ANSWER = pa.schema([("seed", pa.int64()), ("c1", pa.int32()), ("c2", pa.int32()
 
 # ------------------------------------------------------------------ tiles
 
-def packed_tiles(moments: DataFrame, k: int, tile: int) -> DataFrame:
-    """``(seed, c1, c2, g)``, written: each tile of the moment table as one value, (k x tile x tile) doubles."""
-    cell = ["seed", F.expr(f"i div {tile}").cast("int").alias("c1"), F.expr(f"j0 div {tile}").cast("int").alias("c2")]
-
-    def pack(table: pa.Table) -> pa.Table:
-        names = [c for c in table.column_names if c[0] == "g"]
-        width = len(names)
-        c1, c2 = (table[c][0].as_py() for c in ("c1", "c2"))
-        g = np.zeros((k, tile, tile // width, width))
-        g[table["fold"].to_numpy(), table["i"].to_numpy() % tile, table["j0"].to_numpy() % tile // width] = np.column_stack(
-            [table[c].to_numpy() for c in names])
-        g = g.reshape(k, tile, tile)
-        if c1 == c2:
-            g = np.triu(g) + np.triu(g, 1).transpose(0, 2, 1)
-        return pa.table([table[c].slice(0, 1) for c in ("seed", "c1", "c2")] + [pa.array([g.tobytes()], pa.binary())],
-                        names=["seed", "c1", "c2", "g"])
-
-    rows = moments.select("*", *cell[1:])
-    return staged(rows.groupBy("seed", "c1", "c2").applyInArrow(pack, "seed long, c1 int, c2 int, g binary"), "tiles")
-
-
 def answers(tiles: DataFrame, state: DataFrame, k: int, tile: int) -> DataFrame:
     """What each tile adds to what its seed asked for: products with ``v`` from either side, the entries of
     ``wanted``, and the diagonal."""
@@ -255,8 +234,8 @@ class Seed:
             s, n = self.sums[t][at[own]], self.n[t]
             xx = full - np.outer(s, s) / n
             block = Block(n, s / n, 0.0, xx, self.xy[t][at[own]], self.yy[t], np.ones(len(own), bool))
-            start, self.b[:, c] = self.b[at[own], c].copy(), 0.0
-            self.b[at[own], c] = fit_lasso(block, alpha, start)
+            self.b[:, c] = 0.0
+            self.b[at[own], c] = lasso_path(block, [alpha])[alpha]
         self.phase = "conditions"
 
     def _conditions(self, y, diag, part):
@@ -319,9 +298,9 @@ def _row(seed: int, state: Seed) -> pa.Table:
     return pa.table([pa.array([x], f.type) for x, f in zip(values, _STATE)], schema=_STATE)
 
 
-def solve_wide(moments: DataFrame, columns: list[str], centres: list[float],
+def solve_wide(tiles: DataFrame, columns: list[str], centres: list[float],
                models: dict[str, tuple[str, list[str], tuple]], seeds: list[int], k: int, tile: int) -> DataFrame:
-    """What `solve.solve_replicates` gives, from the same moment table. Of several least squares solutions it is the
+    """What `solve.solve_replicates` gives, from a table of `tiles.TILES`. Of several least squares solutions it is the
     shortest in units of the features' deviations (the narrow path: of the features themselves). A round is
     one job for all seeds that are not done."""
     q = len(columns) + 1
@@ -330,7 +309,7 @@ def solve_wide(moments: DataFrame, columns: list[str], centres: list[float],
     centre = dict(zip(columns, centres))
     plan = {name: (method, np.array([place[f] for f in features]), alphas)
             for name, (method, features, alphas) in models.items()}
-    tiles = packed_tiles(moments, k, tile)
+    tiles = staged(tiles, "tiles")
     spark = tiles.sparkSession
 
     def begin(batches):

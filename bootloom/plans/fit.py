@@ -45,18 +45,22 @@ class Prepared:
     def is_wide(self) -> bool:
         return len(self.columns) > WIDE
 
+    def tiles(self) -> DataFrame:
+        shared = (self.seeds, self.k, self.sampling, self.row_id, self.tile)
+        if self.sparse is None:
+            return tiles.dense_tiles(self.rows, self.stats, self.columns, *shared)
+        at = [0, *self.sparse.places(self.columns)]
+        return tiles.sparse_tiles(self.sparse.only(at), self.stats, self.sparse.rest[at], *shared)
+
     def moments(self) -> DataFrame:
-        shared = (self.seeds, self.k, self.sampling, self.row_id)
-        if self.sparse is not None:
-            at = [0, *self.sparse.places(self.columns)]
-            return tiles.sparse_moments(self.sparse.only(at), self.stats, self.sparse.rest[at], *shared, self.tile)
-        own = tiles.tile_moments if self.is_wide() else mom.moments
-        return own(self.rows, self.stats, self.columns, *shared, *([self.tile] if self.is_wide() else []))
+        if self.sparse is not None or self.is_wide():
+            return tiles.as_moments(self.tiles(), self.k, self.tile)
+        return mom.moments(self.rows, self.stats, self.columns, self.seeds, self.k, self.sampling, self.row_id)
 
     def solved(self) -> DataFrame:
         centres = self.stats.centres(self.columns)
         if self.is_wide():
-            return wide.solve_wide(self.moments(), self.columns, centres, self.models, self.seeds, self.k, self.tile)
+            return wide.solve_wide(self.tiles(), self.columns, centres, self.models, self.seeds, self.k, self.tile)
         return solve.solve_replicates(self.moments(), self.columns, centres, self.models, len(self.seeds))
 
 
@@ -142,6 +146,16 @@ def cv_path(run: Prepared) -> DataFrame:
         "model", "seed", "p.alpha", "p.fold", "p.mse", "p.r2")
 
 
+def ridge_degrees(run: Prepared) -> DataFrame:
+    """(model, seed, alpha, df): effective degrees of freedom of the ridge models at their penalties."""
+    return solve.ridge_degrees(run.moments(), run.columns, run.models, len(run.seeds))
+
+
+def lasso_knots(run: Prepared) -> DataFrame:
+    """(model, seed, knot, alpha, feature, enters): where the set of features changes along each lasso path."""
+    return solve.lasso_knots(run.moments(), run.columns, run.models, len(run.seeds))
+
+
 def extend_run(df: DataFrame, target: str, models: dict[str, Model], path: str, *,
                n_boot: int, seed_start: int = 0, **options) -> int:
     """Fit only the (model, seed) pairs a record folder does not hold and append them, so a

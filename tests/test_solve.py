@@ -138,6 +138,76 @@ def test_nearly_collinear_lasso_is_right_or_an_error(monkeypatch):
             assert np.all(np.abs(slope) <= 1e-6 * block.n * 1.01 + 1e-9 * np.sqrt(np.diag(block.xx) * block.yy))
 
 
+def conditions(block, b, alpha, tolerance=1e-8):
+    slope, limit = block.xy - block.xx @ b, alpha * block.n
+    scale = np.sqrt(np.diag(block.xx) * block.yy) * tolerance
+    on = b != 0
+    assert np.all(np.abs(slope[on] - np.sign(b[on]) * limit) <= scale[on])
+    assert np.all(np.abs(slope) <= limit + scale)
+
+
+@pytest.mark.parametrize("m, n, shared", [(4, 60, 0.0), (60, 400, 0.999), (60, 400, 1 - 1e-10), (60, 40, 0.0), (150, 100, 0.5)])
+def test_the_path_needs_no_descent(monkeypatch, m, n, shared):
+    monkeypatch.setattr(solve, "fit_lasso", None)
+    rng = np.random.default_rng(m)
+    x = shared ** 0.5 * rng.normal(size=(n, 1)) + (1 - shared) ** 0.5 * rng.normal(size=(n, m))
+    block = solve.Block.of(gram(x, x[:, :3].sum(axis=1) + rng.normal(size=n)))
+    top = np.abs(block.xy).max() / block.n
+    fits = solve.lasso_path(block, [top * f for f in (1.1, 0.7, 0.1, 0.01, 1e-4)])
+    assert not fits[top * 1.1].any()
+    for alpha, b in fits.items():
+        conditions(block, b, alpha)
+
+
+def test_nearly_collinear_path_meets_its_conditions(monkeypatch):
+    rng = np.random.default_rng(60)
+    base = rng.normal(size=400)
+    x = base[:, None] + 1e-5 * rng.normal(size=(400, 60))
+    y = x @ rng.normal(size=60) * 100 + rng.normal(size=400)
+    monkeypatch.setattr(solve, "SWEEPS", 0)
+    for alpha in (1.0, 1e-3, 1e-6):
+        conditions(solve.Block.of(gram(x, y)), solve.fit("lasso", solve.Block.of(gram(x, y)), alpha), alpha)
+
+
+def test_path_with_copies_sums_and_ties():
+    x, y = sample(8, m=4)
+    wide = np.column_stack([x, x[:, 0], -x[:, 1], x[:, 1] + x[:, 2], x[:, 0]])
+    block, plain = solve.Block.of(gram(wide, y)), solve.Block.of(gram(wide[:, :7], y))
+    for alpha in (30.0, 1.0, 0.01, 1e-5):
+        b = solve.fit("lasso", block, alpha)
+        conditions(block, b, alpha)
+        assert np.isclose(np.abs(b).sum(), np.abs(solve.fit("lasso", plain, alpha)).sum(), rtol=1e-6)
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.integers(0, 10 ** 6))
+def test_knots_are_where_the_set_changes(seed):
+    x, y = sample(seed, m=6)
+    block = solve.Block.of(gram(x, y))
+    knots = list(solve.Homotopy(block).knots(1e-3 * block.n))
+    inside = set()
+    for one, two in zip(knots, [*knots[1:], None]):
+        (inside.add if one.enters else inside.remove)(one.feature)
+        until = two.limit if two else 1e-3 * block.n
+        b = solve.fit("lasso", block, (one.limit + until) / 2 / block.n)
+        assert set(np.flatnonzero(b).tolist()) == inside or one.limit - until < 1e-9 * one.limit
+
+
+def test_ridge_of_a_column_that_is_a_sum():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(500, 5)) * [1, 10, 100, 1, 0.1]
+    x = np.column_stack([x, x[:, 0] + x[:, 1], np.ones(500)])
+    y = x @ [1, 2, 0.1, 3, 5, 0, 0] + rng.normal(size=500)
+    centred = x[:, :6] - x[:, :6].mean(axis=0)
+    u, s, v = np.linalg.svd(centred, full_matrices=False)
+    spectrum = solve.Spectrum(solve.Block.of(gram(x, y)))
+    for alpha in (1e-5, 0.01, 10.0):
+        want = v.T @ (s / (s * s + alpha) * (u.T @ (y - y.mean())))
+        b = spectrum.fit(alpha)
+        assert np.abs(b[:6] - want).max() < 1e-6 and b[6] == 0
+        assert spectrum.degrees(alpha) == pytest.approx((s[:5] ** 2 / (s[:5] ** 2 + alpha)).sum(), rel=1e-9)
+
+
 def test_columns_that_vanish_from_a_resample_get_zero():
     x, y = sample(9)
     x = np.column_stack([x, (np.arange(len(y)) < 3).astype(float)])

@@ -6,8 +6,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from bootloom import Model, one_hot, prepare, split_rows
-from bootloom.operators import moments as mom, tiles, wide
+from bootloom import Model, metric_dist, one_hot, predict, predict_sparse, prepare, split_rows
+from bootloom.operators import moments as mom, score, sparse_score, tiles, wide
+from bootloom.operators.score import prediction_metrics
 from bootloom.plans import fit, tables
 
 MODELS = {"linear": Model("linear", ("qty", "lines", "disc", "orderstatus_F", "orderstatus_O")),
@@ -62,7 +63,7 @@ def equal_fits(got, expected, tolerance=1e-6):
 @pytest.mark.parametrize("tile", [4, 16])
 def test_tiles_hold_the_same_moments(dense, sampling, tile):
     run = prepare(dense, "y", {"m": Model("linear")}, n_boot=3, sampling=sampling)
-    got = tiles.tile_moments(run.rows, run.stats, run.columns, run.seeds, 3, sampling, tile=tile)
+    got = tiles.as_moments(tiles.dense_tiles(run.rows, run.stats, run.columns, run.seeds, 3, sampling, tile=tile), 3, tile)
     same(grams(got, len(run.columns) + 1), grams(run.moments(), len(run.columns) + 1))
 
 
@@ -70,7 +71,7 @@ def test_tiles_take_seeds_in_batches(dense, monkeypatch):
     run = prepare(dense, "y", {"m": Model("linear")}, n_boot=3)
     monkeypatch.setattr(tiles, "PARTIAL_BYTES", 1)
     monkeypatch.setattr(tiles, "ROWS_BYTES", 1)
-    got = tiles.tile_moments(run.rows, run.stats, run.columns, run.seeds, 3, "exact", tile=8)
+    got = tiles.as_moments(tiles.dense_tiles(run.rows, run.stats, run.columns, run.seeds, 3, "exact", tile=8), 3, 8)
     same(grams(got, len(run.columns) + 1), grams(run.moments(), len(run.columns) + 1))
 
 
@@ -78,7 +79,7 @@ def test_repeated_ids_are_refused(dense):
     twice = dense.unionByName(dense.where("row_id % 50 = 1"))
     run = prepare(twice, "y", {"m": Model("linear")}, n_boot=2)
     with pytest.raises(Exception, match="not unique"):
-        tiles.tile_moments(run.rows, run.stats, run.columns, run.seeds, 3, "exact", tile=8).collect()
+        tiles.dense_tiles(run.rows, run.stats, run.columns, run.seeds, 3, "exact", tile=8).collect()
 
 
 def test_what_a_task_holds_does_not_grow_with_the_columns(spark, monkeypatch):
@@ -97,8 +98,7 @@ def test_what_a_task_holds_does_not_grow_with_the_columns(spark, monkeypatch):
         df = spark.range(3000).select(F.col("id").alias("row_id"), *[
             F.cos(F.col("id") * (i + 1)).alias(f"x{i}") for i in range(m)], F.sin("id").alias("y"))
         run = prepare(df, "y", {"m": Model("linear")}, n_boot=2)
-        rows = tiles.tile_moments(run.rows, run.stats, run.columns, run.seeds, 3, "exact", tile=32)
-        packed = wide.packed_tiles(rows, 3, 32)
+        packed = tiles.dense_tiles(run.rows, run.stats, run.columns, run.seeds, 3, "exact", tile=32).cache()
         assert packed.agg(F.max(F.length("g"))).first()[0] == 3 * 32 * 32 * 8
         assert packed.count() == 2 * (-(-(m + 2) // 32)) * (-(-(m + 2) // 32) + 1) // 2
     assert seen[0] == seen[1]
@@ -166,6 +166,56 @@ def test_sparse_fits_are_the_dense_ones(raw, dense):
     equal_fits(got, solved(prepare(dense, "y", models, n_boot=3).solved()))
 
 
+# ------------------------------------------------------------------ predictions for sparse rows
+
+def test_sparse_predictions_are_the_dense_ones(spark, raw, dense, monkeypatch):
+    names = ("qty", "disc", "orderstatus_F", "orderstatus_O")
+    train = made(raw)
+    models = {"lasso": Model("lasso", names, (50.0, 500.0)), "ridge": Model("ridge", names), "none": MODELS["none"]}
+    records = fit.fit_bootstrap(train, "y", models, n_boot=4).cache()
+    assert not any(any(r["coef"]) for r in records.where("model = 'none'").collect())
+    test = made(raw, "test", levels=train)
+    expected = {(r["model"], r["row_id"], r["seed"]): (r["prediction"], r["y"]) for r in predict(
+        records, split_rows(dense, "test"), target="y").collect()}
+
+    def check():
+        rows = predict_sparse(records, test, target=True).collect()
+        assert len(rows) == len(expected)
+        for r in rows:
+            assert (r["prediction"], r["y"]) == pytest.approx(expected[r["model"], r["row_id"], r["seed"]], rel=1e-9, abs=1e-6)
+
+    check()
+    for limit in ("PART_REPLICATES", "CHUNK_ENTRIES", "PRODUCTS"):
+        monkeypatch.setattr(sparse_score, limit, 3 if limit == "PART_REPLICATES" else 500)
+    monkeypatch.setattr(score, "SHIPPED_BYTES", 16)
+    check()
+    metrics = {(r["model"], r["seed"]): r["rmse"] for r in prediction_metrics(predict_sparse(records, test, True), "y").collect()}
+    plain = {(r["model"], r["seed"]): r["rmse"] for r in metric_dist(records, split_rows(dense, "test"), "y").collect()}
+    assert metrics == pytest.approx(plain, rel=1e-9)
+
+
+def test_no_coefficient_comes_to_the_driver(spark, raw, monkeypatch):
+    train = made(raw)
+    records = fit.fit_bootstrap(train, "y", {"m": Model("lasso", None, (50.0,))}, n_boot=3).cache()
+    fetched = []
+    for name in ("collect", "toPandas", "toArrow"):
+        def spy(df, *a, keep=getattr(type(records), name), **b):
+            fetched.append(df.columns)
+            return keep(df, *a, **b)
+        monkeypatch.setattr(type(records), name, spy)
+    out = predict_sparse(records, made(raw, "test", levels=train))
+    assert not any("coef" in c or "e" in c for c in fetched)
+    assert out.count() == 3 * split_rows(raw, "test").count()
+
+
+def test_records_with_other_features_are_refused(spark, raw, dense):
+    records = fit.fit_bootstrap(dense, "y", {"m": Model("ridge", ("qty", "qty_disc"))}, n_boot=2)
+    with pytest.raises(ValueError, match="qty_disc"):
+        predict_sparse(records, made(raw))
+    with pytest.raises(ValueError, match="no records"):
+        predict_sparse(records.where("false"), made(raw))
+
+
 # ------------------------------------------------------------------ the wide solver
 
 @pytest.mark.parametrize("tile", [4, 64])
