@@ -82,7 +82,7 @@ def _train(spark, d):
     return df, frames.frame_stats(df, ["y"])
 
 
-def _rounded(df: DataFrame, **digits) -> DataFrame:
+def _rounded(df: DataFrame, /, **digits) -> DataFrame:
     return df.withColumns({c: F.round(c, n) for c, n in digits.items()})
 
 
@@ -590,11 +590,11 @@ def own_oracles() -> dict[str, str]:
         "led AS (SELECT seed, n, abs(u) >= abs(v) AS first, CASE WHEN abs(u) >= abs(v) THEN u ELSE v END AS u, "
         "CASE WHEN abs(u) >= abs(v) THEN v ELSE u END AS v, b / CASE WHEN abs(u) >= abs(v) THEN a ELSE d END AS r FROM whole)")
     pair.ctes.append(
-        "joined AS (SELECT *, greatest((v - r * u) / (1 - r * sign(u)), -(v - r * u) / (1 + r * sign(u))) AS at FROM led)")
+        "joined AS (SELECT *, greatest((v - r * u) / (1 - r * sign(u)), -(v - r * u) / (1 + r * sign(u))) AS next FROM led)")
     knots = pair.select(
         "SELECT 'pair' AS model, seed, 1 AS knot, round(abs(u) / n, 3) AS alpha, CASE WHEN first THEN 'qty' ELSE 'disc' END "
-        "AS feature, true AS enters FROM joined UNION ALL SELECT 'pair', seed, 2, round(at / n, 3), "
-        "CASE WHEN first THEN 'disc' ELSE 'qty' END, true FROM joined WHERE at / n > 0.05")
+        "AS feature, true AS enters FROM joined UNION ALL SELECT 'pair', seed, 2, round(next / n, 3), "
+        "CASE WHEN first THEN 'disc' ELSE 'qty' END, true FROM joined WHERE next / n > 0.05")
     degrees = pair.select(
         "SELECT 'pair' AS model, seed, alpha, round(big / (big + alpha) + small / (small + alpha), 8) AS df FROM eigen, "
         "(SELECT unnest([" + ", ".join(o.lit(a) for a in o.RIDGE_GRID) + "]) AS alpha)")
