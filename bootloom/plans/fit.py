@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.scratch import computed_once
 from ..operators import moments as mom, solve, tiles, wide
 from ..operators.resample import EXACT, SAMPLINGS, seed_list
+from ..sources import commits
 from ..sources.frames import (ROW_ID, TEST_COLUMN, FrameStats, feature_names, frame_stats,
                               split_rows)
 from ..sources.sparse import Sparse
@@ -159,20 +160,16 @@ def lasso_knots(run: Prepared) -> DataFrame:
 def extend_run(df: DataFrame, target: str, models: dict[str, Model], path: str, *,
                n_boot: int, seed_start: int = 0, **options) -> int:
     """Fit only the (model, seed) pairs a record folder does not hold and append them, so a
-    run can be repeated or continued. Returns the number of records added.
+    run can be repeated or continued. Returns the number of records added. Runs can extend a folder at the same time:
+    what another one has committed meanwhile is not added again.
 
     Records of a model of the same name that were fitted with other features, penalties, folds,
     sampling or number of rows are an error; records without settings are taken as they are."""
     spark = df.sparkSession
     wanted = spark.createDataFrame(
         [(m, s) for m in models for s in seed_list(seed_start, n_boot)], "model string, seed long")
-    try:
+    if commits.exists(spark, path):
         todo = missing_seeds(spark, wanted, path).collect()
-    except Exception as e:  # a folder that is not there yet
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        todo = wanted.collect()
-    else:
         plain = {k: v for k, v in options.items() if not k.startswith("training_")}
         run = prepare(df, target, models, n_boot=1, **plain)
         held = read_records(spark, path).where(F.col("model").isin(list(models))).select(
@@ -180,14 +177,17 @@ def extend_run(df: DataFrame, target: str, models: dict[str, Model], path: str,
         other = sorted({r["model"] for r in held if r["settings"] != settings(run, r["model"])})
         if other:
             raise ValueError(f"{path} holds records of {other} that were fitted with other settings")
+    else:
+        todo = wanted.collect()
     # Models that lack the same seeds go through the data together.
     lacking: dict[tuple, list[str]] = {}
     for name in models:
         seeds = tuple(sorted(r["seed"] for r in todo if r["model"] == name))
         if seeds:
             lacking.setdefault(seeds, []).append(name)
+    added = 0
     for seeds, names in lacking.items():
         records = fit_bootstrap(df, target, {n: models[n] for n in names},
                                 seeds=list(seeds), **options)
-        append_records(records, path)
-    return len(todo)
+        added += append_records(records, path, once=True)
+    return added

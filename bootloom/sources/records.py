@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
+from . import commits
+
 ENGINE_VERSION = "bootloom 0.1"
 
 _NUMBERS = T.ArrayType(T.DoubleType())
@@ -35,9 +39,47 @@ def write_records(records: DataFrame, path: str) -> None:
     records.write.partitionBy("model").mode("errorifexists").json(path, ignoreNullFields=False)
 
 
-def append_records(records: DataFrame, path: str) -> None:
-    """Add JSON lines to a record folder (made if absent) through Spark's commit protocol."""
-    records.write.partitionBy("model").mode("append").json(path, ignoreNullFields=False)
+def append_records(records: DataFrame, path: str, once: bool = False) -> int:
+    """Add JSON lines to a record folder (made if absent) as one commit, and say how many. Runs can add at the same time.
+
+    With ``once`` a (model, seed) that is committed already, by whomever, is left out. Readers see all of a commit or
+    nothing of it.
+    """
+    spark = records.sparkSession
+    commits.begin(spark, path)
+    written = f"{path}/_adding-{uuid.uuid4().hex}"
+    records.write.partitionBy("model").json(written, ignoreNullFields=False)
+    while True:
+        number, files = commits.committed(spark, path)
+        added = _lines(spark, written, commits.data_files(spark, written))
+        if once:
+            held = _lines(spark, path, files).select("model", "seed")
+            fresh = added.join(held, ["model", "seed"], "left_anti")
+            if fresh.count() < added.count():
+                again = f"{path}/_adding-{uuid.uuid4().hex}"
+                fresh.select(added.columns).write.partitionBy("model").json(again, ignoreNullFields=False)
+                commits.remove(spark, written)
+                written, added = again, _lines(spark, again, commits.data_files(spark, again))
+        n = added.count()
+        if not n:
+            commits.remove(spark, written)
+            return 0
+        names = commits.place(spark, written, path)
+        if commits.commit(spark, path, number + 1, names):
+            return n
+        # another run has committed meanwhile: look again with its files
+        added = _lines(spark, path, names)
+        written = f"{path}/_adding-{uuid.uuid4().hex}"
+        added.write.partitionBy("model").json(written, ignoreNullFields=False)
+        for name in names:
+            commits.remove(spark, f"{path}/{name}")
+
+
+def _lines(spark: SparkSession, path: str, files: list[str]) -> DataFrame:
+    """The lines of some files of a record folder."""
+    if not files:
+        return spark.createDataFrame([], RECORD)
+    return spark.read.schema(RECORD).option("basePath", path).json([f"{path}/{f}" for f in files])
 
 
 def read_records(spark: SparkSession, path) -> DataFrame:
@@ -45,10 +87,14 @@ def read_records(spark: SparkSession, path) -> DataFrame:
 
     Every record gets a (model, seed) of its own. Without a model it has the name of its file,
     or of the folder where the file is one of several parts; without a seed it has a negative
-    number, unique in what is read but not the same from one reading to another.
+    number, unique in what is read but not the same from one reading to another. Of a folder that was
+    appended to, the committed files are read.
     """
     extra = [T.StructField(other, T.StringType()) for other in SYNONYMS.values()]
-    raw = spark.read.schema(T.StructType(RECORD.fields + extra)).json(path)
+    reader = spark.read.schema(T.StructType(RECORD.fields + extra))
+    files = commits.committed(spark, path)[1] if isinstance(path, str) else None
+    raw = reader.json(path) if files is None else (
+        reader.option("basePath", path).json([f"{path}/{f}" for f in files]))
     file = F.regexp_replace("_metadata.file_path", "/part-[^/]*$", "")
     name = F.regexp_extract(file, r"([^/]+?)(?:\.[A-Za-z0-9]+)*/*$", 1)
     number = -1 - F.monotonically_increasing_id()

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from bootloom import (Model, append_records, extend_run, fit_bootstrap, read_records,
                       write_records)
 from bootloom.operators import summary
-from bootloom.sources import records as rec
+from bootloom.plans import fit
+from bootloom.sources import commits, records as rec
 
 MODELS = {"a": Model("lasso", ("qty", "lines"), (500.0, 5000.0)), "b": Model("linear", ("qty",))}
 
@@ -62,6 +63,76 @@ def test_extending_a_run_fits_only_what_is_missing(spark, orders, tmp_path):
     assert joined.where("abs(x.intercept - y.intercept) > 1e-6 * abs(y.intercept)").count() == 0
 
 
+def once_each(spark, path):
+    rows = [tuple(r) for r in read_records(spark, path).select("model", "seed").collect()]
+    assert len(rows) == len(set(rows))
+    return sorted(rows)
+
+
+def test_two_runs_extend_a_folder_at_once(spark, orders, tmp_path, monkeypatch):
+    """A second run begins and ends between the first one's look at the folder and its commit."""
+    path, append, calls = str(tmp_path / "out"), rec.append_records, []
+    extend_run(orders, "y", {"b": MODELS["b"]}, path, n_boot=1)
+
+    def interleaved(records, path, **options):
+        calls.append(1)
+        if len(calls) == 1:
+            assert extend_run(orders, "y", {"b": MODELS["b"]}, path, n_boot=3) == 2
+        return append(records, path, **options)
+
+    monkeypatch.setattr(fit, "append_records", interleaved)
+    assert extend_run(orders, "y", {"b": MODELS["b"]}, path, n_boot=5) == 2
+    assert once_each(spark, path) == [("b", s) for s in range(5)]
+
+
+def test_a_commit_whose_number_is_taken_is_made_again(spark, records, tmp_path, monkeypatch):
+    path, commit, calls = str(tmp_path / "out"), commits.commit, []
+    append_records(records.where("seed = 0 AND model = 'a'"), path)
+
+    def late(spark, path, number, files):
+        calls.append(number)
+        if len(calls) == 1:   # the other run is faster by a moment
+            assert append_records(records.where("model = 'b'"), path, once=True) == 2
+        return commit(spark, path, number, files)
+
+    monkeypatch.setattr(commits, "commit", late)
+    assert append_records(records, path, once=True) == 1
+    assert calls == [2, 2, 3]
+    assert once_each(spark, path) == [("a", 0), ("a", 1), ("b", 0), ("b", 1)]
+    assert key(read_records(spark, path)) == key(records)
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["_commits", "model=a", "model=b"]
+
+
+def test_what_is_not_committed_is_not_read(spark, records, tmp_path):
+    path = str(tmp_path / "out")
+    write_records(records.where("seed = 0"), path)
+    append_records(records.where("seed = 1"), path)
+    before = key(read_records(spark, path))
+    assert before == key(records)
+    name = next((tmp_path / "out" / "model=a").glob("part-*"))
+    (name.parent / "part-left-over.json").write_text(name.read_text())
+    assert key(read_records(spark, path)) == before
+
+
+def test_a_number_is_made_once(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+    folder = tmp_path / "x"
+    folder.mkdir()
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: commits.create_if_absent(spark, f"{folder}/1.json", str(i)), range(24)))
+    assert sum(won) == 1 and (folder / "1.json").read_text() == str(won.index(True))
+    assert [p.name for p in folder.iterdir() if not p.name.endswith(".crc")] == ["1.json"]
+
+
+def test_a_number_is_made_once_by_renaming_too(spark, tmp_path):
+    target = commits._path(spark, f"file://{tmp_path}/1.json")
+    for text, new in (("a", True), ("b", False)):
+        (tmp_path / "part").write_text(text)
+        part = commits._path(spark, f"file://{tmp_path}/part")
+        assert commits._place_if_absent(spark, "other", part, target) is new
+    assert (tmp_path / "1.json").read_text() == "a"
+
+
 def test_a_run_is_not_extended_with_other_settings(spark, orders, tmp_path):
     path = str(tmp_path / "out")
     extend_run(orders, "y", {"a": MODELS["a"]}, path, n_boot=1)
