@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -40,10 +41,8 @@ class Replicates:
     intercept: np.ndarray
 
 
-def replicates(records: DataFrame, features: list[str] | None = None,
-               whole_models: bool = False) -> Iterator[Replicates]:
-    """The replicates of a record table, at most SHIPPED_BYTES of coefficients at a time
-    unless a model must stay whole.
+def replicates(records: DataFrame, features: list[str] | None = None) -> Iterator[Replicates]:
+    """The replicates of a record table, at most SHIPPED_BYTES of coefficients at a time.
 
     The records (one small row per model and seed) are first put in a table of their own, so
     that the fits behind them run once however many passes follow.
@@ -66,9 +65,8 @@ def replicates(records: DataFrame, features: list[str] | None = None,
             yield _replicates(g, together[same])
             continue
         at_once = max(1, SHIPPED_BYTES // (8 * (len(g["column_names"]) + 1)))
-        step = len(g["seeds"]) if whole_models else at_once
-        for s in range(0, len(g["seeds"]), step):
-            part = g["seeds"][s:s + step]
+        for s in range(0, len(g["seeds"]), at_once):
+            part = g["seeds"][s:s + at_once]
             yield _replicates(g, kept.where(
                 F.col("model").eqNullSafe(F.lit(g["model"]))
                 & (F.col("column_names") == F.array(*map(F.lit, g["column_names"])))
@@ -270,8 +268,17 @@ def _from_rows(df, parts, target, stats) -> DataFrame:
 def bagged_predict(records: DataFrame, df: DataFrame, features: list[str] | None = None,
                    row_id: str = ROW_ID, level: float = 95.0) -> DataFrame:
     """(model, row_id, prediction, se, lower, upper): the mean over replicates, their
-    population standard deviation and percentile interval. No shuffle."""
-    tails = [(100 - level) / 2, 100 - (100 - level) / 2]
+    population standard deviation and percentile interval.
+
+    As long as all coefficients go with one pass over the rows nothing is shuffled. More of them go in blocks, one at a
+    time: each block leaves, per row, moments that can be put together and its lowest and highest predictions, as
+    many as the interval's ends can lie among, and these are merged by row.
+    """
+    df, tails = _long_id(df, row_id), [(100 - level) / 2, 100 - (100 - level) / 2]
+    passes = _passes(replicates(records, features))
+    first, second = next(passes, None), next(passes, None)
+    if second is not None:
+        return _merged_blocks(_bag_blocks(chain([first, second], passes), records, df, row_id, tails[0]), row_id, tails[0])
     schema = (f"model string, `{row_id}` long, prediction double, se double, lower double, "
               "upper double")
 
@@ -289,8 +296,55 @@ def bagged_predict(records: DataFrame, df: DataFrame, features: list[str] | None
                             "se": p.std(axis=1), "lower": lower, "upper": upper})
         return bag
 
-    return _over_rows(replicates(records, features, whole_models=True), _long_id(df, row_id),
-                      [row_id], schema, make)
+    return _over_rows(iter(first[0] if first else ()), df, [row_id], schema, make)
+
+
+def _bag_blocks(passes, records: DataFrame, df: DataFrame, row_id: str, tail: float) -> DataFrame:
+    """(model, row_id, n, mean, m2, low, high) per row and block of replicates, each block written before the next
+    one is fetched."""
+    sizes = {r["model"]: r["count"] for r in records.groupBy("model").count().collect()}
+    schema = f"model string, `{row_id}` long, n long, mean double, m2 double, low array<double>, high array<double>"
+
+    def make(passed, m):
+        def bag(batches):
+            for whole in batches:
+                x, ids = unpacked(whole, m), whole.column(row_id).to_numpy()
+                for r, at in passed:
+                    b = len(r.seeds)
+                    k = min(b, int((sizes[r.model] - 1) * tail / 100) + 2)
+                    for rows in _row_slices(len(x), b):
+                        p = np.sort(x[rows][:, at] @ r.coef.T + r.intercept, axis=1)
+                        ends = np.arange(len(p) + 1, dtype=np.int32) * k
+                        yield pa.RecordBatch.from_arrays([
+                            pa.array([r.model] * len(p), pa.string()), pa.array(ids[rows]), pa.array(np.full(len(p), b)),
+                            pa.array(p.mean(axis=1)), pa.array(p.var(axis=1) * b),
+                            pa.ListArray.from_arrays(ends, p[:, :k].ravel()),
+                            pa.ListArray.from_arrays(ends, p[:, b - k:].ravel())],
+                            names=["model", row_id, "n", "mean", "m2", "low", "high"])
+        return bag
+
+    out = None
+    for now, _ in passes:
+        part = staged(_over_rows(iter(now), df, [row_id], schema, make), "bag")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _merged_blocks(parts: DataFrame, row_id: str, tail: float) -> DataFrame:
+    rows = parts.groupBy("model", row_id).agg(
+        F.sum("n").alias("b"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("prediction"),
+        F.collect_list(F.struct("n", "mean", "m2")).alias("s"), F.array_sort(F.flatten(F.collect_list("low"))).alias("low"),
+        F.sort_array(F.flatten(F.collect_list("high")), False).alias("high"))
+    spread = F.aggregate("s", F.lit(0.0), lambda a, e: a + e["m2"] + e["n"] * (e["mean"] - F.col("prediction")) ** 2)
+    place = (F.col("b") - 1) * F.lit(tail / 100)
+    at = F.floor(place).cast("int")
+
+    def end(c):
+        one = F.element_at(c, at + 1)
+        return one + (place - at) * (F.element_at(c, F.least(at + 2, F.col("b")).cast("int")) - one)
+
+    return rows.select("model", row_id, "prediction", F.sqrt(spread / F.col("b")).alias("se"),
+                       end("low").alias("lower"), end("high").alias("upper"))
 
 
 def _long_id(df: DataFrame, row_id: str) -> DataFrame:

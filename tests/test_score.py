@@ -145,3 +145,19 @@ def test_no_records(spark, orders):
 def test_via_is_checked(orders, records):
     with pytest.raises(ValueError, match="via"):
         metric_dist(records, orders, "y", via="magic")
+
+
+@pytest.mark.parametrize("level", [95.0, 50.0, 100.0])
+def test_bagging_in_blocks(spark, orders, monkeypatch, level):
+    rng = np.random.default_rng(3)
+    rows = [("m" if s % 3 else "few", s, rng.normal(), {"qty": rng.normal(), "disc": rng.normal() * 9}) for s in range(60)]
+    records, test = make_records(spark, rows), split_rows(orders, "test")
+    want = bagged_predict(records, test, level=level).orderBy("model", "row_id").toPandas()
+    blocks, staged = [], score.staged
+    monkeypatch.setattr(score, "SHIPPED_BYTES", 16 * 7)
+    monkeypatch.setattr(score, "staged", lambda df, name: blocks.append(name) or staged(df, name))
+    got = bagged_predict(records, test, level=level).orderBy("model", "row_id").toPandas()
+    assert blocks.count("bag") > 8
+    assert list(got[["model", "row_id"]].itertuples(index=False)) == list(want[["model", "row_id"]].itertuples(index=False))
+    for c in ("prediction", "se", "lower", "upper"):
+        assert np.allclose(got[c], want[c], rtol=1e-9, atol=1e-9)
