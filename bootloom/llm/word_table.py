@@ -23,9 +23,10 @@ from . import bpe, common, fsio
 from .textops import U, hash_spans, slices, text_bytes
 from .token_counts import tokenizer_path
 
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 8 << 20
 SLICE_ROWS = 1 << 16
 WORDS_AT_ONCE = 4096
+WAVES = 4        # rounds the buckets are taken in; only the lists of one are shuffled at a time
 
 
 def word_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -265,25 +266,27 @@ def encode_and_decode(docs: DataFrame, tokenizer: str, what, columns: str, id_co
 
     NULL and empty texts have no ids. Special strings in a text become their ids, as in the library by default. NULL or
     repeated ids are passed on; rows need no id to find back to their words. Other columns are left out.
-    A task holds a slice, some 12 MB of text or one text that is longer, or the words of one hash bucket, of which
+    A task holds a slice, some 8 MB of text or one text that is longer, or the words of one hash bucket, of which
     there are as many as shuffle partitions. The answers of a slice are a file in the shared scratch folder.
     """
     _check(tokenizer)
     spark = docs.sparkSession
     coded = coded_slices(docs, id_col, text_col, slice_bytes, common.parts(spark))
     lists = coded.select("slice", F.explode("lists").alias("l")).select("slice", "l.*")
-    answers = decoded_words(encoded_words(lists, tokenizer), piece_table(spark, tokenizer))
+    pieces = piece_table(spark, tokenizer)
     folder = common.folder(spark, "answers")
     fsio.make_folder(folder)
 
     def write(table: pa.Table) -> pa.Table:
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, table.schema) as out:
-            out.write_table(table.sort_by("bucket"))
-        fsio.write_whole(f"{folder}/{table['slice'][0].as_py()}", sink.getvalue().to_pybytes())
+            out.write_table(table)
+        fsio.write_whole(_place(folder, table["slice"][0].as_py(), table["bucket"][0].as_py()), sink.getvalue().to_pybytes())
         return table.select(["slice"]).slice(0, 1)
 
-    common.stage(answers.groupBy("slice").applyInArrow(write, "slice long"), "answered")
+    for wave in range(WAVES):   # all buckets, a part of them at a time
+        answers = decoded_words(encoded_words(lists.where(F.col("bucket") % WAVES == wave), tokenizer), pieces)
+        common.stage(answers.groupBy("slice").applyInArrow(write, "slice long"), "answered")
     kind = T.StructType([T.StructField("doc_id", coded.schema["ids"].dataType.elementType),
                          *T.StructType.fromDDL(columns).fields])
     arrow = to_arrow_schema(kind)
@@ -293,7 +296,7 @@ def encode_and_decode(docs: DataFrame, tokenizer: str, what, columns: str, id_co
             for at in range(batch.num_rows):
                 row = {c: batch.column(c)[at] for c in batch.schema.names}
                 counts = np.array(row["counts"].as_py(), np.int64)
-                ids, text = (_answered(f"{folder}/{row['slice'].as_py()}", row["lists"].as_py()) if row["n"].as_py()
+                ids, text = (_answered(folder, row["slice"].as_py(), row["lists"].as_py()) if row["n"].as_py()
                              else ([], []))
                 ends = np.cumsum(counts)
                 codes = _restored(row["codes"].as_py(), int(ends[-1])).tolist()
@@ -305,12 +308,20 @@ def encode_and_decode(docs: DataFrame, tokenizer: str, what, columns: str, id_co
     return coded.mapInArrow(assemble, kind)
 
 
-def _answered(uri: str, lists: list[dict]) -> tuple[list[bytes], list[bytes]]:
+def _place(folder: str, number: int, bucket: int) -> str:
+    """The file with a slice's answers for the wave of a bucket."""
+    return f"{folder}/{number}-{bucket % WAVES}"
+
+
+def _answered(folder: str, number: int, lists: list[dict]) -> tuple[list[bytes], list[bytes]]:
     """(ids, decoded bytes) of the words of a slice, in the order of its lists."""
-    with fsio.open_in(uri) as f:
-        table = pa.ipc.open_stream(f.read()).read_all()
+    rows = []
+    for uri in sorted({_place(folder, number, own["bucket"]) for own in lists}):
+        with fsio.open_in(uri) as f:
+            rows += pa.ipc.open_stream(f.read()).read_all().to_pylist()
+    rows.sort(key=lambda r: r["bucket"])
     ids, text = [], []
-    for row, own in zip(table.to_pylist(), lists, strict=True):
+    for row, own in zip(rows, lists, strict=True):
         ends = 4 * np.cumsum(_restored(row["counts"], row["n"]))
         ids += _cut(_restored(row["tokens"], int(ends[-1]) // 4).astype("<u4").tobytes(), ends)
         words = _cut(_expanded(own["words"], own["length"]), np.cumsum(_restored(own["lengths"], own["size"])))
