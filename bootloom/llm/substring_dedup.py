@@ -116,10 +116,13 @@ def repeated_anchors(texts: DataFrame, length: int, part: int, before: int | Non
             yield _rows(schema, signed(key[first]), batch.column("uid").to_numpy()[doc[first]],
                         np.diff(np.append(first, len(key))).astype(np.int32))
 
-    rows = common.stage(texts.mapInArrow(work, "anchor long, uid long, n int"), "anchors")
-    often = rows.groupBy("anchor").agg(F.sum("n").alias("total")).where("total > 1").select("anchor")
-    return common.stage(rows.join(often, "anchor").groupBy("uid").agg(
-        F.collect_list("anchor").alias("anchors")), "repeated")
+    def repeated():
+        rows = common.stage(texts.mapInArrow(work, "anchor long, uid long, n int"), "anchors")
+        often = rows.groupBy("anchor").agg(F.sum("n").alias("total")).where("total > 1").select("anchor")
+        return rows.select("anchor", "uid").join(often, "anchor").groupBy("uid").agg(
+            F.collect_list("anchor").alias("anchors"))
+
+    return common.settled(texts.sparkSession, "repeated", repeated)
 
 
 def earlier_windows(texts: DataFrame, length: int, before: int) -> DataFrame:
