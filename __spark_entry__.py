@@ -45,7 +45,7 @@ FAMILY = {"reduced": REDUCED, "pair": Model("lasso", ("qty", "lines"), GRID), "f
           "ridge": RIDGE, "linear": LINEAR}
 ONE_HOT = ("qty", "orderstatus_F", "orderstatus_O")
 ONE_HOT_ALPHAS = (5.0, 1e4, 1e5)
-WIDE_COLUMNS = 4000
+WIDE_COLUMNS, WIDE_SEEDS = 4000, 2
 LEVEL_UNITS = {"1": 1.0, "qty": 97.3, **{f"orderstatus_{s}": 1.07 for s in "FOP"},
                **{f"priority_P{i}": 1.01 for i in range(1, 6)}, "y": 1.13e5}
 COLLINEAR = Model("linear", (*ONE_HOT, "orderstatus_P"))
@@ -317,14 +317,14 @@ def moments_one_hot(spark, d):
 def fit_wide_tiles(spark, d):
     """4,000 columns, whose Gram matrices stay in tiles; they span two dimensions, so R^2 is that of two columns."""
     records = fit.fit_bootstrap(tables.part_wide(spark, d, WIDE_COLUMNS), "y", {"wide": Model("linear")},
-                                n_boot=SEEDS, k=1)
+                                n_boot=WIDE_SEEDS, k=1)
     return records.select("model", "seed", F.size("coef").alias("n_features"), F.round("r2", 8).alias("r2"))
 
 
 def predict_sparse(spark, d):
     """Predictions for sparse test rows from inverted lists of coefficients; one model keeps no feature."""
     train = tables.orders_one_hot(spark, d)
-    models = {"wide": Model("lasso", ONE_HOT, ONE_HOT_ALPHAS), "none": Model("lasso", ONE_HOT, (1e9,))}
+    models = {"wide": Model("lasso", ONE_HOT, (5.0, 1e4)), "none": Model("lasso", ONE_HOT, (1e9,))}
     records = fit.fit_bootstrap(train, "y", models, n_boot=SEEDS)
     test = tables.orders_one_hot(spark, d, "test", train)
     return _rounded(sparse_score.predict_sparse(records, test), prediction=3)
@@ -576,8 +576,8 @@ def own_oracles() -> dict[str, str]:
         f"SELECT seed, fold, {i}::INTEGER AS i, {j}::INTEGER AS j, round(s_{a}_{b} / "
         f"{o.lit(LEVEL_UNITS[a] * LEVEL_UNITS[b])}, 5) AS g FROM mom"
         for i, a in enumerate(LEVEL_UNITS) for j, b in enumerate(LEVEL_UNITS) if i <= j)
-    mixtures = o.Sql(o.PART_LINE, ("partkey", "size"), "true").moments().fit("wide", "linear", ("partkey", "size"), ())
-    sparse = o.Sql(o.ORDERS_ONE_HOT, ONE_HOT).moments().fit("wide", "lasso", ONE_HOT, ONE_HOT_ALPHAS).fit(
+    mixtures = o.Sql(o.PART_LINE, ("partkey", "size"), "true", (0, WIDE_SEEDS)).moments().fit("wide", "linear", ("partkey", "size"), ())
+    sparse = o.Sql(o.ORDERS_ONE_HOT, ONE_HOT).moments().fit("wide", "lasso", ONE_HOT, (5.0, 1e4)).fit(
         "none", "lasso", ONE_HOT, (1e9,)).metrics({"wide": ONE_HOT, "none": ONE_HOT})
 
     pair = o.Sql().moments()

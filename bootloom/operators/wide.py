@@ -90,9 +90,9 @@ def _assembled(table: pa.Table, blocks: int, k: int, tile: int, r: int, wanted:
 class Seed:
     """The problems of one seed and where they stand. ``ask`` and ``answer`` alternate."""
 
-    def __init__(self, q: int, size: int, k: int, models: dict):
+    def __init__(self, q: int, size: int, k: int, models: dict, join: int, in_play: int):
         """``models``: name -> (method, columns of its features, penalties), columns of z = (1, features, target)."""
-        self.q, self.size, self.k, self.models = q, size, k, models
+        self.q, self.size, self.k, self.models, self.join, self.in_play = q, size, k, models, join, in_play
         self.phase = "moments"
         self.problems = [(name, t, a) for name, (method, _, alphas) in models.items()
                          for t in ([k] if method == LINEAR else range(k + 1))
@@ -221,7 +221,7 @@ class Seed:
     def _worst(self, c: int, slope: np.ndarray) -> np.ndarray:
         """Features whose slope exceeds the penalty the most."""
         over = np.where(self.inside[:, c], slope - self.problems[c][2] * self.n[self.problems[c][1]], -np.inf)
-        at = np.argsort(-over)[:JOIN]
+        at = np.argsort(-over)[:self.join]
         return at[over[at] > 0]
 
     def _entries(self, y, diag, part):
@@ -251,8 +251,8 @@ class Seed:
             self.phase = "errors"
             return
         self.wanted = np.union1d(self.wanted, more)
-        if len(self.wanted) > IN_PLAY:
-            raise ArithmeticError(f"the lasso of a wide model has more than {IN_PLAY} features in play; use larger "
+        if len(self.wanted) > self.in_play:
+            raise ArithmeticError(f"the lasso of a wide model has more than {self.in_play} features in play; use larger "
                                   "penalties or ridge")
         self.phase = "entries"
 
@@ -309,13 +309,13 @@ def solve_wide(tiles: DataFrame, columns: list[str], centres: list[float],
     centre = dict(zip(columns, centres))
     plan = {name: (method, np.array([place[f] for f in features]), alphas)
             for name, (method, features, alphas) in models.items()}
-    tiles = staged(tiles, "tiles")
+    tiles, limits = staged(tiles, "tiles"), (JOIN, IN_PLAY)
     spark = tiles.sparkSession
 
     def begin(batches):
         for batch in batches:
             for seed in batch.column("seed").to_pylist():
-                yield from _row(seed, Seed(q, blocks * tile, k, plan)).to_batches()
+                yield from _row(seed, Seed(q, blocks * tile, k, plan, *limits)).to_batches()
 
     def step(state: pa.Table, table: pa.Table) -> pa.Table:
         row = state.to_pylist()[0]

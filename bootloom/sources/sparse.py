@@ -125,6 +125,6 @@ def one_hot(df: DataFrame, target: str, numeric: list[str], terms: list[tuple[st
     held = F.filter(F.array(*entries), lambda e: e.isNotNull())
     rows = rows.select(row_id, held.alias("_e")).select(row_id, F.col("_e.i").alias("_i"), F.col("_e.v").alias("_v"))
     rest = np.array([*means, 0.0])
-    whole = {c: centre.get(c, 0.0) + r for c, r in zip([*names, target], rest)}
+    whole = {c: centre.get(c, 0.0) + r for c, r in zip([*names, target], rest)} if levels is None else centre
     return Sparse(computed_once(rows), [*names, target], rest,
                   FrameStats(stats.n, stats.min_id, stats.max_id, whole), row_id)
