@@ -23,7 +23,7 @@ SEEDS = (U(0x9AE16A3B2F90404F), U(0xC949D7C7509E6557))
 M1, M2 = U(0x9FB21C651E98DF25), U(0xD6E8FEB86659FD93)
 
 
-def slices(batches, column: str, most: int = 4 << 20, rows: int = 8192) -> Iterator[pa.RecordBatch]:
+def slices(batches, column: str, most: int = 2 << 20, rows: int = 8192) -> Iterator[pa.RecordBatch]:
     """The batches put together or cut to about ``most`` bytes of text and not much over ``rows``
     rows; a longer text is alone."""
     held: list[pa.RecordBatch] = []
