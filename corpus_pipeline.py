@@ -26,9 +26,13 @@ def drop_toxic(spark, docs, sf_dir):
     """Documents that the toxicity model rejects go. NULL and empty texts are scored like any other; without labels
     of both kinds all or none are toxic, as the share of toxic labels says."""
     ship_package(spark)
-    with common.passing(spark):
+    keyed = common.keyed(docs, whole=True)
+
+    def rejected():
         model = toxicity.fit(docs, common.table(spark, sf_dir, "labels"), rows=~toxicity.held_out())
-    return docs.where(~toxicity.is_toxic(model, F.col("text")))
+        return toxicity.score(keyed, model, "uid").where("predicted = 1").select(F.col("doc_id").alias("uid"))
+
+    return _without(keyed, common.settled(spark, "toxic", rejected))
 
 
 def drop_near_duplicates(spark, docs, sf_dir):
