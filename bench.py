@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import SparkSession  # noqa: E402
 
 from bootloom import (Model, bagged_predict, ci_summary, coef_table, metric_dist,  # noqa: E402
-                      predict, selection_freq, split_rows)
+                      one_hot, predict, selection_freq, split_rows)
 from bootloom.functions.scratch import scratch_path  # noqa: E402
 from bootloom.functions.ship import ship_package  # noqa: E402
 from bootloom.operators import resample as rs  # noqa: E402
@@ -108,6 +108,22 @@ def main() -> None:
     timed("linear_exact_m1000_b20", lambda: run(fit.fit_bootstrap(
         wide, "y", {"wide": Model("linear")}, n_boot=20)), runs=1)
 
+    # About as many columns out of one-hot levels.
+    levels = stored("orders_levels", tables.orders_levels(spark, SF_DIR).join(
+        spark.read.parquet(f"{SF_DIR}/orders.parquet").selectExpr(
+            "CAST(o_orderkey AS LONG) AS row_id", "concat('c', o_custkey % 990) AS customer"), "row_id"))
+    sparse = {}
+    timed("one_hot_m1000", lambda: sparse.update(s=one_hot(
+        levels, "y", ["qty", "lines", "disc"], [("orderstatus",), ("priority",), ("customer",)])), runs=1)
+    timed("moments_one_hot_m1000_b20", lambda: run(fit.prepare(
+        sparse["s"], "y", {"wide": Model("linear")}, n_boot=20).tiles()))
+    timed("linear_one_hot_m1000_b20", lambda: run(fit.fit_bootstrap(
+        sparse["s"], "y", {"wide": Model("linear")}, n_boot=20)), runs=1)
+
+    # Gram matrices in tiles, and a solver over them.
+    timed("linear_tiles_m4000_b2", lambda: run(fit.fit_bootstrap(
+        tables.part_wide(spark, SF_DIR, 4000), "y", {"wide": Model("linear")}, n_boot=2, k=1)), runs=1)
+
     print(json.dumps({"metric": "total_seconds", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times,
                       "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf")}))

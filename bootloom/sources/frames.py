@@ -29,7 +29,8 @@ def read_table(spark: SparkSession, path: str, schema=None, row_id: str = ROW_ID
     """
     if format not in (None, "csv", "parquet"):
         raise ValueError(f"format must be csv or parquet, not {format!r}")
-    if format == "parquet" or format is None and path.rstrip("/").endswith(".parquet"):
+    parquet = format == "parquet" or format is None and path.rstrip("/").endswith(".parquet")
+    if parquet:
         df = spark.read.parquet(path)
     else:
         reader = spark.read.option("header", True)
@@ -38,11 +39,22 @@ def read_table(spark: SparkSession, path: str, schema=None, row_id: str = ROW_ID
     if row_id not in df.columns:
         saved = [c for c in INDEX_NAMES if c in df.columns]
         df = (df.withColumn(row_id, F.col(f"`{saved[0]}`").cast("long")) if saved
-              else number_rows(df, row_id))
+              else number_indexed_rows(df, row_id) if parquet else number_rows(df, row_id))
     df = df.drop(*INDEX_NAMES)
     return df.select(row_id, *[f"`{c}`" for c in df.columns if c != row_id])
 
 
+def number_indexed_rows(scan: DataFrame, row_id: str = ROW_ID) -> DataFrame:
+    """The same for Parquet files, which know the number of each row in its file: only the files' row counts are
+    taken, nothing is written, and the numbers do not depend on where a scan cuts the files."""
+    before = Window.orderBy("_path").rowsBetween(Window.unboundedPreceding, -1)
+    files = scan.groupBy(F.col("_metadata.file_path").alias("_path")).agg(F.count("*").alias("_n")).select(
+        "_path", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    rows = scan.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+    return rows.join(files, F.col("_file") == F.col("_path")).withColumn(
+        row_id, F.col("_before") + F.col("_at")).drop("_path", "_file", "_before", "_at")
+
+
 def number_rows(scan: DataFrame, row_id: str = ROW_ID) -> DataFrame:
     """Number the rows of a file scan 0..n-1 in the order of files and of rows in them.
 

@@ -131,3 +131,20 @@ def test_rows_keep_their_numbers_when_splits_change(spark, tmp_path):
         assert df.where("row_id = x").count() == 60000
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_parquet_rows_are_numbered_without_a_copy(spark, tmp_path, monkeypatch):
+    path, size = str(tmp_path / "t.parquet"), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.range(0, 5000, 1, 4).selectExpr("id AS was", "CAST(id AS string) AS text").write.option(
+        "parquet.block.size", 4096).parquet(path)
+    monkeypatch.setattr(frames, "scratch_path", None)
+    numbers = []
+    try:
+        for most in (size, "2k", "64k"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+            rows = sorted((r["row_id"], r["was"]) for r in frames.read_table(spark, path).collect())
+            assert [r for r, _ in rows] == list(range(5000))
+            numbers.append(rows)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert numbers[0] == numbers[1] == numbers[2] and [w for _, w in numbers[0]] == list(range(5000))
