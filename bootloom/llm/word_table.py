@@ -15,6 +15,7 @@ import json
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -133,97 +134,57 @@ def coded_slices(docs: DataFrame, id_col: str, text_col: str, most: int, buckets
 
 
 LIST = "bucket int, size int, length long, lengths binary, words binary"
-# A bucket is a stream of rows: one that holds the slices' lists as places, then the ids of each distinct word.
-ENCODED = ("bucket int, slices array<long>, places array<binary>, sizes array<int>, total int, lengths binary, words binary, "
-           "ids array<int>")
 # Ids of a list's words, and the decoded bytes of those (``other``) that don't decode to their own bytes.
 ANSWER = ("slice long, bucket int, n int, counts binary, tokens binary, other binary, n_other int, lengths binary, "
           "length long, text binary")
 
 
-def encoded_words(lists: DataFrame, tokenizer: str) -> DataFrame:
-    """The distinct words of each bucket of ``(slice, bucket, size, length, lengths, words)``, encoded once each."""
-    arrow = to_arrow_schema(T.StructType.fromDDL(ENCODED))
+def answered_lists(lists: DataFrame, tokenizer: str, pieces: DataFrame) -> DataFrame:
+    """``ANSWER`` rows, one per ``(slice, bucket, size, length, lengths, words)``.
+
+    The distinct words of a bucket are encoded once each, and their ids joined with ``pieces(token, piece)``, which has
+    one row per id of the vocabulary and is sent to all tasks. Every word is decoded so and compared; as a slice has
+    its own words, only bytes that differ go back to it.
+    """
+    arrow = to_arrow_schema(T.StructType.fromDDL(ANSWER))
+    table = pieces.toArrow()
+    shared = lists.sparkSession.sparkContext.broadcast(
+        tuple(table[c].combine_chunks() for c in ("token", "piece")))   # bounded by the vocabulary
 
     def work(table: pa.Table) -> pa.Table:
         encoder, known, places = bpe.load(tokenizer), {}, []
-        for row in table.select(["size", "length", "lengths", "words"]).to_pylist():
-            raw, ends = _expanded(row["words"], row["length"]), np.cumsum(_restored(row["lengths"], row["size"])).tolist()
-            places.append(_shrunk(np.array([known.setdefault(raw[a:b], len(known))
-                                            for a, b in zip([0, *ends], ends)], np.int64)))
-        words = list(known)
-        ids = [None]
+        rows = table.select(["slice", "size", "length", "lengths", "words"]).to_pylist()
+        for row in rows:
+            own = _cut(_expanded(row["words"], row["length"]), np.cumsum(_restored(row["lengths"], row["size"])))
+            places.append(np.array([known.setdefault(w, len(known)) for w in own], np.int64))
+        words, ids = list(known), []
         for at in range(0, len(words), WORDS_AT_ONCE):
             ids += encoder.whole([w.decode() for w in words[at:at + WORDS_AT_ONCE]])
-        bucket, rest = table["bucket"][0].as_py(), len(words)
-        return pa.table([pa.array([bucket] * (rest + 1), pa.int32()),
-                         pa.array([table["slice"].to_pylist(), *[None] * rest], pa.list_(pa.int64())),
-                         pa.array([places, *[None] * rest], pa.list_(pa.binary())),
-                         pa.array([table["size"].to_pylist(), *[None] * rest], pa.list_(pa.int32())),
-                         pa.array([rest, *[None] * rest], pa.int32()),
-                         pa.array([_shrunk(np.array([len(w) for w in words], np.int64)), *[None] * rest], pa.binary()),
-                         pa.array([b"".join(words), *[None] * rest], pa.binary()),
-                         pa.array(ids, pa.list_(pa.int32()))], schema=arrow)
-
-    return lists.groupBy("bucket").applyInArrow(work, ENCODED)
-
-
-def decoded_words(encoded: DataFrame, pieces: DataFrame) -> DataFrame:
-    """``ANSWER`` rows, one per slice and bucket: ids and decoded bytes of the slice's words in the order of its list.
-    Every word is decoded and compared; as a slice has its own words, only bytes that differ go back to it.
-
-    The join with the pieces (one row per id, so it is sent to all tasks) leaves the order of a bucket's rows as it
-    is; that each bucket is whole and in order is checked by the numbers its rows carry.
-    """
-    arrow = to_arrow_schema(T.StructType.fromDDL(ANSWER))
-    heading = ["bucket", "slices", "places", "sizes", "total", "lengths", "words"]
-    each = encoded.select(*heading, F.posexplode_outer("ids").alias("at", "token"))
-    each = each.join(F.broadcast(pieces.withColumnRenamed("token", "id")), F.col("token") == F.col("id"), "left").drop("id")
-
-    def flush(head, at, tokens, sizes, text):
-        at, tokens, sizes = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (at, tokens, sizes))
-        first = np.flatnonzero(at == 0)
-        counts = np.diff(np.append(first, len(at)))
-        if len(first) != head["total"] or (at != np.arange(len(at)) - np.repeat(first, counts)).any():
-            raise RuntimeError("the rows of a bucket are not in order")
-        upto = np.append(0, np.cumsum(sizes))
-        lengths = upto[np.append(first, len(at))[1:]] - upto[first]
-        decoded = b"".join(text)
-        differs = _differing(decoded, lengths, head["words"], _restored(head["lengths"], head["total"]))
-        pool = np.frombuffer(decoded, np.uint8)
-        for number, raw, n in zip(head["slices"], head["places"], head["sizes"]):
-            pick = _restored(raw, n)
+        counts = np.array([len(x) for x in ids], np.int64)
+        tokens = np.fromiter((i for x in ids for i in x), np.int64, int(counts.sum()))
+        decoded, lengths = _joined(tokens, counts, *shared.value)
+        differs = _differing(decoded, lengths, b"".join(words), np.array([len(w) for w in words], np.int64))
+        pool, bucket = np.frombuffer(decoded, np.uint8), table["bucket"][0].as_py()
+        out = []
+        for row, pick in zip(rows, places):
             other = np.flatnonzero(differs[pick])
             mine = _gathered(pool, lengths, pick[other]).tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((
-                number, head["bucket"], n, _shrunk(counts[pick]), _shrunk(_gathered(tokens, counts, pick)), _shrunk(other),
-                len(other), _shrunk(lengths[pick[other]]), len(mine), _squeezed(mine)), arrow)], schema=arrow)
+            out.append((row["slice"], bucket, row["size"], _shrunk(counts[pick]), _shrunk(_gathered(tokens, counts, pick)),
+                        _shrunk(other), len(other), _shrunk(lengths[pick[other]]), len(mine), _squeezed(mine)))
+        return pa.table([pa.array(x, f.type) for x, f in zip(zip(*out), arrow)], schema=arrow)
 
-    def work(batches):
-        head, held = None, ([], [], [], [])
-        for batch in batches:
-            heads = set(np.flatnonzero(batch.column("total").is_valid().to_numpy(zero_copy_only=False)).tolist())
-            cuts = sorted({0, batch.num_rows, *heads})
-            for a, b in zip(cuts, cuts[1:]):
-                if a in heads:
-                    if head is not None:
-                        yield from flush(head, *held)
-                    head = {c: batch.column(c)[a].as_py() for c in heading}
-                    held = ([], [], [], [])
-                    a += 1
-                if b > a:
-                    piece = batch.column("piece").slice(a, b - a)
-                    if piece.null_count:
-                        raise RuntimeError("the vocabulary lacks an id")
-                    ends = np.frombuffer(piece.buffers()[1], np.int32, b - a + 1 + piece.offset)[piece.offset:]
-                    held[0].append(batch.column("at").slice(a, b - a).to_numpy().astype(np.int64))
-                    held[1].append(batch.column("token").slice(a, b - a).to_numpy().astype(np.int64))
-                    held[2].append(np.diff(ends).astype(np.int64))
-                    held[3].append(memoryview(piece.buffers()[2])[ends[0]:ends[-1]].tobytes())
-        if head is not None:
-            yield from flush(head, *held)
-
-    return each.mapInArrow(work, ANSWER)
+    return lists.groupBy("bucket").applyInArrow(work, ANSWER)
+
+
+def _joined(tokens: np.ndarray, counts: np.ndarray, known: pa.Array, pieces: pa.Array) -> tuple[bytes, np.ndarray]:
+    """(decoded bytes of all words behind one another, their lengths): each id joined with its piece."""
+    at = pc.index_in(pa.array(tokens, known.type), value_set=known)
+    if at.null_count:
+        raise RuntimeError("the vocabulary lacks an id")
+    found = pieces.take(at)
+    ends = np.append(0, np.cumsum(np.array(pc.binary_length(found), np.int64)))
+    upto = ends[np.append(0, np.cumsum(counts))]
+    return b"".join(found.to_pylist()), np.diff(upto)
 
 
 def _differing(one: bytes, one_sizes: np.ndarray, two: bytes, two_sizes: np.ndarray) -> np.ndarray:
@@ -285,7 +246,7 @@ def encode_and_decode(docs: DataFrame, tokenizer: str, what, columns: str, id_co
         return table.select(["slice"]).slice(0, 1)
 
     for wave in range(WAVES):   # all buckets, a part of them at a time
-        answers = decoded_words(encoded_words(lists.where(F.col("bucket") % WAVES == wave), tokenizer), pieces)
+        answers = answered_lists(lists.where(F.col("bucket") % WAVES == wave), tokenizer, pieces)
         common.stage(answers.groupBy("slice").applyInArrow(write, "slice long"), "answered")
     kind = T.StructType([T.StructField("doc_id", coded.schema["ids"].dataType.elementType),
                          *T.StructType.fromDDL(columns).fields])

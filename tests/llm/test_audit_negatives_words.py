@@ -266,19 +266,25 @@ def test_words_of_odd_rows(spark, library, messy, none):
     assert word_table.encode_and_decode(none, tokenizer_path(), word_table.digests, COLUMNS).count() == 0
 
 
-def test_each_distinct_word_is_encoded_once(spark, docs):
+def test_each_distinct_word_meets_in_one_bucket(spark, docs):
     coded = word_table.coded_slices(docs, "doc_id", "text", 3000, 5)
     lists = coded.select("slice", F.explode("lists").alias("l")).select("slice", "l.*")
-    rows = word_table.encoded_words(lists, tokenizer_path()).collect()
     words = set()
     for r in docs.collect():
         data = np.frombuffer((r["text"] or "").encode(), np.uint8)
         start, length, _ = word_table.word_spans(data, np.array([0, len(data)]))
         words |= {data[s:s + n].tobytes() for s, n in zip(start, length)}
-    listed = sum(r["size"] for r in lists.collect())
-    assert sum(r["total"] or 0 for r in rows) == len([r for r in rows if r["ids"] is not None]) == len(words) < listed
-    pieces = {r["token"]: bytes(r["piece"]) for r in word_table.piece_table(spark, tokenizer_path()).collect()}
-    assert {b"".join(pieces[i] for i in r["ids"]) for r in rows if r["ids"] is not None} == words
+    pieces = word_table.piece_table(spark, tokenizer_path())
+    answers = word_table.answered_lists(lists.repartition(3, "bucket"), tokenizer_path(), pieces).collect()
+    listed = lists.collect()
+    assert len(answers) == len(listed) and sum(r["n"] for r in answers) == sum(r["size"] for r in listed) > len(words)
+    assert not any(r["n_other"] for r in answers)
+    buckets = {}
+    for r in listed:
+        own = word_table._cut(word_table._expanded(bytes(r["words"]), r["length"]), np.cumsum(
+            word_table._restored(bytes(r["lengths"]), r["size"])))
+        buckets.setdefault(r["bucket"], set()).update(own)
+    assert sum(map(len, buckets.values())) == len(words) == len(set().union(*buckets.values()))
 
 
 def test_decoded_bytes_come_from_the_pieces(spark, docs, monkeypatch):
