@@ -25,7 +25,8 @@ M1, M2 = U(0x9FB21C651E98DF25), U(0xD6E8FEB86659FD93)
 
 def slices(batches, column: str, most: int = 2 << 20, rows: int = 8192) -> Iterator[pa.RecordBatch]:
     """The batches put together or cut to about ``most`` bytes of text and not much over ``rows``
-    rows; a longer text is alone."""
+    rows; a longer text is alone. What a worker frees goes back to the system, as workers stay."""
+    pa.set_memory_pool(pa.system_memory_pool())
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
