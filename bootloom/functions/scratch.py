@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,10 +35,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_folders[base, application]}/{name}-{uuid.uuid4().hex}"
 
 
+#: What holds while a table is written: Python workers get few MB of rows at a time, as rows can be wide, and Spark
+#: removes the shuffle files of the write when it has ended.
+WRITING = {"spark.sql.execution.arrow.maxBytesPerBatch": 2 << 20,
+           "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict):
+    """Session settings that are as before afterwards."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+# Bytes of a row group: its writer and each of its readers hold one.
+ROW_GROUP = 8 << 20
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The rows in a written table of their own: what is behind them runs once."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with settings(df.sparkSession, WRITING):
+        df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -7,7 +7,7 @@ from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.scratch import scratch_path
+from ..functions.scratch import scratch_path, settings
 
 BATCH_ROWS = 512
 BATCH_BYTES = 4 << 20
@@ -25,19 +25,6 @@ WRITING = {"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_ROWS,
            "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
-@contextmanager
-def settings(spark: SparkSession, values: dict):
-    """Session settings that are as before afterwards."""
-    before = {k: spark.conf.get(k, None) for k in values}
-    for k, v in values.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

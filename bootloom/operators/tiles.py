@@ -1,8 +1,9 @@
 """Gram matrices of wide models, in two-dimensional tiles that live in different tasks.
 
 The columns z = (1, features, target) are cut into blocks. A tile is the part of the Gram matrices of all seeds
-and folds that one pair of blocks spans. Rows are cut into the same blocks before they are shuffled, so a task
-holds two blocks of a bucket of rows and the tile it adds to: nothing in it grows with the number of columns.
+and folds that one pair of blocks spans. Rows are cut into the same blocks before they are shuffled. A few
+neighbouring blocks are a stripe; a task holds two stripes of a bucket of rows and the tiles they span, as many as
+fit: nothing in it grows with the number of columns.
 
 Sparse rows (indices and values, as one-hot levels make them) only touch the pairs of columns that are both
 there. Their task keeps its share of the rows and takes it through as many tiles and seeds at a time as fit.
@@ -16,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.memory import give_back
 from ..functions.scratch import staged
 from ..sources.frames import ROW_ID, FrameStats, packed, unpacked
 from .index import BUCKET
@@ -23,9 +25,10 @@ from .moments import BLOCK, PARTIAL_BYTES, design
 from .resample import (MAX_TASKS, MIN_CELL, POISSON, bucketed_draws, bundle_bytes, bundle_draws, cell_size,
                        poisson_array_weights, unbundle_draws, weigh)
 
-# Columns of a tile, and bytes of one block of columns of a bucket of rows.
+# Columns of a tile, bytes of one block of columns of a bucket of rows, and blocks of a stripe at most.
 TILE = 512
-ROWS_BYTES = 16 << 20
+ROWS_BYTES = 8 << 20
+STRIPE = 8
 # Pairs of entries of sparse rows that are laid out at once.
 PAIRS_AT_ONCE = 1 << 21
 
@@ -87,10 +90,23 @@ def as_moments(tiles: DataFrame, k: int, tile: int) -> DataFrame:
 
 # ------------------------------------------------------------------ dense rows
 
+def striped(blocks: int, seeds: int, k: int, tile: int) -> tuple[int, int]:
+    """(blocks of a stripe, seeds of a batch) whose tiles a task can hold and that send the rows to the fewest tasks:
+    a block of rows goes to each pair of stripes and each batch of seeds that it has a part in."""
+    room = max(1, PARTIAL_BYTES // (k * tile * tile * 8))
+    ways = []
+    for side in range(1, min(blocks, STRIPE) + 1):
+        spanned = side * side if side < blocks else side * (side + 1) // 2
+        if spanned <= room or side == 1:
+            at_once = min(max(1, room // spanned), seeds)
+            ways.append((-(-blocks // side) * -(-seeds // at_once), side, at_once))
+    return min(ways)[1:]
+
+
 def dense_tiles(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list[int], k: int, sampling: str,
                 row_id: str = ROW_ID, tile: int = TILE) -> DataFrame:
     """The tiles of the Gram matrices of `moments.moments`, ``TILES``. A row is shuffled once in blocks of columns; after that
-    each block meets every other one of its bucket, which is what a product of blocks takes."""
+    a block goes to every pair of stripes it is in, so that it meets every other one of its bucket."""
     spark, m, n, size = df.sparkSession, len(columns), stats.n, cell_size(stats.n)
     q = m + 1
     blocks = block_count(q, tile)
@@ -100,6 +116,7 @@ def dense_tiles(df: DataFrame, stats: FrameStats, columns: list[str], seeds: lis
     bucketed, draws = bucketed_draws(rows, stats, seeds, k, sampling if sampling != POISSON else "exact", goal, row_id)
 
     def cut(batches):
+        give_back()
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -129,48 +146,75 @@ def dense_tiles(df: DataFrame, stats: FrameStats, columns: list[str], seeds: lis
     tasks = min(max(by_size, 3 * spark.sparkContext.defaultParallelism), MAX_TASKS)
     held = staged(bucketed.mapInArrow(cut, shape).repartition(tasks, "b", "c").groupBy("b", "c").applyInArrow(
         merge, shape), "blocks")
-    left = held.select(F.col("b").alias("bucket"), F.col("c").alias("c1"), "ids", F.col("x").alias("x1"))
-    right = held.select("b", F.col("c").alias("c2"), F.col("x").alias("x2"))
-    met = left.join(right, (F.col("bucket") == F.col("b")) & (F.col("c1") <= F.col("c2"))).drop("b")
-    if sampling == POISSON:
-        met = met.withColumn("draws", F.lit(None).cast("binary"))
-    else:
-        met = met.join(staged(bundle_draws(draws), "draws"), F.col("bucket") == F.col("hit_bucket"))
-    at_once = max(1, PARTIAL_BYTES // (k * tile * tile * 8))
+    side, at_once = striped(blocks, len(seeds), k, tile)
+    stripes = block_count(blocks, side)
     batches = [seeds[s:s + at_once] for s in range(0, len(seeds), at_once)]
-    pairs = blocks * (blocks + 1) // 2 * len(batches)
-    chunks = max(1, -(-3 * spark.sparkContext.defaultParallelism // pairs))
-    key = ["c1", "c2", "batch"]
-    met = met.select("*", F.explode(F.sequence(F.lit(0), F.lit(len(batches) - 1))).alias("batch"),
-                     F.pmod(F.xxhash64("bucket"), F.lit(chunks)).alias("chunk"))
-    met = met.repartition(min(max(tasks, pairs * chunks), MAX_TASKS), *key, "chunk").sortWithinPartitions(*key).select(
-        *key, "ids", "x1", "x2", "draws")
+    # a task's tiles are at most as many bytes as its rows, and no more tasks than keep the cores busy
+    pairs = stripes * (stripes + 1) // 2 * len(batches)
+    by_rows = n * stripes // (len(batches[0]) * k * tile * (blocks + 1) // 2)
+    chunks = max(1, min(-(-3 * spark.sparkContext.defaultParallelism // pairs), by_rows))
+    met = held.withColumn("pair", F.expr(
+        f"explode(transform(sequence(0, {stripes - 1}), t -> struct(least(c div {side}, t) AS s1, greatest(c div {side}, t) AS s2)))"))
+    if sampling != POISSON:   # a bucket's draws come as a block before its first
+        met = met.unionByName(bundle_draws(draws).select(
+            F.col("hit_bucket").alias("b"), F.lit(-1).alias("c"), F.lit(None).cast("binary").alias("ids"),
+            F.col("draws").alias("x"), F.expr(
+                f"explode(flatten(transform(sequence(0L, {stripes - 1}L), s -> transform(sequence(s, {stripes - 1}L), "
+                "t -> struct(s AS s1, t AS s2)))))").alias("pair")))
+    key = ["s1", "s2", "batch"]
+    met = met.select("b", "c", "ids", "x", "pair.*", F.explode(F.sequence(F.lit(0), F.lit(len(batches) - 1))).alias(
+        "batch"), F.pmod(F.xxhash64("b"), F.lit(chunks)).alias("chunk"))
+    met = met.repartition(min(max(tasks, pairs * chunks), MAX_TASKS), *key, "chunk").sortWithinPartitions(
+        *key, "b", "c").select(*key, "b", "c", "ids", "x")
+
+    def weights_of(ids, draws, own):
+        if sampling == POISSON:
+            return poisson_array_weights(ids, own, k)
+        drawn = unbundle_draws(draws, own) if draws is not None else None
+        return weigh(sampling, drawn, n, k, size, len(ids)) if drawn is not None and drawn.num_rows else ()
+
+    def add(total, every, own, bucket):
+        """The products of a bucket's blocks, weighed for the seeds ``own``."""
+        ids, draws, x = bucket["ids"], bucket["draws"], bucket["x"]
+        place = {s: i for i, s in enumerate(own)}
+        for chunk, w in weights_of(ids, draws, own) if x else ():
+            for s, by_fold in zip(chunk.tolist(), w):
+                for f, one in enumerate(by_fold):
+                    hit = np.flatnonzero(one)
+                    weight, y = one[hit, None], {}
+                    for number, (c1, c2) in enumerate(every):
+                        if c1 not in y:   # pairs are in the order of their first block
+                            y = {c1: (x[c1][hit] * weight).T}
+                        total[place[s], f, number] += y[c1] @ x[c2][hit]
 
     def multiply(met):
-        now, total = None, None
+        give_back()
+        now, total, every, bucket = None, None, (), None
         for part in met:
             for at in range(part.num_rows):
-                c1, c2, b = (part.column(c)[at].as_py() for c in key)
-                if (c1, c2, b) != now:
-                    if now is not None:
-                        yield from _tiles(batches[now[2]], total, now[:2])
-                    now, total = (c1, c2, b), np.zeros((len(batches[b]), k, tile, tile))
-                ids = np.frombuffer(part.column("ids")[at].as_buffer(), np.int64)
-                x, y = (np.frombuffer(part.column(c)[at].as_buffer()).reshape(-1, tile) for c in ("x1", "x2"))
-                own = batches[b]
-                if sampling == POISSON:
-                    weights = poisson_array_weights(ids, own, k)
+                s1, s2, batch, b, c = (part.column(name)[at].as_py() for name in (*key, "b", "c"))
+                if bucket is not None and ((s1, s2, batch) != now or b != bucket["b"]):
+                    add(total, every, batches[now[2]], bucket)
+                    bucket = None
+                if (s1, s2, batch) != now:
+                    for number, pair in enumerate(every):
+                        yield from _tiles(batches[now[2]], total[:, :, number], pair)
+                    now = s1, s2, batch
+                    one, two = (range(s * side, min((s + 1) * side, blocks)) for s in (s1, s2))
+                    every = [(c1, c2) for c1 in one for c2 in two if c1 <= c2]
+                    total = np.zeros((len(batches[batch]), k, len(every), tile, tile))
+                bucket = bucket or {"b": b, "ids": None, "draws": None, "x": {}}
+                if c < 0:
+                    bucket["draws"] = part.column("x")[at]
                 else:
-                    own_draws = unbundle_draws(part.column("draws")[at], own)
-                    weights = weigh(sampling, own_draws, n, k, size, len(ids)) if own_draws.num_rows else ()
-                place = {s: i for i, s in enumerate(own)}
-                for chunk, w in weights:
-                    for s, by_fold in zip(chunk.tolist(), w):
-                        for f, one in enumerate(by_fold):
-                            hit = np.flatnonzero(one)
-                            total[place[s], f] += (x[hit] * one[hit, None]).T @ y[hit]
-        if now is not None:
-            yield from _tiles(batches[now[2]], total, now[:2])
+                    bucket["ids"] = np.frombuffer(part.column("ids")[at].as_buffer(), np.int64)
+                    bucket["x"][c] = np.frombuffer(part.column("x")[at].as_buffer()).reshape(-1, tile)
+        if bucket is not None:
+            add(total, every, batches[now[2]], bucket)
+            for number, pair in enumerate(every):
+                yield from _tiles(batches[now[2]], total[:, :, number], pair)
+        total = bucket = None
+        give_back()
 
     parts = met.mapInArrow(multiply, TILES)
     return parts if chunks == 1 else _summed(parts)

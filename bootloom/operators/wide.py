@@ -29,6 +29,8 @@ JOIN = 128
 # Where conjugate gradients end, as a share of the first residual; what is good enough where rounding allows no more.
 RESIDUAL, SETTLED = 1e-12, 1e-6
 PATIENCE = 60
+# Bytes that all seeds ask with in a round up to which they are sent to the tiles; beyond it the tiles are shuffled.
+SENT_BYTES = 16 << 20
 
 STATE = "seed long, state binary, r int, v binary, wanted array<int>, busy boolean"
 _STATE = pa.schema([("seed", pa.int64()), ("state", pa.binary()), ("r", pa.int32()), ("v", pa.binary()),
@@ -40,10 +42,12 @@ _ANSWER = pa.schema([("seed", pa.int64()), ("c1", pa.int32()), ("c2", pa.int32()
 
 # ------------------------------------------------------------------ tiles
 
-def answers(tiles: DataFrame, state: DataFrame, k: int, tile: int) -> DataFrame:
+def answers(tiles: DataFrame, state: DataFrame, k: int, tile: int, asked_bytes: int | None = None) -> DataFrame:
     """What each tile adds to what its seed asked for: products with ``v`` from either side, the entries of
-    ``wanted``, and the diagonal."""
-    asked = tiles.join(state.where("busy").select("seed", "r", "v", "wanted"), "seed")
+    ``wanted``, and the diagonal. Little that is asked, ``asked_bytes``, goes to the tiles where they are."""
+    questions = state.where("busy").select("seed", "r", "v", "wanted")
+    few = asked_bytes is not None and asked_bytes <= SENT_BYTES
+    asked = tiles.join(F.broadcast(questions) if few else questions, "seed")
 
     def work(batches):
         for batch in batches:
@@ -328,8 +332,12 @@ def solve_wide(tiles: DataFrame, columns: list[str], centres: list[float],
     numbers = spark.createDataFrame([(int(s),) for s in seeds], "seed long").repartition(
         min(len(seeds), 2 * spark.sparkContext.defaultParallelism), "seed")
     state = staged(numbers.mapInArrow(begin, STATE), "state")
-    while state.where("busy").limit(1).count():
-        given = answers(tiles, state, k, tile)
+    while True:
+        open_, size = state.where("busy").agg(
+            F.count("*"), F.sum(F.length("v") + 4 * F.size("wanted"))).first()
+        if not open_:
+            break
+        given = answers(tiles, state, k, tile, size)
         state = staged(state.groupBy("seed").cogroup(given.withColumnRenamed("seed", "of").groupBy("of"))
                        .applyInArrow(step, STATE), "state")
 

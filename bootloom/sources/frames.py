@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from ..functions.scratch import scratch_path
+from ..functions.scratch import WRITING, scratch_path, settings
 
 # Names under which a saved row index appears in a feature or target file
 # (a blank CSV header reads as `_c0`).
@@ -16,6 +16,9 @@ INDEX_NAMES = ("_c0", "Unnamed: 0", "index")
 TEST_COLUMN = "test_set"
 # Spark compiles aggregations of up to 100 fields; an average takes two.
 CODEGEN_COLUMNS = 40
+# Columns beyond which a row is packed without code made for each of them: compiling that takes the driver
+# hundreds of MB for a few thousand columns.
+COMPILED_COLUMNS = 500
 ROW_ID = "row_id"
 
 
@@ -131,8 +134,10 @@ def as_double(name: str) -> Column:
 
 def packed(columns: list[str]) -> list[Column]:
     """The columns as one array of doubles, `_x`: one vector to hand to a task instead of
-    many (nothing at all for no columns)."""
-    return [F.expr(f"array({', '.join(map(double_sql, columns))})").alias("_x")] if columns else []
+    many (nothing at all for no columns). Many columns are the argument of a higher-order function,
+    which Spark evaluates as it is, so neither driver nor tasks compile them."""
+    x = f"array({', '.join(map(double_sql, columns))})"
+    return [F.expr(x if len(columns) <= COMPILED_COLUMNS else f"transform({x}, v -> v)").alias("_x")] if columns else []
 
 
 def unpacked(batch, m: int) -> np.ndarray:
@@ -202,9 +207,10 @@ def _wide_stats(df: DataFrame, columns: list[str], ids: Column):
 
     parts = df.select(ids.alias("id"), *packed(columns)).mapInArrow(
         reduce, "j int, s double, n long, ids long, missing long, lo long, hi long")
-    rows = parts.groupBy("j").agg(
-        *[F.sum(c).alias(c) for c in ("s", "n", "ids", "missing")],
-        F.min("lo").alias("lo"), F.max("hi").alias("hi")).orderBy("j").collect()
+    with settings(df.sparkSession, WRITING):
+        rows = parts.groupBy("j").agg(
+            *[F.sum(c).alias(c) for c in ("s", "n", "ids", "missing")],
+            F.min("lo").alias("lo"), F.max("hi").alias("hi")).orderBy("j").collect()
     if not rows:
         return 0, None, None, 0, 0, [0.0] * m
     first = rows[0]

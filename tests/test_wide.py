@@ -10,6 +10,7 @@ from bootloom import Model, metric_dist, one_hot, predict, predict_sparse, prepa
 from bootloom.operators import moments as mom, score, sparse_score, tiles, wide
 from bootloom.operators.score import prediction_metrics
 from bootloom.plans import fit, tables
+from bootloom.sources import frames
 
 FIVE = ("qty", "lines", "disc", "orderstatus_F", "orderstatus_O")
 MODELS = {"linear": Model("linear", FIVE), "lasso": Model("lasso", FIVE, (5.0, 500.0, 5000.0)),
@@ -249,3 +250,42 @@ def test_too_many_features_in_play_are_an_error(dense, monkeypatch):
     run = dataclasses.replace(prepare(dense, "y", {"m": Model("lasso", None, (5.0,))}, n_boot=2), tile=4)
     with pytest.raises(Exception, match="in play"):
         run.solved().collect()
+
+
+# ------------------------------------------------------------------ what many columns take
+
+def test_many_columns_are_packed_without_code_for_each(spark):
+    """Compiling a row of 4,000 columns took the driver over 750 MB of heap."""
+    names = [f"x{i}" for i in range(frames.COMPILED_COLUMNS + 1)]
+    df = spark.range(3).select(*[(F.col("id") * i).alias(n) for i, n in enumerate(names)])
+    packed = df.select(*frames.packed(names))
+    assert [r["_x"] for r in packed.collect()] == [[float(j * i) for i in range(len(names))] for j in range(3)]
+    assert len(code_of(packed)) < 2 * len(code_of(df.select(*frames.packed(names[:20]))))
+
+
+def code_of(df):
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "codegen")
+
+
+def test_rows_of_some_stripes_are_sent_as_few_times_as_fits(monkeypatch):
+    assert tiles.striped(8, 2, 1, 512) == (8, 2)
+    assert tiles.striped(1, 5, 3, 512) == (1, 5)
+    monkeypatch.setattr(tiles, "PARTIAL_BYTES", 1)
+    assert tiles.striped(8, 2, 1, 512) == (1, 1)
+
+
+@pytest.mark.parametrize("sampling", ["exact", "poisson"])
+def test_tiles_of_several_stripes_and_chunks(dense, monkeypatch, sampling):
+    run = prepare(dense, "y", {"m": Model("linear")}, n_boot=3, sampling=sampling)
+    expected = grams(run.moments(), len(run.columns) + 1)
+    monkeypatch.setattr(tiles, "PARTIAL_BYTES", 3 * 2 * 2 * 8 * 8)   # eight tiles
+    got = tiles.as_moments(tiles.dense_tiles(run.rows, run.stats, run.columns, run.seeds, 3, sampling, tile=2), 3, 2)
+    same(grams(got, len(run.columns) + 1), expected)
+
+
+@pytest.mark.parametrize("most", [0, 1 << 20])
+def test_tiles_are_asked_where_they_are_or_shuffled(dense, monkeypatch, most):
+    monkeypatch.setattr(wide, "SENT_BYTES", most)
+    run = dataclasses.replace(prepare(dense, "y", {"linear": Model("linear", FIVE)}, n_boot=2), tile=4)
+    got = solved(wide.solve_wide(run.tiles(), run.columns, run.stats.centres(run.columns), run.models, run.seeds, 3, 4))
+    equal_fits(got, solved(run.solved()))
