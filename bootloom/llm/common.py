@@ -7,7 +7,7 @@ from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.scratch import scratch_path, settings
+from ..functions.scratch import ROW_GROUP, scratch_path, settings
 
 BATCH_ROWS = 512
 BATCH_BYTES = 4 << 20
@@ -42,7 +42,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 def _written(df: DataFrame, path: str) -> DataFrame:
     spark = df.sparkSession
     with settings(spark, WRITING):
-        df.write.parquet(path)
+        df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

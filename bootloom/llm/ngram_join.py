@@ -23,6 +23,7 @@ from .textops import LOWER, U, find_words, hash_spans, mix, ngram_starts, ngrams
 
 SKETCH_BITS = 18     # word counts are kept for 2^18 hash buckets: of fixed size, so it can be sent to all
 SIGN = 8             # longs of the parity signature
+AT_ONCE = {"most": 1 << 20, "rows": 2048}    # bytes of text and rows whose sets are made at once
 MARKS = 1 << 26      # bits that mark documents wanted again; up to an eighth as many are marked, else joined
 
 
@@ -48,7 +49,7 @@ def word_counts(keyed: DataFrame) -> np.ndarray:
     """Occurrences of words over all documents, by hash bucket."""
     def work(batches):
         total = np.zeros(1 << SKETCH_BITS, np.int64)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", **AT_ONCE):
             data, offs = text_bytes(batch.column("text"))
             data = LOWER[data]
             words = find_words(data, offs)
@@ -78,7 +79,7 @@ def document_sets(keyed: DataFrame, size: int, percent: int) -> DataFrame:
                         ("prefix", pa.list_(pa.int64())), ("sign", pa.list_(pa.int64()))])
 
     def work(batches):
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", **AT_ONCE):
             rows = batch.num_rows
             grams, doc, at, h = _sets(batch, size)
             count = counts.value[(h >> U(64 - SKETCH_BITS)).astype(np.int64)]
@@ -118,7 +119,7 @@ def _full_sets(keyed: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     schema = pa.schema([("uid", pa.int64()), ("grams", pa.list_(pa.int64()))])
 
     def work(batches):
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", **AT_ONCE):
             grams, doc, _, _ = _sets(batch, size)
             order = np.lexsort([grams, doc])
             g, d = grams[order], doc[order]

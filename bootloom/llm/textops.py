@@ -9,6 +9,8 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
+from ..functions.memory import give_back
+
 U = np.uint64
 SPACE = np.ones(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = False
@@ -26,7 +28,7 @@ M1, M2 = U(0x9FB21C651E98DF25), U(0xD6E8FEB86659FD93)
 def slices(batches, column: str, most: int = 2 << 20, rows: int = 8192) -> Iterator[pa.RecordBatch]:
     """The batches put together or cut to about ``most`` bytes of text and not much over ``rows``
     rows; a longer text is alone. What a worker frees goes back to the system, as workers stay."""
-    pa.set_memory_pool(pa.system_memory_pool())
+    give_back()
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
@@ -46,6 +48,8 @@ def slices(batches, column: str, most: int = 2 << 20, rows: int = 8192) -> Itera
             begin = max(begin, end)
     if held:
         yield _one(held)
+    held = batch = None
+    give_back()
 
 
 def _one(held: list[pa.RecordBatch]) -> pa.RecordBatch:
