@@ -14,8 +14,8 @@ BLANK[[32, 9, 10, 11, 12, 13]] = True
 SOLID = np.zeros(256, bool)
 SOLID[0x21:0x7F] = True
 JOINED = 1 << 14
-KEPT = 1 << 20
-SLICE = 8 << 20
+KEPT = 1 << 19
+SLICE = 1 << 20  # bytes of text that are encoded at once, at some 40 bytes each
 _loaded: dict[str, "Encoder"] = {}
 
 
@@ -93,15 +93,15 @@ class Encoder:
             return None
         ids, counts = out
         pool = np.concatenate([self.cache.ids, ids])
-        place = self.cache.begin[slot]
-        size = self.cache.count[slot]
+        place = self.cache.begin[slot].astype(np.int64)
+        size = self.cache.count[slot].astype(np.int64)
         place[~known] = len(self.cache.ids) + np.cumsum(counts) - counts
         size[~known] = counts
         each = size[inverse]
         ends = np.cumsum(each)
         every = pool[np.repeat(place[inverse] - ends + each, each) + np.arange(ends[-1])]
         upto = np.append(0, ends)[np.searchsorted(start, offs)]
-        self.cache.add(h[new], second[new], counts, ids)
+        self.cache.add(h[new], second[new], counts, pool)
         return every, np.diff(upto)
 
     def _encode_new(self, data, start, length):
@@ -145,8 +145,8 @@ class Cache:
     def __init__(self):
         self.key = np.zeros(1, np.uint64)
         self.second = np.zeros(1, np.uint64)
-        self.begin = np.zeros(1, np.int64)
-        self.count = np.zeros(1, np.int64)
+        self.begin = np.zeros(1, np.uint32)
+        self.count = np.zeros(1, np.uint32)
         self.ids = np.zeros(0, np.uint32)
 
     def find(self, h):
@@ -154,16 +154,18 @@ class Cache:
         slot = np.minimum(np.searchsorted(self.key, h), len(self.key) - 1)
         return self.key[slot] == h, slot
 
-    def add(self, h, second, counts, ids):
-        if len(self.key) + len(h) > KEPT or len(self.ids) + len(ids) > 8 * KEPT:
+    def add(self, h, second, counts, pool):
+        """``pool`` holds the cache's ids and behind them those of the new pieces."""
+        if len(self.key) + len(h) > KEPT or len(pool) > 8 * KEPT:
             return
         key = np.concatenate([self.key, h])
         order = np.argsort(key, kind="stable")
-        self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(counts) - counts])[order]
-        self.count = np.concatenate([self.count, counts])[order]
+        begin = len(self.ids) + np.cumsum(counts) - counts
+        self.begin = np.concatenate([self.begin, begin.astype(np.uint32)])[order]
+        self.count = np.concatenate([self.count, counts.astype(np.uint32)])[order]
         self.second = np.concatenate([self.second, second])[order]
         self.key = key[order]
-        self.ids = np.concatenate([self.ids, ids])
+        self.ids = pool
 
 
 def solid_before(data: np.ndarray, at: np.ndarray) -> np.ndarray:

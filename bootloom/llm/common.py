@@ -5,6 +5,8 @@ from __future__ import annotations
 from contextlib import contextmanager
 from contextvars import ContextVar
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.scratch import ROW_GROUP, scratch_path, settings
@@ -75,6 +77,12 @@ def settled(spark: SparkSession, name: str, build) -> DataFrame:
         return _written(build(), path)
 
 
+def local(spark: SparkSession, rows: pd.DataFrame, schema: str) -> DataFrame:
+    """A table of the driver's rows. They go as Arrow data: lists of rows would pass Python workers of another kind
+    than those of the corpus operators, which stay on the executors like these."""
+    return spark.createDataFrame(pa.Table.from_pandas(rows, preserve_index=False), schema)
+
+
 def pick(df: DataFrame, **columns: str | Column) -> DataFrame:
     """Only the wanted columns under own names, so that no other column can clash."""
     return df.select(*[(_column(c) if isinstance(c, str) else c).alias(n)

@@ -155,7 +155,7 @@ def _around(at: np.ndarray, term: np.ndarray, words, most: np.ndarray, slop: int
 
 
 def _window_table(spark: SparkSession, windows: pd.DataFrame) -> DataFrame:
-    return spark.createDataFrame(windows, "w long, size int, offsets array<int>, terms array<int>")
+    return common.local(spark, windows, "w long, size int, offsets array<int>, terms array<int>")
 
 
 def _starts(index: DataFrame, windows: DataFrame) -> DataFrame:
@@ -222,7 +222,7 @@ def contamination_of(keyed: DataFrame, benchmark: DataFrame, length: int = WINDO
             continue
         found = common.stage(phrase_matches(index.where("term >= 0"), _window_table(spark, windows)), "hits")
         hits.append(found.select("uid", "start", "size"))
-        owners = spark.createDataFrame(block.items, "w long, item string")
+        owners = common.local(spark, block.items, "w long, item string")
         items.append(found.select("w", "uid").distinct().join(F.broadcast(owners), "w")
                      .select("uid", "item"))
     if lengths is None:

@@ -104,10 +104,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
         columns={"cell": "size"}), weights, budget, most)
     cells = cells.merge(sizes.rename(columns={"size": "source_size"}), on="source", how="left")
     cells["source"] = cells["source"].astype(object).where(cells["source"].notna(), None)
-    small = spark.createDataFrame(
-        [(s, int(p), int(o), int(n), float(t)) for s, p, o, n, t in
-         cells[["source", "part", "offset", "source_size", "target"]].itertuples(index=False)],
-        "s string, p int, offset long, source_size long, target double")
+    small = common.local(spark, cells[["source", "part", "offset", "source_size", "target"]].rename(
+        columns={"source": "s", "part": "p"}), "s string, p int, offset long, source_size long, target double")
     joined = ranged.join(small, ranged["source"].eqNullSafe(small["s"]) & (ranged["part"] == small["p"]))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.greatest("source_size", F.lit(1)))).otherwise(0)
     rest = F.col("target") - F.col("whole") * F.col("source_size")

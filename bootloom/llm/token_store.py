@@ -199,8 +199,7 @@ def write_store(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc
               .toPandas().sort_values("part", ignore_index=True))
     shards["shard"] = np.arange(len(shards))
     shards["start"] = shards["ids"].cumsum() - shards["ids"]
-    files = spark.createDataFrame(shards if len(shards) else [],
-                                  "file string, part long, ids long, docs long, shard long, start long")
+    files = common.local(spark, shards, "file string, part long, ids long, docs long, shard long, start long")
     files.coalesce(1).write.parquet(f"{folder}/shards")
     n_keys = int(shards["docs"].sum())
     layout = Layout.of(n_keys)
