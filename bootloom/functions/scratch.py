@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -58,11 +59,11 @@ def settings(spark: SparkSession, values: dict):
 ROW_GROUP = 8 << 20
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, **options) -> DataFrame:
     """The rows in a written table of their own: what is behind them runs once."""
     path = scratch_path(df.sparkSession, name)
     with settings(df.sparkSession, WRITING):
-        df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
+        df.write.option("parquet.block.size", ROW_GROUP).options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -73,9 +74,26 @@ STORED = {"LogicalRelation", "DataSourceV2ScanRelation", "HiveTableRelation", "L
 
 
 def computed_once(df: DataFrame, name: str = "rows") -> DataFrame:
-    """`df` itself if it is stored rows under filters and projections, which each pass may read anew;
-    else (joins, aggregations, several inputs, cached tables) its rows in a written table."""
+    """`df` itself if it is stored rows under filters and projections, dealt anew or not, which each pass may read
+    anew; else (joins, aggregations, several inputs, cached tables) its rows in a written table."""
     plan = df._jdf.queryExecution().optimizedPlan()
-    while plan.nodeName() in ("Project", "Filter"):
+    while plan.nodeName() in ("Project", "Filter", "RepartitionByExpression"):
         plan = plan.children().head()
     return df if plan.nodeName() in STORED else staged(df, name)
+
+
+# Rows of a partition, about: at least and at most.
+DEALT_ROWS = 1 << 12, 1 << 18
+
+
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """The rows in partitions by a key: enough to keep the cores busy, however few splits the files make."""
+    n, (least, most) = df.count(), DEALT_ROWS
+    tasks = max(min(3 * df.sparkSession.sparkContext.defaultParallelism, n // least), -(-n // most), 1)
+    return df.repartition(tasks, key)
+
+
+def is_dealt(df: DataFrame, key: str) -> bool:
+    """Whether the rows are in partitions by this key alone."""
+    kind = df._jdf.queryExecution().sparkPlan().outputPartitioning().toString()
+    return re.fullmatch(rf"hashpartitioning\({re.escape(key)}#\d+L?, \d+\)", kind) is not None

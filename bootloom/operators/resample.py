@@ -374,6 +374,24 @@ def resample_weights(df: DataFrame, stats: FrameStats, seeds: list[int], k: int
     return with_draws(df, stats, [], seeds, k, sampling, emit, schema, row_id)
 
 
+def row_weights(df: DataFrame, stats: FrameStats, seeds: list[int], k: int, sampling: str,
+                row_id: str = ROW_ID) -> DataFrame:
+    """(row_id, w): the rows that were drawn, with their multiplicities as an int32 per seed and fold."""
+    place = {s: i for i, s in enumerate(seeds)}
+
+    def emit(ids, x, weights) -> pa.Table:
+        every = np.zeros((len(ids), len(seeds), k), np.int32)
+        for chunk, w in weights:
+            every[:, [place[s] for s in chunk.tolist()]] = w.transpose(2, 0, 1)
+        hit = np.flatnonzero(every.any(axis=(1, 2)))
+        ends = np.arange(len(hit) + 1, dtype=np.int64) * (4 * len(seeds) * k)
+        w = pa.Array.from_buffers(pa.large_binary(), len(hit), [
+            None, pa.py_buffer(ends), pa.py_buffer(every[hit].tobytes())]).cast(pa.binary())
+        return pa.table([pa.array(ids[hit]), w], names=[row_id, "w"])
+
+    return with_draws(df, stats, [], seeds, k, sampling, emit, f"{row_id} long, w binary", row_id)
+
+
 def poisson_weights(df: DataFrame, seeds: list[int], k: int = 3,
                     row_id: str = ROW_ID) -> DataFrame:
     """One-pass stand-in for the exact resample: an independent Poisson(1) weight per

@@ -3,7 +3,8 @@
 The columns z = (1, features, target) are cut into blocks. A tile is the part of the Gram matrices of all seeds
 and folds that one pair of blocks spans. Rows are cut into the same blocks before they are shuffled. A few
 neighbouring blocks are a stripe; a task holds two stripes of a bucket of rows and the tiles they span, as many as
-fit: nothing in it grows with the number of columns.
+fit: nothing in it grows with the number of columns. Where all tiles fit, rows of many bytes are neither written nor
+cut: their weights come to them by id.
 
 Sparse rows (indices and values, as one-hot levels make them) only touch the pairs of columns that are both
 there. Their task keeps its share of the rows and takes it through as many tiles and seeds at a time as fit.
@@ -17,18 +18,24 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.memory import give_back
-from ..functions.scratch import staged
+from ..functions.memory import give_back, read_ahead
+from ..functions.scratch import is_dealt, staged
 from ..sources.frames import ROW_ID, FrameStats, packed, unpacked
 from .index import BUCKET
 from .moments import BLOCK, PARTIAL_BYTES, design
 from .resample import (MAX_TASKS, MIN_CELL, POISSON, bucketed_draws, bundle_bytes, bundle_draws, cell_size,
-                       poisson_array_weights, unbundle_draws, weigh)
+                       poisson_array_weights, row_weights, unbundle_draws, weigh)
 
 # Columns of a tile, bytes of one block of columns of a bucket of rows, and blocks of a stripe at most.
 TILE = 512
 ROWS_BYTES = 8 << 20
 STRIPE = 8
+# Bytes of all rows up to which they are written in blocks though a task can hold all tiles, and rows of such a task
+# that are multiplied at once.
+BLOCKED_BYTES = 32 << 20
+ROWS_AT_ONCE = 1024
+# Arrow batches that are read while such a task multiplies.
+AHEAD = 12
 # Pairs of entries of sparse rows that are laid out at once.
 PAIRS_AT_ONCE = 1 << 21
 
@@ -106,10 +113,14 @@ def striped(blocks: int, seeds: int, k: int, tile: int) -> tuple[int, int]:
 def dense_tiles(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list[int], k: int, sampling: str,
                 row_id: str = ROW_ID, tile: int = TILE) -> DataFrame:
     """The tiles of the Gram matrices of `moments.moments`, ``TILES``. A row is shuffled once in blocks of columns; after that
-    a block goes to every pair of stripes it is in, so that it meets every other one of its bucket."""
+    a block goes to every pair of stripes it is in, so that it meets every other one of its bucket. Where there is one
+    pair for all seeds, rows of more than ``BLOCKED_BYTES`` are multiplied where they are."""
     spark, m, n, size = df.sparkSession, len(columns), stats.n, cell_size(stats.n)
     q = m + 1
     blocks = block_count(q, tile)
+    side, at_once = striped(blocks, len(seeds), k, tile)
+    if side == blocks and at_once == len(seeds) and n * blocks * tile * 8 > BLOCKED_BYTES:
+        return _tiles_in_place(df, stats, columns, seeds, k, sampling, row_id, tile)
     centres = stats.centres(columns)
     goal = max(MIN_CELL // 2, ROWS_BYTES // (8 * tile))
     rows = df.select(F.col(row_id).cast("long").alias(row_id), *packed(columns))
@@ -146,7 +157,6 @@ def dense_tiles(df: DataFrame, stats: FrameStats, columns: list[str], seeds: lis
     tasks = min(max(by_size, 3 * spark.sparkContext.defaultParallelism), MAX_TASKS)
     held = staged(bucketed.mapInArrow(cut, shape).repartition(tasks, "b", "c").groupBy("b", "c").applyInArrow(
         merge, shape), "blocks")
-    side, at_once = striped(blocks, len(seeds), k, tile)
     stripes = block_count(blocks, side)
     batches = [seeds[s:s + at_once] for s in range(0, len(seeds), at_once)]
     # a task's tiles are at most as many bytes as its rows, and no more tasks than keep the cores busy
@@ -220,6 +230,72 @@ def dense_tiles(df: DataFrame, stats: FrameStats, columns: list[str], seeds: lis
     return parts if chunks == 1 else _summed(parts)
 
 
+def _tiles_in_place(df: DataFrame, stats: FrameStats, columns: list[str], seeds: list[int], k: int, sampling: str,
+                    row_id: str, tile: int) -> DataFrame:
+    """The tiles where a task can hold all of them. Rows that are dealt by id stay in their partitions; a task takes
+    the products of its share and gives out each tile once."""
+    m, n = len(columns), stats.n
+    q, slots = m + 1, df.sparkSession.sparkContext.defaultParallelism
+    blocks = block_count(q, tile)
+    every = [(a, b) for a in range(blocks) for b in range(a, blocks)]
+    centres = np.asarray(stats.centres(columns))
+    # a task's tiles are at most as many bytes as its rows, and no more tasks than run at once
+    chunks = max(1, min(slots, n // (len(seeds) * k * tile * (blocks + 1) // 2)))
+    rows = df.select(F.col(row_id).cast("long").alias(row_id), *packed(columns))
+    if sampling != POISSON:
+        if chunks > 1 and not is_dealt(rows, row_id):
+            rows = rows.repartition(min(max(n * blocks * tile * 8 // (128 << 20), 3 * slots), MAX_TASKS), row_id)
+        rows = rows.join(row_weights(df, stats, seeds, k, sampling, row_id).hint("shuffle_hash"), row_id)
+
+    def weights_of(batch) -> np.ndarray:
+        """(rows x seeds x folds)."""
+        if sampling == POISSON:
+            return np.concatenate([w for _, w in poisson_array_weights(
+                batch.column(row_id).to_numpy(), seeds, k)]).transpose(2, 0, 1)
+        return np.frombuffer(b"".join(batch.column("w").to_pylist()), np.int32).reshape(-1, len(seeds), k)
+
+    def add(total, x, w, hold):
+        """The products of rows, weighed by roots of the weights on either side."""
+        product = np.empty((tile, tile))
+        for s, f in np.ndindex(len(seeds), k):
+            hit = np.flatnonzero(w[:, s, f])
+            own = np.take(x, hit, axis=0, out=hold[:len(hit)], mode="clip")
+            own *= np.sqrt(w[hit, s, f])[:, None]
+            for number, (a, b) in enumerate(every):
+                one = own[:, a * tile:(a + 1) * tile]
+                two = one if a == b else own[:, b * tile:(b + 1) * tile]
+                total[s, f, number] += np.matmul(one.T, two, out=product)
+
+    def multiply(batches):
+        give_back()
+        total, held = None, 0
+        for batch in read_ahead(batches, AHEAD):
+            if total is None:
+                total = np.zeros((len(seeds), k, len(every), tile, tile))
+                x, hold = np.zeros((ROWS_AT_ONCE, blocks * tile)), np.empty((ROWS_AT_ONCE, blocks * tile))
+                x[:, 0], w = 1.0, np.zeros((ROWS_AT_ONCE, len(seeds), k), np.int32)
+            z, own = (unpacked(batch, m), weights_of(batch)) if batch.num_rows else ((), ())
+            at = 0
+            while at < len(z):
+                take = min(len(z) - at, ROWS_AT_ONCE - held)
+                np.subtract(z[at:at + take], centres, out=x[held:held + take, 1:q])
+                w[held:held + take] = own[at:at + take]
+                at, held = at + take, held + take
+                if held == ROWS_AT_ONCE:
+                    add(total, x, w, hold)
+                    held = 0
+        if total is not None:
+            add(total, x[:held], w[:held], hold)
+            x = hold = None
+            for number, pair in enumerate(every):
+                yield from _tiles(seeds, total[:, :, number], pair)
+        total = None
+        give_back()
+
+    parts = rows.coalesce(chunks).mapInArrow(multiply, TILES)
+    return parts if chunks == 1 else _summed(parts)
+
+
 # ------------------------------------------------------------------ sparse rows
 
 class SparsePairs:

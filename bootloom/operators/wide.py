@@ -313,7 +313,7 @@ def solve_wide(tiles: DataFrame, columns: list[str], centres: list[float],
     centre = dict(zip(columns, centres))
     plan = {name: (method, np.array([place[f] for f in features]), alphas)
             for name, (method, features, alphas) in models.items()}
-    tiles, limits = staged(tiles, "tiles"), (JOIN, IN_PLAY)
+    tiles, limits = staged(tiles, "tiles", compression="none"), (JOIN, IN_PLAY)
     spark = tiles.sparkSession
 
     def begin(batches):
@@ -329,7 +329,8 @@ def solve_wide(tiles: DataFrame, columns: list[str], centres: list[float],
         own.answer(*_assembled(table, blocks, k, tile, row["r"], np.array(row["wanted"], np.int64)))
         return _row(row["seed"], own)
 
-    numbers = spark.createDataFrame([(int(s),) for s in seeds], "seed long").repartition(
+    # as Arrow data: lists of rows would pass Python workers of another kind, which stay
+    numbers = spark.createDataFrame(pa.table({"seed": pa.array(map(int, seeds), pa.int64())})).repartition(
         min(len(seeds), 2 * spark.sparkContext.defaultParallelism), "seed")
     state = staged(numbers.mapInArrow(begin, STATE), "state")
     while True:

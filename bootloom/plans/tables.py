@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.scratch import dealt
 from ..sources.sparse import Sparse, one_hot
 from .fit import Model
 
@@ -70,8 +71,9 @@ def part_line(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def part_wide(spark: SparkSession, sf_dir: str, m: int) -> DataFrame:
-    """Part price explained by m mixtures of the key and the size: wide, and of two dimensions."""
-    return part_line(spark, sf_dir).select("row_id", "y", *[
+    """Part price explained by m mixtures of the key and the size: wide, and of two dimensions. The rows are dealt
+    by id while they are narrow."""
+    return dealt(part_line(spark, sf_dir), "row_id").select("row_id", "y", *[
         F.expr(f"{math.cos(i)!r}D * partkey + {math.sin(i)!r}D * size").alias(f"mix_{i}") for i in range(m)])
 
 

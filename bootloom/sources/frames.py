@@ -16,8 +16,8 @@ INDEX_NAMES = ("_c0", "Unnamed: 0", "index")
 TEST_COLUMN = "test_set"
 # Spark compiles aggregations of up to 100 fields; an average takes two.
 CODEGEN_COLUMNS = 40
-# Columns beyond which a row is packed without code made for each of them: compiling that takes the driver
-# hundreds of MB for a few thousand columns.
+# Columns beyond which a row is packed outside of Spark's code for whole stages: that is one method with all of
+# them, which takes the driver hundreds of MB for a few thousand columns.
 COMPILED_COLUMNS = 500
 ROW_ID = "row_id"
 
@@ -134,10 +134,12 @@ def as_double(name: str) -> Column:
 
 def packed(columns: list[str]) -> list[Column]:
     """The columns as one array of doubles, `_x`: one vector to hand to a task instead of
-    many (nothing at all for no columns). Many columns are the argument of a higher-order function,
-    which Spark evaluates as it is, so neither driver nor tasks compile them."""
-    x = f"array({', '.join(map(double_sql, columns))})"
-    return [F.expr(x if len(columns) <= COMPILED_COLUMNS else f"transform({x}, v -> v)").alias("_x")] if columns else []
+    many (nothing at all for no columns). Where there are many, the first goes through a higher-order function:
+    code for whole stages has none, so executors compile the columns, in small methods, and the driver nothing."""
+    x = list(map(double_sql, columns))
+    if len(x) > COMPILED_COLUMNS:
+        x[0] = f"transform(array({x[0]}), v -> v)[0]"
+    return [F.expr(f"array({', '.join(x)})").alias("_x")] if x else []
 
 
 def unpacked(batch, m: int) -> np.ndarray:

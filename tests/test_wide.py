@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from bootloom import Model, metric_dist, one_hot, predict, predict_sparse, prepare, split_rows
+from bootloom.functions import scratch
+from bootloom.functions.memory import read_ahead
 from bootloom.operators import moments as mom, score, sparse_score, tiles, wide
 from bootloom.operators.score import prediction_metrics
 from bootloom.plans import fit, tables
@@ -289,3 +291,64 @@ def test_tiles_are_asked_where_they_are_or_shuffled(dense, monkeypatch, most):
     run = dataclasses.replace(prepare(dense, "y", {"linear": Model("linear", FIVE)}, n_boot=2), tile=4)
     got = solved(wide.solve_wide(run.tiles(), run.columns, run.stats.centres(run.columns), run.models, run.seeds, 3, 4))
     equal_fits(got, solved(run.solved()))
+
+
+@pytest.mark.parametrize("sampling", ["exact", "poisson", "numpy"])
+@pytest.mark.parametrize("by_id", [False, True])
+def test_rows_are_multiplied_in_place(dense, monkeypatch, sampling, by_id):
+    """Rows of many bytes are not written in blocks, whether their partitions are by id or not."""
+    monkeypatch.setattr(tiles, "BLOCKED_BYTES", 0)
+    monkeypatch.setattr(tiles, "ROWS_AT_ONCE", 100)
+    monkeypatch.setattr(tiles, "staged", lambda df, name: pytest.fail("rows were written"))
+    run = prepare(scratch.dealt(dense, "row_id") if by_id else dense, "y", {"m": Model("linear")}, n_boot=3, sampling=sampling)
+    got = tiles.dense_tiles(run.rows, run.stats, run.columns, run.seeds, 3, sampling, tile=4)
+    same(grams(tiles.as_moments(got, 3, 4), len(run.columns) + 1), grams(run.moments(), len(run.columns) + 1))
+
+
+def test_repeated_ids_are_refused_in_place(dense, monkeypatch):
+    monkeypatch.setattr(tiles, "BLOCKED_BYTES", 0)
+    run = prepare(dense.unionByName(dense.where("row_id % 50 = 1")), "y", {"m": Model("linear")}, n_boot=2)
+    with pytest.raises(Exception, match="not unique"):
+        tiles.dense_tiles(run.rows, run.stats, run.columns, run.seeds, 3, "exact", tile=8).collect()
+
+
+def test_wide_rows_that_are_dealt_by_id_are_not_shuffled(spark, sf_dir, monkeypatch):
+    """Neither written before the fit nor sent to where their weights are."""
+    monkeypatch.setattr(scratch, "DEALT_ROWS", (50, 1 << 18))
+    wide_rows = tables.part_wide(spark, sf_dir, 40)
+    assert scratch.is_dealt(wide_rows, "row_id") and not scratch.is_dealt(tables.part_line(spark, sf_dir), "row_id")
+    monkeypatch.setattr(scratch, "staged", lambda df, name: pytest.fail("rows were written"))
+    assert "RepartitionByExpression" in scratch.computed_once(wide_rows)._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.undo()
+    monkeypatch.setattr(tiles, "BLOCKED_BYTES", 0)
+    run = prepare(wide_rows, "y", {"m": Model("linear")}, n_boot=2)
+    plan = tiles.dense_tiles(run.rows, run.stats, run.columns, run.seeds, 1, "exact", tile=16)._jdf.queryExecution().sparkPlan()
+    text = plan.toString()
+    made = text[:text.index("FlatMapCoGroupsInArrow")]   # the side of the rows, above that of the weights
+    assert "ShuffledHashJoin" in made and made.index("array(") < made.index("Exchange hashpartitioning(row_id")
+
+
+def test_narrow_rows_in_one_file_keep_all_cores_busy(spark, tmp_path):
+    spark.range(40_000).select(F.col("id").alias("row_id")).coalesce(1).write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    assert rows.rdd.getNumPartitions() == 1 and scratch.dealt(rows, "row_id").rdd.getNumPartitions() == 9
+    assert scratch.dealt(rows.limit(10), "row_id").rdd.getNumPartitions() == 1
+
+
+def test_many_columns_are_compiled_by_the_executors(spark):
+    """All but the first are no argument of a higher-order function, which Spark evaluates value by value."""
+    names = [f"x{i}" for i in range(frames.COMPILED_COLUMNS + 1)]
+    df = spark.range(3).select(*[(F.col("id") * i).cast("double").alias(n) for i, n in enumerate(names)])
+    plan = df.select(*frames.packed(names))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lambdafunction") == 1 and "transform(array(x0" not in plan.replace("transform(array(x0)", "")
+
+
+def test_batches_are_read_ahead_in_order():
+    assert list(read_ahead(iter(range(50)), 3)) == list(range(50))
+
+    def broken():
+        yield 1
+        raise ValueError("no more")
+
+    with pytest.raises(ValueError, match="no more"):
+        list(read_ahead(broken(), 3))
